@@ -8,6 +8,7 @@ from costlens.functions.numeric import (
     dollars_per_edge,
     dollars_per_ns,
     is_finite,
+    json_double,
     ns_per_dollar,
     safe_divide,
 )
@@ -20,6 +21,7 @@ __all__ = [
     "domain_order",
     "domain_position",
     "is_finite",
+    "json_double",
     "ns_per_dollar",
     "path_group",
     "phase_label",

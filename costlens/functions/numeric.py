@@ -23,6 +23,17 @@ def is_finite(c: Column | str) -> Column:
     return ~F.isnan(x) & (F.abs(x) != F.lit(_INF))
 
 
+def json_double(c: Column | str) -> Column:
+    """DOUBLE from a JSON leaf read as text.
+
+    The JSON reader gives a number's text (``120.5``), a string's content
+    (``75.25`` from ``"75.25"``) or, for the bare tokens NaN / Infinity, the
+    token in quotes (``"NaN"``). One pair of surrounding quotes is removed,
+    then the text is cast; malformed text fails the job as a cast would.
+    """
+    return F.regexp_replace(_col(c), r'^"(.*)"$', "$1").cast("double")
+
+
 def safe_divide(num: Column | str, den: Column | str) -> Column:
     """``num / NULLIF(den, 0)``: NULL instead of an error or infinity on zero."""
     return _col(num) / F.nullif(_col(den), F.lit(0.0))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from costlens.constants import DEFAULT_SYSTEMS, RBFE_PHASES
 from costlens.functions.labels import phase_label, strip_suffix
+from costlens.functions.numeric import json_double
 
 
 def unpivot(
@@ -65,7 +66,7 @@ def md_long(raw: DataFrame, systems: Sequence[str] = DEFAULT_SYSTEMS) -> DataFra
     return unpivot(
         raw,
         ["run_date", "run_id"],
-        {s: F.col(s).cast("double") for s in systems},
+        {s: json_double(s) for s in systems},
         "system",
         "ns_per_day",
     )
@@ -79,13 +80,13 @@ def rbfe_long(
     """RBFE run rows -> (run_date, run_id, system, phase, metric_value).
 
     Each system is an object with one leaf per phase; leaves arrive as text
-    and are cast to DOUBLE here.
+    and are turned into DOUBLE here (``json_double``).
     """
     wide = raw.select(
         "run_date",
         "run_id",
         *[
-            F.col(s).getField(p).cast("double").alias(f"{s}_{p}")
+            json_double(F.col(s).getField(p)).alias(f"{s}_{p}")
             for s in systems
             for p in phases
         ],

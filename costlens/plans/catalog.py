@@ -6,6 +6,7 @@ row subsets. Column names are aliased identically on both sides.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,8 +22,11 @@ from costlens.operators.median import grouped_median
 from costlens.operators.quality import finite
 from costlens.operators.rank import winner
 from costlens.operators.summarize import by_concurrency
-from costlens.plans import adapter, chart_tables
-from costlens.sources.tables import read_table
+from costlens.plans import adapter, chart_tables, price_fixture, run_fixture
+from costlens.plans.export import md_export, rbfe_export
+from costlens.plans.price_snapshot import price_snapshot, read_snapshot, write_prices
+from costlens.session import scratch_dir
+from costlens.sources.tables import read_fact, read_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -301,6 +305,39 @@ def q_domain_order(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+# --- file jobs: export round trips and price snapshots ----------------------
+
+
+def _export_roundtrip(spark: SparkSession, d: str, export) -> DataFrame:
+    root = scratch_dir(spark, "runs")
+    run_fixture.write_files(run_fixture.run_files(spark, d), root)
+    out = f"{root}/fact"
+    export(spark, root, out, day_glob=run_fixture.DAY_GLOB)
+    return read_fact(spark, out)
+
+
+def q_md_export_roundtrip(spark: SparkSession, d: str) -> DataFrame:
+    return _export_roundtrip(spark, d, md_export)
+
+
+def q_rbfe_export_roundtrip(spark: SparkSession, d: str) -> DataFrame:
+    return _export_roundtrip(spark, d, rbfe_export)
+
+
+def q_price_snapshot(spark: SparkSession, d: str) -> DataFrame:
+    snap = price_snapshot(
+        price_fixture.price_documents(spark, d), price_fixture.wanted_types(spark, d), "us-east-1"
+    )
+    path = write_prices(snap, scratch_dir(spark, "prices"), dt.date(2026, 4, 1))
+    return read_snapshot(spark, path)
+
+
+def q_price_filter(spark: SparkSession, d: str) -> DataFrame:
+    return price_snapshot(
+        price_fixture.price_documents(spark, d), price_fixture.wanted_types(spark, d), "us-west-2"
+    )
+
+
 # --- registry --------------------------------------------------------------
 
 QUERIES: dict[str, QueryFn] = {
@@ -331,6 +368,10 @@ QUERIES: dict[str, QueryFn] = {
     "path_extract": q_path_extract,
     "run_path_extract": q_run_path_extract,
     "domain_order": q_domain_order,
+    "md_export_roundtrip": q_md_export_roundtrip,
+    "rbfe_export_roundtrip": q_rbfe_export_roundtrip,
+    "price_snapshot": q_price_snapshot,
+    "price_filter": q_price_filter,
 }
 
 _MEDIANS_BY_PHASE = _V + _median_sql(
@@ -432,4 +473,8 @@ ORACLE_SQL: dict[str, str] = {
     "domain_order": f"SELECT DISTINCT CAST(l_linenumber AS BIGINT) AS mps_process_count, "
     f"CAST(list_position({_MPS_LIST}, CAST(l_linenumber AS BIGINT)) AS BIGINT) AS mps_rank "
     f"FROM lineitem",
+    "md_export_roundtrip": run_fixture.expected_md_sql(),
+    "rbfe_export_roundtrip": run_fixture.expected_rbfe_sql(),
+    "price_snapshot": price_fixture.EXPECTED_EAST_SQL,
+    "price_filter": price_fixture.EXPECTED_WEST_SQL,
 }
