@@ -35,7 +35,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from costlens.session import checkpoint_dir
+from costlens.session import stable_copy
 
 # Rows above which a group takes the distributed selection path. F.median's
 # state for a group is at most this many distinct doubles (~100 MB), and the
@@ -73,29 +73,32 @@ def _selected_median(
     partitions: int,
     broadcast_targets: bool,
 ) -> DataFrame:
-    """Median of one value column per group by positional selection."""
-    spark = df.sparkSession
-    checkpoint_dir(spark)
+    """Median of one value column per group by positional selection.
+
+    NULL values stay in the sorted copy (they sort first in their group), so
+    every group appears in the segment table, also one with only NULLs.
+    """
     key_cols = [F.col(k) for k in keys]
-    rows = (
-        df.select(*key_cols, value.alias("_v"))
-        .where(F.col("_v").isNotNull())
+    rows = df.select(*key_cols, value.alias("_v")).withColumn(
         # A unique tie-breaker lets the range partitioner split a group even
         # when all its values are equal.
-        .withColumn("_t", F.monotonically_increasing_id())
+        "_t", F.monotonically_increasing_id()
     )
-    ordered = (
+    # Fix the numbering: both later reads must see the same row numbers,
+    # whatever the runtime does to partitions, also after executor loss.
+    ordered = stable_copy(
         rows.repartitionByRange(partitions, *key_cols, F.col("_v"), F.col("_t"))
         .sortWithinPartitions(*key_cols, F.col("_v"), F.col("_t"))
         .select(*key_cols, "_v", F.monotonically_increasing_id().alias("_rid"))
-        # Fix the numbering: both later reads must see the same row numbers,
-        # whatever the runtime does to partitions, also after executor loss.
-        .checkpoint(eager=True)
     )
 
+    # One row per (partition, group): non-NULL count and first non-NULL row.
     segments = ordered.groupBy(
         F.shiftright("_rid", _ROW_BITS).alias("_pid"), *key_cols
-    ).agg(F.count(F.lit(1)).alias("_cnt"), F.min("_rid").alias("_start"))
+    ).agg(
+        F.count("_v").alias("_cnt"),
+        F.min(F.when(F.col("_v").isNotNull(), F.col("_rid"))).alias("_start"),
+    )
     by_group = Window.partitionBy(*key_cols)
     before = by_group.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     segments = segments.select(
@@ -123,28 +126,47 @@ def _selected_median(
     same = F.max(F.when(F.col("_role") == "lo", F.col("_rid"))) == F.max(
         F.when(F.col("_role") == "hi", F.col("_rid"))
     )
-    return picked.groupBy(*key_cols).agg(F.when(same, lo).otherwise(_midpoint(lo, hi)).alias(name))
+    found = picked.groupBy(*key_cols).agg(
+        F.when(same, lo).otherwise(_midpoint(lo, hi)).alias(name)
+    ).alias("f")
+    if broadcast_targets:
+        found = F.broadcast(found)
+    groups = segments.select(*key_cols).distinct().alias("g")
+    return groups.join(found, _null_safe_on("g", "f", keys), "left").select(
+        *[F.col(f"g.{k}").alias(k) for k in keys], F.col(f"f.{name}")
+    )
 
 
 def _selected_medians(
     df: DataFrame,
     keys: Sequence[str],
     values: Mapping[str, Column],
-    group_keys: DataFrame,
     partitions: int,
     broadcast_targets: bool,
 ) -> DataFrame:
-    out = group_keys.alias("g")
-    for name, c in values.items():
-        med = _selected_median(df, keys, c, name, partitions, broadcast_targets).alias("m")
-        if broadcast_targets:
-            med = F.broadcast(med)
-        out = out.join(med, _null_safe_on("g", "m", keys), "left").select(
-            *[F.col(f"g.{k}").alias(k) for k in keys],
-            *[F.col(f"g.{n}") for n in out.columns if n not in keys],
-            F.col(f"m.{name}"),
-        ).alias("g")
-    return out
+    """All value columns in one pass: stacked long, one sort, pivoted back.
+
+    The value name becomes part of the group key, so a single range sort and
+    a single checkpoint serve every value column.
+    """
+    names = list(values)
+    long = df.select(
+        *keys,
+        F.inline(
+            F.array(
+                *[
+                    F.struct(F.lit(n).alias("_name"), c.cast("double").alias("_value"))
+                    for n, c in values.items()
+                ]
+            )
+        ),
+    )
+    med = _selected_median(
+        long, [*keys, "_name"], F.col("_value"), "_med", partitions, broadcast_targets
+    )
+    return med.groupBy(*keys).agg(
+        *[F.max(F.when(F.col("_name") == n, F.col("_med"))).alias(n) for n in names]
+    )
 
 
 def grouped_median(
@@ -168,18 +190,15 @@ def grouped_median(
     spark = df.sparkSession
     parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     if method == "sort":
-        groups = df.select(*keys).distinct()
-        return _selected_medians(df, keys, vals, groups, parts, broadcast_targets=False)
+        return _selected_medians(df, keys, vals, parts, broadcast_targets=False)
     if method != "auto":
         raise ValueError(f"unknown median method: {method}")
 
-    checkpoint_dir(spark)
-    hot = (
+    hot = stable_copy(
         df.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_rows"))
         .where(F.col("_rows") > F.lit(hot_group_rows))
         .select(*keys)
-        .checkpoint(eager=True)
     )
     if hot.isEmpty():
         return _hash_medians(df, keys, vals)
@@ -190,5 +209,5 @@ def grouped_median(
     cold_rows = base.join(hot_b, on, "left_anti")
     hot_rows = base.join(hot_b, on, "left_semi")
     cold = _hash_medians(cold_rows, keys, vals)
-    hot_part = _selected_medians(hot_rows, keys, vals, hot, parts, broadcast_targets=True)
+    hot_part = _selected_medians(hot_rows, keys, vals, parts, broadcast_targets=True)
     return cold.unionByName(hot_part)

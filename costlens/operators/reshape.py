@@ -50,15 +50,20 @@ def unpivot_suffixed(
     """Unpivot ``<name>_<suffix>`` columns into (name, suffix label, value).
 
     The name loses one trailing ``_<suffix>``; the label is the first suffix
-    whose ``LIKE '%_<suffix>'`` matches, else NULL.
+    whose ``LIKE '%_<suffix>'`` matches, else NULL. Both are applied to the
+    column names as literals, so the optimizer folds them to constants and
+    no pattern is evaluated per row. NULL values are dropped.
     """
-    long = unpivot(df, ids, values, "_metric", value_col)
-    return long.select(
-        *ids,
-        strip_suffix(F.col("_metric"), suffixes).alias(name_col),
-        phase_label(F.col("_metric"), suffixes).alias(label_col),
-        value_col,
-    )
+    cells = [
+        F.struct(
+            strip_suffix(F.lit(c), suffixes).alias(name_col),
+            phase_label(F.lit(c), suffixes).alias(label_col),
+            F.col(c).alias(value_col),
+        ).alias(c)
+        for c in values
+    ]
+    long = df.select(*ids, *cells).unpivot(list(ids), list(values), "_metric", "_cell")
+    return long.select(*ids, "_cell.*").where(F.col(value_col).isNotNull())
 
 
 def md_long(raw: DataFrame, systems: Sequence[str] = DEFAULT_SYSTEMS) -> DataFrame:

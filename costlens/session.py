@@ -11,7 +11,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(
@@ -30,6 +31,7 @@ def build_session(
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", driver_memory)
         .getOrCreate()
     )
@@ -56,3 +58,18 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder under the shared checkpoint folder."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/costlens-{label}-{uuid.uuid4().hex}"
+
+
+def stable_copy(df: DataFrame) -> DataFrame:
+    """A reliable checkpoint of ``df`` in the shared checkpoint folder.
+
+    Cuts the lineage, so later reads see exactly the same rows in the same
+    partitions, also after executor loss. The frame is cached for the
+    duration of the checkpoint so that it is computed once, not twice.
+    """
+    checkpoint_dir(df.sparkSession)
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return cached.checkpoint(eager=True)
+    finally:
+        cached.unpersist()

@@ -1,0 +1,100 @@
+import math
+import random
+
+import pytest
+from pyspark.sql import types as T
+
+from costlens.operators.median import grouped_median
+
+SCHEMA = T.StructType(
+    [
+        T.StructField("g", T.StringType()),
+        T.StructField("h", T.LongType()),
+        T.StructField("x", T.DoubleType()),
+        T.StructField("y", T.DoubleType()),
+    ]
+)
+
+
+def brute_median(values):
+    vals = sorted(v for v in values if v is not None)
+    if not vals:
+        return None
+    n = len(vals)
+    lo, hi = vals[(n - 1) // 2], vals[n // 2]
+    return lo if (n - 1) // 2 == n // 2 else 0.5 * lo + 0.5 * hi
+
+
+def make_rows(seed=7):
+    rnd = random.Random(seed)
+    rows = []
+    # Hot group: many rows, many duplicates.
+    for _ in range(3000):
+        rows.append(("hot", 1, float(rnd.randint(0, 50)), rnd.random()))
+    # Hot group whose values are all equal (needs the tie-breaker to split).
+    for _ in range(1500):
+        rows.append(("flat", 2, 5.0, None))
+    # Small groups with odd / even sizes, NULL keys and NULL values.
+    for k in range(40):
+        size = rnd.randint(1, 9)
+        for _ in range(size):
+            x = None if rnd.random() < 0.2 else round(rnd.uniform(-5, 5), 2)
+            rows.append((f"g{k}", None if k % 7 == 0 else k, x, rnd.uniform(0, 1)))
+    rows.append((None, None, 3.5, 1.0))
+    rows.append((None, None, 4.5, None))
+    rows.append(("allnull", 9, None, None))
+    return rows
+
+
+def expected(rows):
+    groups = {}
+    for g, h, x, y in rows:
+        groups.setdefault((g, h), ([], []))
+        groups[(g, h)][0].append(x)
+        groups[(g, h)][1].append(y)
+    return {k: (brute_median(xs), brute_median(ys)) for k, (xs, ys) in groups.items()}
+
+
+def same(a, b):
+    if a is None or b is None:
+        return a is None and b is None
+    return a == b or math.isclose(a, b, rel_tol=0, abs_tol=0)
+
+
+@pytest.mark.parametrize(
+    "method,hot", [("hash", None), ("sort", None), ("auto", 100), ("auto", 10**9)]
+)
+def test_grouped_median_matches_brute_force(spark, method, hot):
+    rows = make_rows()
+    df = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    kwargs = {"method": method}
+    if hot is not None:
+        kwargs["hot_group_rows"] = hot
+    out = grouped_median(df, ["g", "h"], {"mx": "x", "my": "y"}, **kwargs).collect()
+    exp = expected(rows)
+    got = {(r.g, r.h): (r.mx, r.my) for r in out}
+    assert set(got) == set(exp)
+    for k, (ex, ey) in exp.items():
+        gx, gy = got[k]
+        assert same(gx, ex), (k, gx, ex)
+        assert same(gy, ey), (k, gy, ey)
+
+
+def test_sorted_path_agrees_with_spark_median_on_lineitem(spark):
+    li = spark.read.parquet("/root/testdata/sf0.01/lineitem.parquet")
+    keys = ["l_returnflag", "l_linestatus", "l_linenumber"]
+    vals = {"q": "l_quantity", "p": "l_extendedprice"}
+    a = {tuple(r[k] for k in keys): (r.q, r.p) for r in grouped_median(li, keys, vals, "hash").collect()}
+    b = {tuple(r[k] for k in keys): (r.q, r.p) for r in grouped_median(li, keys, vals, "sort").collect()}
+    c = {
+        tuple(r[k] for k in keys): (r.q, r.p)
+        for r in grouped_median(li, keys, vals, "auto", hot_group_rows=2000).collect()
+    }
+    assert a == b == c
+    assert len(a) == 42
+
+
+def test_unknown_method(spark):
+    df = spark.createDataFrame(make_rows()[:5], SCHEMA)
+    with pytest.raises(ValueError):
+        grouped_median(df, ["g"], {"m": "x"}, method="approx")
