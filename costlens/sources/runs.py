@@ -54,8 +54,7 @@ def read_run_tree(
     raw = (
         spark.read.option("recursiveFileLookup", "true")
         .option("pathGlobFilter", name_glob)
-        .option("wholetext", "true")
-        .text(f"{root.rstrip('/')}/runs/{day_glob}")
+        .text(f"{root.rstrip('/')}/runs/{day_glob}", wholetext=True)
     )
     return raw.select(
         decode_path(F.col("_metadata.file_path")).alias("path"),
