@@ -22,7 +22,7 @@ from costlens.operators.median import grouped_median
 from costlens.operators.quality import finite
 from costlens.operators.rank import winner
 from costlens.operators.summarize import by_concurrency
-from costlens.plans import adapter, chart_tables, price_fixture, run_fixture
+from costlens.plans import adapter, chart_tables, price_fixture, run_fixture, views
 from costlens.plans.export import md_export, rbfe_export
 from costlens.plans.price_snapshot import price_snapshot, read_snapshot, write_prices
 from costlens.session import scratch_dir
@@ -147,6 +147,19 @@ def q_default_options(spark: SparkSession, d: str) -> DataFrame:
     return options.default_option(options.concurrency_options(adapter.fact(spark, d), MD))
 
 
+def q_sql_md_by_concurrency(spark: SparkSession, d: str) -> DataFrame:
+    """The MD summary written as Spark SQL over registered views."""
+    fact = adapter.fact(spark, d)
+    views.register_all(
+        spark,
+        fact.where(F.col("benchmark_type") == MD),
+        fact.where(F.col("benchmark_type") == RBFE),
+        adapter.prices(spark, d),
+        adapter.sizes(spark, d),
+    )
+    return views.by_concurrency_sql(spark, MD, MPS)
+
+
 # --- reshapes, filters and scalar functions ---------------------------------
 
 
@@ -324,6 +337,20 @@ def q_rbfe_export_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     return _export_roundtrip(spark, d, rbfe_export)
 
 
+def q_md_export_stream(spark: SparkSession, d: str) -> DataFrame:
+    """The MD export run incrementally (Structured Streaming, available-now)."""
+    from costlens.streaming import read_stream_fact, start_export_stream
+
+    root = scratch_dir(spark, "stream-runs")
+    run_fixture.write_files(run_fixture.run_files(spark, d), root)
+    out = f"{root}/fact"
+    query = start_export_stream(
+        spark, root, out, f"{root}/_checkpoint", day_glob=run_fixture.DAY_GLOB
+    )
+    query.awaitTermination()
+    return read_stream_fact(spark, out)
+
+
 def q_price_snapshot(spark: SparkSession, d: str) -> DataFrame:
     snap = price_snapshot(
         price_fixture.price_documents(spark, d), price_fixture.wanted_types(spark, d), "us-east-1"
@@ -358,6 +385,7 @@ QUERIES: dict[str, QueryFn] = {
     "system_options": q_system_options,
     "md_system_options": q_md_system_options,
     "default_options": q_default_options,
+    "sql_md_by_concurrency": q_sql_md_by_concurrency,
     "unpivot_metrics": q_unpivot_metrics,
     "rbfe_unpivot_phases": q_rbfe_unpivot_phases,
     "system_sizes": q_system_sizes,
@@ -370,6 +398,7 @@ QUERIES: dict[str, QueryFn] = {
     "domain_order": q_domain_order,
     "md_export_roundtrip": q_md_export_roundtrip,
     "rbfe_export_roundtrip": q_rbfe_export_roundtrip,
+    "md_export_stream": q_md_export_stream,
     "price_snapshot": q_price_snapshot,
     "price_filter": q_price_filter,
 }
@@ -395,6 +424,7 @@ ORACLE_SQL: dict[str, str] = {
     "metric_value, instance_type, ami, total_system_size, price_per_hour, dollars_per_ns, "
     "ns_per_dollar FROM v",
     "md_by_concurrency": _V + _MD_SUMMARY,
+    "sql_md_by_concurrency": _V + _MD_SUMMARY,
     "rbfe_by_concurrency": _V + _RBFE_SUMMARY,
     "median_by_system_phase": _MEDIANS_BY_PHASE,
     "median_by_system_phase_sorted": _MEDIANS_BY_PHASE,
@@ -475,6 +505,7 @@ ORACLE_SQL: dict[str, str] = {
     f"FROM lineitem",
     "md_export_roundtrip": run_fixture.expected_md_sql(),
     "rbfe_export_roundtrip": run_fixture.expected_rbfe_sql(),
+    "md_export_stream": run_fixture.expected_md_sql(),
     "price_snapshot": price_fixture.EXPECTED_EAST_SQL,
     "price_filter": price_fixture.EXPECTED_WEST_SQL,
 }

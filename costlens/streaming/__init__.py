@@ -1,0 +1,5 @@
+"""Incremental (streaming) variant of the export jobs."""
+
+from costlens.streaming.export_stream import read_stream_fact, start_export_stream
+
+__all__ = ["read_stream_fact", "start_export_stream"]
