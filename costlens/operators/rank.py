@@ -2,17 +2,17 @@
 
 The reference numbers rows with ``row_number()`` per system (metric order,
 then instance type ascending) and highlights rank 1. Only rank 1 is ever used,
-so the winner is found with an aggregate instead of a window: ``min`` of an
-ordering struct per group is combined map-side, so a group holding most rows is
-never sorted in one task. The flag is joined back on the group key.
+so no numbering is needed: the first row is the one whose ordering struct
+equals the group's ``min`` of that struct. The inputs are median summaries
+(one row per group), so the window partition of a system holds at most one
+row per instance type and concurrency level.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -51,6 +51,40 @@ def order_key(
     return F.struct(*fields)
 
 
+def winners(
+    df: DataFrame,
+    specs: Sequence[tuple[str, bool, str]],
+    partition: Sequence[str] = ("system",),
+    tie: Sequence[str] = ("instance_type",),
+) -> DataFrame:
+    """Add one winner flag per ``(metric, ascending, flag)`` spec.
+
+    The flag is TRUE on the first row of each ``partition`` group: highest
+    metric (lowest when ``ascending``), NULL metrics last, then the smallest
+    ``tie`` values, then the remaining columns so that only identical rows can
+    tie. A row whose metric is NULL is never flagged.
+
+    All flags come from one window over ``partition`` (``min`` of an ordering
+    struct with the whole group as frame): the input - an aggregated summary,
+    one row per group - is computed once and shuffled once, whatever the
+    number of flags.
+    """
+    partition = list(partition)
+    group = Window.partitionBy(*partition)
+    out = df
+    for metric, ascending, flag in specs:
+        rest = [
+            f.name
+            for f in df.schema.fields
+            if f.name not in (metric, *partition, *tie) and isinstance(f.dataType, _SIMPLE)
+        ]
+        key = order_key(metric, ascending, tie, rest)
+        out = out.withColumn(
+            flag, key.eqNullSafe(F.min(key).over(group)) & F.col(metric).isNotNull()
+        )
+    return out
+
+
 def winner(
     df: DataFrame,
     metric: str,
@@ -59,28 +93,5 @@ def winner(
     tie: Sequence[str] = ("instance_type",),
     flag: str = "is_winner",
 ) -> DataFrame:
-    """Add ``flag``: TRUE on the first row of each ``partition`` group.
-
-    The first row is the one with the highest metric (lowest when
-    ``ascending``), NULL metrics last, then the smallest ``tie`` values. A
-    row whose metric is NULL is never flagged, even if it ranks first.
-    """
-    partition = list(partition)
-    rest = [
-        f.name
-        for f in df.schema.fields
-        if f.name not in (metric, *partition, *tie) and isinstance(f.dataType, _SIMPLE)
-    ]
-    key = order_key(metric, ascending, tie, rest)
-    keyed = df.withColumn("_order", key)
-    best = keyed.groupBy(*partition).agg(F.min("_order").alias("_best")).alias("b")
-    on = reduce(
-        lambda a, b: a & b,
-        [F.col(f"k.{c}").eqNullSafe(F.col(f"b.{c}")) for c in partition],
-    )
-    joined = keyed.alias("k").join(best, on, "left")
-    is_first = F.col("k._order").eqNullSafe(F.col("b._best"))
-    return joined.select(
-        *[F.col(f"k.{c}") for c in df.columns],
-        (is_first & F.col(f"k.{metric}").isNotNull()).alias(flag),
-    )
+    """One winner flag; see ``winners``."""
+    return winners(df, [(metric, ascending, flag)], partition, tie)

@@ -28,25 +28,30 @@ def by_concurrency(
     mps_process_count: int,
     phase: str | None = None,
     median_method: str = "auto",
+    sort: bool = True,
 ) -> DataFrame:
     """Medians per instance type and system at one concurrency level.
 
     Columns: mps_process_count, instance_type, ns_per_day, ns_per_dollar,
-    system, total_system_size; sorted by system, then ns_per_day descending.
+    system, total_system_size; sorted by system, then ns_per_day descending
+    (``sort=False`` skips the global sort when the caller re-orders anyway).
     """
     rows = _filtered(view, benchmark_type, phase).where(
         F.col("mps_process_count") == F.lit(mps_process_count)
     )
     keys = ["mps_process_count", "instance_type", "system", "total_system_size"]
     med = grouped_median(rows, keys, SUMMARY_VALUES, method=median_method)
-    return med.select(
+    out = med.select(
         "mps_process_count",
         "instance_type",
         "ns_per_day",
         "ns_per_dollar",
         "system",
         "total_system_size",
-    ).orderBy(F.asc_nulls_last("system"), F.desc_nulls_last("ns_per_day"))
+    )
+    if not sort:
+        return out
+    return out.orderBy(F.asc_nulls_last("system"), F.desc_nulls_last("ns_per_day"))
 
 
 def scaling(
@@ -57,6 +62,7 @@ def scaling(
     phase: str | None = None,
     order: Sequence[str] = ("mps_process_count", "instance_type"),
     median_method: str = "auto",
+    sort: bool = True,
 ) -> DataFrame:
     """Medians per concurrency level and instance type for one system.
 
@@ -69,11 +75,14 @@ def scaling(
     )
     keys = ["system", "mps_process_count", "instance_type", "total_system_size"]
     med = grouped_median(rows, keys, SUMMARY_VALUES, method=median_method)
-    return med.select(
+    out = med.select(
         "system",
         "mps_process_count",
         "instance_type",
         "ns_per_day",
         "ns_per_dollar",
         "total_system_size",
-    ).orderBy(*[F.asc_nulls_last(c) for c in order])
+    )
+    if not sort:
+        return out
+    return out.orderBy(*[F.asc_nulls_last(c) for c in order])

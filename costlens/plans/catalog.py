@@ -99,12 +99,16 @@ def q_median_by_system_phase_sorted(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def _md_summary(spark: SparkSession, d: str) -> DataFrame:
+    return by_concurrency(adapter.cost_view(spark, d), MD, MPS, sort=False)
+
+
 def q_winner_ns_per_day(spark: SparkSession, d: str) -> DataFrame:
-    return winner(q_md_by_concurrency(spark, d), "ns_per_day")
+    return winner(_md_summary(spark, d), "ns_per_day")
 
 
 def q_winner_ns_per_dollar(spark: SparkSession, d: str) -> DataFrame:
-    return winner(q_md_by_concurrency(spark, d), "ns_per_dollar")
+    return winner(_md_summary(spark, d), "ns_per_dollar")
 
 
 def q_md_comparison(spark: SparkSession, d: str) -> DataFrame:

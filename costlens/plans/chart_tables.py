@@ -20,15 +20,17 @@ from costlens.constants import (
 )
 from costlens.functions.ordering import domain_position
 from costlens.operators.enrich import edge_cost
-from costlens.operators.rank import winner
+from costlens.operators.rank import winner, winners
 from costlens.operators.summarize import by_concurrency, scaling
 
 COMPLEX = "complex"
 
 
 def _flag_both(summary: DataFrame) -> DataFrame:
-    out = winner(summary, "ns_per_day", flag="is_throughput_winner")
-    return winner(out, "ns_per_dollar", flag="is_cost_winner")
+    return winners(
+        summary,
+        [("ns_per_day", False, "is_throughput_winner"), ("ns_per_dollar", False, "is_cost_winner")],
+    )
 
 
 def _by_system(df: DataFrame) -> DataFrame:
@@ -40,7 +42,7 @@ def _by_system(df: DataFrame) -> DataFrame:
 
 def md_comparison(view: DataFrame, mps_process_count: int, median_method: str = "auto") -> DataFrame:
     """MD medians at one concurrency with throughput and cost winners per system."""
-    summary = by_concurrency(view, MD, mps_process_count, median_method=median_method)
+    summary = by_concurrency(view, MD, mps_process_count, median_method=median_method, sort=False)
     return _by_system(_flag_both(summary))
 
 
@@ -48,7 +50,7 @@ def rbfe_comparison(
     view: DataFrame, mps_process_count: int, median_method: str = "auto"
 ) -> DataFrame:
     """RBFE (complex phase) medians at one concurrency with both winners."""
-    summary = by_concurrency(view, RBFE, mps_process_count, COMPLEX, median_method)
+    summary = by_concurrency(view, RBFE, mps_process_count, COMPLEX, median_method, sort=False)
     return _by_system(_flag_both(summary))
 
 
@@ -59,7 +61,7 @@ def rbfe_edge_cost(
     median_method: str = "auto",
 ) -> DataFrame:
     """Dollars per edge from the median ns/$, cheapest instance flagged per system."""
-    summary = by_concurrency(view, RBFE, mps_process_count, COMPLEX, median_method)
+    summary = by_concurrency(view, RBFE, mps_process_count, COMPLEX, median_method, sort=False)
     costed = edge_cost(summary, ns_per_edge)
     return _by_system(winner(costed, "dollars_per_edge", ascending=True, flag="is_winner"))
 
@@ -83,7 +85,7 @@ def md_scaling(
     median_method: str = "auto",
 ) -> DataFrame:
     """MD medians of one system over concurrency levels, with display ranks."""
-    summary = scaling(view, MD, system, counts, median_method=median_method)
+    summary = scaling(view, MD, system, counts, median_method=median_method, sort=False)
     return _scaling_order(summary, "mps_process_count")
 
 
@@ -103,5 +105,6 @@ def rbfe_scaling(
         phase=COMPLEX,
         order=("instance_type", "mps_process_count"),
         median_method=median_method,
+        sort=False,
     )
     return _scaling_order(edge_cost(summary, ns_per_edge), "instance_type")
