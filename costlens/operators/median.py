@@ -194,15 +194,18 @@ def grouped_median(
     if method != "auto":
         raise ValueError(f"unknown median method: {method}")
 
-    hot = stable_copy(
+    # At most total_rows / hot_group_rows keys: a proven bound. A broadcast
+    # ships the list through the driver anyway, so it is collected once here.
+    hot_keys = (
         df.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_rows"))
         .where(F.col("_rows") > F.lit(hot_group_rows))
         .select(*keys)
     )
-    if hot.isEmpty():
+    found = hot_keys.collect()
+    if not found:
         return _hash_medians(df, keys, vals)
-    # At most total_rows / hot_group_rows keys: a proven bound for broadcast.
+    hot = spark.createDataFrame(found, hot_keys.schema)
     hot_b = F.broadcast(hot).alias("h")
     base = df.alias("d")
     on = _null_safe_on("d", "h", keys)

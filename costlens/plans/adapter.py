@@ -14,6 +14,8 @@ over data that grows with the scale factor:
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,10 +25,18 @@ from costlens.sources.tables import read_table
 UNSIZED_BRAND = "Brand#1"
 
 
+@lru_cache(maxsize=128)
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table, read once per session: the files are read-only inputs,
+    and a DataFrame is an immutable, lazy plan, so reuse only saves the
+    listing and footer reads of planning."""
+    return read_table(spark, sf_dir, name)
+
+
 def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = read_table(spark, sf_dir, "lineitem")
-    part = read_table(spark, sf_dir, "part").select("p_partkey", "p_brand")
-    supp = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    li = table(spark, sf_dir, "lineitem")
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
+    supp = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     rows = li.join(part, li.l_partkey == part.p_partkey).join(supp, li.l_suppkey == supp.s_suppkey)
     return rows.select(
         F.when(F.col("l_linestatus") == "O", F.lit("md")).otherwise(F.lit("rbfe")).alias(
@@ -47,14 +57,14 @@ def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    supp = read_table(spark, sf_dir, "supplier")
+    supp = table(spark, sf_dir, "supplier")
     return supp.where(F.col("s_acctbal") > 0).select(
         F.col("s_name").alias("instance_type"), F.col("s_acctbal").alias("price_per_hour")
     )
 
 
 def sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = read_table(spark, sf_dir, "part")
+    part = table(spark, sf_dir, "part")
     return (
         part.where(F.col("p_brand") != F.lit(UNSIZED_BRAND))
         .groupBy(F.col("p_brand").alias("system"))

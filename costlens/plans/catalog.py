@@ -26,7 +26,7 @@ from costlens.plans import adapter, chart_tables, price_fixture, run_fixture, vi
 from costlens.plans.export import md_export, rbfe_export
 from costlens.plans.price_snapshot import price_snapshot, read_snapshot, write_prices
 from costlens.session import scratch_dir
-from costlens.sources.tables import read_fact, read_table
+from costlens.sources.tables import read_fact
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -168,7 +168,7 @@ def q_sql_md_by_concurrency(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_unpivot_metrics(spark: SparkSession, d: str) -> DataFrame:
-    li = read_table(spark, d, "lineitem")
+    li = adapter.table(spark, d, "lineitem")
     return reshape.unpivot(
         li,
         ["l_orderkey", "l_linenumber"],
@@ -183,7 +183,7 @@ def q_unpivot_metrics(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_rbfe_unpivot_phases(spark: SparkSession, d: str) -> DataFrame:
-    li = read_table(spark, d, "lineitem")
+    li = adapter.table(spark, d, "lineitem")
     wide = li.select(
         "l_orderkey",
         "l_linenumber",
@@ -204,7 +204,7 @@ def q_rbfe_unpivot_phases(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_system_sizes(spark: SparkSession, d: str) -> DataFrame:
-    part = read_table(spark, d, "part")
+    part = adapter.table(spark, d, "part")
     # One metadata document per table: one struct column per part type.
     size = F.col("p_size").cast("bigint")
     meta = part.agg(
@@ -228,7 +228,7 @@ def q_system_sizes(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_finite_filter(spark: SparkSession, d: str) -> DataFrame:
-    li = read_table(spark, d, "lineitem")
+    li = adapter.table(spark, d, "lineitem")
     value = (
         F.when(F.col("l_discount") == 0, F.lit(float("nan")))
         .when(F.col("l_tax") == 0, F.lit(float("inf")))
@@ -241,7 +241,7 @@ def q_finite_filter(spark: SparkSession, d: str) -> DataFrame:
 
 def q_finite_flags(spark: SparkSession, d: str) -> DataFrame:
     """The finite test as a value (NULL stays NULL), counted per outcome."""
-    li = read_table(spark, d, "lineitem")
+    li = adapter.table(spark, d, "lineitem")
     value = (
         F.when(F.col("l_discount") == 0, F.lit(float("nan")))
         .when(F.col("l_tax") == 0, F.lit(float("inf")))
@@ -256,7 +256,7 @@ def q_finite_flags(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_phase_label(spark: SparkSession, d: str) -> DataFrame:
-    part = read_table(spark, d, "part")
+    part = adapter.table(spark, d, "part")
     name = F.regexp_replace(F.col("p_name"), " ", "_")
     return part.select(
         "p_partkey",
@@ -267,12 +267,12 @@ def q_phase_label(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_json_extract(spark: SparkSession, d: str) -> DataFrame:
-    ev = read_table(spark, d, "events")
+    ev = adapter.table(spark, d, "events")
     return ev.select("event_id", F.get_json_object("props", "$.k").cast("double").alias("k"))
 
 
 def q_path_extract(spark: SparkSession, d: str) -> DataFrame:
-    pages = read_table(spark, d, "pages")
+    pages = adapter.table(spark, d, "pages")
     url = F.col("url")
     return pages.select(
         "page_id",
@@ -303,7 +303,7 @@ def _run_paths(ev: DataFrame) -> DataFrame:
 
 
 def q_run_path_extract(spark: SparkSession, d: str) -> DataFrame:
-    paths = _run_paths(read_table(spark, d, "events"))
+    paths = _run_paths(adapter.table(spark, d, "events"))
     p = F.col("path")
     return paths.select(
         "event_id",
@@ -314,7 +314,7 @@ def q_run_path_extract(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_domain_order(spark: SparkSession, d: str) -> DataFrame:
-    li = read_table(spark, d, "lineitem")
+    li = adapter.table(spark, d, "lineitem")
     return (
         li.select(F.col("l_linenumber").cast("bigint").alias("mps_process_count"))
         .distinct()

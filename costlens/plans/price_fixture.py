@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from costlens.constants import REGION_NAMES
-from costlens.sources.tables import read_table
+from costlens.plans import adapter
 
 
 def _q(s: str) -> str:
@@ -57,7 +57,7 @@ def _term(key: str, *dims: Column) -> Column:
 
 def price_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(doc_pos, doc)`` rows built from ``supplier``."""
-    s = read_table(spark, sf_dir, "supplier")
+    s = adapter.table(spark, sf_dir, "supplier")
     n, a, name = F.col("s_nationkey"), F.col("s_acctbal"), F.col("s_name")
     txt = lambda c: c.cast("string")  # noqa: E731 - round-trips exactly
     east = F.lit(REGION_NAMES["us-east-1"])
@@ -95,7 +95,7 @@ def price_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def wanted_types(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_table(spark, sf_dir, "supplier").select(F.col("s_name").alias("instance_type"))
+    return adapter.table(spark, sf_dir, "supplier").select(F.col("s_name").alias("instance_type"))
 
 
 EXPECTED_EAST_SQL = """

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from costlens.constants import DEFAULT_SYSTEMS
-from costlens.sources.tables import read_table
+from costlens.plans import adapter
 
 DAY_GLOB = "2024-*-*"
 
@@ -65,7 +65,7 @@ def write_files(files: DataFrame, root: str) -> int:
 
 
 def _cells(spark: SparkSession, sf_dir: str, systems: Sequence[str]) -> DataFrame:
-    ev = read_table(spark, sf_dir, "events")
+    ev = adapter.table(spark, sf_dir, "events")
     slot = F.floor(F.hour("ts") / 3).cast("int")
     cells = ev.groupBy(
         F.to_date("ts").alias("d"), F.col("event_type").alias("et"), slot.alias("b")
