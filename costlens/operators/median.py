@@ -65,6 +65,27 @@ def _midpoint(lo: Column, hi: Column) -> Column:
     return F.lit(0.5) * lo + F.lit(0.5) * hi
 
 
+def sorted_copy(df: DataFrame, keys: Sequence[str], value: Column, partitions: int) -> DataFrame:
+    """(keys, _v, _rid): rows range-partitioned and sorted by (keys, value),
+    numbered, and checkpointed.
+
+    ``_rid`` is ``partition << 33 | position in partition``. A unique row id is
+    the last sort key, so the range partitioner can split a group over many
+    partitions even when all its values are equal. The checkpoint fixes the
+    numbering: later reads see the same row numbers whatever adaptive
+    execution does to partitions, also after executor loss.
+    """
+    key_cols = [F.col(k) for k in keys]
+    rows = df.select(*key_cols, value.alias("_v")).withColumn(
+        "_t", F.monotonically_increasing_id()
+    )
+    return stable_copy(
+        rows.repartitionByRange(partitions, *key_cols, F.col("_v"), F.col("_t"))
+        .sortWithinPartitions(*key_cols, F.col("_v"), F.col("_t"))
+        .select(*key_cols, "_v", F.monotonically_increasing_id().alias("_rid"))
+    )
+
+
 def _selected_median(
     df: DataFrame,
     keys: Sequence[str],
@@ -79,18 +100,7 @@ def _selected_median(
     every group appears in the segment table, also one with only NULLs.
     """
     key_cols = [F.col(k) for k in keys]
-    rows = df.select(*key_cols, value.alias("_v")).withColumn(
-        # A unique tie-breaker lets the range partitioner split a group even
-        # when all its values are equal.
-        "_t", F.monotonically_increasing_id()
-    )
-    # Fix the numbering: both later reads must see the same row numbers,
-    # whatever the runtime does to partitions, also after executor loss.
-    ordered = stable_copy(
-        rows.repartitionByRange(partitions, *key_cols, F.col("_v"), F.col("_t"))
-        .sortWithinPartitions(*key_cols, F.col("_v"), F.col("_t"))
-        .select(*key_cols, "_v", F.monotonically_increasing_id().alias("_rid"))
-    )
+    ordered = sorted_copy(df, keys, value, partitions)
 
     # One row per (partition, group): non-NULL count and first non-NULL row.
     segments = ordered.groupBy(

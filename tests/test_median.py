@@ -98,3 +98,20 @@ def test_unknown_method(spark):
     df = spark.createDataFrame(make_rows()[:5], SCHEMA)
     with pytest.raises(ValueError):
         grouped_median(df, ["g"], {"m": "x"}, method="approx")
+
+
+def test_hot_group_is_spread_over_many_partitions(spark):
+    from pyspark.sql import functions as F
+
+    from costlens.operators.median import sorted_copy
+
+    # One key holds a third of all rows, all with the same value.
+    rows = [("hot", 1.0)] * 3000 + [(f"k{i % 600}", float(i)) for i in range(6000)]
+    df = spark.createDataFrame(rows, "k string, v double").repartition(6)
+    ordered = sorted_copy(df, ["k"], F.col("v"), 12)
+    parts = ordered.where(F.col("k") == "hot").select(F.shiftright("_rid", 33).alias("p")).distinct().count()
+    assert parts >= 3
+    sizes = [r["n"] for r in ordered.groupBy(F.shiftright("_rid", 33)).agg(F.count("*").alias("n")).collect()]
+    assert max(sizes) < 3000  # no partition holds the whole hot group
+    got = grouped_median(df, ["k"], {"m": "v"}, method="auto", hot_group_rows=1000).where("k = 'hot'").first()
+    assert got.m == 1.0
