@@ -343,15 +343,12 @@ def q_rbfe_export_roundtrip(spark: SparkSession, d: str) -> DataFrame:
 
 def q_md_export_stream(spark: SparkSession, d: str) -> DataFrame:
     """The MD export run incrementally (Structured Streaming, available-now)."""
-    from costlens.streaming import read_stream_fact, start_export_stream
+    from costlens.streaming import incremental_export, read_stream_fact
 
     root = scratch_dir(spark, "stream-runs")
     run_fixture.write_files(run_fixture.run_files(spark, d), root)
     out = f"{root}/fact"
-    query = start_export_stream(
-        spark, root, out, f"{root}/_checkpoint", day_glob=run_fixture.DAY_GLOB
-    )
-    query.awaitTermination()
+    incremental_export(spark, root, out, f"{root}/_state", day_glob=run_fixture.DAY_GLOB)
     return read_stream_fact(spark, out)
 
 

@@ -82,25 +82,39 @@ def run_outputs(tree: DataFrame, file_name: str, schema: StructType) -> DataFram
     return keyed.select("path", "run_date_text", "run_id", "doc.*")
 
 
-def manifests(tree: DataFrame, version: int = MANIFEST_SCHEMA_VERSION) -> DataFrame:
-    """Run manifests of one layout version: run_id, instance_type, ami, mps_process_count.
+def parse_manifests(tree: DataFrame) -> DataFrame:
+    """Every manifest file, any layout version.
 
-    A run_id that appears in several manifests (e.g. under two dates) stays
-    duplicated; joins then multiply rows, as in the reference.
+    Columns: run_id (``''`` when the path does not follow the layout),
+    schema_version, instance_type, ami, mps_process_count.
     """
     rows = tree.where(F.col("file_name") == F.lit(MANIFEST_FILE))
     parsed = rows.select("path", F.from_json("text", schemas.MANIFEST, _JSON_OPTIONS).alias("m"))
-    keyed = _with_run_keys(parsed, MANIFEST_FILE).where(
-        F.col("m.schema_version") == F.lit(version)
-    )
-    return keyed.where(F.col("run_id") != "").select(
+    return _with_run_keys(parsed, MANIFEST_FILE).select(
         "run_id",
+        F.col("m.schema_version").alias("schema_version"),
         F.col("m.instance_type").alias("instance_type"),
         F.col("m.ami_id").alias("ami"),
         F.col("m.mps_process_count").alias("mps_process_count"),
     )
 
 
+def select_manifests(parsed: DataFrame, version: int = MANIFEST_SCHEMA_VERSION) -> DataFrame:
+    """Manifests of one layout version with a usable run id."""
+    return parsed.where(
+        (F.col("schema_version") == F.lit(version)) & (F.col("run_id") != "")
+    ).select("run_id", "instance_type", "ami", "mps_process_count")
+
+
+def manifests(tree: DataFrame, version: int = MANIFEST_SCHEMA_VERSION) -> DataFrame:
+    """Run manifests of one layout version: run_id, instance_type, ami, mps_process_count.
+
+    A run_id that appears in several manifests (e.g. under two dates) stays
+    duplicated; joins then multiply rows, as in the reference.
+    """
+    return select_manifests(parse_manifests(tree), version)
+
+
 def unmatched_paths(df: DataFrame) -> DataFrame:
     """Distinct paths whose run date or run id could not be taken from the path."""
     bad = (F.col("run_id") == "") | (F.col("run_date_text") == "")

@@ -1,5 +1,17 @@
 """Incremental (streaming) variant of the export jobs."""
 
-from costlens.streaming.export_stream import read_stream_fact, start_export_stream
+from costlens.streaming.export_stream import (
+    incremental_export,
+    read_manifest_table,
+    read_stream_fact,
+    start_export_stream,
+    start_manifest_stream,
+)
 
-__all__ = ["read_stream_fact", "start_export_stream"]
+__all__ = [
+    "incremental_export",
+    "read_manifest_table",
+    "read_stream_fact",
+    "start_export_stream",
+    "start_manifest_stream",
+]

@@ -1,20 +1,26 @@
-"""Incremental export: new run output files -> fact rows, with Structured Streaming.
-
-The batch export re-reads the whole tree. When runs keep landing, the same
-export can run as a stream: the file source tracks which output files were
-already processed (in the query checkpoint), and each micro-batch turns only
-the new files into fact rows, with the same operators as the batch job.
-
-* Source: output files at ``<root>/runs/<day_glob>/*/output/<file>``; files
-  that sit deeper are outside the layout and never match.
-* Manifests are read as a batch inside every micro-batch, so a run's
-  manifest must land before (or with) its output files; a later manifest
-  does not revive rows of an earlier batch.
+"""Incremental export: new run files -> fact rows, with Structured Streaming.
+
+The batch export re-reads and re-lists the whole tree. When runs keep landing,
+the same export runs as two file streams whose checkpoints remember which
+files were processed:
+
+* the **manifest stream** appends every new ``manifest.json`` (all layout
+  versions, with the path-derived run id) to a Parquet manifest table (the
+  file sink is exactly-once);
+* the **output stream** turns each micro-batch of new output files into fact
+  rows with the batch operators, joining against the manifest table (a
+  Parquet read, not a listing of the JSON tree).
+
+``incremental_export`` runs both to completion (available-now triggers),
+manifests first. Semantics equal the batch export when a run's manifest
+lands no later than its outputs: output rows of a micro-batch are final, a
+later manifest does not revive them.
+
+* Sources: files at ``<root>/runs/<day_glob>/*/output/<file>`` and
+  ``<root>/runs/<day_glob>/*/manifest.json``; deeper files could not give a
+  run id and are dropped by the batch job as well.
 * Sink: each micro-batch overwrites ``<out>/batch=<id>``, so a retried batch
   replaces its own output instead of duplicating it (idempotent).
-
-Use ``trigger_available_now=True`` to process what is there and stop (a
-scheduled job), or a processing-time trigger for a long-running stream.
 """
 
 from __future__ import annotations
@@ -23,6 +29,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from costlens import schemas
@@ -40,35 +47,81 @@ from costlens.operators.reshape import md_long, rbfe_long
 from costlens.plans.export import build_fact
 from costlens.sources.runs import (
     DEFAULT_DAY_GLOB,
-    manifests,
     matched_runs,
-    read_run_tree,
+    parse_manifests,
     run_outputs,
+    select_manifests,
+)
+
+MANIFEST_TABLE = T.StructType(
+    [
+        T.StructField("run_id", T.StringType()),
+        T.StructField("schema_version", T.LongType()),
+        T.StructField("instance_type", T.StringType()),
+        T.StructField("ami", T.StringType()),
+        T.StructField("mps_process_count", T.LongType()),
+    ]
 )
 
 
-def _batch_fact(
-    spark: SparkSession,
-    files: DataFrame,
-    root: str,
-    kind: str,
-    systems: Sequence[str],
-    day_glob: str,
-    version: int,
+def _file_stream(
+    spark: SparkSession, pattern: str, max_files_per_trigger: int | None
 ) -> DataFrame:
-    tree = files.select(
-        decode_path(F.col("file_path")).alias("path"),
-        F.col("file_name"),
+    reader = spark.readStream.format("text").option("wholetext", "true")
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    return reader.load(pattern).select(
+        decode_path(F.col("_metadata.file_path")).alias("path"),
+        F.col("_metadata.file_name").alias("file_name"),
         F.col("value").alias("text"),
     )
-    man = manifests(read_run_tree(spark, root, day_glob, (MANIFEST_FILE,)), version)
+
+
+def _trigger(writer, available_now: bool, processing_time: str):
+    if available_now:
+        return writer.trigger(availableNow=True)
+    return writer.trigger(processingTime=processing_time)
+
+
+def start_manifest_stream(
+    spark: SparkSession,
+    root: str,
+    table: str,
+    checkpoint_location: str,
+    day_glob: str = DEFAULT_DAY_GLOB,
+    trigger_available_now: bool = True,
+    processing_time: str = "1 minute",
+    max_files_per_trigger: int | None = None,
+) -> StreamingQuery:
+    """Append new manifests to the Parquet table at ``table``."""
+    files = _file_stream(
+        spark, f"{root.rstrip('/')}/runs/{day_glob}/*/{MANIFEST_FILE}", max_files_per_trigger
+    )
+    writer = (
+        parse_manifests(files)
+        .writeStream.format("parquet")
+        .option("path", table)
+        .option("compression", "zstd")
+        .option("checkpointLocation", checkpoint_location)
+    )
+    return _trigger(writer, trigger_available_now, processing_time).start()
+
+
+def read_manifest_table(
+    spark: SparkSession, table: str, version: int = MANIFEST_SCHEMA_VERSION
+) -> DataFrame:
+    """Manifests of one layout version from the table kept by the manifest stream."""
+    return select_manifests(spark.read.schema(MANIFEST_TABLE).parquet(table), version)
+
+
+def _fact_of(files: DataFrame, manifest: DataFrame, kind: str, systems: Sequence[str]) -> DataFrame:
     if kind == MD:
-        raw = matched_runs(run_outputs(tree, MD_OUTPUT_FILE, schemas.md_output(systems)))
-        return build_fact(md_long(raw, systems), man, MD, "ns_per_day")
+        raw = matched_runs(run_outputs(files, MD_OUTPUT_FILE, schemas.md_output(systems)))
+        return build_fact(md_long(raw, systems), manifest, MD, "ns_per_day")
     raw = matched_runs(
-        run_outputs(tree, RBFE_OUTPUT_FILE, schemas.rbfe_output(systems, RBFE_PHASES))
+        run_outputs(files, RBFE_OUTPUT_FILE, schemas.rbfe_output(systems, RBFE_PHASES))
     )
-    return build_fact(rbfe_long(raw, systems, RBFE_PHASES), man, kind, "metric_value")
+    return build_fact(rbfe_long(raw, systems, RBFE_PHASES), manifest, kind, "metric_value")
 
 
 def start_export_stream(
@@ -76,6 +129,7 @@ def start_export_stream(
     root: str,
     out: str,
     checkpoint_location: str,
+    manifest_table: str,
     kind: str = MD,
     systems: Sequence[str] = DEFAULT_SYSTEMS,
     day_glob: str = DEFAULT_DAY_GLOB,
@@ -86,19 +140,15 @@ def start_export_stream(
 ) -> StreamingQuery:
     """Start the incremental MD (``kind='md'``) or RBFE export; returns the query."""
     file_name = MD_OUTPUT_FILE if kind == MD else RBFE_OUTPUT_FILE
-    reader = spark.readStream.format("text").option("wholetext", "true")
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    files = reader.load(f"{root.rstrip('/')}/runs/{day_glob}/*/output/{file_name}").select(
-        F.col("_metadata.file_path").alias("file_path"),
-        F.col("_metadata.file_name").alias("file_name"),
-        "value",
+    files = _file_stream(
+        spark, f"{root.rstrip('/')}/runs/{day_glob}/*/output/{file_name}", max_files_per_trigger
     )
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        fact = _batch_fact(batch.sparkSession, batch, root, kind, systems, day_glob, version)
+        manifest = read_manifest_table(batch.sparkSession, manifest_table, version)
         (
-            fact.write.mode("overwrite")
+            _fact_of(batch, manifest, kind, systems)
+            .write.mode("overwrite")
             .option("compression", "zstd")
             .parquet(f"{out.rstrip('/')}/batch={batch_id}")
         )
@@ -106,17 +156,40 @@ def start_export_stream(
     writer = files.writeStream.foreachBatch(write_batch).option(
         "checkpointLocation", checkpoint_location
     )
-    if trigger_available_now:
-        writer = writer.trigger(availableNow=True)
-    else:
-        writer = writer.trigger(processingTime=processing_time)
-    return writer.start()
+    return _trigger(writer, trigger_available_now, processing_time).start()
+
+
+def incremental_export(
+    spark: SparkSession,
+    root: str,
+    out: str,
+    state_dir: str,
+    kind: str = MD,
+    systems: Sequence[str] = DEFAULT_SYSTEMS,
+    day_glob: str = DEFAULT_DAY_GLOB,
+    version: int = MANIFEST_SCHEMA_VERSION,
+) -> None:
+    """Process every run file that landed since the last call, then stop.
+
+    ``state_dir`` holds the manifest table and both stream checkpoints; keep
+    it between calls (a shared, durable folder). The MD and RBFE exports may
+    share one ``state_dir``.
+    """
+    state = state_dir.rstrip("/")
+    table = f"{state}/manifests"
+    start_manifest_stream(
+        spark, root, table, f"{state}/_checkpoints/manifests", day_glob
+    ).awaitTermination()
+    start_export_stream(
+        spark, root, out, f"{state}/_checkpoints/{kind}", table, kind, systems, day_glob, version
+    ).awaitTermination()
 
 
 def read_stream_fact(spark: SparkSession, out: str) -> DataFrame:
-    """The fact written by the stream, in the fact's column order."""
+    """The fact written by the output stream, in the fact's column order."""
     return (
         spark.read.option("basePath", out)
+        .schema(T.StructType([*schemas.FACT.fields, T.StructField("batch", T.LongType())]))
         .parquet(f"{out.rstrip('/')}/batch=*")
         .select(*schemas.FACT_COLUMNS)
     )

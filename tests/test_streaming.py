@@ -1,36 +1,37 @@
 from test_export import FULL_MD, MD_1_1, RBFE_1_2, manifest, put
 
+from costlens import schemas
 from costlens.plans.export import md_export, rbfe_export
-from costlens.streaming import read_stream_fact, start_export_stream
+from costlens.streaming import incremental_export, read_manifest_table, read_stream_fact
 
 
 def rows(df):
     return sorted(tuple(r) for r in df.collect())
 
 
-def test_stream_export_matches_batch_and_is_incremental(spark, tmp_path):
+def test_incremental_export_matches_batch_and_only_reads_new_files(spark, tmp_path):
     root = tmp_path / "tree"
     put(root, "runs/2026-04-01/r1/manifest.json", manifest(4, "g4dn.xlarge", "ami-a", 1))
     put(root, "runs/2026-04-01/r1/output/md_benchmark.out", MD_1_1)
     put(root, "runs/2026-04-01/r1/output/rbfe_benchmark.out", RBFE_1_2)
     put(root, "runs/2026-04-02/r3/manifest.json", manifest(3, "g6e.xlarge", "ami-b", 4))
     put(root, "runs/2026-04-02/r3/output/md_benchmark.out", FULL_MD)
-    out, ckpt = str(tmp_path / "fact"), str(tmp_path / "ckpt")
+    state, out = str(tmp_path / "state"), str(tmp_path / "fact")
 
-    q = start_export_stream(spark, str(root), out, ckpt)
-    q.awaitTermination(300)
+    incremental_export(spark, str(root), out, state)
     assert rows(read_stream_fact(spark, out)) == rows(md_export(spark, str(root)))
     assert read_stream_fact(spark, out).count() == 5
+    assert read_stream_fact(spark, out).schema == schemas.FACT
 
-    # New runs land; the next run of the same query only processes them.
+    # New runs land (one with a second manifest under another day).
     put(root, "runs/2026-04-03/r2/manifest.json", manifest(4, "g5.xlarge", "ami-a", 2))
+    put(root, "runs/2026-04-04/r2/manifest.json", manifest(4, "g5.xlarge", "ami-c", 2))
     put(root, "runs/2026-04-03/r2/output/md_benchmark.out", FULL_MD)
-    q = start_export_stream(spark, str(root), out, ckpt)
-    q.awaitTermination(300)
+    incremental_export(spark, str(root), out, state)
     assert rows(read_stream_fact(spark, out)) == rows(md_export(spark, str(root)))
-    assert read_stream_fact(spark, out).count() == 13
+    assert read_stream_fact(spark, out).count() == 21
+    assert read_manifest_table(spark, f"{state}/manifests").count() == 3  # version 3 filtered
 
-    rout, rckpt = str(tmp_path / "rfact"), str(tmp_path / "rckpt")
-    q = start_export_stream(spark, str(root), rout, rckpt, kind="rbfe")
-    q.awaitTermination(300)
+    rout = str(tmp_path / "rfact")
+    incremental_export(spark, str(root), rout, state, kind="rbfe")
     assert rows(read_stream_fact(spark, rout)) == rows(rbfe_export(spark, str(root)))
