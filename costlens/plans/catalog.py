@@ -19,13 +19,16 @@ from costlens.functions.ordering import domain_position
 from costlens.functions.paths import path_group, run_date_from_path, run_id_from_path
 from costlens.operators import options, reshape
 from costlens.operators.median import grouped_median
-from costlens.operators.quality import finite
+from costlens.operators.quality import duplicate_keys, finite
 from costlens.operators.rank import winner
 from costlens.operators.summarize import by_concurrency
 from costlens.plans import adapter, chart_tables, price_fixture, run_fixture, views
 from costlens.plans.export import md_export, rbfe_export
 from costlens.plans.price_snapshot import price_snapshot, read_snapshot, write_prices
+from costlens import schemas
+from costlens.constants import MD_OUTPUT_FILE
 from costlens.session import scratch_dir
+from costlens.sources.runs import manifests, read_run_tree, run_outputs, unmatched_paths
 from costlens.sources.tables import read_fact
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -326,9 +329,8 @@ def q_domain_order(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _export_roundtrip(spark: SparkSession, d: str, export) -> DataFrame:
-    root = scratch_dir(spark, "runs")
-    run_fixture.write_files(run_fixture.run_files(spark, d), root)
-    out = f"{root}/fact"
+    root = run_fixture.tree_for(spark, d)
+    out = scratch_dir(spark, "fact")
     export(spark, root, out, day_glob=run_fixture.DAY_GLOB)
     return read_fact(spark, out)
 
@@ -345,11 +347,25 @@ def q_md_export_stream(spark: SparkSession, d: str) -> DataFrame:
     """The MD export run incrementally (Structured Streaming, available-now)."""
     from costlens.streaming import incremental_export, read_stream_fact
 
-    root = scratch_dir(spark, "stream-runs")
-    run_fixture.write_files(run_fixture.run_files(spark, d), root)
-    out = f"{root}/fact"
-    incremental_export(spark, root, out, f"{root}/_state", day_glob=run_fixture.DAY_GLOB)
-    return read_stream_fact(spark, out)
+    root = run_fixture.tree_for(spark, d)
+    work = scratch_dir(spark, "stream")
+    incremental_export(spark, root, f"{work}/fact", f"{work}/state", day_glob=run_fixture.DAY_GLOB)
+    return read_stream_fact(spark, f"{work}/fact")
+
+
+def q_unmatched_run_files(spark: SparkSession, d: str) -> DataFrame:
+    """Run files whose path gives no run id (reported, not exported)."""
+    tree = read_run_tree(spark, run_fixture.tree_for(spark, d), run_fixture.DAY_GLOB)
+    outputs = run_outputs(tree, MD_OUTPUT_FILE, schemas.md_output())
+    return unmatched_paths(outputs).select(
+        F.regexp_extract("path", r"runs/.*$", 0).alias("rel_path")
+    )
+
+
+def q_duplicate_manifests(spark: SparkSession, d: str) -> DataFrame:
+    """Run ids with more than one manifest: they multiply fact rows."""
+    tree = read_run_tree(spark, run_fixture.tree_for(spark, d), run_fixture.DAY_GLOB)
+    return duplicate_keys(manifests(tree), ["run_id"])
 
 
 def q_price_snapshot(spark: SparkSession, d: str) -> DataFrame:
@@ -400,6 +416,8 @@ QUERIES: dict[str, QueryFn] = {
     "md_export_roundtrip": q_md_export_roundtrip,
     "rbfe_export_roundtrip": q_rbfe_export_roundtrip,
     "md_export_stream": q_md_export_stream,
+    "unmatched_run_files": q_unmatched_run_files,
+    "duplicate_manifests": q_duplicate_manifests,
     "price_snapshot": q_price_snapshot,
     "price_filter": q_price_filter,
 }
@@ -507,6 +525,8 @@ ORACLE_SQL: dict[str, str] = {
     "md_export_roundtrip": run_fixture.expected_md_sql(),
     "rbfe_export_roundtrip": run_fixture.expected_rbfe_sql(),
     "md_export_stream": run_fixture.expected_md_sql(),
+    "unmatched_run_files": run_fixture.EXPECTED_UNMATCHED_SQL,
+    "duplicate_manifests": run_fixture.EXPECTED_DUPLICATE_MANIFESTS_SQL,
     "price_snapshot": price_fixture.EXPECTED_EAST_SQL,
     "price_filter": price_fixture.EXPECTED_WEST_SQL,
 }

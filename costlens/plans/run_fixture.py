@@ -21,6 +21,7 @@ Arrow's file-system layer, below a folder in the shared checkpoint location.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import lru_cache
 from urllib.parse import urlparse
 
 import pandas as pd
@@ -29,6 +30,7 @@ from pyspark.sql import functions as F
 
 from costlens.constants import DEFAULT_SYSTEMS
 from costlens.plans import adapter
+from costlens.session import scratch_dir
 
 DAY_GLOB = "2024-*-*"
 
@@ -159,6 +161,14 @@ def run_files(spark: SparkSession, sf_dir: str, systems: Sequence[str] = DEFAULT
     return runs.select(F.inline(files)).where(F.col("text").isNotNull())
 
 
+@lru_cache(maxsize=16)
+def tree_for(spark: SparkSession, sf_dir: str) -> str:
+    """Write the derived tree once per session and table folder; returns its root."""
+    root = scratch_dir(spark, "runs")
+    write_files(run_files(spark, sf_dir), root)
+    return root
+
+
 # Expected facts, as SQL over the driver tables (DuckDB dialect).
 _SQL_BASE = """
 WITH cells AS (
@@ -216,3 +226,17 @@ SELECT 'rbfe' AS benchmark_type, m.mps_process_count, c.d AS run_date,
 FROM cells2 c JOIN man m ON m.run_id = c.et || '-' || strftime(c.d, '%Y%m%d')
 WHERE isfinite(c.v)
 """
+
+
+EXPECTED_UNMATCHED_SQL = """
+WITH runs AS (SELECT DISTINCT CAST(ts AS DATE) AS d, event_type AS et FROM events)
+SELECT 'runs/' || strftime(d, '%Y-%m-%d') || '/extra/' || et || '-' || strftime(d, '%Y%m%d')
+       || '/output/md_benchmark.out' AS rel_path
+FROM runs WHERE et = 'error' AND day(d) = 15
+"""
+
+EXPECTED_DUPLICATE_MANIFESTS_SQL = """
+WITH runs AS (SELECT DISTINCT CAST(ts AS DATE) AS d, event_type AS et FROM events)
+SELECT et || '-' || strftime(d, '%Y%m%d') AS run_id, CAST(2 AS BIGINT) AS rows
+FROM runs WHERE et = 'signup' AND day(d) = 1
+"""
