@@ -43,7 +43,8 @@ def order_key(
     if ascending:
         fields.append(m.alias("_m"))
     else:
-        fields += [(~F.isnan(m)).alias("_nan_last"), (-m).alias("_m")]
+        # Negated as DOUBLE: negating the smallest BIGINT would overflow.
+        fields += [(~F.isnan(m)).alias("_nan_last"), (-m.cast("double")).alias("_m")]
     for label, cols in (("_tie", tie), ("_rest", rest)):
         for i, c in enumerate(cols):
             # Ascending with NULLs last, as SQL orders by default.
