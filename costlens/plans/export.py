@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -132,14 +131,13 @@ def export_all(
     version: int = MANIFEST_SCHEMA_VERSION,
     partition_by: Sequence[str] | None = None,
 ) -> None:
-    """Both exports from one listing and one read of the tree.
+    """Both exports from one listing of the tree.
 
-    The file texts are kept (memory, spilling to disk) for the two writes and
-    released afterwards; a lost block is re-read from the files.
+    The two facts share one tree ``DataFrame`` and therefore one file listing
+    (and one consistent file set). Each scan filters on file metadata only,
+    so Spark opens just the files of its kind: MD outputs, RBFE outputs and
+    manifests; nothing is cached.
     """
-    tree = read_run_tree(spark, root, day_glob).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        write_fact(md_fact(tree, systems, version), md_out, partition_by)
-        write_fact(rbfe_fact(tree, systems, RBFE_PHASES, version), rbfe_out, partition_by)
-    finally:
-        tree.unpersist()
+    tree = read_run_tree(spark, root, day_glob)
+    write_fact(md_fact(tree, systems, version), md_out, partition_by)
+    write_fact(rbfe_fact(tree, systems, RBFE_PHASES, version), rbfe_out, partition_by)

@@ -20,11 +20,13 @@ Arrow's file-system layer, below a folder in the shared checkpoint location.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
 from urllib.parse import urlparse
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,7 +48,12 @@ def _filesystem(root: str):
 
 
 def write_files(files: DataFrame, root: str) -> int:
-    """Write each ``(rel_path, text)`` row to ``<root>/<rel_path>``; returns the count."""
+    """Write each ``(rel_path, text)`` row to ``<root>/<rel_path>``; returns the count.
+
+    The task function is shipped by value, so Python workers need no
+    installed copy of this package.
+    """
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         fs, base = _filesystem(root)

@@ -76,7 +76,10 @@ def run_outputs(tree: DataFrame, file_name: str, schema: StructType) -> DataFram
     Columns: path, run_date_text, run_id, then the schema's fields. Run keys
     are ``''`` when the path does not follow the layout; see ``matched_runs``.
     """
-    rows = tree.where(F.col("path").endswith(f"/output/{file_name}"))
+    # Both predicates read only file metadata, so the scan can skip other files.
+    rows = tree.where(
+        (F.col("file_name") == F.lit(file_name)) & F.col("path").endswith(f"/output/{file_name}")
+    )
     parsed = rows.select("path", F.from_json("text", schema, _JSON_OPTIONS).alias("doc"))
     keyed = _with_run_keys(parsed, f"output/{file_name}")
     return keyed.select("path", "run_date_text", "run_id", "doc.*")
