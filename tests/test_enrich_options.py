@@ -123,3 +123,22 @@ def test_summary_filters_reach_the_scan(spark, tmp_path):
     # ... and only the used columns are read (no run_date, run_id, phase, ami).
     assert "ReadSchema: struct<benchmark_type:string,mps_process_count:bigint,system:string,metric_value:double" in plan
     assert F is not None
+
+
+def test_dashboard_defaults_and_tables(spark, view):
+    from pyspark.sql import functions as F
+
+    from costlens.plans.dashboard import Selection, chart_set, default_selection
+
+    md = view.where(F.col("benchmark_type") == "md")
+    rbfe = view.where(F.col("benchmark_type") == "rbfe")
+    sel = default_selection(md, rbfe)
+    assert sel == Selection(md_mps=1, md_system="bace", rbfe_mps=1, rbfe_system="bace")
+    tables = chart_set(md, rbfe, sel)
+    assert set(tables) == {"md_comparison", "md_scaling", "rbfe_comparison", "rbfe_edge_cost", "rbfe_scaling"}
+    cmp_rows = tables["md_comparison"].collect()
+    assert {r.mps_process_count for r in cmp_rows} == {1}
+    assert sum(r.is_throughput_winner for r in cmp_rows) == len({r.system for r in cmp_rows})
+    assert {r.system for r in tables["md_scaling"].collect()} == {"bace"}
+    with pytest.raises(options.NoOptionsError):
+        default_selection(md.where("false"), rbfe)
