@@ -104,3 +104,13 @@ def test_read_prices_one_line_array(spark, tmp_path):
     p.write_text(json.dumps(arr))
     got = sorted((r.instance_type, r.price_per_hour) for r in read_prices(spark, str(p)).collect())
     assert got == [(a["instance_type"], a["price_per_hour"]) for a in arr]
+
+
+def test_parquet_documents(spark, tmp_path, docs, wanted):
+    from costlens.sources.pricelist import read_price_documents
+
+    path = str(tmp_path / "docs")
+    docs.write.parquet(path)
+    back = read_price_documents(spark, path)
+    got = {r.instance_type: r.price_per_hour for r in price_snapshot(back, wanted, "us-east-1").collect()}
+    assert got == EXPECTED_EAST
