@@ -40,6 +40,9 @@ REGION_NAMES = {
     "us-west-2": "US West (Oregon)",
 }
 
+# Price-list service of the instances.
+SERVICE_CODE = "AmazonEC2"
+
 # Product attribute filters for a shared-tenancy Linux on-demand price.
 PRODUCT_FILTERS = {
     "operatingSystem": "Linux",

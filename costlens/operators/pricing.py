@@ -14,7 +14,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from costlens import schemas
-from costlens.constants import PRICE_CURRENCY, PRICE_UNIT, PRODUCT_FILTERS, REGION_NAMES
+from costlens.constants import (
+    PRICE_CURRENCY,
+    PRICE_UNIT,
+    PRODUCT_FILTERS,
+    REGION_NAMES,
+    SERVICE_CODE,
+)
 
 
 class UnknownRegionError(KeyError):
@@ -30,11 +36,12 @@ def location_name(region_code: str) -> str:
 
 
 def parse_price_list(docs: DataFrame) -> DataFrame:
-    """``(doc_pos, doc)`` strings -> ``doc_pos, instance_type, attributes, on_demand``."""
+    """``(doc_pos, doc)`` strings -> ``doc_pos, service_code, instance_type, attributes, on_demand``."""
     parsed = docs.select("doc_pos", F.from_json("doc", schemas.PRICE_DOC).alias("d"))
     attrs = F.col("d.product.attributes")
     return parsed.select(
         "doc_pos",
+        F.col("d.serviceCode").alias("service_code"),
         attrs.getItem("instanceType").alias("instance_type"),
         attrs.alias("attributes"),
         F.col("d.terms.OnDemand").alias("on_demand"),
@@ -42,9 +49,16 @@ def parse_price_list(docs: DataFrame) -> DataFrame:
 
 
 def filter_products(parsed: DataFrame, region_code: str) -> DataFrame:
-    """Keep shared-tenancy Linux products of the region's location."""
+    """Keep shared-tenancy Linux instance products of the region's location.
+
+    A document that names its service must name the instance service; one
+    landed from a single-service export may leave it out.
+    """
     attrs = F.col("attributes")
-    cond = attrs.getItem("location") == F.lit(location_name(region_code))
+    service = F.col("service_code")
+    cond = (service.isNull() | (service == F.lit(SERVICE_CODE))) & (
+        attrs.getItem("location") == F.lit(location_name(region_code))
+    )
     for field, value in PRODUCT_FILTERS.items():
         cond = cond & (attrs.getItem(field) == F.lit(value))
     return parsed.where(cond)

@@ -4,7 +4,8 @@ Each supplier is an instance type with up to three documents at positions
 ``3 * s_suppkey + slot``. With n = s_nationkey and a = s_acctbal:
 
 * slot 0 (decoys, never matching us-east-1): 13 <= n < 16 dedicated tenancy
-  at 999; 16 <= n < 19 location US West (Oregon) at a + 1;
+  at 999; 16 <= n < 19 location US West (Oregon) at a + 1; 19 <= n < 21 a
+  database-service product at 777;
 * slot 1, main document (absent when n = 24):
   a <= 0 -> no on-demand terms; n < 5 -> a 'Quantity' dimension, then hourly a;
   n < 10 -> first term priced only in CNY, second term hourly 2a;
@@ -26,9 +27,12 @@ def _q(s: str) -> str:
     return '"' + s + '"'
 
 
-def _doc(name: Column, location: Column, tenancy: Column, on_demand: Column | None) -> Column:
+def _doc(
+    name: Column, location: Column, tenancy: Column, on_demand: Column | None, service: str | None = None
+) -> Column:
+    head = "{" if service is None else '{"serviceCode": ' + _q(service) + ", "
     attrs = F.concat(
-        F.lit('{"product": {"attributes": {"instanceType": "'), name,
+        F.lit(head + '"product": {"attributes": {"instanceType": "'), name,
         F.lit('", "location": "'), location,
         F.lit('", "operatingSystem": "Linux", "preInstalledSw": "NA", "capacitystatus": "Used", "tenancy": "'),
         tenancy, F.lit('"}}, "terms": {'),
@@ -67,6 +71,10 @@ def price_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     decoy = (
         F.when((n >= 13) & (n < 16), _doc(name, east, dedicated, _term("T0", _dim("D0", "Hrs", "USD", F.lit("999")))))
         .when((n >= 16) & (n < 19), _doc(name, west, shared, _term("T0", _dim("D0", "Hrs", "USD", txt(a + 1)))))
+        .when(
+            (n >= 19) & (n < 21),
+            _doc(name, east, shared, _term("T0", _dim("D0", "Hrs", "USD", F.lit("777"))), "AmazonRDS"),
+        )
     )
     main_terms = (
         F.when(n < 5, _term("T1", _dim("D1", "Quantity", "USD", F.lit("1.0")), _dim("D2", "Hrs", "USD", txt(a))))
@@ -82,7 +90,7 @@ def price_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(_term("T1", _dim("Z9", "Hrs", "USD", txt(a)), _dim("A1", "Hrs", "USD", txt(a + 1))))
     )
     main = F.when(n == 24, F.lit(None)).when(a <= 0, _doc(name, east, shared, None)).otherwise(
-        _doc(name, east, shared, main_terms)
+        _doc(name, east, shared, main_terms, "AmazonEC2")
     )
     fallback = F.when((a <= 0) & (n != 24), _doc(name, east, shared, _term("T1", _dim("D1", "Hrs", "USD", txt(F.abs(a))))))
     base = F.col("s_suppkey") * 3

@@ -105,6 +105,7 @@ _TERM = T.StructType(
 )
 PRICE_DOC = T.StructType(
     [
+        T.StructField("serviceCode", T.StringType()),
         T.StructField(
             "product",
             T.StructType(

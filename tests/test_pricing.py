@@ -11,7 +11,7 @@ from costlens.sources.tables import read_prices
 EAST = "US East (N. Virginia)"
 
 
-def doc(instance, on_demand=None, tenancy="Shared", location=EAST):
+def doc(instance, on_demand=None, tenancy="Shared", location=EAST, service=None):
     d = {
         "product": {
             "attributes": {
@@ -23,6 +23,8 @@ def doc(instance, on_demand=None, tenancy="Shared", location=EAST):
     }
     if on_demand is not None:
         d["terms"]["OnDemand"] = on_demand
+    if service is not None:
+        d["serviceCode"] = service
     return json.dumps(d)
 
 
@@ -44,6 +46,8 @@ DOCS = [
     doc("f.large", {"T": term(dim("D", "Hrs", {"USD": "5.0"}))}, tenancy="Dedicated"),
     doc("f.large", {"T": term(dim("D", "Hrs", {"USD": "6.0"}))}),
     doc("g.large", {"T": term(dim("D", "Hrs", {"USD": "7.0"}))}, location="US West (Oregon)"),
+    doc("h.large", {"T": term(dim("D", "Hrs", {"USD": "8.0"}))}, service="AmazonRDS"),
+    doc("b.large", {"T": term(dim("D", "Hrs", {"USD": "9.9"}))}, service="AmazonEC2"),
 ]
 EXPECTED_EAST = {
     "a.large": 0.5, "b.large": 0.7, "c.large": 1.25, "d.large": 2.0, "e.large": 0.0,
