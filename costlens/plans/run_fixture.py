@@ -1,8 +1,9 @@
 """A raw run tree derived from the ``events`` table, for end-to-end export checks.
 
-A run is one (day, event type). Within a run, the eight systems are the eight
-3-hour slots of the day: MD ns/day is the slot's largest event value; RBFE
-complex / solvent are the largest / smallest value. Layout quirks are driven
+A run is one (day, event type, block of 150 user ids), so the tree grows with
+the table (150 runs at sf0.01, 1,500 at sf0.1). Within a run, the eight
+systems are the eight 3-hour slots of the day: MD ns/day is the slot's
+largest event value; RBFE complex / solvent are the largest / smallest value. Layout quirks are driven
 by the data so that every export rule is exercised:
 
 * MD: slot 3 of ``error`` runs is NaN, slot 5 of ``signup`` runs Infinity,
@@ -35,6 +36,7 @@ from costlens.plans import adapter
 from costlens.session import scratch_dir
 
 DAY_GLOB = "2024-*-*"
+USERS_PER_RUN = 150
 
 
 def _filesystem(root: str):
@@ -76,8 +78,9 @@ def write_files(files: DataFrame, root: str) -> int:
 def _cells(spark: SparkSession, sf_dir: str, systems: Sequence[str]) -> DataFrame:
     ev = adapter.table(spark, sf_dir, "events")
     slot = F.floor(F.hour("ts") / 3).cast("int")
+    group = F.floor(F.col("user_id") / USERS_PER_RUN).cast("bigint")
     cells = ev.groupBy(
-        F.to_date("ts").alias("d"), F.col("event_type").alias("et"), slot.alias("b")
+        F.to_date("ts").alias("d"), F.col("event_type").alias("et"), group.alias("g"), slot.alias("b")
     ).agg(F.max("value").alias("vmax"), F.min("value").alias("vmin"))
     names = F.array(*[F.lit(s) for s in systems])
     return cells.withColumn("system", F.element_at(names, F.col("b") + 1))
@@ -105,20 +108,23 @@ def run_files(spark: SparkSession, sf_dir: str, systems: Sequence[str] = DEFAULT
     entries = cells.select(
         "d",
         "et",
+        "g",
         F.concat(key, md_value).alias("md"),
         F.concat(key, F.lit('{"complex": '), complex_v, F.lit(', "solvent": '), solvent_v, F.lit("}")).alias(
             "rbfe"
         ),
     )
     # At most one entry per system per run: a bounded list.
-    runs = entries.groupBy("d", "et").agg(
+    runs = entries.groupBy("d", "et", "g").agg(
         F.concat(F.lit("{"), F.concat_ws(", ", F.sort_array(F.collect_list("md"))), F.lit("}")).alias("md_doc"),
         F.concat(F.lit("{"), F.concat_ws(", ", F.sort_array(F.collect_list("rbfe"))), F.lit("}")).alias(
             "rbfe_doc"
         ),
     )
     day = F.dayofmonth("d")
-    run_id = F.concat(F.col("et"), F.lit("-"), F.date_format("d", "yyyyMMdd"))
+    run_id = F.concat(
+        F.col("et"), F.lit("-"), F.date_format("d", "yyyyMMdd"), F.lit("-"), F.col("g").cast("string")
+    )
     nested = (F.col("et") == "error") & (day == 15)
     run_dir = F.concat(
         F.lit("runs/"),
@@ -179,12 +185,12 @@ def tree_for(spark: SparkSession, sf_dir: str) -> str:
 # Expected facts, as SQL over the driver tables (DuckDB dialect).
 _SQL_BASE = """
 WITH cells AS (
-  SELECT CAST(ts AS DATE) AS d, event_type AS et, CAST(hour(ts) // 3 AS INTEGER) AS b,
-         max(value) AS vmax, min(value) AS vmin
-  FROM events GROUP BY 1, 2, 3),
-runs AS (SELECT DISTINCT d, et FROM cells),
+  SELECT CAST(ts AS DATE) AS d, event_type AS et, CAST(floor(user_id / 150) AS BIGINT) AS g,
+         CAST(hour(ts) // 3 AS INTEGER) AS b, max(value) AS vmax, min(value) AS vmin
+  FROM events GROUP BY 1, 2, 3, 4),
+runs AS (SELECT DISTINCT d, et, g FROM cells),
 man AS (
-  SELECT et || '-' || strftime(d, '%Y%m%d') AS run_id,
+  SELECT et || '-' || strftime(d, '%Y%m%d') || '-' || CAST(g AS VARCHAR) AS run_id,
          CAST(CASE et WHEN 'click' THEN 1 WHEN 'view' THEN 2 WHEN 'signup' THEN 4
                       WHEN 'purchase' THEN 8 ELSE 1 END AS BIGINT) AS mps_process_count,
          CASE WHEN day(d) <= 10 THEN 'g4dn.xlarge' WHEN day(d) <= 20 THEN 'g5.xlarge'
@@ -194,13 +200,13 @@ man AS (
   WHERE NOT (et = 'view' AND day(d) > 25) AND NOT (et = 'purchase' AND day(d) <= 5)
     AND NOT (et = 'error' AND day(d) = 15)
   UNION ALL
-  SELECT et || '-' || strftime(d, '%Y%m%d'),
+  SELECT et || '-' || strftime(d, '%Y%m%d') || '-' || CAST(g AS VARCHAR),
          CAST(CASE et WHEN 'click' THEN 1 WHEN 'view' THEN 2 WHEN 'signup' THEN 4
                       WHEN 'purchase' THEN 8 ELSE 1 END AS BIGINT),
          'g5.xlarge', 'ami-copy'
   FROM runs WHERE et = 'signup' AND day(d) = 1),
 slots AS (
-  SELECT d, et, b, {systems}[b + 1] AS system, vmax, vmin FROM cells
+  SELECT d, et, g, b, {systems}[b + 1] AS system, vmax, vmin FROM cells
   WHERE NOT (et = 'error' AND day(d) = 15))
 """
 
@@ -209,9 +215,10 @@ def expected_md_sql(systems: Sequence[str] = DEFAULT_SYSTEMS) -> str:
     names = "[" + ", ".join(f"'{s}'" for s in systems) + "]"
     return _SQL_BASE.format(systems=names) + """
 SELECT 'md' AS benchmark_type, m.mps_process_count, s.d AS run_date,
-       s.et || '-' || strftime(s.d, '%Y%m%d') AS run_id, s.system, CAST(NULL AS VARCHAR) AS phase,
+       s.et || '-' || strftime(s.d, '%Y%m%d') || '-' || CAST(s.g AS VARCHAR) AS run_id, s.system,
+       CAST(NULL AS VARCHAR) AS phase,
        'ns_per_day' AS metric_name, s.vmax AS metric_value, m.instance_type, m.ami
-FROM slots s JOIN man m ON m.run_id = s.et || '-' || strftime(s.d, '%Y%m%d')
+FROM slots s JOIN man m ON m.run_id = s.et || '-' || strftime(s.d, '%Y%m%d') || '-' || CAST(s.g AS VARCHAR)
 WHERE NOT ((s.et = 'error' AND s.b = 3) OR (s.et = 'signup' AND s.b = 5)
         OR (s.et = 'click' AND s.b = 7) OR (s.et = 'view' AND s.b = 0))
   AND isfinite(s.vmax)
@@ -222,28 +229,31 @@ def expected_rbfe_sql(systems: Sequence[str] = DEFAULT_SYSTEMS) -> str:
     names = "[" + ", ".join(f"'{s}'" for s in systems) + "]"
     return _SQL_BASE.format(systems=names) + """,
 cells2 AS (
-  SELECT d, et, system, 'complex' AS phase,
+  SELECT d, et, g, system, 'complex' AS phase,
          CASE WHEN et = 'signup' AND b = 1 THEN NULL ELSE vmax END AS v FROM slots
   UNION ALL
-  SELECT d, et, system, 'solvent',
+  SELECT d, et, g, system, 'solvent',
          CASE WHEN et = 'error' AND b = 2 THEN 'NaN'::DOUBLE ELSE vmin END FROM slots)
 SELECT 'rbfe' AS benchmark_type, m.mps_process_count, c.d AS run_date,
-       c.et || '-' || strftime(c.d, '%Y%m%d') AS run_id, c.system, c.phase,
+       c.et || '-' || strftime(c.d, '%Y%m%d') || '-' || CAST(c.g AS VARCHAR) AS run_id, c.system, c.phase,
        'ns_per_day' AS metric_name, c.v AS metric_value, m.instance_type, m.ami
-FROM cells2 c JOIN man m ON m.run_id = c.et || '-' || strftime(c.d, '%Y%m%d')
+FROM cells2 c JOIN man m ON m.run_id = c.et || '-' || strftime(c.d, '%Y%m%d') || '-' || CAST(c.g AS VARCHAR)
 WHERE isfinite(c.v)
 """
 
 
 EXPECTED_UNMATCHED_SQL = """
-WITH runs AS (SELECT DISTINCT CAST(ts AS DATE) AS d, event_type AS et FROM events)
+WITH runs AS (SELECT DISTINCT CAST(ts AS DATE) AS d, event_type AS et,
+                              CAST(floor(user_id / 150) AS BIGINT) AS g FROM events)
 SELECT 'runs/' || strftime(d, '%Y-%m-%d') || '/extra/' || et || '-' || strftime(d, '%Y%m%d')
-       || '/output/md_benchmark.out' AS rel_path
+       || '-' || CAST(g AS VARCHAR) || '/output/md_benchmark.out' AS rel_path
 FROM runs WHERE et = 'error' AND day(d) = 15
 """
 
 EXPECTED_DUPLICATE_MANIFESTS_SQL = """
-WITH runs AS (SELECT DISTINCT CAST(ts AS DATE) AS d, event_type AS et FROM events)
-SELECT et || '-' || strftime(d, '%Y%m%d') AS run_id, CAST(2 AS BIGINT) AS rows
+WITH runs AS (SELECT DISTINCT CAST(ts AS DATE) AS d, event_type AS et,
+                              CAST(floor(user_id / 150) AS BIGINT) AS g FROM events)
+SELECT et || '-' || strftime(d, '%Y%m%d') || '-' || CAST(g AS VARCHAR) AS run_id,
+       CAST(2 AS BIGINT) AS rows
 FROM runs WHERE et = 'signup' AND day(d) = 1
 """
