@@ -16,9 +16,9 @@ manifests first. Semantics equal the batch export when a run's manifest
 lands no later than its outputs: output rows of a micro-batch are final, a
 later manifest does not revive them.
 
-* Sources: files at ``<root>/runs/<day_glob>/*/output/<file>`` and
-  ``<root>/runs/<day_glob>/*/manifest.json``; deeper files could not give a
-  run id and are dropped by the batch job as well.
+* Sources: output files and manifests anywhere below the day folders
+  ``<root>/runs/<day_glob>``, as in the batch reader; files outside the
+  layout are dropped (and reported by the batch job).
 * Sink: each micro-batch overwrites ``<out>/batch=<id>``, so a retried batch
   replaces its own output instead of duplicating it (idempotent).
 """
@@ -65,12 +65,26 @@ MANIFEST_TABLE = T.StructType(
 
 
 def _file_stream(
-    spark: SparkSession, pattern: str, max_files_per_trigger: int | None
+    spark: SparkSession,
+    root: str,
+    day_glob: str,
+    file_name: str,
+    max_files_per_trigger: int | None,
 ) -> DataFrame:
-    reader = spark.readStream.format("text").option("wholetext", "true")
+    """New files called ``file_name`` anywhere below the matching day folders.
+
+    Same layout handling as the batch reader: the day folders are the roots,
+    listed recursively, and the file name is a glob filter.
+    """
+    reader = (
+        spark.readStream.format("text")
+        .option("wholetext", "true")
+        .option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", file_name)
+    )
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return reader.load(pattern).select(
+    return reader.load(f"{root.rstrip('/')}/runs/{day_glob}").select(
         decode_path(F.col("_metadata.file_path")).alias("path"),
         F.col("_metadata.file_name").alias("file_name"),
         F.col("value").alias("text"),
@@ -94,9 +108,7 @@ def start_manifest_stream(
     max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
     """Append new manifests to the Parquet table at ``table``."""
-    files = _file_stream(
-        spark, f"{root.rstrip('/')}/runs/{day_glob}/*/{MANIFEST_FILE}", max_files_per_trigger
-    )
+    files = _file_stream(spark, root, day_glob, MANIFEST_FILE, max_files_per_trigger)
     writer = (
         parse_manifests(files)
         .writeStream.format("parquet")
@@ -140,9 +152,7 @@ def start_export_stream(
 ) -> StreamingQuery:
     """Start the incremental MD (``kind='md'``) or RBFE export; returns the query."""
     file_name = MD_OUTPUT_FILE if kind == MD else RBFE_OUTPUT_FILE
-    files = _file_stream(
-        spark, f"{root.rstrip('/')}/runs/{day_glob}/*/output/{file_name}", max_files_per_trigger
-    )
+    files = _file_stream(spark, root, day_glob, file_name, max_files_per_trigger)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         manifest = read_manifest_table(batch.sparkSession, manifest_table, version)
