@@ -31,8 +31,10 @@ def build_session(
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         # List folder trees of many small files with a distributed job once
-        # there are more than a few root folders (run trees: one per day).
+        # there are more than a few root folders (run trees: one per day), in
+        # a few tasks per core rather than one task per path.
         .config("spark.sql.sources.parallelPartitionDiscovery.threshold", "8")
+        .config("spark.sql.sources.parallelPartitionDiscovery.parallelism", str(4 * shuffle_partitions))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", driver_memory)
