@@ -1,7 +1,4 @@
-import math
-
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from costlens import schemas
 from costlens.constants import DEFAULT_SYSTEMS
@@ -80,9 +77,9 @@ def test_system_sizes_from_metadata_document(spark, tmp_path):
     meta = read_system_metadata(spark, str(path))
     out = {r.system: r.total_system_size for r in system_sizes(meta).collect()}
     assert out == atoms
-    assert list(out) == list(DEFAULT_SYSTEMS) or set(out) == set(DEFAULT_SYSTEMS)
+    assert set(out) == set(DEFAULT_SYSTEMS)
 
 
 def test_system_sizes_schema_is_explicit(spark):
     assert schemas.system_metadata(("a",)).fieldNames() == ["a"]
-    assert not math.isnan(1.0)
+    assert schemas.system_metadata(("a",))["a"].dataType == schemas.SYSTEM_ENTRY
