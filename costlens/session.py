@@ -42,11 +42,16 @@ def build_session(
     )
 
 
+class CheckpointDirError(RuntimeError):
+    """No shared checkpoint folder is configured on a cluster."""
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster.
 
-    Read from the running context or from ``spark.checkpoint.dir``; only when
-    neither is set (local tests) a fresh temporary folder is chosen.
+    Read from the running context or from ``spark.checkpoint.dir``. Only a
+    local-mode session (tests) falls back to a fresh temporary folder; on a
+    cluster a machine-local folder would not be shared, so it is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -54,6 +59,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise CheckpointDirError(
+                "set spark.checkpoint.dir to a shared folder (HDFS, object store)"
+            )
         configured = tempfile.mkdtemp(prefix="costlens-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
