@@ -16,8 +16,12 @@ def read_table(spark: SparkSession, base_dir: str, name: str) -> DataFrame:
 
 
 def read_fact(spark: SparkSession, path: str) -> DataFrame:
-    """An exported fact (file or directory of Parquet files)."""
-    return spark.read.schema(schemas.FACT).parquet(path)
+    """An exported fact (file or directory of Parquet files), in fact column order.
+
+    A fact written with ``partition_by`` (e.g. benchmark type and concurrency)
+    is read the same way; filters on those columns then prune folders.
+    """
+    return spark.read.schema(schemas.FACT).parquet(path).select(*schemas.FACT_COLUMNS)
 
 
 def read_prices(spark: SparkSession, path: str) -> DataFrame:

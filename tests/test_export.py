@@ -135,3 +135,14 @@ def test_export_all_matches_single_exports(spark, tree_root, tmp_path):
     part = str(tmp_path / "md_by_day")
     export_all(spark, tree_root, part, str(tmp_path / "rbfe_by_day"), partition_by=["run_date"])
     assert read_fact(spark, part).count() == 37
+    # Partitioned for pruning: same rows, same column order.
+    pruned = str(tmp_path / "md_by_type")
+    export_all(
+        spark, tree_root, pruned, str(tmp_path / "rbfe_by_type"),
+        partition_by=["benchmark_type", "mps_process_count"],
+    )
+    back = read_fact(spark, pruned)
+    assert back.schema == schemas.FACT
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, read_fact(spark, md_out).collect()))
+    plan = back.where("mps_process_count = 2")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(mps_process_count" in plan
