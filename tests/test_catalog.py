@@ -59,3 +59,20 @@ def test_entry_smoke(spark):
         "total_system_size", "is_throughput_winner", "is_cost_winner",
     ]
     assert df.count() > 0
+
+
+FORBIDDEN_NODES = (
+    "BatchEvalPython",  # row-at-a-time Python UDF
+    "ArrowEvalPython",  # pandas UDF
+    "MapInPandas",
+    "FlatMapGroupsInPandas",
+    "CartesianProduct",  # cross join
+    "BroadcastNestedLoopJoin",  # non-equi / cross join
+)
+
+
+@pytest.mark.parametrize("name", sorted(entry_mod.queries()))
+def test_plans_stay_in_the_jvm_without_cross_joins(spark, name):
+    plan = entry_mod.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    for node in FORBIDDEN_NODES:
+        assert node not in plan, f"{name}: {node}"
