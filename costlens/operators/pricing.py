@@ -10,7 +10,7 @@ dimension, in document order, whose unit is hourly and that has a USD price
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from costlens import schemas
@@ -64,6 +64,22 @@ def filter_products(parsed: DataFrame, region_code: str) -> DataFrame:
     return parsed.where(cond)
 
 
+def first_documents(parsed: DataFrame, max_docs: int) -> DataFrame:
+    """Keep each instance type's first ``max_docs`` documents in document order.
+
+    Models a source that returns one page of matching products. The planner
+    turns ``row_number() <= n`` into a partial per-task limit before the
+    shuffle, so a type with very many documents ships at most ``n`` rows per
+    task.
+    """
+    order = Window.partitionBy("instance_type").orderBy("doc_pos")
+    return (
+        parsed.withColumn("_n", F.row_number().over(order))
+        .where(F.col("_n") <= F.lit(max_docs))
+        .drop("_n")
+    )
+
+
 def hourly_prices(parsed: DataFrame) -> DataFrame:
     """Every hourly USD price dimension with its position in the document.
 

@@ -376,6 +376,16 @@ def q_price_snapshot(spark: SparkSession, d: str) -> DataFrame:
     return read_snapshot(spark, path)
 
 
+def q_price_first_page(spark: SparkSession, d: str) -> DataFrame:
+    """Only the first matching document per type is considered (one page)."""
+    return price_snapshot(
+        price_fixture.price_documents(spark, d),
+        price_fixture.wanted_types(spark, d),
+        "us-east-1",
+        max_docs=1,
+    )
+
+
 def q_price_filter(spark: SparkSession, d: str) -> DataFrame:
     return price_snapshot(
         price_fixture.price_documents(spark, d), price_fixture.wanted_types(spark, d), "us-west-2"
@@ -420,6 +430,7 @@ QUERIES: dict[str, QueryFn] = {
     "duplicate_manifests": q_duplicate_manifests,
     "price_snapshot": q_price_snapshot,
     "price_filter": q_price_filter,
+    "price_first_page": q_price_first_page,
 }
 
 _MEDIANS_BY_PHASE = _V + _median_sql(
@@ -529,4 +540,5 @@ ORACLE_SQL: dict[str, str] = {
     "duplicate_manifests": run_fixture.EXPECTED_DUPLICATE_MANIFESTS_SQL,
     "price_snapshot": price_fixture.EXPECTED_EAST_SQL,
     "price_filter": price_fixture.EXPECTED_WEST_SQL,
+    "price_first_page": price_fixture.EXPECTED_FIRST_PAGE_SQL,
 }

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from costlens.operators.pricing import (
     filter_products,
+    first_documents,
     first_hourly_price,
     hourly_prices,
     location_name,
@@ -16,15 +17,23 @@ from costlens.operators.pricing import (
 from costlens.sources.tables import read_prices
 
 
-def price_snapshot(docs: DataFrame, wanted: DataFrame, region_code: str = "us-east-1") -> DataFrame:
+def price_snapshot(
+    docs: DataFrame,
+    wanted: DataFrame,
+    region_code: str = "us-east-1",
+    max_docs: int | None = None,
+) -> DataFrame:
     """One row per wanted instance type with its first hourly USD price.
 
     ``docs``: ``(doc_pos, doc)``; ``wanted``: a column ``instance_type``. A
     type without a qualifying price keeps its row with a NULL price. The
-    region code is checked before any job runs.
+    region code is checked before any job runs. ``max_docs`` limits each type
+    to its first matching documents (one result page); default: all.
     """
     location_name(region_code)
     parsed = filter_products(parse_price_list(docs), region_code)
+    if max_docs is not None:
+        parsed = first_documents(parsed, max_docs)
     first = first_hourly_price(hourly_prices(parsed))
     return wanted.select("instance_type").join(first, "instance_type", "left")
 

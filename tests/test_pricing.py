@@ -118,3 +118,14 @@ def test_parquet_documents(spark, tmp_path, docs, wanted):
     back = read_price_documents(spark, path)
     got = {r.instance_type: r.price_per_hour for r in price_snapshot(back, wanted, "us-east-1").collect()}
     assert got == EXPECTED_EAST
+
+
+def test_first_page_limit_is_applied_per_type_before_the_shuffle(spark, docs, wanted):
+    from costlens.operators.pricing import filter_products, first_documents, parse_price_list
+
+    got = {r.instance_type: r.price_per_hour for r in price_snapshot(docs, wanted, "us-east-1", max_docs=1).collect()}
+    # a.large's first matching document has no on-demand terms: no price on page one.
+    assert got == {**EXPECTED_EAST, "a.large": None}
+    limited = first_documents(filter_products(parse_price_list(docs), "us-east-1"), 1)
+    plan = limited._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan and "Partial" in plan
