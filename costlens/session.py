@@ -37,6 +37,11 @@ def build_session(
         .config("spark.sql.sources.parallelPartitionDiscovery.parallelism", str(4 * shuffle_partitions))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # Long sessions run many short queries: keep little history in the
+        # driver's status store (plan graphs, job and stage records).
+        .config("spark.sql.ui.retainedExecutions", "20")
+        .config("spark.ui.retainedJobs", "100")
+        .config("spark.ui.retainedStages", "100")
         .config("spark.driver.memory", driver_memory)
         .getOrCreate()
     )
