@@ -3,6 +3,10 @@
 ``register_all`` registers the inputs under the names the dashboard SQL uses
 and the two cost-enriched views on top of them. Views are lazy: each query
 that reads them is planned as a whole (filters still reach the scans).
+
+SQL's ``median()`` is Spark's exact hash aggregate; for inputs where one
+group may hold a large share of all rows, use the DataFrame functions
+(``operators.summarize``), whose medians split such groups.
 """
 
 from __future__ import annotations
