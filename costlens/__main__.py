@@ -1,4 +1,5 @@
-"""Command-line jobs (run with ``spark-submit -m`` or ``python -m costlens``).
+"""Command-line jobs: ``spark-submit --py-files costlens.zip costlens/__main__.py JOB ...``
+or, locally, ``python -m costlens JOB ...``.
 
     export  --root R --md-out A --rbfe-out B [--day-glob G] [--partition-by c1,c2]
     prices  --docs D [--docs-format text|parquet] --types t1,t2 --out DIR --month YYYY-MM
