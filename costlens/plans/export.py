@@ -63,8 +63,12 @@ def md_fact(
     systems: Sequence[str] = DEFAULT_SYSTEMS,
     version: int = MANIFEST_SCHEMA_VERSION,
     strict: bool = False,
+    lines: bool = False,
 ) -> DataFrame:
-    raw = matched_runs(run_outputs(tree, MD_OUTPUT_FILE, schemas.md_output(systems)), strict)
+    """MD fact from a listed run tree (``lines``: one document per line)."""
+    raw = matched_runs(
+        run_outputs(tree, MD_OUTPUT_FILE, schemas.md_output(systems), lines), strict
+    )
     return build_fact(md_long(raw, systems), manifests(tree, version), MD, "ns_per_day")
 
 
@@ -74,9 +78,11 @@ def rbfe_fact(
     phases: Sequence[str] = RBFE_PHASES,
     version: int = MANIFEST_SCHEMA_VERSION,
     strict: bool = False,
+    lines: bool = False,
 ) -> DataFrame:
+    """RBFE fact from a listed run tree (``lines``: one document per line)."""
     raw = matched_runs(
-        run_outputs(tree, RBFE_OUTPUT_FILE, schemas.rbfe_output(systems, phases)), strict
+        run_outputs(tree, RBFE_OUTPUT_FILE, schemas.rbfe_output(systems, phases), lines), strict
     )
     return build_fact(rbfe_long(raw, systems, phases), manifests(tree, version), RBFE, "metric_value")
 
@@ -97,9 +103,10 @@ def md_export(
     day_glob: str = DEFAULT_DAY_GLOB,
     version: int = MANIFEST_SCHEMA_VERSION,
     strict: bool = False,
+    lines: bool = False,
 ) -> DataFrame:
     """MD fact from the run tree under ``root``; written to ``out`` when given."""
-    fact = md_fact(read_run_tree(spark, root, day_glob), systems, version, strict)
+    fact = md_fact(read_run_tree(spark, root, day_glob), systems, version, strict, lines)
     if out:
         write_fact(fact, out)
     return fact
@@ -113,9 +120,12 @@ def rbfe_export(
     day_glob: str = DEFAULT_DAY_GLOB,
     version: int = MANIFEST_SCHEMA_VERSION,
     strict: bool = False,
+    lines: bool = False,
 ) -> DataFrame:
     """RBFE fact (two phases per system) from the run tree under ``root``."""
-    fact = rbfe_fact(read_run_tree(spark, root, day_glob), systems, RBFE_PHASES, version, strict)
+    fact = rbfe_fact(
+        read_run_tree(spark, root, day_glob), systems, RBFE_PHASES, version, strict, lines
+    )
     if out:
         write_fact(fact, out)
     return fact
@@ -130,6 +140,7 @@ def export_all(
     day_glob: str = DEFAULT_DAY_GLOB,
     version: int = MANIFEST_SCHEMA_VERSION,
     partition_by: Sequence[str] | None = None,
+    lines: bool = False,
 ) -> None:
     """Both exports from one listing of the tree.
 
@@ -139,5 +150,5 @@ def export_all(
     manifests; nothing is cached.
     """
     tree = read_run_tree(spark, root, day_glob)
-    write_fact(md_fact(tree, systems, version), md_out, partition_by)
-    write_fact(rbfe_fact(tree, systems, RBFE_PHASES, version), rbfe_out, partition_by)
+    write_fact(md_fact(tree, systems, version, lines=lines), md_out, partition_by)
+    write_fact(rbfe_fact(tree, systems, RBFE_PHASES, version, lines=lines), rbfe_out, partition_by)

@@ -70,16 +70,25 @@ def _with_run_keys(df: DataFrame, tail: str) -> DataFrame:
     )
 
 
-def run_outputs(tree: DataFrame, file_name: str, schema: StructType) -> DataFrame:
+def run_outputs(
+    tree: DataFrame, file_name: str, schema: StructType, lines: bool = False
+) -> DataFrame:
     """Parsed output files below an ``output/`` folder, with path-derived keys.
 
     Columns: path, run_date_text, run_id, then the schema's fields. Run keys
     are ``''`` when the path does not follow the layout; see ``matched_runs``.
+    A file holds one (possibly pretty-printed) JSON document; with
+    ``lines=True`` every non-empty line is a document of its own (JSON Lines),
+    and all of them belong to the file's run.
     """
     # Both predicates read only file metadata, so the scan can skip other files.
     rows = tree.where(
         (F.col("file_name") == F.lit(file_name)) & F.col("path").endswith(f"/output/{file_name}")
     )
+    if lines:
+        rows = rows.select("path", F.explode(F.split("text", r"\r?\n")).alias("text")).where(
+            F.trim("text") != ""
+        )
     parsed = rows.select("path", F.from_json("text", schema, _JSON_OPTIONS).alias("doc"))
     keyed = _with_run_keys(parsed, f"output/{file_name}")
     return keyed.select("path", "run_date_text", "run_id", "doc.*")

@@ -146,3 +146,14 @@ def test_export_all_matches_single_exports(spark, tree_root, tmp_path):
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, read_fact(spark, md_out).collect()))
     plan = back.where("mps_process_count = 2")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(mps_process_count" in plan
+
+
+def test_json_lines_run_files(spark, tmp_path):
+    root = tmp_path / "jl"
+    put(root, "runs/2026-04-01/r1/manifest.json", manifest(4, "g4dn.xlarge", "ami-a", 1))
+    put(root, "runs/2026-04-01/r1/output/md_benchmark.out", '{"bace": 1.5}\n\n{"bace": 2.5, "p38": 3.0}\r\n')
+    tree = read_run_tree(spark, str(root))
+    one = run_outputs(tree, "md_benchmark.out", schemas.md_output())
+    many = run_outputs(tree, "md_benchmark.out", schemas.md_output(), lines=True)
+    assert sorted((r.run_id, r.bace, r.p38) for r in many.collect()) == [("r1", "1.5", None), ("r1", "2.5", "3.0")]
+    assert one.count() == 1
