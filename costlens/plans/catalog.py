@@ -344,13 +344,13 @@ def q_rbfe_export_roundtrip(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_md_export_stream(spark: SparkSession, d: str) -> DataFrame:
-    """The MD export run incrementally (Structured Streaming, available-now)."""
-    from costlens.streaming import incremental_export, read_stream_fact
+    """The MD export kept incrementally (Structured Streaming, available-now)."""
+    from costlens.streaming import incremental_export
 
     root = run_fixture.tree_for(spark, d)
-    work = scratch_dir(spark, "stream")
-    incremental_export(spark, root, f"{work}/fact", f"{work}/state", day_glob=run_fixture.DAY_GLOB)
-    return read_stream_fact(spark, f"{work}/fact")
+    return incremental_export(
+        spark, root, scratch_dir(spark, "stream-state"), day_glob=run_fixture.DAY_GLOB
+    )
 
 
 def q_unmatched_run_files(spark: SparkSession, d: str) -> DataFrame:

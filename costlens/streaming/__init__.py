@@ -1,17 +1,19 @@
 """Incremental (streaming) variant of the export jobs."""
 
 from costlens.streaming.export_stream import (
+    fact_from_tables,
     incremental_export,
+    metric_rows,
     read_manifest_table,
-    read_stream_fact,
-    start_export_stream,
     start_manifest_stream,
+    start_metric_stream,
 )
 
 __all__ = [
+    "fact_from_tables",
     "incremental_export",
+    "metric_rows",
     "read_manifest_table",
-    "read_stream_fact",
-    "start_export_stream",
     "start_manifest_stream",
+    "start_metric_stream",
 ]

@@ -1,26 +1,24 @@
-"""Incremental export: new run files -> fact rows, with Structured Streaming.
+"""Incremental export: new run files -> compact tables, with Structured Streaming.
 
-The batch export re-reads and re-lists the whole tree. When runs keep landing,
-the same export runs as two file streams whose checkpoints remember which
-files were processed:
+The batch export re-lists and re-reads the whole JSON tree. When runs keep
+landing, two file streams keep compact Parquet tables up to date instead;
+their checkpoints remember which files were processed, and the Parquet file
+sink is exactly-once:
 
 * the **manifest stream** appends every new ``manifest.json`` (all layout
-  versions, with the path-derived run id) to a Parquet manifest table (the
-  file sink is exactly-once);
-* the **output stream** turns each micro-batch of new output files into fact
-  rows with the batch operators, joining against the manifest table (a
-  Parquet read, not a listing of the JSON tree).
-
-``incremental_export`` runs both to completion (available-now triggers),
-manifests first. Semantics equal the batch export when a run's manifest
-lands no later than its outputs: output rows of a micro-batch are final, a
-later manifest does not revive them.
-
-* Sources: output files and manifests anywhere below the day folders
-  ``<root>/runs/<day_glob>``, as in the batch reader; files outside the
-  layout are dropped (and reported by the batch job).
-* Sink: each micro-batch overwrites ``<out>/batch=<id>``, so a retried batch
-  replaces its own output instead of duplicating it (idempotent).
+  versions, with the path-derived run id) to a manifest table;
+* the **metric stream** appends the long, finite metric rows of every new
+  output file (MD or RBFE) to a metric table.
+
+Both streams are stateless appends. The fact is the batch join of the two
+tables (``fact_from_tables``), made when it is read, so it equals the batch
+export whatever the order in which outputs and manifests land: a late
+manifest, or a second manifest for a run id, takes effect at the next read.
+
+Sources list the day folders ``<root>/runs/<day_glob>`` recursively with a
+file-name glob, as the batch reader does. ``incremental_export`` runs both
+streams to completion (available-now triggers); a long-running deployment can
+start them with a processing-time trigger instead.
 """
 
 from __future__ import annotations
@@ -39,10 +37,12 @@ from costlens.constants import (
     MANIFEST_SCHEMA_VERSION,
     MD,
     MD_OUTPUT_FILE,
+    RBFE,
     RBFE_OUTPUT_FILE,
     RBFE_PHASES,
 )
 from costlens.functions.paths import decode_path
+from costlens.operators.quality import finite
 from costlens.operators.reshape import md_long, rbfe_long
 from costlens.plans.export import build_fact
 from costlens.sources.runs import (
@@ -63,6 +63,16 @@ MANIFEST_TABLE = T.StructType(
     ]
 )
 
+METRIC_TABLE = T.StructType(
+    [
+        T.StructField("run_date", T.DateType()),
+        T.StructField("run_id", T.StringType()),
+        T.StructField("system", T.StringType()),
+        T.StructField("phase", T.StringType()),
+        T.StructField("metric_value", T.DoubleType()),
+    ]
+)
+
 
 def _file_stream(
     spark: SparkSession,
@@ -71,11 +81,7 @@ def _file_stream(
     file_name: str,
     max_files_per_trigger: int | None,
 ) -> DataFrame:
-    """New files called ``file_name`` anywhere below the matching day folders.
-
-    Same layout handling as the batch reader: the day folders are the roots,
-    listed recursively, and the file name is a glob filter.
-    """
+    """New files called ``file_name`` anywhere below the matching day folders."""
     reader = (
         spark.readStream.format("text")
         .option("wholetext", "true")
@@ -91,10 +97,24 @@ def _file_stream(
     )
 
 
-def _trigger(writer, available_now: bool, processing_time: str):
+def _append(
+    df: DataFrame,
+    table: str,
+    checkpoint_location: str,
+    available_now: bool,
+    processing_time: str,
+) -> StreamingQuery:
+    writer = (
+        df.writeStream.format("parquet")
+        .option("path", table)
+        .option("compression", "zstd")
+        .option("checkpointLocation", checkpoint_location)
+    )
     if available_now:
-        return writer.trigger(availableNow=True)
-    return writer.trigger(processingTime=processing_time)
+        writer = writer.trigger(availableNow=True)
+    else:
+        writer = writer.trigger(processingTime=processing_time)
+    return writer.start()
 
 
 def start_manifest_stream(
@@ -107,99 +127,106 @@ def start_manifest_stream(
     processing_time: str = "1 minute",
     max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
-    """Append new manifests to the Parquet table at ``table``."""
+    """Append new manifests (every layout version) to the Parquet table ``table``."""
     files = _file_stream(spark, root, day_glob, MANIFEST_FILE, max_files_per_trigger)
-    writer = (
-        parse_manifests(files)
-        .writeStream.format("parquet")
-        .option("path", table)
-        .option("compression", "zstd")
-        .option("checkpointLocation", checkpoint_location)
+    return _append(
+        parse_manifests(files), table, checkpoint_location, trigger_available_now, processing_time
     )
-    return _trigger(writer, trigger_available_now, processing_time).start()
 
 
-def read_manifest_table(
-    spark: SparkSession, table: str, version: int = MANIFEST_SCHEMA_VERSION
+def metric_rows(
+    files: DataFrame, kind: str = MD, systems: Sequence[str] = DEFAULT_SYSTEMS
 ) -> DataFrame:
-    """Manifests of one layout version from the table kept by the manifest stream."""
-    return select_manifests(spark.read.schema(MANIFEST_TABLE).parquet(table), version)
-
-
-def _fact_of(files: DataFrame, manifest: DataFrame, kind: str, systems: Sequence[str]) -> DataFrame:
+    """Long, finite metric rows of run output files (the columns of ``METRIC_TABLE``)."""
     if kind == MD:
         raw = matched_runs(run_outputs(files, MD_OUTPUT_FILE, schemas.md_output(systems)))
-        return build_fact(md_long(raw, systems), manifest, MD, "ns_per_day")
-    raw = matched_runs(
-        run_outputs(files, RBFE_OUTPUT_FILE, schemas.rbfe_output(systems, RBFE_PHASES))
-    )
-    return build_fact(rbfe_long(raw, systems, RBFE_PHASES), manifest, kind, "metric_value")
+        long = md_long(raw, systems).select(
+            "run_date",
+            "run_id",
+            "system",
+            F.lit(None).cast("string").alias("phase"),
+            F.col("ns_per_day").alias("metric_value"),
+        )
+    else:
+        raw = matched_runs(
+            run_outputs(files, RBFE_OUTPUT_FILE, schemas.rbfe_output(systems, RBFE_PHASES))
+        )
+        long = rbfe_long(raw, systems, RBFE_PHASES).select(
+            "run_date", "run_id", "system", "phase", "metric_value"
+        )
+    return finite(long, "metric_value")
 
 
-def start_export_stream(
+def start_metric_stream(
     spark: SparkSession,
     root: str,
-    out: str,
+    table: str,
     checkpoint_location: str,
-    manifest_table: str,
     kind: str = MD,
     systems: Sequence[str] = DEFAULT_SYSTEMS,
     day_glob: str = DEFAULT_DAY_GLOB,
-    version: int = MANIFEST_SCHEMA_VERSION,
     trigger_available_now: bool = True,
     processing_time: str = "1 minute",
     max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
-    """Start the incremental MD (``kind='md'``) or RBFE export; returns the query."""
+    """Append the metric rows of new MD (``kind='md'``) or RBFE output files to ``table``."""
     file_name = MD_OUTPUT_FILE if kind == MD else RBFE_OUTPUT_FILE
     files = _file_stream(spark, root, day_glob, file_name, max_files_per_trigger)
+    return _append(
+        metric_rows(files, kind, systems),
+        table,
+        checkpoint_location,
+        trigger_available_now,
+        processing_time,
+    )
 
-    def write_batch(batch: DataFrame, batch_id: int) -> None:
-        manifest = read_manifest_table(batch.sparkSession, manifest_table, version)
-        (
-            _fact_of(batch, manifest, kind, systems)
-            .write.mode("overwrite")
-            .option("compression", "zstd")
-            .parquet(f"{out.rstrip('/')}/batch={batch_id}")
-        )
 
-    writer = files.writeStream.foreachBatch(write_batch).option(
-        "checkpointLocation", checkpoint_location
-    )
-    return _trigger(writer, trigger_available_now, processing_time).start()
+def read_manifest_table(
+    spark: SparkSession, table: str, version: int = MANIFEST_SCHEMA_VERSION
+) -> DataFrame:
+    """Manifests of one layout version from the table kept by the manifest stream."""
+    return select_manifests(spark.read.schema(MANIFEST_TABLE).parquet(table), version)
+
+
+def fact_from_tables(
+    spark: SparkSession, state_dir: str, kind: str = MD, version: int = MANIFEST_SCHEMA_VERSION
+) -> DataFrame:
+    """The fact: metric table joined to the manifest table, as the batch export joins."""
+    state = state_dir.rstrip("/")
+    metrics = spark.read.schema(METRIC_TABLE).parquet(f"{state}/metrics_{kind}")
+    if kind == MD:
+        metrics = metrics.drop("phase")
+    manifest = read_manifest_table(spark, f"{state}/manifests", version)
+    return build_fact(metrics, manifest, MD if kind == MD else RBFE, "metric_value")
 
 
 def incremental_export(
     spark: SparkSession,
     root: str,
-    out: str,
     state_dir: str,
     kind: str = MD,
     systems: Sequence[str] = DEFAULT_SYSTEMS,
     day_glob: str = DEFAULT_DAY_GLOB,
     version: int = MANIFEST_SCHEMA_VERSION,
-) -> None:
-    """Process every run file that landed since the last call, then stop.
+) -> DataFrame:
+    """Take in every run file that landed since the last call; return the fact.
 
-    ``state_dir`` holds the manifest table and both stream checkpoints; keep
-    it between calls (a shared, durable folder). The MD and RBFE exports may
-    share one ``state_dir``.
+    ``state_dir`` (a shared, durable folder kept between calls) holds the
+    manifest table, one metric table per kind and the stream checkpoints; the
+    MD and RBFE exports may share it. Write the returned fact with
+    ``plans.export.write_fact`` when a materialised copy is wanted.
     """
     state = state_dir.rstrip("/")
-    table = f"{state}/manifests"
     start_manifest_stream(
-        spark, root, table, f"{state}/_checkpoints/manifests", day_glob
+        spark, root, f"{state}/manifests", f"{state}/_checkpoints/manifests", day_glob
     ).awaitTermination()
-    start_export_stream(
-        spark, root, out, f"{state}/_checkpoints/{kind}", table, kind, systems, day_glob, version
+    start_metric_stream(
+        spark,
+        root,
+        f"{state}/metrics_{kind}",
+        f"{state}/_checkpoints/metrics_{kind}",
+        kind,
+        systems,
+        day_glob,
     ).awaitTermination()
-
-
-def read_stream_fact(spark: SparkSession, out: str) -> DataFrame:
-    """The fact written by the output stream, in the fact's column order."""
-    return (
-        spark.read.option("basePath", out)
-        .schema(T.StructType([*schemas.FACT.fields, T.StructField("batch", T.LongType())]))
-        .parquet(f"{out.rstrip('/')}/batch=*")
-        .select(*schemas.FACT_COLUMNS)
-    )
+    return fact_from_tables(spark, state, kind, version)

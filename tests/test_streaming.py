@@ -2,36 +2,40 @@ from test_export import FULL_MD, MD_1_1, RBFE_1_2, manifest, put
 
 from costlens import schemas
 from costlens.plans.export import md_export, rbfe_export
-from costlens.streaming import incremental_export, read_manifest_table, read_stream_fact
+from costlens.streaming import fact_from_tables, incremental_export, read_manifest_table
 
 
 def rows(df):
     return sorted(tuple(r) for r in df.collect())
 
 
-def test_incremental_export_matches_batch_and_only_reads_new_files(spark, tmp_path):
+def test_incremental_export_matches_batch_in_any_arrival_order(spark, tmp_path):
     root = tmp_path / "tree"
     put(root, "runs/2026-04-01/r1/manifest.json", manifest(4, "g4dn.xlarge", "ami-a", 1))
     put(root, "runs/2026-04-01/r1/output/md_benchmark.out", MD_1_1)
     put(root, "runs/2026-04-01/r1/output/rbfe_benchmark.out", RBFE_1_2)
     put(root, "runs/2026-04-02/r3/manifest.json", manifest(3, "g6e.xlarge", "ami-b", 4))
     put(root, "runs/2026-04-02/r3/output/md_benchmark.out", FULL_MD)
-    state, out = str(tmp_path / "state"), str(tmp_path / "fact")
+    # Outputs of r2 land before any manifest of r2.
+    put(root, "runs/2026-04-03/r2/output/md_benchmark.out", FULL_MD)
+    state = str(tmp_path / "state")
 
-    incremental_export(spark, str(root), out, state)
-    assert rows(read_stream_fact(spark, out)) == rows(md_export(spark, str(root)))
-    assert read_stream_fact(spark, out).count() == 5
-    assert read_stream_fact(spark, out).schema == schemas.FACT
+    fact = incremental_export(spark, str(root), state)
+    assert [(f.name, f.dataType) for f in fact.schema] == [(f.name, f.dataType) for f in schemas.FACT]
+    assert rows(fact) == rows(md_export(spark, str(root)))
+    assert fact.count() == 5
 
-    # New runs land (one with a second manifest under another day).
+    # Late manifests for r2 (one under another day: duplicate run id).
     put(root, "runs/2026-04-03/r2/manifest.json", manifest(4, "g5.xlarge", "ami-a", 2))
     put(root, "runs/2026-04-04/r2/manifest.json", manifest(4, "g5.xlarge", "ami-c", 2))
-    put(root, "runs/2026-04-03/r2/output/md_benchmark.out", FULL_MD)
-    incremental_export(spark, str(root), out, state)
-    assert rows(read_stream_fact(spark, out)) == rows(md_export(spark, str(root)))
-    assert read_stream_fact(spark, out).count() == 21
+    fact = incremental_export(spark, str(root), state)
+    assert rows(fact) == rows(md_export(spark, str(root)))
+    assert fact.count() == 21
     assert read_manifest_table(spark, f"{state}/manifests").count() == 3  # version 3 filtered
 
-    rout = str(tmp_path / "rfact")
-    incremental_export(spark, str(root), rout, state, kind="rbfe")
-    assert rows(read_stream_fact(spark, rout)) == rows(rbfe_export(spark, str(root)))
+    # A second call with nothing new changes nothing.
+    assert rows(incremental_export(spark, str(root), state)) == rows(fact)
+
+    rfact = incremental_export(spark, str(root), state, kind="rbfe")
+    assert rows(rfact) == rows(rbfe_export(spark, str(root)))
+    assert rows(fact_from_tables(spark, state, "rbfe")) == rows(rfact)
