@@ -142,3 +142,18 @@ def test_dashboard_defaults_and_tables(spark, view):
     assert {r.system for r in tables["md_scaling"].collect()} == {"bace"}
     with pytest.raises(options.NoOptionsError):
         default_selection(md.where("false"), rbfe)
+
+
+def test_group_size_pass_reads_only_key_columns(spark, tmp_path):
+    from costlens.sources.tables import read_fact
+
+    path = str(tmp_path / "fact_keys")
+    spark.createDataFrame(fact_rows(), schemas.FACT).write.parquet(path)
+    prices = spark.createDataFrame([("g5.xlarge", 1.0)], schemas.PRICES)
+    sizes = spark.createDataFrame([("bace", 1)], schemas.SIZES)
+    v = with_prices(read_fact(spark, path), prices, sizes)
+    rows = v.where((F.col("benchmark_type") == "md") & (F.col("mps_process_count") == 1))
+    keys = ["mps_process_count", "instance_type", "system", "total_system_size"]
+    counts = rows.groupBy(*keys).count()
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<benchmark_type:string,mps_process_count:bigint,system:string,instance_type:string>" in plan
