@@ -19,8 +19,9 @@ collected into one task.
   written to the shared checkpoint folder. Per (partition, group) segment only
   a count and the first row number are aggregated; a window over those few
   segment rows gives each segment its offset in the group, which locates the
-  one or two middle rows. A broadcast semi-join on row numbers then fetches
-  exactly those rows. No task ever holds more than one partition.
+  one or two middle rows. A join on row numbers with that target list
+  (broadcast on the hot path, where its size is bounded) fetches exactly those
+  rows. No task ever holds more than one partition of the sorted copy.
 
 ``method="hash"`` is ``F.median`` for everything; ``method="sort"`` sends every
 group through the selection path (no broadcast: the target list then grows
