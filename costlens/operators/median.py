@@ -51,9 +51,11 @@ def _as_col(c: Column | str) -> Column:
 
 
 def _null_safe_on(left: str, right: str, keys: Sequence[str]) -> Column:
+    # No keys (one global group): both sides hold one group, joined on TRUE.
     return reduce(
         lambda a, b: a & b,
         [F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in keys],
+        F.lit(True),
     )
 
 
@@ -220,8 +222,11 @@ def grouped_median(
     hot_b = F.broadcast(hot).alias("h")
     base = df.alias("d")
     on = _null_safe_on("d", "h", keys)
-    cold_rows = base.join(hot_b, on, "left_anti")
     hot_rows = base.join(hot_b, on, "left_semi")
-    cold = _hash_medians(cold_rows, keys, vals)
     hot_part = _selected_medians(hot_rows, keys, vals, parts, broadcast_targets=True)
+    if not keys:
+        # One global group, and it is hot: nothing is left for the hash path.
+        return hot_part
+    cold_rows = base.join(hot_b, on, "left_anti")
+    cold = _hash_medians(cold_rows, keys, vals)
     return cold.unionByName(hot_part)

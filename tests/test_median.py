@@ -115,3 +115,14 @@ def test_hot_group_is_spread_over_many_partitions(spark):
     assert max(sizes) < 3000  # no partition holds the whole hot group
     got = grouped_median(df, ["k"], {"m": "v"}, method="auto", hot_group_rows=1000).where("k = 'hot'").first()
     assert got.m == 1.0
+
+
+@pytest.mark.parametrize("method,hot", [("hash", None), ("sort", None), ("auto", 10)])
+def test_global_median_without_keys(spark, method, hot):
+    rows = make_rows()
+    df = spark.createDataFrame(rows, SCHEMA)
+    kwargs = {"method": method} if hot is None else {"method": method, "hot_group_rows": hot}
+    got = grouped_median(df, [], {"mx": "x", "my": "y"}, **kwargs).collect()
+    assert len(got) == 1
+    assert same(got[0].mx, brute_median([r[2] for r in rows]))
+    assert same(got[0].my, brute_median([r[3] for r in rows]))
