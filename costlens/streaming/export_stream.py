@@ -25,6 +25,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -181,11 +182,21 @@ def start_metric_stream(
     )
 
 
+def _read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A table kept by a stream; empty while no batch has written it yet."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as err:
+        if "PATH_NOT_FOUND" not in str(err):
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def read_manifest_table(
     spark: SparkSession, table: str, version: int = MANIFEST_SCHEMA_VERSION
 ) -> DataFrame:
     """Manifests of one layout version from the table kept by the manifest stream."""
-    return select_manifests(spark.read.schema(MANIFEST_TABLE).parquet(table), version)
+    return select_manifests(_read_table(spark, table, MANIFEST_TABLE), version)
 
 
 def fact_from_tables(
@@ -193,7 +204,7 @@ def fact_from_tables(
 ) -> DataFrame:
     """The fact: metric table joined to the manifest table, as the batch export joins."""
     state = state_dir.rstrip("/")
-    metrics = spark.read.schema(METRIC_TABLE).parquet(f"{state}/metrics_{kind}")
+    metrics = _read_table(spark, f"{state}/metrics_{kind}", METRIC_TABLE)
     if kind == MD:
         metrics = metrics.drop("phase")
     manifest = read_manifest_table(spark, f"{state}/manifests", version)

@@ -39,3 +39,12 @@ def test_incremental_export_matches_batch_in_any_arrival_order(spark, tmp_path):
     rfact = incremental_export(spark, str(root), state, kind="rbfe")
     assert rows(rfact) == rows(rbfe_export(spark, str(root)))
     assert rows(fact_from_tables(spark, state, "rbfe")) == rows(rfact)
+
+
+def test_incremental_export_before_any_output_or_manifest(spark, tmp_path):
+    only_manifests = tmp_path / "m"
+    put(only_manifests, "runs/2026-04-01/r1/manifest.json", manifest(4, "g4dn.xlarge", "ami-a", 1))
+    assert incremental_export(spark, str(only_manifests), str(tmp_path / "s1")).count() == 0
+    only_outputs = tmp_path / "o"
+    put(only_outputs, "runs/2026-04-01/r1/output/md_benchmark.out", MD_1_1)
+    assert incremental_export(spark, str(only_outputs), str(tmp_path / "s2")).count() == 0
