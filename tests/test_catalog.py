@@ -76,3 +76,10 @@ def test_plans_stay_in_the_jvm_without_cross_joins(spark, name):
     plan = entry_mod.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
     for node in FORBIDDEN_NODES:
         assert node not in plan, f"{name}: {node}"
+
+
+def test_every_query_names_the_operators_it_covers():
+    from costlens.plans.catalog import COVERS
+
+    assert set(COVERS) == set(entry_mod.queries())
+    assert all(COVERS.values())
