@@ -14,8 +14,9 @@ collected into one task.
   bound and is broadcast;
 * other groups use ``F.median`` (state bounded by ``hot_group_rows`` values);
 * hot groups use an order-statistics selection: rows are range-partitioned on
-  (group keys, value, row id) - range bounds come from sampling, so one group
-  is spread over many partitions - sorted inside partitions, numbered, and
+  (group keys, value, hash of the source row) - range bounds come from
+  sampling, so one group is spread over many partitions - sorted inside
+  partitions, numbered, and
   written to the shared checkpoint folder. Per (partition, group) segment only
   a count and the first row number are aggregated; a window over those few
   segment rows gives each segment its offset in the group, which locates the
@@ -35,6 +36,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from costlens.session import stable_copy
 
@@ -68,20 +70,38 @@ def _midpoint(lo: Column, hi: Column) -> Column:
     return F.lit(0.5) * lo + F.lit(0.5) * hi
 
 
-def sorted_copy(df: DataFrame, keys: Sequence[str], value: Column, partitions: int) -> DataFrame:
+def row_hash(df: DataFrame) -> Column:
+    """A deterministic per-row tie-breaker: 64-bit hash of every column.
+
+    Unlike a position-based id it does not change when a task is retried with
+    its input in another order, so a range shuffle keyed on it routes every
+    row to the same partition on every attempt. Rows of a hot group that
+    differ anywhere (another run, another date) get different hashes, so the
+    group can be split; only rows identical in every column stay together.
+    """
+    cols = [F.col(f.name) for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
+    return F.xxhash64(*cols) if cols else F.lit(0).cast("long")
+
+
+def sorted_copy(
+    df: DataFrame,
+    keys: Sequence[str],
+    value: Column,
+    partitions: int,
+    tie: Column | None = None,
+) -> DataFrame:
     """(keys, _v, _rid): rows range-partitioned and sorted by (keys, value),
     numbered, and checkpointed.
 
-    ``_rid`` is ``partition << 33 | position in partition``. A unique row id is
-    the last sort key, so the range partitioner can split a group over many
-    partitions even when all its values are equal. The checkpoint fixes the
-    numbering: later reads see the same row numbers whatever adaptive
-    execution does to partitions, also after executor loss.
+    ``tie`` (default: ``row_hash(df)``) is the last sort key, so the range
+    partitioner can split a group over many partitions even when all its
+    values are equal. ``_rid`` is ``partition << 33 | position in partition``,
+    assigned after the sort; the checkpoint fixes it, so later reads see the
+    same row numbers whatever adaptive execution does to partitions, also
+    after executor loss.
     """
     key_cols = [F.col(k) for k in keys]
-    rows = df.select(*key_cols, value.alias("_v")).withColumn(
-        "_t", F.monotonically_increasing_id()
-    )
+    rows = df.select(*key_cols, value.alias("_v"), (tie if tie is not None else row_hash(df)).alias("_t"))
     return stable_copy(
         rows.repartitionByRange(partitions, *key_cols, F.col("_v"), F.col("_t"))
         .sortWithinPartitions(*key_cols, F.col("_v"), F.col("_t"))
@@ -96,6 +116,7 @@ def _selected_median(
     name: str,
     partitions: int,
     broadcast_targets: bool,
+    tie: Column | None = None,
 ) -> DataFrame:
     """Median of one value column per group by positional selection.
 
@@ -103,7 +124,7 @@ def _selected_median(
     every group appears in the segment table, also one with only NULLs.
     """
     key_cols = [F.col(k) for k in keys]
-    ordered = sorted_copy(df, keys, value, partitions)
+    ordered = sorted_copy(df, keys, value, partitions, tie)
 
     # One row per (partition, group): non-NULL count and first non-NULL row.
     segments = ordered.groupBy(
@@ -163,8 +184,10 @@ def _selected_medians(
     a single checkpoint serve every value column.
     """
     names = list(values)
+    # The tie-breaker hashes the whole source row, before stacking.
     long = df.select(
         *keys,
+        row_hash(df).alias("_src"),
         F.inline(
             F.array(
                 *[
@@ -175,7 +198,7 @@ def _selected_medians(
         ),
     )
     med = _selected_median(
-        long, [*keys, "_name"], F.col("_value"), "_med", partitions, broadcast_targets
+        long, [*keys, "_name"], F.col("_value"), "_med", partitions, broadcast_targets, F.col("_src")
     )
     return med.groupBy(*keys).agg(
         *[F.max(F.when(F.col("_name") == n, F.col("_med"))).alias(n) for n in names]

@@ -105,9 +105,10 @@ def test_hot_group_is_spread_over_many_partitions(spark):
 
     from costlens.operators.median import sorted_copy
 
-    # One key holds a third of all rows, all with the same value.
-    rows = [("hot", 1.0)] * 3000 + [(f"k{i % 600}", float(i)) for i in range(6000)]
-    df = spark.createDataFrame(rows, "k string, v double").repartition(6)
+    # One key holds a third of all rows, all with the same value (different runs).
+    rows = [("hot", 1.0, f"run{i}") for i in range(3000)]
+    rows += [(f"k{i % 600}", float(i), f"run{i}") for i in range(6000)]
+    df = spark.createDataFrame(rows, "k string, v double, run string").repartition(6)
     ordered = sorted_copy(df, ["k"], F.col("v"), 12)
     parts = ordered.where(F.col("k") == "hot").select(F.shiftright("_rid", 33).alias("p")).distinct().count()
     assert parts >= 3
