@@ -127,3 +127,17 @@ def test_global_median_without_keys(spark, method, hot):
     assert len(got) == 1
     assert same(got[0].mx, brute_median([r[2] for r in rows]))
     assert same(got[0].my, brute_median([r[3] for r in rows]))
+
+
+@pytest.mark.parametrize("partitions", [1, 3, 17])
+def test_sorted_path_independent_of_partition_count(spark, partitions):
+    rows = make_rows(seed=11)
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = {
+        (r.g, r.h): (r.mx, r.my)
+        for r in grouped_median(df, ["g", "h"], {"mx": "x", "my": "y"}, method="sort", partitions=partitions).collect()
+    }
+    exp = expected(rows)
+    assert set(got) == set(exp)
+    for k, (ex, ey) in exp.items():
+        assert same(got[k][0], ex) and same(got[k][1], ey), k
