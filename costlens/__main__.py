@@ -86,7 +86,9 @@ def run(argv: Sequence[str], spark: SparkSession) -> None:
     else:
         prices = read_prices(spark, args.prices)
         sizes = system_sizes(read_system_metadata(spark, args.metadata))
-        md = with_prices(read_fact(spark, args.md_fact), prices, sizes).where(F.col("benchmark_type") == MD)
+        md = with_prices(read_fact(spark, args.md_fact), prices, sizes).where(
+            F.col("benchmark_type") == MD
+        )
         rbfe = with_prices(read_fact(spark, args.rbfe_fact), prices, sizes).where(
             F.col("benchmark_type") == RBFE
         )

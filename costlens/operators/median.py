@@ -101,7 +101,8 @@ def sorted_copy(
     after executor loss.
     """
     key_cols = [F.col(k) for k in keys]
-    rows = df.select(*key_cols, value.alias("_v"), (tie if tie is not None else row_hash(df)).alias("_t"))
+    tiebreak = tie if tie is not None else row_hash(df)
+    rows = df.select(*key_cols, value.alias("_v"), tiebreak.alias("_t"))
     return stable_copy(
         rows.repartitionByRange(partitions, *key_cols, F.col("_v"), F.col("_t"))
         .sortWithinPartitions(*key_cols, F.col("_v"), F.col("_t"))
