@@ -6,6 +6,7 @@ or, locally, ``python -m costlens JOB ...``.
             [--region us-east-1] [--max-docs N]
     charts  --md-fact A --rbfe-fact B --prices P --metadata M --out DIR
             [--md-mps N] [--md-system S] [--rbfe-mps N] [--rbfe-system S]
+            [--median-method auto|hash|sort]
 
 The session comes from the environment (``getOrCreate``), so cluster settings
 such as ``spark.checkpoint.dir`` are those of the deployment.
@@ -66,6 +67,7 @@ def _parser() -> argparse.ArgumentParser:
     c.add_argument("--md-system")
     c.add_argument("--rbfe-mps", type=int)
     c.add_argument("--rbfe-system")
+    c.add_argument("--median-method", choices=("auto", "hash", "sort"), default="auto")
     return p
 
 
@@ -99,7 +101,7 @@ def run(argv: Sequence[str], spark: SparkSession) -> None:
             rbfe_mps=args.rbfe_mps if args.rbfe_mps is not None else sel.rbfe_mps,
             rbfe_system=args.rbfe_system or sel.rbfe_system,
         )
-        for name, table in chart_set(md, rbfe, sel).items():
+        for name, table in chart_set(md, rbfe, sel, args.median_method).items():
             table.write.mode("overwrite").parquet(f"{args.out.rstrip('/')}/{name}")
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from costlens.constants import CONCURRENCY_LEVELS
-from costlens.operators.median import grouped_median
+from costlens.operators.median import HOT_GROUP_ROWS, grouped_median
 
 SUMMARY_VALUES = {"ns_per_day": "metric_value", "ns_per_dollar": "ns_per_dollar"}
 
@@ -29,6 +29,7 @@ def by_concurrency(
     phase: str | None = None,
     median_method: str = "auto",
     sort: bool = True,
+    hot_group_rows: int = HOT_GROUP_ROWS,
 ) -> DataFrame:
     """Medians per instance type and system at one concurrency level.
 
@@ -40,7 +41,9 @@ def by_concurrency(
         F.col("mps_process_count") == F.lit(mps_process_count)
     )
     keys = ["mps_process_count", "instance_type", "system", "total_system_size"]
-    med = grouped_median(rows, keys, SUMMARY_VALUES, method=median_method)
+    med = grouped_median(
+        rows, keys, SUMMARY_VALUES, method=median_method, hot_group_rows=hot_group_rows
+    )
     out = med.select(
         "mps_process_count",
         "instance_type",
@@ -63,6 +66,7 @@ def scaling(
     order: Sequence[str] = ("mps_process_count", "instance_type"),
     median_method: str = "auto",
     sort: bool = True,
+    hot_group_rows: int = HOT_GROUP_ROWS,
 ) -> DataFrame:
     """Medians per concurrency level and instance type for one system.
 
@@ -74,7 +78,9 @@ def scaling(
         (F.col("system") == F.lit(system)) & F.col("mps_process_count").isin(list(counts))
     )
     keys = ["system", "mps_process_count", "instance_type", "total_system_size"]
-    med = grouped_median(rows, keys, SUMMARY_VALUES, method=median_method)
+    med = grouped_median(
+        rows, keys, SUMMARY_VALUES, method=median_method, hot_group_rows=hot_group_rows
+    )
     out = med.select(
         "system",
         "mps_process_count",

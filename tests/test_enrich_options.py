@@ -157,3 +157,11 @@ def test_group_size_pass_reads_only_key_columns(spark, tmp_path):
     counts = rows.groupBy(*keys).count()
     plan = counts._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<benchmark_type:string,mps_process_count:bigint,system:string,instance_type:string>" in plan
+
+
+def test_summaries_route_groups_through_the_distributed_median(spark, view):
+    forced = by_concurrency(view, "md", 1, hot_group_rows=1, sort=False).collect()
+    plain = by_concurrency(view, "md", 1, median_method="hash", sort=False).collect()
+    key = lambda r: (r.instance_type, r.system)
+    assert sorted(map(tuple, forced), key=str) == sorted(map(tuple, plain), key=str)
+    assert {key(r) for r in forced} == {key(r) for r in plain}
