@@ -165,3 +165,16 @@ def test_summaries_route_groups_through_the_distributed_median(spark, view):
     key = lambda r: (r.instance_type, r.system)
     assert sorted(map(tuple, forced), key=str) == sorted(map(tuple, plain), key=str)
     assert {key(r) for r in forced} == {key(r) for r in plain}
+
+
+def test_sql_views_bind_a_quoted_system_name(spark):
+    from costlens.plans.views import register_all, scaling_sql
+
+    fact = spark.createDataFrame(fact_rows(), schemas.FACT)
+    prices = spark.createDataFrame([("g4dn.xlarge", 0.526)], schemas.PRICES)
+    sizes = spark.createDataFrame([("o'brien", 7)], schemas.SIZES)
+    views = register_all(spark, fact.where("benchmark_type = 'md'"), fact.where("benchmark_type = 'rbfe'"), prices, sizes)
+    got = scaling_sql(spark, "md", "o'brien").collect()
+    exp = scaling(views["benchmark_costs_with_prices"], "md", "o'brien", median_method="hash").collect()
+    assert [tuple(r) for r in got] == [tuple(r) for r in exp]
+    assert {r.system for r in got} == {"o'brien"} and {r.mps_process_count for r in got} == {1, 2, 4}
