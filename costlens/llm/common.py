@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from costlens.session import scratch_dir
 from costlens.sources.tables import read_table
 
-__all__ = ["fold", "group_count", "labelled_sample", "read_table", "shared_copy"]
+__all__ = ["bounded_sample", "fold", "group_count", "read_table", "shared_copy"]
 
 
 def fold(doc_id: str | Column, folds: int) -> Column:
@@ -35,14 +35,15 @@ def group_count(spark: SparkSession, amount: float, per_group: float) -> int:
     return max(1, math.ceil(amount / per_group))
 
 
-def labelled_sample(rows: DataFrame, label: str, per_class: int, seed_column: str = "doc_id") -> DataFrame:
-    """At most ``per_class`` rows of each label value, picked by a hash of the id.
+def bounded_sample(rows: DataFrame, label: str, per_class: int) -> DataFrame:
+    """About ``per_class`` rows of each value of ``label``, picked by a hash of doc_id.
 
-    The hash order is total and independent of the partitioning, so the sample
-    is the same at every run; its size bound is ``per_class`` times the number
-    of label values.
+    The share to pick follows from the values' counts, which are the only thing
+    the driver gets; a value with fewer rows keeps them all. The same rows are
+    picked at every run, whatever the partitioning.
     """
-    from pyspark.sql import Window
-
-    order = Window.partitionBy(label).orderBy(F.xxhash64(F.col(seed_column).cast("string")), seed_column)
-    return rows.withColumn("_pick", F.row_number().over(order)).where(F.col("_pick") <= per_class).drop("_pick")
+    share = F.lit(0.0)
+    for value, n in rows.groupBy(label).count().collect():
+        share = F.when(F.col(label) == F.lit(value), F.lit(min(1.0, per_class / n))).otherwise(share)
+    u = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit(17)), F.lit(1 << 40)) / float(1 << 40)
+    return rows.where(u < share)

@@ -6,9 +6,49 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from costlens.llm.common import read_table
+from costlens.llm.common import fold, read_table
+from costlens.llm.langid import identify
 from costlens.llm.packing import pack_documents
+from costlens.llm.topk_search import sign_codes, top_k
+from costlens.llm.url_filter import url_verdicts
+
+
+#: The query's rules.
+URL_RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
+
+
+def op1_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 nearest sign codes of every embedding whose id is divisible by 100."""
+    codes = sign_codes(read_table(spark, sf_dir, "embeddings"), "vec_id", "embedding", bits=64)
+    return top_k(codes, F.col("id") % 100 == 0, k=10)
+
+
+OP1_SQL = """
+WITH v AS (
+  SELECT DISTINCT vec_id AS id, list_transform(embedding, lambda x: x > 0) AS bits FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) = 64
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), p AS (
+  SELECT q.id AS query_id, v.id AS neighbor_id,
+         CAST(list_sum(list_transform(list_zip(q.bits, v.bits), lambda z: CASE WHEN z[1] <> z[2] THEN 1 ELSE 0 END)) AS INTEGER) AS distance
+  FROM v AS q, v WHERE q.id % 100 = 0 AND v.id <> q.id
+)
+SELECT query_id, neighbor_id, distance,
+       CAST(row_number() OVER (PARTITION BY query_id ORDER BY distance, neighbor_id) AS INTEGER) AS rank
+FROM p QUALIFY rank <= 10
+"""
+
+
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's url judged by the rules, else by its host's trust and distrust."""
+    return url_verdicts(read_table(spark, sf_dir, "pages"), URL_RULES)
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learnt from the folds that are not held out."""
+    return identify(read_table(spark, sf_dir, "documents"), held_out=fold("doc_id", 4) == 2)
 
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,7 +58,12 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_topk_search": op1_topk_search,
+    "op3_url_filter": op3_url_filter,
+    "op8_language_id": op8_language_id,
     "op9_packing": op9_packing,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op1_topk_search": OP1_SQL,
+}
