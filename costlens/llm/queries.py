@@ -8,6 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from costlens.llm import quality, toxicity
+from costlens.llm.bpe_chunks import encode_documents
 from costlens.llm.common import fold, read_table
 from costlens.llm.langid import identify
 from costlens.llm.packing import pack_documents
@@ -41,11 +43,23 @@ FROM p QUALIFY rank <= 10
 """
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity of every document, learnt from labels that are not held out."""
+    labels = read_table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("label"))
+    return toxicity.judge(read_table(spark, sf_dir, "documents"), labels, held_out=fold("doc_id", 4) == 2)
+
+
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's url judged by the rules, else by its host's trust and distrust."""
     return url_verdicts(read_table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality of every document, learnt from labels that are not held out."""
+    labels = read_table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
+    return quality.judge(read_table(spark, sf_dir, "documents"), labels, held_out=fold("doc_id", 3) == 1)
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document, learnt from the folds that are not held out."""
     return identify(read_table(spark, sf_dir, "documents"), held_out=fold("doc_id", 4) == 2)
@@ -57,11 +71,26 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), capacity=1024, end_id=2)
 
 
+def op10_bpe_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded and decoded with the word-end BPE vocabulary."""
+    docs = read_table(spark, sf_dir, "documents")
+    coded = encode_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return coded.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_topk_search": op1_topk_search,
+    "op2_toxicity": op2_toxicity,
     "op3_url_filter": op3_url_filter,
+    "op6_quality": op6_quality,
     "op8_language_id": op8_language_id,
     "op9_packing": op9_packing,
+    "op10_bpe_chunks": op10_bpe_chunks,
 }
 
 ORACLE_SQL: dict[str, str] = {
