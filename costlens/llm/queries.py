@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 
 from costlens.llm import quality, toxicity
 from costlens.llm.bpe_chunks import encode_documents
-from costlens.llm.common import fold, read_table
+from costlens.llm.common import fold, read_table, shared_copy
 from costlens.llm.langid import identify
 from costlens.llm.packing import pack_documents
 from costlens.llm.topk_search import sign_codes, top_k
 from costlens.llm.url_filter import url_verdicts
+from costlens.llm.vector_graph import audit_recall, linked
 
 
 #: The query's rules.
@@ -60,6 +61,20 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(read_table(spark, sf_dir, "documents"), labels, held_out=fold("doc_id", 3) == 1)
 
 
+def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding's links with a cosine of at least 0.9, and the audit's recall beside them."""
+    nodes, units = linked(read_table(spark, sf_dir, "embeddings"), "vec_id", "embedding", least=0.9)
+    nodes = shared_copy(nodes, "linked")
+    recall = audit_recall(units, nodes, least=0.9).first()["recall"]
+    return nodes.select(
+        F.col("id").alias("vec_id"),
+        "n_links",
+        "component_id",
+        F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"),
+        F.lit(float(recall)).alias("audit_recall"),
+    )
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document, learnt from the folds that are not held out."""
     return identify(read_table(spark, sf_dir, "documents"), held_out=fold("doc_id", 4) == 2)
@@ -88,6 +103,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_toxicity": op2_toxicity,
     "op3_url_filter": op3_url_filter,
     "op6_quality": op6_quality,
+    "op7_embedding_dedup": op7_embedding_dedup,
     "op8_language_id": op8_language_id,
     "op9_packing": op9_packing,
     "op10_bpe_chunks": op10_bpe_chunks,
