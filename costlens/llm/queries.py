@@ -12,6 +12,7 @@ from costlens.llm import quality, toxicity
 from costlens.llm.bpe_chunks import encode_documents
 from costlens.llm.common import fold, read_table, shared_copy
 from costlens.llm.langid import identify
+from costlens.llm.minhash_dedup import near_duplicates
 from costlens.llm.packing import pack_documents
 from costlens.llm.topk_search import sign_codes, top_k
 from costlens.llm.url_filter import url_verdicts
@@ -55,6 +56,12 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_verdicts(read_table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the smallest id of its near-duplicate class."""
+    classes = near_duplicates(read_table(spark, sf_dir, "documents"))
+    return classes.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(True)))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The quality of every document, learnt from labels that are not held out."""
     labels = read_table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
@@ -102,6 +109,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_topk_search": op1_topk_search,
     "op2_toxicity": op2_toxicity,
     "op3_url_filter": op3_url_filter,
+    "op5_minhash_dedup": op5_minhash_dedup,
     "op6_quality": op6_quality,
     "op7_embedding_dedup": op7_embedding_dedup,
     "op8_language_id": op8_language_id,
