@@ -14,6 +14,7 @@ from costlens.llm.common import fold, read_table, shared_copy
 from costlens.llm.langid import identify
 from costlens.llm.minhash_dedup import near_duplicates
 from costlens.llm.packing import pack_documents
+from costlens.llm.suffix_dedup import remove_repeats
 from costlens.llm.topk_search import sign_codes, top_k
 from costlens.llm.url_filter import url_verdicts
 from costlens.llm.vector_graph import audit_recall, linked
@@ -56,6 +57,18 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_verdicts(read_table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the 50-byte strings that an earlier document has."""
+    cut = remove_repeats(read_table(spark, sf_dir, "documents"))
+    return cut.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the smallest id of its near-duplicate class."""
     classes = near_duplicates(read_table(spark, sf_dir, "documents"))
@@ -109,6 +122,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_topk_search": op1_topk_search,
     "op2_toxicity": op2_toxicity,
     "op3_url_filter": op3_url_filter,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_minhash_dedup": op5_minhash_dedup,
     "op6_quality": op6_quality,
     "op7_embedding_dedup": op7_embedding_dedup,
