@@ -1,18 +1,88 @@
-"""Corpus pipeline: filters, near-duplicate removal and packing over ``documents``."""
+"""Corpus pipeline: filters, near-duplicate removal, repeated passages and packing.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last
+return the columns of ``docs``. Models are trained on the labels (stage 1) and
+languages (stage 2) of the rows that the stage gets, without the held-out folds.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from costlens.llm import langid, toxicity
+from costlens.llm.common import fold, read_table, shared_copy
+from costlens.llm.minhash_dedup import near_duplicates
+from costlens.llm.packing import pack_documents
+from costlens.llm.suffix_dedup import remove_repeats
+
+TOXIC_SCORE = 0.3
+LEAST_LANGUAGE_SCORE = 0.5
+
+
+def _with_text(docs: DataFrame) -> DataFrame:
+    """(row, text): the whole row as one value, so that no column name of ``docs`` is in the way."""
+    return docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col("text").cast("string").alias("text"))
+
+
+def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a toxicity below 0.3 stay; null and empty texts do."""
+    labels = read_table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("label"))
+    labels = labels.where(fold("doc_id", 4) != 2)
+    model = toxicity.learn(docs.select("doc_id", F.col("text").cast("string").alias("text")), labels)
+    scored = toxicity.score_documents(_with_text(docs), model)
+    return scored.where(F.col("score") < TOXIC_SCORE).select("row.*")
+
+
+def language_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a learnt language stay; texts without letters, or too uncertain, go."""
+    model = langid.learn(docs.where(fold("doc_id", 4) != 2).select("doc_id", F.col("text").cast("string").alias("text"), "lang"))
+    scored = langid.classify(_with_text(docs), model)
+    return scored.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_LANGUAGE_SCORE)).select("row.*")
+
+
+def near_duplicate_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each near-duplicate class stays, once; rows without an id stay."""
+    classes = near_duplicates(docs)
+    first = classes.where("doc_id = class_id").select("doc_id").distinct()
+    kept = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return kept.unionByName(docs.where("doc_id is null")).select(*docs.columns)
+
+
+def repeated_passage_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents stay, without the 50-byte strings that an earlier one has.
+
+    Where a cut goes through a character, what is left of it goes too.
+    ``n_chars`` is that of the new text. Ids are unique after the stage before.
+    """
+    cut = remove_repeats(docs.where("doc_id is not null"))
+    text = F.replace(F.make_valid_utf8(F.col("kept").cast("string")), F.lit("�"), F.lit(""))
+    rest = docs.where("doc_id is not null").drop("text", "n_chars")
+    new = rest.join(cut.select("doc_id", text.alias("text")), "doc_id").withColumn("n_chars", F.length("text").cast("long"))
+    return new.select(*docs.columns).unionByName(docs.where("doc_id is null"))
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row per piece of a document with its place in a sequence of 1024 tokens."""
+    return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), capacity=1024, end_id=2)
+
 
-STAGES: list = []
+STAGES = [
+    ("toxicity", toxicity_filter),
+    ("language_id", language_filter),
+    ("near_duplicates", near_duplicate_filter),
+    ("repeated_passages", repeated_passage_filter),
+    ("packing", packing),
+]
 
-#: Trained models and packing have no SQL form.
+#: Trained models, alignments and packing have no SQL form.
 ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``documents`` through every stage."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    """``documents`` through every stage; each result is written to the shared folder for the next."""
+    docs = read_table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = shared_copy(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)
