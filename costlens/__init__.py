@@ -13,7 +13,6 @@ Sub-packages:
   winners, options, price-list parsing).
 * ``plans``     – user-level jobs composed of the operators (exports, price
   snapshot, chart tables, views) and the query catalogue.
-* ``streaming`` – incremental variant of the export over landing folders.
 """
 
 __all__ = ["constants", "schemas", "session"]

@@ -3,10 +3,9 @@ or, locally, ``python -m costlens JOB ...``.
 
     export  --root R --md-out A --rbfe-out B [--day-glob G] [--partition-by c1,c2] [--json-lines]
     prices  --docs D [--docs-format text|parquet] --types t1,t2 --out DIR --month YYYY-MM
-            [--region us-east-1] [--max-docs N]
+            [--region us-east-1]
     charts  --md-fact A --rbfe-fact B --prices P --metadata M --out DIR
             [--md-mps N] [--md-system S] [--rbfe-mps N] [--rbfe-system S]
-            [--median-method auto|hash|sort]
 
 The session comes from the environment (``getOrCreate``), so cluster settings
 such as ``spark.checkpoint.dir`` are those of the deployment.
@@ -23,12 +22,13 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from costlens.constants import MD, RBFE
-from costlens.operators.enrich import with_prices
+from costlens.operators.enrich import with_price
 from costlens.operators.reshape import system_sizes
-from costlens.plans.dashboard import Selection, chart_set, default_selection
+from costlens.plans.dashboard import chart_set, resolve_selection
 from costlens.plans.export import export_all
 from costlens.plans.price_snapshot import price_snapshot, write_prices
 from costlens.sources.pricelist import read_price_documents, read_price_documents_text
+from costlens.sources.runs import DEFAULT_DAY_GLOB
 from costlens.sources.tables import read_fact, read_prices, read_system_metadata
 
 
@@ -44,7 +44,7 @@ def _parser() -> argparse.ArgumentParser:
     e.add_argument("--root", required=True)
     e.add_argument("--md-out", required=True)
     e.add_argument("--rbfe-out", required=True)
-    e.add_argument("--day-glob", default="2026-*-*")
+    e.add_argument("--day-glob", default=DEFAULT_DAY_GLOB, help="day folders to read; default: all")
     e.add_argument("--partition-by", default="")
     e.add_argument("--json-lines", action="store_true", help="run files hold one document per line")
 
@@ -55,7 +55,6 @@ def _parser() -> argparse.ArgumentParser:
     r.add_argument("--out", required=True)
     r.add_argument("--month", required=True, help="snapshot month, YYYY-MM")
     r.add_argument("--region", default="us-east-1")
-    r.add_argument("--max-docs", type=int, default=None)
 
     c = sub.add_parser("charts", help="facts, prices, metadata -> chart tables (Parquet)")
     c.add_argument("--md-fact", required=True)
@@ -67,7 +66,6 @@ def _parser() -> argparse.ArgumentParser:
     c.add_argument("--md-system")
     c.add_argument("--rbfe-mps", type=int)
     c.add_argument("--rbfe-system")
-    c.add_argument("--median-method", choices=("auto", "hash", "sort"), default="auto")
     return p
 
 
@@ -82,26 +80,16 @@ def run(argv: Sequence[str], spark: SparkSession) -> None:
     elif args.job == "prices":
         read_docs = read_price_documents_text if args.docs_format == "text" else read_price_documents
         wanted = spark.createDataFrame([(t,) for t in _csv(args.types)], "instance_type string")
-        snap = price_snapshot(read_docs(spark, args.docs), wanted, args.region, args.max_docs)
+        snap = price_snapshot(read_docs(spark, args.docs), wanted, args.region)
         month = dt.datetime.strptime(args.month, "%Y-%m").date()
         write_prices(snap, args.out, month)
     else:
         prices = read_prices(spark, args.prices)
         sizes = system_sizes(read_system_metadata(spark, args.metadata))
-        md = with_prices(read_fact(spark, args.md_fact), prices, sizes).where(
-            F.col("benchmark_type") == MD
-        )
-        rbfe = with_prices(read_fact(spark, args.rbfe_fact), prices, sizes).where(
-            F.col("benchmark_type") == RBFE
-        )
-        sel = default_selection(md, rbfe)
-        sel = Selection(
-            md_mps=args.md_mps if args.md_mps is not None else sel.md_mps,
-            md_system=args.md_system or sel.md_system,
-            rbfe_mps=args.rbfe_mps if args.rbfe_mps is not None else sel.rbfe_mps,
-            rbfe_system=args.rbfe_system or sel.rbfe_system,
-        )
-        for name, table in chart_set(md, rbfe, sel, args.median_method).items():
+        md = with_price(read_fact(spark, args.md_fact), prices).where(F.col("benchmark_type") == MD)
+        rbfe = with_price(read_fact(spark, args.rbfe_fact), prices).where(F.col("benchmark_type") == RBFE)
+        sel = resolve_selection(md, rbfe, args.md_mps, args.md_system, args.rbfe_mps, args.rbfe_system)
+        for name, table in chart_set(md, rbfe, sel, sizes).items():
             table.write.mode("overwrite").parquet(f"{args.out.rstrip('/')}/{name}")
 
 

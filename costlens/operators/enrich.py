@@ -9,32 +9,43 @@ from costlens.constants import RBFE_NS_PER_EDGE
 from costlens.functions.numeric import dollars_per_edge, dollars_per_ns, ns_per_dollar
 
 
-def with_prices(fact: DataFrame, prices: DataFrame, sizes: DataFrame) -> DataFrame:
-    """Fact columns in their own order, then size, price and both ratios.
+def with_price(fact: DataFrame, prices: DataFrame) -> DataFrame:
+    """Fact columns in their own order, then price and both ratios.
 
-    Both joins are LEFT joins on equality: a fact row with an unknown instance
-    type or system keeps NULL price, size and ratios. Duplicate dimension keys
-    multiply fact rows, as in the reference. Which join strategy runs is left
-    to the planner and adaptive execution: the dimensions are broadcast only
-    when their measured size is under the broadcast threshold; otherwise the
-    joins shuffle on the key, and skewed keys on the fact side are split by
-    the adaptive skew-join rule.
+    A LEFT join on equality: a fact row with an unknown instance type keeps a
+    NULL price and NULL ratios; duplicate prices multiply its rows, as in the
+    reference. The planner and adaptive execution choose the strategy.
     """
-    b, p, s = fact.alias("b"), prices.alias("p"), sizes.alias("s")
-    joined = b.join(p, F.col("b.instance_type") == F.col("p.instance_type"), "left").join(
-        s, F.col("b.system") == F.col("s.system"), "left"
-    )
+    b, p = fact.alias("b"), prices.alias("p")
+    joined = b.join(p, F.col("b.instance_type") == F.col("p.instance_type"), "left")
     price = F.col("p.price_per_hour")
     value = F.col("b.metric_value")
     return joined.select(
         *[F.col(f"b.{c}") for c in fact.columns],
-        F.col("s.total_system_size"),
         price.alias("price_per_hour"),
         dollars_per_ns(price, value).alias("dollars_per_ns"),
         ns_per_dollar(value, price).alias("ns_per_dollar"),
     )
 
 
+def with_sizes(df: DataFrame, sizes: DataFrame) -> DataFrame:
+    """``df`` with the size of its system, NULL if unknown (LEFT join)."""
+    b, s = df.alias("b"), sizes.alias("s")
+    joined = b.join(s, F.col("b.system") == F.col("s.system"), "left")
+    return joined.select(*[F.col(f"b.{c}") for c in df.columns], F.col("s.total_system_size"))
+
+
+def with_prices(fact: DataFrame, prices: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Fact columns in their own order, then size, price and both ratios.
+
+    The row-level view. Summaries do not need it: they join the sizes to their
+    finished groups (``summarize.medians``), because a join of the fact on the
+    few systems would put it into as few tasks.
+    """
+    out = with_sizes(with_price(fact, prices), sizes)
+    return out.select(*fact.columns, "total_system_size", "price_per_hour", "dollars_per_ns", "ns_per_dollar")
+
+
 def edge_cost(
     df: DataFrame,
     ns_per_edge: float = RBFE_NS_PER_EDGE,

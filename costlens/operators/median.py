@@ -1,32 +1,18 @@
-"""Exact grouped medians that stay distributed for very large groups.
-
-``F.median`` is exact and interpolates like the reference (mean of the two
-middle values for an even count, NULLs ignored), but its aggregation state is
-the set of distinct values of a group, and the final merge of one group runs in
-a single task. A group holding a large share of all rows would therefore be
-collected into one task.
-
-``grouped_median(method="auto")`` splits the work:
-
-* group sizes are counted with a partial (map-side combined) aggregate;
-* groups with more than ``hot_group_rows`` rows are "hot". There are at most
-  ``total_rows / hot_group_rows`` of them, so their key list has a proven size
-  bound and is broadcast;
-* other groups use ``F.median`` (state bounded by ``hot_group_rows`` values);
-* hot groups use an order-statistics selection: rows are range-partitioned on
-  (group keys, value, hash of the source row) - range bounds come from
-  sampling, so one group is spread over many partitions - sorted inside
-  partitions, numbered, and
-  written to the shared checkpoint folder. Per (partition, group) segment only
-  a count and the first row number are aggregated; a window over those few
-  segment rows gives each segment its offset in the group, which locates the
-  one or two middle rows. A join on row numbers with that target list
-  (broadcast on the hot path, where its size is bounded) fetches exactly those
-  rows. No task ever holds more than one partition of the sorted copy.
-
-``method="hash"`` is ``F.median`` for everything; ``method="sort"`` sends every
-group through the selection path (no broadcast: the target list then grows
-with the number of groups).
+"""Exact grouped medians, one lazy plan for groups of every size.
+
+1. Per group, a mergeable approximate percentile (bounded state, combined
+   before the exchange) gives two values around the middle, far enough apart
+   that both middle ranks lie between them whatever its error.
+2. Every row learns its group's bracket through a join that also hashes the
+   row's values into ``ways`` salts, so a large group is spread over many
+   tasks. Rows above the bracket drop out, rows below it only count, and equal
+   values inside it become one row with a count.
+3. A running count over a group's bracket rows - a small share of the group's
+   different values - locates the one or two middle values.
+
+Nothing is collected, checkpointed or broadcast by hint, and no count decides
+between algorithms. Should a bracket ever miss a middle rank, the query fails
+instead of returning a wrong value.
 """
 
 from __future__ import annotations
@@ -36,221 +22,85 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from costlens.session import stable_copy
-
-# Rows above which a group takes the distributed selection path. F.median's
-# state for a group is at most this many distinct doubles (~100 MB), and the
-# number of hot groups is at most total_rows / HOT_GROUP_ROWS.
-HOT_GROUP_ROWS = 2_000_000
-
-_ROW_BITS = 33  # monotonically_increasing_id: partition id << 33 | row index
-
-
-def _as_col(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
-def _null_safe_on(left: str, right: str, keys: Sequence[str]) -> Column:
-    # No keys (one global group): both sides hold one group, joined on TRUE.
-    return reduce(
-        lambda a, b: a & b,
-        [F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in keys],
-        F.lit(True),
-    )
-
-
-def _hash_medians(df: DataFrame, keys: Sequence[str], values: Mapping[str, Column]) -> DataFrame:
-    return df.groupBy(*keys).agg(*[F.median(c).alias(name) for name, c in values.items()])
 
+#: Of the approximate percentile: its rank error is at most 1 / ACCURACY of a group.
+ACCURACY = 10_000
+#: The bracket reaches this many times that error to either side of the middle.
+MARGIN = 10
 
-def _midpoint(lo: Column, hi: Column) -> Column:
-    # Same interpolation as Spark's exact percentile at 0.5.
-    return F.lit(0.5) * lo + F.lit(0.5) * hi
 
+def _same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys], F.lit(True))
 
-def row_hash(df: DataFrame) -> Column:
-    """A deterministic per-row tie-breaker: 64-bit hash of every column.
 
-    Unlike a position-based id it does not change when a task is retried with
-    its input in another order, so a range shuffle keyed on it routes every
-    row to the same partition on every attempt. Rows of a hot group that
-    differ anywhere (another run, another date) get different hashes, so the
-    group can be split; only rows identical in every column stay together.
-    """
-    cols = [F.col(f.name) for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
-    return F.xxhash64(*cols) if cols else F.lit(0).cast("long")
-
-
-def sorted_copy(
-    df: DataFrame,
-    keys: Sequence[str],
-    value: Column,
-    partitions: int,
-    tie: Column | None = None,
-) -> DataFrame:
-    """(keys, _v, _rid): rows range-partitioned and sorted by (keys, value),
-    numbered, and checkpointed.
-
-    ``tie`` (default: ``row_hash(df)``) is the last sort key, so the range
-    partitioner can split a group over many partitions even when all its
-    values are equal. ``_rid`` is ``partition << 33 | position in partition``,
-    assigned after the sort; the checkpoint fixes it, so later reads see the
-    same row numbers whatever adaptive execution does to partitions, also
-    after executor loss.
-    """
-    key_cols = [F.col(k) for k in keys]
-    tiebreak = tie if tie is not None else row_hash(df)
-    rows = df.select(*key_cols, value.alias("_v"), tiebreak.alias("_t"))
-    return stable_copy(
-        rows.repartitionByRange(partitions, *key_cols, F.col("_v"), F.col("_t"))
-        .sortWithinPartitions(*key_cols, F.col("_v"), F.col("_t"))
-        .select(*key_cols, "_v", F.monotonically_increasing_id().alias("_rid"))
-    )
-
-
-def _selected_median(
+def grouped_median(
     df: DataFrame,
     keys: Sequence[str],
-    value: Column,
-    name: str,
-    partitions: int,
-    broadcast_targets: bool,
-    tie: Column | None = None,
+    values: Mapping[str, Column | str],
+    accuracy: int = ACCURACY,
+    ways: int = 32,
 ) -> DataFrame:
-    """Median of one value column per group by positional selection.
+    """Exact median of each value column per group of ``keys``.
 
-    NULL values stay in the sorted copy (they sort first in their group), so
-    every group appears in the segment table, also one with only NULLs.
+    Returns one row per group (NULL keys form their own group) with the key
+    columns followed by one column per entry of ``values``. NULL values do not
+    count; a group whose values are all NULL gets a NULL median. For an even
+    count the two middle values are averaged as Spark's ``percentile`` does.
     """
-    key_cols = [F.col(k) for k in keys]
-    ordered = sorted_copy(df, keys, value, partitions, tie)
-
-    # One row per (partition, group): non-NULL count and first non-NULL row.
-    segments = ordered.groupBy(
-        F.shiftright("_rid", _ROW_BITS).alias("_pid"), *key_cols
-    ).agg(
-        F.count("_v").alias("_cnt"),
-        F.min(F.when(F.col("_v").isNotNull(), F.col("_rid"))).alias("_start"),
-    )
-    by_group = Window.partitionBy(*key_cols)
-    before = by_group.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    segments = segments.select(
-        *key_cols,
-        "_cnt",
-        "_start",
-        F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"),
-        F.sum("_cnt").over(by_group).alias("_n"),
-    )
-
-    def target(k: Column, role: str) -> DataFrame:
-        inside = (F.col("_off") <= k) & (k < F.col("_off") + F.col("_cnt"))
-        return segments.where(inside).select(
-            (F.col("_start") + k - F.col("_off")).alias("_rid"), F.lit(role).alias("_role")
-        )
-
-    lo_k = F.floor((F.col("_n") - 1) / 2)
-    hi_k = F.floor(F.col("_n") / 2)
-    targets = target(lo_k, "lo").unionByName(target(hi_k, "hi"))
-    if broadcast_targets:
-        targets = F.broadcast(targets)
-    picked = ordered.join(targets, "_rid", "inner")
-    lo = F.max(F.when(F.col("_role") == "lo", F.col("_v")))
-    hi = F.max(F.when(F.col("_role") == "hi", F.col("_v")))
-    same = F.max(F.when(F.col("_role") == "lo", F.col("_rid"))) == F.max(
-        F.when(F.col("_role") == "hi", F.col("_rid"))
-    )
-    found = picked.groupBy(*key_cols).agg(
-        F.when(same, lo).otherwise(_midpoint(lo, hi)).alias(name)
-    ).alias("f")
-    if broadcast_targets:
-        found = F.broadcast(found)
-    groups = segments.select(*key_cols).distinct().alias("g")
-    return groups.join(found, _null_safe_on("g", "f", keys), "left").select(
-        *[F.col(f"g.{k}").alias(k) for k in keys], F.col(f"f.{name}")
+    keys, names = list(keys), list(values)
+    vals = [f"_v{i}" for i in range(len(names))]
+    cols = [F.col(c) if isinstance(c, str) else c for c in values.values()]
+    rows = df.select(*keys, *[c.cast("double").alias(v) for c, v in zip(cols, vals)])
+
+    reach = min(0.5, MARGIN / accuracy)
+    ends = F.array(F.lit(0.5 - reach), F.lit(0.5 + reach))
+    brackets = rows.groupBy(*keys).agg(
+        *[
+            F.struct(F.percentile_approx(v, ends, accuracy).alias("ends"), F.count(v).alias("n")).alias(f"_b{i}")
+            for i, v in enumerate(vals)
+        ]
     )
-
-
-def _selected_medians(
-    df: DataFrame,
-    keys: Sequence[str],
-    values: Mapping[str, Column],
-    partitions: int,
-    broadcast_targets: bool,
-) -> DataFrame:
-    """All value columns in one pass: stacked long, one sort, pivoted back.
-
-    The value name becomes part of the group key, so a single range sort and
-    a single checkpoint serve every value column.
-    """
-    names = list(values)
-    # The tie-breaker hashes the whole source row, before stacking.
-    long = df.select(
-        *keys,
-        row_hash(df).alias("_src"),
+    salted = brackets.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(ways - 1))))
+    dealt = rows.withColumn("_salt", F.pmod(F.xxhash64(*vals), F.lit(ways)).cast("int"))
+    joined = dealt.join(salted, _same_keys(dealt, salted, keys) & (dealt["_salt"] == salted["_salt"]))
+    stacked = joined.select(
+        *[dealt[k] for k in keys],
         F.inline(
             F.array(
                 *[
-                    F.struct(F.lit(n).alias("_name"), c.cast("double").alias("_value"))
-                    for n, c in values.items()
+                    F.struct(
+                        F.lit(i).alias("_k"), F.col(v).alias("_v"), F.col(f"_b{i}.n").alias("_n"),
+                        F.col(f"_b{i}.ends")[0].alias("_low"), F.col(f"_b{i}.ends")[1].alias("_high"),
+                    )
+                    for i, v in enumerate(vals)
                 ]
             )
         ),
+    )
+    # Rows below the bracket are one NULL value with a count.
+    counted = (
+        stacked.where(F.col("_v") <= F.col("_high"))
+        .groupBy(*keys, "_k", "_n", F.when(F.col("_v") >= F.col("_low"), F.col("_v")).alias("_v"))
+        .agg(F.count(F.lit(1)).alias("_c"))
     )
-    med = _selected_median(
-        long, [*keys, "_name"], F.col("_value"), "_med", partitions, broadcast_targets, F.col("_src")
+    ascending = Window.partitionBy(*keys, "_k").orderBy(F.asc_nulls_first("_v"))
+    upto = F.sum("_c").over(ascending.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ranked = counted.withColumn("_upto", upto)
+
+    def at(rank: Column) -> Column:
+        hit = (F.col("_upto") >= rank) & (F.col("_upto") - F.col("_c") < rank)
+        return F.max(F.when(hit, F.col("_v")))
+
+    low, high = F.floor((F.col("_n") + 1) / 2), F.floor(F.col("_n") / 2) + 1
+    middle = ranked.groupBy(*keys, "_k", "_n").agg(at(low).alias("_lo"), at(high).alias("_hi"))
+    value = (
+        F.when(F.col("_lo").isNull() | F.col("_hi").isNull(), F.raise_error(F.lit("median outside its bracket")))
+        .when(F.col("_n") % 2 == 1, F.col("_lo"))
+        .otherwise(F.lit(0.5) * F.col("_lo") + F.lit(0.5) * F.col("_hi"))
     )
-    return med.groupBy(*keys).agg(
-        *[F.max(F.when(F.col("_name") == n, F.col("_med"))).alias(n) for n in names]
-    )
-
-
-def grouped_median(
-    df: DataFrame,
-    keys: Sequence[str],
-    values: Mapping[str, Column | str],
-    method: str = "auto",
-    hot_group_rows: int = HOT_GROUP_ROWS,
-    partitions: int | None = None,
-) -> DataFrame:
-    """Exact median of each value column per group of ``keys``.
-
-    Returns one row per group (NULL keys form their own group) with the key
-    columns followed by one column per entry of ``values``. A group whose
-    values are all NULL gets a NULL median.
-    """
-    keys = list(keys)
-    vals = {name: _as_col(c) for name, c in values.items()}
-    if method == "hash":
-        return _hash_medians(df, keys, vals)
-    spark = df.sparkSession
-    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if method == "sort":
-        return _selected_medians(df, keys, vals, parts, broadcast_targets=False)
-    if method != "auto":
-        raise ValueError(f"unknown median method: {method}")
-
-    # At most total_rows / hot_group_rows keys: a proven bound. A broadcast
-    # ships the list through the driver anyway, so it is collected once here.
-    hot_keys = (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .where(F.col("_rows") > F.lit(hot_group_rows))
-        .select(*keys)
+    found = middle.select(*keys, "_k", value.alias("_m")).groupBy(*keys).agg(
+        *[F.max(F.when(F.col("_k") == i, F.col("_m"))).alias(name) for i, name in enumerate(names)]
     )
-    found = hot_keys.collect()
-    if not found:
-        return _hash_medians(df, keys, vals)
-    hot = spark.createDataFrame(found, hot_keys.schema)
-    hot_b = F.broadcast(hot).alias("h")
-    base = df.alias("d")
-    on = _null_safe_on("d", "h", keys)
-    hot_rows = base.join(hot_b, on, "left_semi")
-    hot_part = _selected_medians(hot_rows, keys, vals, parts, broadcast_targets=True)
-    if not keys:
-        # One global group, and it is hot: nothing is left for the hash path.
-        return hot_part
-    cold_rows = base.join(hot_b, on, "left_anti")
-    cold = _hash_medians(cold_rows, keys, vals)
-    return cold.unionByName(hot_part)
+    # Groups without any value have no row in ``found``.
+    groups = brackets.select(*keys)
+    return groups.join(found, _same_keys(groups, found, keys), "left").select(*[groups[k] for k in keys], *[found[n] for n in names])

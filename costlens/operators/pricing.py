@@ -10,7 +10,7 @@ dimension, in document order, whose unit is hourly and that has a USD price
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from costlens import schemas
@@ -64,26 +64,10 @@ def filter_products(parsed: DataFrame, region_code: str) -> DataFrame:
     return parsed.where(cond)
 
 
-def first_documents(parsed: DataFrame, max_docs: int) -> DataFrame:
-    """Keep each instance type's first ``max_docs`` documents in document order.
-
-    Models a source that returns one page of matching products. The planner
-    turns ``row_number() <= n`` into a partial per-task limit before the
-    shuffle, so a type with very many documents ships at most ``n`` rows per
-    task.
-    """
-    order = Window.partitionBy("instance_type").orderBy("doc_pos")
-    return (
-        parsed.withColumn("_n", F.row_number().over(order))
-        .where(F.col("_n") <= F.lit(max_docs))
-        .drop("_n")
-    )
-
-
 def hourly_prices(parsed: DataFrame) -> DataFrame:
     """Every hourly USD price dimension with its position in the document.
 
-    Columns: instance_type, doc_pos, term_pos, dim_pos, price_per_hour.
+    Columns: instance_type, doc_pos, term_pos, dim_pos, price_text.
     Map entries keep the document's key order, so positions follow the text.
     """
     terms = parsed.select(
@@ -97,7 +81,7 @@ def hourly_prices(parsed: DataFrame) -> DataFrame:
     )
     usd = F.try_element_at(F.col("dim.pricePerUnit"), F.lit(PRICE_CURRENCY))
     return dims.where((F.col("dim.unit") == F.lit(PRICE_UNIT)) & usd.isNotNull()).select(
-        "instance_type", "doc_pos", "term_pos", "dim_pos", usd.cast("double").alias("price_per_hour")
+        "instance_type", "doc_pos", "term_pos", "dim_pos", usd.alias("price_text")
     )
 
 
@@ -106,9 +90,10 @@ def first_hourly_price(prices: DataFrame) -> DataFrame:
 
     ``min_by`` over the position struct is a partial aggregate: each task
     keeps one candidate per instance type, so a type with a huge number of
-    documents is never gathered in one place.
+    documents is never gathered in one place. Only the chosen price is cast, so
+    a malformed later one does not fail the job.
     """
     pos = F.struct("doc_pos", "term_pos", "dim_pos")
     return prices.groupBy("instance_type").agg(
-        F.min_by("price_per_hour", pos).alias("price_per_hour")
+        F.min_by("price_text", pos).cast("double").alias("price_per_hour")
     )

@@ -1,16 +1,15 @@
 """Best option per group with a deterministic tie-break.
 
-The reference numbers rows with ``row_number()`` per system (metric order,
-then instance type ascending) and highlights rank 1. Only rank 1 is ever used,
-so no numbering is needed: the first row is the one whose ordering struct
-equals the group's ``min`` of that struct. The inputs are median summaries
-(one row per group), so the window partition of a system holds at most one
-row per instance type and concurrency level.
+The first row of a group is the one whose ordering struct equals the group's
+``min`` of that struct: a partial aggregate with one row per group, joined back.
+Where the position of every row is asked for, rows are numbered in the same
+order.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -57,33 +56,37 @@ def winners(
     specs: Sequence[tuple[str, bool, str]],
     partition: Sequence[str] = ("system",),
     tie: Sequence[str] = ("instance_type",),
+    rank: str | None = None,
 ) -> DataFrame:
     """Add one winner flag per ``(metric, ascending, flag)`` spec.
 
     The flag is TRUE on the first row of each ``partition`` group: highest
     metric (lowest when ``ascending``), NULL metrics last, then the smallest
     ``tie`` values, then the remaining columns so that only identical rows can
-    tie. A row whose metric is NULL is never flagged.
-
-    All flags come from one window over ``partition`` (``min`` of an ordering
-    struct with the whole group as frame): the input - an aggregated summary,
-    one row per group - is computed once and shuffled once, whatever the
-    number of flags.
+    tie. A row whose metric is NULL is never flagged. With ``rank``, a column
+    of that name numbers the rows of each group in the order of the first spec.
     """
     partition = list(partition)
-    group = Window.partitionBy(*partition)
-    out = df
-    for metric, ascending, flag in specs:
+    keys = []
+    for metric, ascending, _ in specs:
         rest = [
             f.name
             for f in df.schema.fields
             if f.name not in (metric, *partition, *tie) and isinstance(f.dataType, _SIMPLE)
         ]
-        key = order_key(metric, ascending, tie, rest)
-        out = out.withColumn(
-            flag, key.eqNullSafe(F.min(key).over(group)) & F.col(metric).isNotNull()
-        )
-    return out
+        keys.append(order_key(metric, ascending, tie, rest))
+    first = df.groupBy(*[F.col(c).alias(f"_g{i}") for i, c in enumerate(partition)]).agg(
+        *[F.min(key).alias(f"_first{i}") for i, key in enumerate(keys)]
+    )
+    same_group = [F.col(c).eqNullSafe(F.col(f"_g{i}")) for i, c in enumerate(partition)]
+    out = df.join(first, reduce(lambda a, b: a & b, same_group, F.lit(True)))
+    flags = {
+        flag: key.eqNullSafe(F.col(f"_first{i}")) & F.col(metric).isNotNull()
+        for i, ((metric, _, flag), key) in enumerate(zip(specs, keys))
+    }
+    if rank:
+        flags[rank] = F.row_number().over(Window.partitionBy(*partition).orderBy(keys[0]))
+    return out.withColumns(flags).select(*df.columns, *flags)
 
 
 def winner(
@@ -93,6 +96,7 @@ def winner(
     partition: Sequence[str] = ("system",),
     tie: Sequence[str] = ("instance_type",),
     flag: str = "is_winner",
+    rank: str | None = None,
 ) -> DataFrame:
     """One winner flag; see ``winners``."""
-    return winners(df, [(metric, ascending, flag)], partition, tie)
+    return winners(df, [(metric, ascending, flag)], partition, tie, rank)

@@ -1,4 +1,4 @@
-"""Median summaries of the cost-enriched fact."""
+"""Median summaries of the priced fact."""
 
 from __future__ import annotations
 
@@ -8,49 +8,50 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from costlens.constants import CONCURRENCY_LEVELS
-from costlens.operators.median import HOT_GROUP_ROWS, grouped_median
+from costlens.operators.enrich import with_sizes
+from costlens.operators.median import grouped_median
 
 SUMMARY_VALUES = {"ns_per_day": "metric_value", "ns_per_dollar": "ns_per_dollar"}
 
 
-def _filtered(
-    view: DataFrame, benchmark_type: str, phase: str | None
-) -> DataFrame:
+def _filtered(view: DataFrame, benchmark_type: str, phase: str | None) -> DataFrame:
     out = view.where(F.col("benchmark_type") == F.lit(benchmark_type))
     if phase is not None:
         out = out.where(F.col("phase") == F.lit(phase))
     return out
 
 
+def medians(view: DataFrame, keys: Sequence[str], sizes: DataFrame | None) -> DataFrame:
+    """Both medians per group of ``keys`` and system size.
+
+    With ``sizes``, ``view`` needs no size column: a system's size is joined to
+    the finished groups, not to the fact. The rows are the same, also where a
+    system has several sizes or repeated ones: each size then makes a group of
+    all the system's rows, and repeating rows does not move a median.
+    """
+    if sizes is None:
+        return grouped_median(view, [*keys, "total_system_size"], SUMMARY_VALUES)
+    return with_sizes(grouped_median(view, keys, SUMMARY_VALUES), sizes.distinct())
+
+
 def by_concurrency(
     view: DataFrame,
     benchmark_type: str,
     mps_process_count: int,
     phase: str | None = None,
-    median_method: str = "auto",
+    sizes: DataFrame | None = None,
     sort: bool = True,
-    hot_group_rows: int = HOT_GROUP_ROWS,
 ) -> DataFrame:
     """Medians per instance type and system at one concurrency level.
 
     Columns: mps_process_count, instance_type, ns_per_day, ns_per_dollar,
     system, total_system_size; sorted by system, then ns_per_day descending
     (``sort=False`` skips the global sort when the caller re-orders anyway).
+    ``sizes``: see ``medians``.
     """
-    rows = _filtered(view, benchmark_type, phase).where(
-        F.col("mps_process_count") == F.lit(mps_process_count)
-    )
-    keys = ["mps_process_count", "instance_type", "system", "total_system_size"]
-    med = grouped_median(
-        rows, keys, SUMMARY_VALUES, method=median_method, hot_group_rows=hot_group_rows
-    )
-    out = med.select(
-        "mps_process_count",
-        "instance_type",
-        "ns_per_day",
-        "ns_per_dollar",
-        "system",
-        "total_system_size",
+    rows = _filtered(view, benchmark_type, phase).where(F.col("mps_process_count") == F.lit(mps_process_count))
+    out = medians(rows, ["mps_process_count", "instance_type", "system"], sizes).select(
+        "mps_process_count", "instance_type", "ns_per_day", "ns_per_dollar", "system", "total_system_size"
     )
     if not sort:
         return out
@@ -64,9 +65,8 @@ def scaling(
     counts: Sequence[int] = CONCURRENCY_LEVELS,
     phase: str | None = None,
     order: Sequence[str] = ("mps_process_count", "instance_type"),
-    median_method: str = "auto",
+    sizes: DataFrame | None = None,
     sort: bool = True,
-    hot_group_rows: int = HOT_GROUP_ROWS,
 ) -> DataFrame:
     """Medians per concurrency level and instance type for one system.
 
@@ -77,17 +77,8 @@ def scaling(
     rows = _filtered(view, benchmark_type, phase).where(
         (F.col("system") == F.lit(system)) & F.col("mps_process_count").isin(list(counts))
     )
-    keys = ["system", "mps_process_count", "instance_type", "total_system_size"]
-    med = grouped_median(
-        rows, keys, SUMMARY_VALUES, method=median_method, hot_group_rows=hot_group_rows
-    )
-    out = med.select(
-        "system",
-        "mps_process_count",
-        "instance_type",
-        "ns_per_day",
-        "ns_per_dollar",
-        "total_system_size",
+    out = medians(rows, ["system", "mps_process_count", "instance_type"], sizes).select(
+        "system", "mps_process_count", "instance_type", "ns_per_day", "ns_per_dollar", "total_system_size"
     )
     if not sort:
         return out

@@ -19,7 +19,7 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from costlens.operators.enrich import with_prices
+from costlens.operators.enrich import with_price, with_prices
 from costlens.sources.tables import read_table
 
 UNSIZED_BRAND = "Brand#1"
@@ -77,6 +77,11 @@ def cost_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_prices(fact(spark, sf_dir), prices(spark, sf_dir), sizes(spark, sf_dir))
 
 
+def priced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact with prices and ratios, without sizes: the input of the summaries."""
+    return with_price(fact(spark, sf_dir), prices(spark, sf_dir))
+
+
 # The same model as SQL over the registered driver tables; used by the oracle.
 SQL_VIEW = """
 WITH fact AS (

@@ -40,30 +40,40 @@ def _by_system(df: DataFrame) -> DataFrame:
     )
 
 
-def md_comparison(view: DataFrame, mps_process_count: int, median_method: str = "auto") -> DataFrame:
-    """MD medians at one concurrency with throughput and cost winners per system."""
-    summary = by_concurrency(view, MD, mps_process_count, median_method=median_method, sort=False)
-    return _by_system(_flag_both(summary))
+def md_comparison(view: DataFrame, mps_process_count: int, sizes: DataFrame | None = None) -> DataFrame:
+    """MD medians at one concurrency with throughput and cost winners per system.
 
+    Here and below, ``sizes`` is given where ``view`` has no size column; the
+    sizes then join the finished groups.
+    """
+    return _by_system(_flag_both(by_concurrency(view, MD, mps_process_count, sizes=sizes, sort=False)))
 
-def rbfe_comparison(
-    view: DataFrame, mps_process_count: int, median_method: str = "auto"
-) -> DataFrame:
-    """RBFE (complex phase) medians at one concurrency with both winners."""
-    summary = by_concurrency(view, RBFE, mps_process_count, COMPLEX, median_method, sort=False)
+
+def rbfe_summary(view: DataFrame, mps_process_count: int, sizes: DataFrame | None = None) -> DataFrame:
+    """RBFE (complex phase) medians at one concurrency: what the next two tables show."""
+    return by_concurrency(view, RBFE, mps_process_count, COMPLEX, sizes=sizes, sort=False)
+
+
+def comparison_of(summary: DataFrame) -> DataFrame:
+    """A summary with both winners."""
     return _by_system(_flag_both(summary))
 
 
+def edge_cost_of(summary: DataFrame, ns_per_edge: float = RBFE_NS_PER_EDGE) -> DataFrame:
+    """Dollars per edge from a summary's ns/$, cheapest instance flagged per system."""
+    return _by_system(winner(edge_cost(summary, ns_per_edge), "dollars_per_edge", ascending=True, flag="is_winner"))
+
+
+def rbfe_comparison(view: DataFrame, mps_process_count: int, sizes: DataFrame | None = None) -> DataFrame:
+    """RBFE medians at one concurrency with both winners."""
+    return comparison_of(rbfe_summary(view, mps_process_count, sizes))
+
+
 def rbfe_edge_cost(
-    view: DataFrame,
-    mps_process_count: int,
-    ns_per_edge: float = RBFE_NS_PER_EDGE,
-    median_method: str = "auto",
+    view: DataFrame, mps_process_count: int, ns_per_edge: float = RBFE_NS_PER_EDGE, sizes: DataFrame | None = None
 ) -> DataFrame:
     """Dollars per edge from the median ns/$, cheapest instance flagged per system."""
-    summary = by_concurrency(view, RBFE, mps_process_count, COMPLEX, median_method, sort=False)
-    costed = edge_cost(summary, ns_per_edge)
-    return _by_system(winner(costed, "dollars_per_edge", ascending=True, flag="is_winner"))
+    return edge_cost_of(rbfe_summary(view, mps_process_count, sizes), ns_per_edge)
 
 
 def _scaling_order(df: DataFrame, first: str) -> DataFrame:
@@ -79,14 +89,10 @@ def _scaling_order(df: DataFrame, first: str) -> DataFrame:
 
 
 def md_scaling(
-    view: DataFrame,
-    system: str,
-    counts: Sequence[int] = CONCURRENCY_LEVELS,
-    median_method: str = "auto",
+    view: DataFrame, system: str, counts: Sequence[int] = CONCURRENCY_LEVELS, sizes: DataFrame | None = None
 ) -> DataFrame:
     """MD medians of one system over concurrency levels, with display ranks."""
-    summary = scaling(view, MD, system, counts, median_method=median_method, sort=False)
-    return _scaling_order(summary, "mps_process_count")
+    return _scaling_order(scaling(view, MD, system, counts, sizes=sizes, sort=False), "mps_process_count")
 
 
 def rbfe_scaling(
@@ -94,17 +100,8 @@ def rbfe_scaling(
     system: str,
     counts: Sequence[int] = CONCURRENCY_LEVELS,
     ns_per_edge: float = RBFE_NS_PER_EDGE,
-    median_method: str = "auto",
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
     """RBFE complex-phase medians of one system over concurrency, with edge cost."""
-    summary = scaling(
-        view,
-        RBFE,
-        system,
-        counts,
-        phase=COMPLEX,
-        order=("instance_type", "mps_process_count"),
-        median_method=median_method,
-        sort=False,
-    )
+    summary = scaling(view, RBFE, system, counts, phase=COMPLEX, sizes=sizes, sort=False)
     return _scaling_order(edge_cost(summary, ns_per_edge), "instance_type")

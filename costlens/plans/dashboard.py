@@ -1,9 +1,8 @@
 """All chart tables of the analysis for one selection, with default selections.
 
-The reference's notebook resolves each selector to its first (smallest)
-option, stops with a message when a selector has no options, and then builds
-the MD and RBFE chart tables. ``chart_set`` does the same: only the small
-option lists are collected; every table stays a lazy DataFrame.
+A selection that is not given is the smallest concurrency level or first system
+of its section; only those small option lists are collected. The tables are
+lazy: no job runs while they are built.
 """
 
 from __future__ import annotations
@@ -31,42 +30,68 @@ def _first(opts: DataFrame, message: str):
     return options.to_list(options.require_non_empty(options.default_option(opts).dropna(), message))[0]
 
 
+def _md(fact: DataFrame, mps: int | None, system: str | None) -> tuple[int, str]:
+    if mps is None:
+        mps = _first(options.concurrency_options(fact, MD), "The MD fact has no concurrency levels.")
+    if system is None:
+        system = _first(options.system_options(fact, MD), "The MD fact has no systems.")
+    return mps, system
+
+
+def _rbfe(fact: DataFrame, mps: int | None, system: str | None) -> tuple[int, str]:
+    if mps is None:
+        mps = _first(options.concurrency_options(fact, RBFE), "The RBFE fact has no concurrency levels.")
+    if system is None:
+        system = _first(options.system_options(fact, RBFE, COMPLEX), "The RBFE fact has no complex-phase systems.")
+    return mps, system
+
+
+def resolve_selection(
+    md_fact: DataFrame,
+    rbfe_fact: DataFrame,
+    md_mps: int | None = None,
+    md_system: str | None = None,
+    rbfe_mps: int | None = None,
+    rbfe_system: str | None = None,
+) -> Selection:
+    """The given values; each missing one by one small query over its own fact."""
+    return Selection(*_md(md_fact, md_mps, md_system), *_rbfe(rbfe_fact, rbfe_mps, rbfe_system))
+
+
 def default_selection(md_fact: DataFrame, rbfe_fact: DataFrame) -> Selection:
     """Smallest concurrency level and first system of each section."""
-    return Selection(
-        md_mps=_first(
-            options.concurrency_options(md_fact, MD), "No MD benchmark data available for MPS selection."
-        ),
-        md_system=_first(options.system_options(md_fact, MD), "No MD systems available."),
-        rbfe_mps=_first(
-            options.concurrency_options(rbfe_fact, RBFE),
-            "No RBFE benchmark data available for MPS selection.",
-        ),
-        rbfe_system=_first(
-            options.system_options(rbfe_fact, RBFE, COMPLEX), "No RBFE systems available."
-        ),
-    )
+    return resolve_selection(md_fact, rbfe_fact)
+
+
+def md_tables(view: DataFrame, mps: int, system: str, sizes: DataFrame | None = None) -> dict[str, DataFrame]:
+    return {
+        "md_comparison": chart_tables.md_comparison(view, mps, sizes),
+        "md_scaling": chart_tables.md_scaling(view, system, sizes=sizes),
+    }
+
+
+def rbfe_tables(view: DataFrame, mps: int, system: str, sizes: DataFrame | None = None) -> dict[str, DataFrame]:
+    summary = chart_tables.rbfe_summary(view, mps, sizes)
+    return {
+        "rbfe_comparison": chart_tables.comparison_of(summary),
+        "rbfe_edge_cost": chart_tables.edge_cost_of(summary),
+        "rbfe_scaling": chart_tables.rbfe_scaling(view, system, sizes=sizes),
+    }
 
 
 def chart_set(
     md_view: DataFrame,
     rbfe_view: DataFrame,
     selection: Selection | None = None,
-    median_method: str = "auto",
+    sizes: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
     """The five chart tables for ``selection`` (defaults when not given).
 
-    ``md_view`` / ``rbfe_view`` are cost-enriched facts (``with_prices``).
+    The views are priced facts (``with_price``) with ``sizes``, or cost-enriched
+    facts (``with_prices``) without.
     """
     sel = selection or default_selection(md_view, rbfe_view)
     return {
-        "md_comparison": chart_tables.md_comparison(md_view, sel.md_mps, median_method),
-        "md_scaling": chart_tables.md_scaling(md_view, sel.md_system, median_method=median_method),
-        "rbfe_comparison": chart_tables.rbfe_comparison(rbfe_view, sel.rbfe_mps, median_method),
-        "rbfe_edge_cost": chart_tables.rbfe_edge_cost(
-            rbfe_view, sel.rbfe_mps, median_method=median_method
-        ),
-        "rbfe_scaling": chart_tables.rbfe_scaling(
-            rbfe_view, sel.rbfe_system, median_method=median_method
-        ),
+        **md_tables(md_view, sel.md_mps, sel.md_system, sizes),
+        **rbfe_tables(rbfe_view, sel.rbfe_mps, sel.rbfe_system, sizes),
     }

@@ -122,16 +122,3 @@ SELECT s_name AS instance_type,
        CASE WHEN s_nationkey >= 16 AND s_nationkey < 19 THEN s_acctbal + 1 END AS price_per_hour
 FROM supplier
 """
-
-# With one document per type (first page of one): a type whose first
-# matching document has no on-demand terms gets no price.
-EXPECTED_FIRST_PAGE_SQL = """
-SELECT s_name AS instance_type,
-       CASE WHEN s_nationkey = 24 THEN NULL
-            WHEN s_acctbal <= 0 THEN NULL
-            WHEN s_nationkey < 5 THEN s_acctbal
-            WHEN s_nationkey < 10 THEN s_acctbal * 2
-            WHEN s_nationkey < 13 THEN 0.0
-            ELSE s_acctbal END AS price_per_hour
-FROM supplier
-"""

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 from costlens.operators.pricing import (
     filter_products,
-    first_documents,
     first_hourly_price,
     hourly_prices,
     location_name,
@@ -21,20 +20,15 @@ def price_snapshot(
     docs: DataFrame,
     wanted: DataFrame,
     region_code: str = "us-east-1",
-    max_docs: int | None = None,
 ) -> DataFrame:
     """One row per wanted instance type with its first hourly USD price.
 
     ``docs``: ``(doc_pos, doc)``; ``wanted``: a column ``instance_type``. A
     type without a qualifying price keeps its row with a NULL price. The
-    region code is checked before any job runs. ``max_docs`` limits each type
-    to its first matching documents (one result page); default: all.
+    region code is checked before any job runs. All documents count.
     """
     location_name(region_code)
-    parsed = filter_products(parse_price_list(docs), region_code)
-    if max_docs is not None:
-        parsed = first_documents(parsed, max_docs)
-    first = first_hourly_price(hourly_prices(parsed))
+    first = first_hourly_price(hourly_prices(filter_products(parse_price_list(docs), region_code)))
     return wanted.select("instance_type").join(first, "instance_type", "left")
 
 
@@ -44,9 +38,12 @@ def snapshot_label(snapshot_month: dt.date) -> str:
 
 
 def write_prices(df: DataFrame, out_dir: str, snapshot_month: dt.date) -> str:
-    """Write JSON Lines to ``<out_dir>/<YYYY-MM>-pricing.json`` (a folder); returns it."""
+    """Write JSON Lines to ``<out_dir>/<YYYY-MM>-pricing.json`` (a folder); returns it.
+
+    A type without a price is written with an explicit null.
+    """
     path = f"{out_dir.rstrip('/')}/{snapshot_label(snapshot_month)}-pricing.json"
-    df.select("instance_type", "price_per_hour").write.mode("overwrite").json(path)
+    df.select("instance_type", "price_per_hour").write.mode("overwrite").json(path, ignoreNullFields=False)
     return path
 
 

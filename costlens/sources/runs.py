@@ -32,7 +32,7 @@ from costlens.constants import (
 from costlens.functions.paths import decode_path, run_date_from_path, run_id_from_path
 
 RUN_FILES = (MD_OUTPUT_FILE, RBFE_OUTPUT_FILE, MANIFEST_FILE)
-DEFAULT_DAY_GLOB = "2026-*-*"
+DEFAULT_DAY_GLOB = "*-*-*"  # all day folders, of any year
 
 # JSON options: NaN / Infinity tokens are accepted (Spark's default), kept
 # explicit because the finite filter depends on seeing them.

@@ -1,4 +1,5 @@
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,7 +8,7 @@ from costlens import schemas
 from costlens.constants import CONCURRENCY_LEVELS, INSTANCE_ORDER
 from costlens.functions.ordering import domain_order
 from costlens.operators import options
-from costlens.operators.enrich import edge_cost, with_prices
+from costlens.operators.enrich import edge_cost, with_price, with_prices
 from costlens.operators.summarize import by_concurrency, scaling
 
 
@@ -117,7 +118,7 @@ def test_summary_filters_reach_the_scan(spark, tmp_path):
     from costlens.sources.tables import read_fact
 
     v = with_prices(read_fact(spark, path), spark.createDataFrame([], schemas.PRICES), spark.createDataFrame([], schemas.SIZES))
-    plan = by_concurrency(v, "md", 1, median_method="hash")._jdf.queryExecution().executedPlan().toString()
+    plan = by_concurrency(v, "md", 1)._jdf.queryExecution().executedPlan().toString()
     # Filters on the view reach the fact scan below both left joins ...
     assert "PushedFilters: [IsNotNull(benchmark_type), IsNotNull(mps_process_count), EqualTo(benchmark_type,md)" in plan
     # ... and only the used columns are read (no run_date, run_id, phase, ami).
@@ -159,22 +160,52 @@ def test_group_size_pass_reads_only_key_columns(spark, tmp_path):
     assert "ReadSchema: struct<benchmark_type:string,mps_process_count:bigint,system:string,instance_type:string>" in plan
 
 
-def test_summaries_route_groups_through_the_distributed_median(spark, view):
-    forced = by_concurrency(view, "md", 1, hot_group_rows=1, sort=False).collect()
-    plain = by_concurrency(view, "md", 1, median_method="hash", sort=False).collect()
-    key = lambda r: (r.instance_type, r.system)
-    assert sorted(map(tuple, forced), key=str) == sorted(map(tuple, plain), key=str)
-    assert {key(r) for r in forced} == {key(r) for r in plain}
+def test_sizes_joined_to_groups_equal_sizes_in_the_fact(spark):
+    fact = spark.createDataFrame(fact_rows(), schemas.FACT)
+    prices = spark.createDataFrame([("g4dn.xlarge", 0.526), ("g5.xlarge", 1.006)], schemas.PRICES)
+    # A system with two sizes, one of them twice.
+    sizes = spark.createDataFrame([("bace", 1), ("bace", 2), ("bace", 2), ("p38", 3)], schemas.SIZES)
+    late = by_concurrency(with_price(fact, prices), "md", 1, sizes=sizes)
+    early = by_concurrency(with_prices(fact, prices, sizes), "md", 1)
+    assert sorted(map(str, late.collect())) == sorted(map(str, early.collect()))
+    assert late.columns == early.columns
+
+
+def test_fact_rows_are_not_exchanged_by_system(spark):
+    fact = spark.createDataFrame(fact_rows(), schemas.FACT)
+    prices = spark.createDataFrame([("g5.xlarge", 1.0)], schemas.PRICES)
+    sizes = spark.createDataFrame([("bace", 1)], schemas.SIZES)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = by_concurrency(with_price(fact, prices), "md", 1, sizes=sizes, sort=False)
+        text = plan._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    by_system = [line for line in text.splitlines() if re.search(r"Exchange hashpartitioning\(system#\d+, \d", line)]
+    assert len(by_system) == 2  # the finished groups and the sizes
 
 
-def test_sql_views_bind_a_quoted_system_name(spark):
-    from costlens.plans.views import register_all, scaling_sql
+def test_views_take_a_quoted_system_name(spark):
+    from costlens.plans.views import COST_VIEW, register_all
 
     fact = spark.createDataFrame(fact_rows(), schemas.FACT)
     prices = spark.createDataFrame([("g4dn.xlarge", 0.526)], schemas.PRICES)
     sizes = spark.createDataFrame([("o'brien", 7)], schemas.SIZES)
-    views = register_all(spark, fact.where("benchmark_type = 'md'"), fact.where("benchmark_type = 'rbfe'"), prices, sizes)
-    got = scaling_sql(spark, "md", "o'brien").collect()
-    exp = scaling(views["benchmark_costs_with_prices"], "md", "o'brien", median_method="hash").collect()
-    assert [tuple(r) for r in got] == [tuple(r) for r in exp]
+    register_all(spark, fact.where("benchmark_type = 'md'"), fact.where("benchmark_type = 'rbfe'"), prices, sizes)
+    got = scaling(spark.table(COST_VIEW), "md", "o'brien").collect()
     assert {r.system for r in got} == {"o'brien"} and {r.mps_process_count for r in got} == {1, 2, 4}
+
+
+def test_charts_resolve_only_what_is_missing(spark, view):
+    from costlens.plans.dashboard import chart_set, resolve_selection
+
+    md = view.where(F.col("benchmark_type") == "md")
+    spark.sparkContext.setJobGroup("charts", "no job may run for given values")
+    try:
+        sel = resolve_selection(md, md.where("false"), 1, "bace", 2, "p38")
+        chart_set(md, md.where("false"), sel)
+        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("charts")) == 0
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+    assert (sel.rbfe_mps, sel.rbfe_system) == (2, "p38")

@@ -3,6 +3,7 @@ import json
 
 import pytest
 
+from costlens import schemas
 from costlens.operators.pricing import UnknownRegionError
 from costlens.plans.price_snapshot import price_snapshot, read_snapshot, snapshot_label, write_prices
 from costlens.sources.pricelist import read_price_documents_text
@@ -120,12 +121,17 @@ def test_parquet_documents(spark, tmp_path, docs, wanted):
     assert got == EXPECTED_EAST
 
 
-def test_first_page_limit_is_applied_per_type_before_the_shuffle(spark, docs, wanted):
-    from costlens.operators.pricing import filter_products, first_documents, parse_price_list
+def test_only_the_chosen_price_is_cast(spark):
+    from costlens.operators.pricing import first_hourly_price
 
-    got = {r.instance_type: r.price_per_hour for r in price_snapshot(docs, wanted, "us-east-1", max_docs=1).collect()}
-    # a.large's first matching document has no on-demand terms: no price on page one.
-    assert got == {**EXPECTED_EAST, "a.large": None}
-    limited = first_documents(filter_products(parse_price_list(docs), "us-east-1"), 1)
-    plan = limited._jdf.queryExecution().executedPlan().toString()
-    assert "WindowGroupLimit" in plan and "Partial" in plan
+    rows = [("a", 1, 0, 0, "0.5"), ("a", 2, 0, 0, "n/a"), ("b", 3, 0, 1, "0.7")]
+    prices = spark.createDataFrame(rows, "instance_type string, doc_pos int, term_pos int, dim_pos int, price_text string")
+    assert sorted(map(tuple, first_hourly_price(prices).collect())) == [("a", 0.5), ("b", 0.7)]
+
+
+def test_a_type_without_a_price_is_written_as_null(spark, tmp_path):
+    snap = spark.createDataFrame([("x", None)], schemas.PRICES)
+    path = write_prices(snap, str(tmp_path), dt.date(2026, 4, 1))
+    assert [json.loads(line) for r in spark.read.text(path).collect() for line in [r.value]] == [
+        {"instance_type": "x", "price_per_hour": None}
+    ]

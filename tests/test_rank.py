@@ -52,3 +52,9 @@ def test_null_system_is_its_own_group(spark):
     rows = [(None, "g4", 1.0), (None, "g5", 2.0), ("a", "g4", 0.5)]
     f = flags(spark, rows)
     assert f[(None, "g5")] and f[("a", "g4")] and not f[(None, "g4")]
+
+
+def test_rank_numbers_every_row(spark):
+    rows = [("a", "g5", 2.0), ("a", "g4", 2.0), ("a", "g6", None), ("b", "g6", 3.0)]
+    got = {(r.system, r.instance_type): (r.rank, r.is_winner) for r in winner(spark.createDataFrame(rows, SCHEMA), "m", rank="rank").collect()}
+    assert got == {("a", "g4"): (1, True), ("a", "g5"): (2, False), ("a", "g6"): (3, False), ("b", "g6"): (1, True)}
