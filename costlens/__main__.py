@@ -1,7 +1,7 @@
 """Command-line jobs: ``spark-submit --py-files costlens.zip costlens/__main__.py JOB ...``
 or, locally, ``python -m costlens JOB ...``.
 
-    export  --root R --md-out A --rbfe-out B [--day-glob G] [--partition-by c1,c2] [--json-lines]
+    export  --root R --md-out A --rbfe-out B [--day-glob G] [--partition-by c1,c2] [--rejects-out R]
     prices  --docs D [--docs-format text|parquet] --types t1,t2 --out DIR --month YYYY-MM
             [--region us-east-1]
     charts  --md-fact A --rbfe-fact B --prices P --metadata M --out DIR
@@ -46,7 +46,7 @@ def _parser() -> argparse.ArgumentParser:
     e.add_argument("--rbfe-out", required=True)
     e.add_argument("--day-glob", default=DEFAULT_DAY_GLOB, help="day folders to read; default: all")
     e.add_argument("--partition-by", default="")
-    e.add_argument("--json-lines", action="store_true", help="run files hold one document per line")
+    e.add_argument("--rejects-out", help="leave unreadable files out and list them here; default: fail")
 
     r = sub.add_parser("prices", help="landed price-list documents -> price snapshot")
     r.add_argument("--docs", required=True)
@@ -75,7 +75,7 @@ def run(argv: Sequence[str], spark: SparkSession) -> None:
         export_all(
             spark, args.root, args.md_out, args.rbfe_out,
             day_glob=args.day_glob, partition_by=_csv(args.partition_by) or None,
-            lines=args.json_lines,
+            rejects_out=args.rejects_out,
         )
     elif args.job == "prices":
         read_docs = read_price_documents_text if args.docs_format == "text" else read_price_documents

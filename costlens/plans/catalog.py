@@ -8,8 +8,9 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from costlens.constants import CONCURRENCY_LEVELS, INSTANCE_ORDER, MD, RBFE
@@ -23,12 +24,12 @@ from costlens.operators.quality import duplicate_keys, finite
 from costlens.operators.rank import winner
 from costlens.operators.summarize import SUMMARY_VALUES, by_concurrency, medians
 from costlens.plans import adapter, chart_tables, price_fixture, run_fixture, views
-from costlens.plans.export import md_export, rbfe_export
+from costlens.plans.export import export_rejects, md_export, rbfe_export
 from costlens.plans.price_snapshot import price_snapshot, read_snapshot, write_prices
 from costlens import schemas
-from costlens.constants import MD_OUTPUT_FILE
+from costlens.constants import MD_OUTPUT_FILE, RBFE_OUTPUT_FILE
 from costlens.session import scratch_dir
-from costlens.sources.runs import manifests, read_run_tree, run_outputs, unmatched_paths
+from costlens.sources.runs import manifests, parse_manifests, read_run_tree, run_outputs, unmatched_paths
 from costlens.sources.tables import read_fact
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -331,7 +332,7 @@ def q_domain_order(spark: SparkSession, d: str) -> DataFrame:
 def _export_roundtrip(spark: SparkSession, d: str, export) -> DataFrame:
     root = run_fixture.tree_for(spark, d)
     out = scratch_dir(spark, "fact")
-    export(spark, root, out, day_glob=run_fixture.DAY_GLOB)
+    export(spark, root, out, on_bad="reject")
     return read_fact(spark, out)
 
 
@@ -343,19 +344,30 @@ def q_rbfe_export_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     return _export_roundtrip(spark, d, rbfe_export)
 
 
+def _relative(path: str) -> Column:
+    return F.regexp_extract(path, r"runs/.*$", 0).alias("rel_path")
+
+
 def q_unmatched_run_files(spark: SparkSession, d: str) -> DataFrame:
-    """Run files whose path gives no run id (reported, not exported)."""
-    tree = read_run_tree(spark, run_fixture.tree_for(spark, d), run_fixture.DAY_GLOB)
-    outputs = run_outputs(tree, MD_OUTPUT_FILE, schemas.md_output())
-    return unmatched_paths(outputs).select(
-        F.regexp_extract("path", r"runs/.*$", 0).alias("rel_path")
-    )
+    """Run files of all kinds whose path gives no run id."""
+    tree = read_run_tree(spark, run_fixture.tree_for(spark, d))
+    parsed = [
+        run_outputs(tree, MD_OUTPUT_FILE, schemas.md_output(), "reject"),
+        run_outputs(tree, RBFE_OUTPUT_FILE, schemas.rbfe_output(), "reject"),
+        parse_manifests(tree, "reject"),
+    ]
+    return reduce(DataFrame.unionByName, map(unmatched_paths, parsed)).select(_relative("path"))
+
+
+def q_rejected_run_files(spark: SparkSession, d: str) -> DataFrame:
+    """What the exports leave out, and why."""
+    return export_rejects(read_run_tree(spark, run_fixture.tree_for(spark, d))).select(_relative("path"), "reason")
 
 
 def q_duplicate_manifests(spark: SparkSession, d: str) -> DataFrame:
     """Run ids with more than one manifest: they multiply fact rows."""
-    tree = read_run_tree(spark, run_fixture.tree_for(spark, d), run_fixture.DAY_GLOB)
-    return duplicate_keys(manifests(tree), ["run_id"])
+    tree = read_run_tree(spark, run_fixture.tree_for(spark, d))
+    return duplicate_keys(manifests(tree, on_bad="reject"), ["run_id"])
 
 
 def q_price_snapshot(spark: SparkSession, d: str) -> DataFrame:
@@ -406,6 +418,7 @@ QUERIES: dict[str, QueryFn] = {
     "md_export_roundtrip": q_md_export_roundtrip,
     "rbfe_export_roundtrip": q_rbfe_export_roundtrip,
     "unmatched_run_files": q_unmatched_run_files,
+    "rejected_run_files": q_rejected_run_files,
     "duplicate_manifests": q_duplicate_manifests,
     "price_snapshot": q_price_snapshot,
     "price_filter": q_price_filter,
@@ -446,6 +459,7 @@ COVERS: dict[str, tuple[str, ...]] = {
     "md_export_roundtrip": ("S2", "S5", "S7", "S8", "X1", "X3", "F1", "R2", "J1", "F2", "P4", "P5", "K1", "C1"),
     "rbfe_export_roundtrip": ("S3", "S6", "S7", "S8", "P7", "P8", "R3", "X2", "X5", "J2", "F2", "K2", "C2"),
     "unmatched_run_files": ("S8", "X1"),
+    "rejected_run_files": ("S5", "S6", "S7"),
     "duplicate_manifests": ("S7", "F1"),
     "price_snapshot": ("S10", "F9", "J5", "X11", "X12", "F10", "G8", "J6", "K3", "S1", "X13", "C3"),
     "price_filter": ("F9", "J5", "J6"),
@@ -514,16 +528,15 @@ ORACLE_SQL: dict[str, str] = {
     + "SELECT DISTINCT system FROM fact WHERE benchmark_type = 'md' ORDER BY system",
     "default_options": _V
     + "SELECT min(mps_process_count) AS mps_process_count FROM fact WHERE benchmark_type = 'md'",
-    "unpivot_metrics": "SELECT l_orderkey, l_linenumber, metric, value FROM ("
-    "SELECT l_orderkey, l_linenumber, l_quantity AS quantity, NULLIF(l_discount, 0) AS discount, "
-    "l_tax AS tax FROM lineitem) UNPIVOT (value FOR metric IN (quantity, discount, tax))",
-    "rbfe_unpivot_phases": "SELECT l_orderkey, l_linenumber, "
-    "regexp_replace(metric, '_(complex|solvent)$', '') AS name, "
-    "CASE WHEN metric LIKE '%_complex' THEN 'complex' WHEN metric LIKE '%_solvent' THEN 'solvent' END AS phase, "
-    "value FROM (SELECT l_orderkey, l_linenumber, l_extendedprice AS price_complex, "
-    "NULLIF(l_discount, 0) AS price_solvent, NULLIF(l_tax, 0) AS tax_complex, "
-    "l_quantity AS tax_solvent FROM lineitem) "
-    "UNPIVOT (value FOR metric IN (price_complex, price_solvent, tax_complex, tax_solvent))",
+    "unpivot_metrics": "SELECT l_orderkey, l_linenumber, 'quantity' AS metric, l_quantity AS value FROM lineitem "
+    "WHERE l_quantity IS NOT NULL UNION ALL "
+    "SELECT l_orderkey, l_linenumber, 'discount', l_discount FROM lineitem WHERE l_discount <> 0 UNION ALL "
+    "SELECT l_orderkey, l_linenumber, 'tax', l_tax FROM lineitem WHERE l_tax IS NOT NULL",
+    "rbfe_unpivot_phases": "SELECT l_orderkey, l_linenumber, 'price' AS name, 'complex' AS phase, l_extendedprice AS value "
+    "FROM lineitem WHERE l_extendedprice IS NOT NULL UNION ALL "
+    "SELECT l_orderkey, l_linenumber, 'price', 'solvent', l_discount FROM lineitem WHERE l_discount <> 0 UNION ALL "
+    "SELECT l_orderkey, l_linenumber, 'tax', 'complex', l_tax FROM lineitem WHERE l_tax <> 0 UNION ALL "
+    "SELECT l_orderkey, l_linenumber, 'tax', 'solvent', l_quantity FROM lineitem WHERE l_quantity IS NOT NULL",
     "system_sizes": "SELECT p_type AS system, CAST(SUM(p_size) AS BIGINT) AS total_system_size "
     "FROM part GROUP BY p_type",
     "finite_filter": f"SELECT l_orderkey, l_linenumber, value FROM (SELECT l_orderkey, "
@@ -541,19 +554,16 @@ ORACLE_SQL: dict[str, str] = {
     "regexp_extract(url, '^https?://[^/]+/([a-z]{2})/', 1) AS lang, "
     "regexp_replace(url, '[?#].*$', '') AS base, "
     "regexp_replace(regexp_replace(url, '[?#].*$', ''), '\\.html$', '') AS stem FROM pages",
-    "run_path_extract": "WITH p AS (SELECT event_id, 's3a://bucket/runs/' || strftime(ts, '%Y-%m-%d') "
-    "|| CASE WHEN event_type = 'view' THEN '/nested' ELSE '' END || '/' || event_type || '-' "
-    "|| CAST(event_id AS VARCHAR) || CASE WHEN event_type = 'click' THEN '/manifest.json' "
-    "ELSE '/output/md_benchmark.out' END AS path FROM events) "
-    "SELECT event_id, regexp_extract(path, 'runs/([0-9]{4}-[0-9]{2}-[0-9]{2})/', 1) AS run_date, "
-    "regexp_extract(path, 'runs/([^/]+)/([^/]+)/output/md_benchmark\\.out$', 2) AS run_id, "
-    "regexp_extract(path, 'runs/([^/]+)/([^/]+)/manifest\\.json$', 2) AS manifest_run_id FROM p",
+    "run_path_extract": "SELECT event_id, strftime(ts, '%Y-%m-%d') AS run_date, "
+    "CASE WHEN event_type NOT IN ('view', 'click') THEN event_type || '-' || event_id ELSE '' END AS run_id, "
+    "CASE WHEN event_type = 'click' THEN event_type || '-' || event_id ELSE '' END AS manifest_run_id FROM events",
     "domain_order": f"SELECT DISTINCT CAST(l_linenumber AS BIGINT) AS mps_process_count, "
     f"CAST(list_position({_MPS_LIST}, CAST(l_linenumber AS BIGINT)) AS BIGINT) AS mps_rank "
     f"FROM lineitem",
     "md_export_roundtrip": run_fixture.expected_md_sql(),
     "rbfe_export_roundtrip": run_fixture.expected_rbfe_sql(),
     "unmatched_run_files": run_fixture.EXPECTED_UNMATCHED_SQL,
+    "rejected_run_files": run_fixture.EXPECTED_REJECTED_SQL,
     "duplicate_manifests": run_fixture.EXPECTED_DUPLICATE_MANIFESTS_SQL,
     "price_snapshot": price_fixture.EXPECTED_EAST_SQL,
     "price_filter": price_fixture.EXPECTED_WEST_SQL,

@@ -29,6 +29,7 @@ from costlens.sources.runs import (
     manifests,
     matched_runs,
     read_run_tree,
+    rejected_files,
     run_outputs,
 )
 
@@ -62,14 +63,11 @@ def md_fact(
     tree: DataFrame,
     systems: Sequence[str] = DEFAULT_SYSTEMS,
     version: int = MANIFEST_SCHEMA_VERSION,
-    strict: bool = False,
-    lines: bool = False,
+    on_bad: str = "fail",
 ) -> DataFrame:
-    """MD fact from a listed run tree (``lines``: one document per line)."""
-    raw = matched_runs(
-        run_outputs(tree, MD_OUTPUT_FILE, schemas.md_output(systems), lines), strict
-    )
-    return build_fact(md_long(raw, systems), manifests(tree, version), MD, "ns_per_day")
+    """MD fact from a listed run tree; ``on_bad``: fail at, or leave out, unreadable files."""
+    raw = matched_runs(run_outputs(tree, MD_OUTPUT_FILE, schemas.md_output(systems), on_bad), on_bad)
+    return build_fact(md_long(raw, systems), manifests(tree, version, on_bad), MD, "ns_per_day")
 
 
 def rbfe_fact(
@@ -77,14 +75,19 @@ def rbfe_fact(
     systems: Sequence[str] = DEFAULT_SYSTEMS,
     phases: Sequence[str] = RBFE_PHASES,
     version: int = MANIFEST_SCHEMA_VERSION,
-    strict: bool = False,
-    lines: bool = False,
+    on_bad: str = "fail",
 ) -> DataFrame:
-    """RBFE fact from a listed run tree (``lines``: one document per line)."""
-    raw = matched_runs(
-        run_outputs(tree, RBFE_OUTPUT_FILE, schemas.rbfe_output(systems, phases), lines), strict
-    )
-    return build_fact(rbfe_long(raw, systems, phases), manifests(tree, version), RBFE, "metric_value")
+    """RBFE fact from a listed run tree; ``on_bad`` as in ``md_fact``."""
+    raw = matched_runs(run_outputs(tree, RBFE_OUTPUT_FILE, schemas.rbfe_output(systems, phases), on_bad), on_bad)
+    return build_fact(rbfe_long(raw, systems, phases), manifests(tree, version, on_bad), RBFE, "metric_value")
+
+
+def export_rejects(
+    tree: DataFrame, systems: Sequence[str] = DEFAULT_SYSTEMS, phases: Sequence[str] = RBFE_PHASES
+) -> DataFrame:
+    """(path, reason) of every run file that an export with ``on_bad="reject"`` leaves out."""
+    kinds = {MD_OUTPUT_FILE: schemas.md_output(systems), RBFE_OUTPUT_FILE: schemas.rbfe_output(systems, phases)}
+    return rejected_files(tree, kinds)
 
 
 def write_fact(df: DataFrame, path: str, partition_by: Sequence[str] | None = None) -> None:
@@ -102,11 +105,10 @@ def md_export(
     systems: Sequence[str] = DEFAULT_SYSTEMS,
     day_glob: str = DEFAULT_DAY_GLOB,
     version: int = MANIFEST_SCHEMA_VERSION,
-    strict: bool = False,
-    lines: bool = False,
+    on_bad: str = "fail",
 ) -> DataFrame:
     """MD fact from the run tree under ``root``; written to ``out`` when given."""
-    fact = md_fact(read_run_tree(spark, root, day_glob), systems, version, strict, lines)
+    fact = md_fact(read_run_tree(spark, root, day_glob), systems, version, on_bad)
     if out:
         write_fact(fact, out)
     return fact
@@ -119,13 +121,10 @@ def rbfe_export(
     systems: Sequence[str] = DEFAULT_SYSTEMS,
     day_glob: str = DEFAULT_DAY_GLOB,
     version: int = MANIFEST_SCHEMA_VERSION,
-    strict: bool = False,
-    lines: bool = False,
+    on_bad: str = "fail",
 ) -> DataFrame:
     """RBFE fact (two phases per system) from the run tree under ``root``."""
-    fact = rbfe_fact(
-        read_run_tree(spark, root, day_glob), systems, RBFE_PHASES, version, strict, lines
-    )
+    fact = rbfe_fact(read_run_tree(spark, root, day_glob), systems, RBFE_PHASES, version, on_bad)
     if out:
         write_fact(fact, out)
     return fact
@@ -140,15 +139,21 @@ def export_all(
     day_glob: str = DEFAULT_DAY_GLOB,
     version: int = MANIFEST_SCHEMA_VERSION,
     partition_by: Sequence[str] | None = None,
-    lines: bool = False,
+    rejects_out: str | None = None,
 ) -> None:
     """Both exports from one listing of the tree.
 
+    An unreadable or misplaced file fails the job, unless ``rejects_out`` says
+    where to write (path, reason) of the files left out.
+
     The two facts share one tree ``DataFrame`` and therefore one file listing
     (and one consistent file set). Each scan filters on file metadata only,
     so Spark opens just the files of its kind: MD outputs, RBFE outputs and
     manifests; nothing is cached.
     """
     tree = read_run_tree(spark, root, day_glob)
-    write_fact(md_fact(tree, systems, version, lines=lines), md_out, partition_by)
-    write_fact(rbfe_fact(tree, systems, RBFE_PHASES, version, lines=lines), rbfe_out, partition_by)
+    on_bad = "reject" if rejects_out else "fail"
+    if rejects_out:
+        export_rejects(tree, systems).write.mode("overwrite").parquet(rejects_out)
+    write_fact(md_fact(tree, systems, version, on_bad), md_out, partition_by)
+    write_fact(rbfe_fact(tree, systems, RBFE_PHASES, version, on_bad), rbfe_out, partition_by)

@@ -44,6 +44,8 @@ def _filesystem(root: str):
 
     if root.startswith("file:"):
         return pafs.LocalFileSystem(), urlparse(root).path
+    if root.startswith(("s3a:", "s3n:")):
+        root = "s3" + root[3:]
     if "://" not in root:
         return pafs.LocalFileSystem(), root
     return pafs.FileSystem.from_uri(root)
@@ -171,7 +173,22 @@ def run_files(spark: SparkSession, sf_dir: str, systems: Sequence[str] = DEFAULT
             ).alias("text"),
         ),
     )
-    return runs.select(F.inline(files)).where(F.col("text").isNotNull())
+    beside = lambda suffix, name: F.concat(run_dir, F.lit(f"-{suffix}/{name}"))
+    plain = manifest(F.lit(4), instance, F.concat(F.lit("ami-"), et), mps)
+    is_run = lambda kind, on: (et == kind) & (day == on)
+    odd = [
+        (beside("list", "manifest.json"), is_run("view", 12), plain),
+        (beside("list", "output/md_benchmark.out"), is_run("view", 12), F.concat(F.lit("[\n"), F.col("md_doc"), F.lit("]"))),
+        (beside("twice", "manifest.json"), is_run("view", 12), plain),
+        (beside("twice", "output/md_benchmark.out"), is_run("view", 12), F.concat_ws("\n", "md_doc", "md_doc")),
+        (beside("cut", "manifest.json"), is_run("purchase", 20), plain),
+        (beside("cut", "output/md_benchmark.out"), is_run("purchase", 20), F.expr("left(md_doc, length(md_doc) - 3)")),
+        (beside("typed", "manifest.json"), is_run("click", 20), F.replace(plain, F.lit(': 4,'), F.lit(': 4.0,'))),
+        (beside("quoted", "manifest.json"), is_run("signup", 20), F.regexp_replace(plain, r"(\d+)\}$", '"$1"}')),
+        (beside("quoted", "output/rbfe_benchmark.out"), is_run("signup", 20), F.lit("no benchmark today")),
+    ]
+    more = [F.struct(rel.alias("rel_path"), F.when(where, text).alias("text")) for rel, where, text in odd]
+    return runs.select(F.inline(F.concat(files, F.array(*more)))).where(F.col("text").isNotNull())
 
 
 @lru_cache(maxsize=16)
@@ -204,7 +221,10 @@ man AS (
          CAST(CASE et WHEN 'click' THEN 1 WHEN 'view' THEN 2 WHEN 'signup' THEN 4
                       WHEN 'purchase' THEN 8 ELSE 1 END AS BIGINT),
          'g5.xlarge', 'ami-copy'
-  FROM runs WHERE et = 'signup' AND day(d) = 1),
+  FROM runs WHERE et = 'signup' AND day(d) = 1
+  UNION ALL
+  SELECT et || '-' || strftime(d, '%Y%m%d') || '-' || CAST(g AS VARCHAR) || suffix, 2, 'g5.xlarge', 'ami-view'
+  FROM runs, (VALUES ('-list'), ('-twice')) AS f(suffix) WHERE et = 'view' AND day(d) = 12),
 slots AS (
   SELECT d, et, g, b, {systems}[b + 1] AS system, vmax, vmin FROM cells
   WHERE NOT (et = 'error' AND day(d) = 15))
@@ -215,10 +235,12 @@ def expected_md_sql(systems: Sequence[str] = DEFAULT_SYSTEMS) -> str:
     names = "[" + ", ".join(f"'{s}'" for s in systems) + "]"
     return _SQL_BASE.format(systems=names) + """
 SELECT 'md' AS benchmark_type, m.mps_process_count, s.d AS run_date,
-       s.et || '-' || strftime(s.d, '%Y%m%d') || '-' || CAST(s.g AS VARCHAR) AS run_id, s.system,
-       CAST(NULL AS VARCHAR) AS phase,
+       s.run_id, s.system, CAST(NULL AS VARCHAR) AS phase,
        'ns_per_day' AS metric_name, s.vmax AS metric_value, m.instance_type, m.ami
-FROM slots s JOIN man m ON m.run_id = s.et || '-' || strftime(s.d, '%Y%m%d') || '-' || CAST(s.g AS VARCHAR)
+FROM (SELECT slots.*, et || '-' || strftime(d, '%Y%m%d') || '-' || CAST(g AS VARCHAR) || suffix AS run_id
+      FROM slots, (VALUES (''), ('-list'), ('-twice'), ('-twice')) AS f(suffix)
+      WHERE suffix = '' OR (et = 'view' AND day(d) = 12)) s
+JOIN man m ON m.run_id = s.run_id
 WHERE NOT ((s.et = 'error' AND s.b = 3) OR (s.et = 'signup' AND s.b = 5)
         OR (s.et = 'click' AND s.b = 7) OR (s.et = 'view' AND s.b = 0))
   AND isfinite(s.vmax)
@@ -242,12 +264,31 @@ WHERE isfinite(c.v)
 """
 
 
-EXPECTED_UNMATCHED_SQL = """
+_RUNS_SQL = """
 WITH runs AS (SELECT DISTINCT CAST(ts AS DATE) AS d, event_type AS et,
-                              CAST(floor(user_id / 150) AS BIGINT) AS g FROM events)
-SELECT 'runs/' || strftime(d, '%Y-%m-%d') || '/extra/' || et || '-' || strftime(d, '%Y%m%d')
-       || '-' || CAST(g AS VARCHAR) || '/output/md_benchmark.out' AS rel_path
-FROM runs WHERE et = 'error' AND day(d) = 15
+                              CAST(floor(user_id / 150) AS BIGINT) AS g FROM events),
+dirs AS (SELECT et, day(d) AS day, 'runs/' || strftime(d, '%Y-%m-%d') || '/' AS folder,
+                et || '-' || strftime(d, '%Y%m%d') || '-' || CAST(g AS VARCHAR) AS run_id FROM runs)
+"""
+
+EXPECTED_UNMATCHED_SQL = _RUNS_SQL + """
+SELECT folder || 'extra/' || run_id || '/' || name AS rel_path
+FROM dirs, (VALUES ('output/md_benchmark.out'), ('output/rbfe_benchmark.out'), ('manifest.json')) AS f(name)
+WHERE et = 'error' AND day = 15
+"""
+
+EXPECTED_REJECTED_SQL = _RUNS_SQL + """
+SELECT folder || 'extra/' || run_id || '/' || name AS rel_path, 'no run date or run id in the path' AS reason
+FROM dirs, (VALUES ('output/md_benchmark.out'), ('output/rbfe_benchmark.out'), ('manifest.json')) AS f(name)
+WHERE et = 'error' AND day = 15
+UNION ALL
+SELECT folder || run_id || '-cut/output/md_benchmark.out', 'not JSON, or no document' FROM dirs WHERE et = 'purchase' AND day = 20
+UNION ALL
+SELECT folder || run_id || '-typed/manifest.json', 'a field does not fit its type' FROM dirs WHERE et = 'click' AND day = 20
+UNION ALL
+SELECT folder || run_id || '-quoted/manifest.json', 'a field does not fit its type' FROM dirs WHERE et = 'signup' AND day = 20
+UNION ALL
+SELECT folder || run_id || '-quoted/output/rbfe_benchmark.out', 'not JSON, or no document' FROM dirs WHERE et = 'signup' AND day = 20
 """
 
 EXPECTED_DUPLICATE_MANIFESTS_SQL = """

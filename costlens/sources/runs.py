@@ -6,21 +6,27 @@ Layout::
     <root>/runs/<YYYY-MM-DD>/<run_id>/output/md_benchmark.out
     <root>/runs/<YYYY-MM-DD>/<run_id>/output/rbfe_benchmark.out
 
-Each file holds one JSON document. The tree is listed once for all file kinds
-(``recursiveFileLookup`` under the day folders that match ``day_glob``, a
+A file holds one JSON document, several in a row (one per line, or just one
+after the other), or an array of them. The tree is listed once for all file
+kinds (``recursiveFileLookup`` under the day folders that match ``day_glob``, a
 brace glob on the file names) and read as whole-file text; each kind is then
 parsed with ``from_json`` against an explicit schema. Listing is the expensive
 part of many small files on an object store, so the export jobs share one
 listing; Spark packs many small files into one split.
+
+Nothing is lost without a word: a file that is not JSON, or holds a field that
+does not fit its type, fails the job (``on_bad="fail"``), or is left out and
+listed by ``rejected_files`` (``on_bad="reject"``).
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from costlens import schemas
 from costlens.constants import (
@@ -39,8 +45,8 @@ DEFAULT_DAY_GLOB = "*-*-*"  # all day folders, of any year
 _JSON_OPTIONS = {"allowNonNumericNumbers": "true"}
 
 
-class UnmatchedPathsError(ValueError):
-    """Raised in strict mode when run files sit outside the expected layout."""
+#: Where one document ends and the next begins, outside arrays and objects.
+_NEXT_DOCUMENT = r"\}\s*\{"
 
 
 def read_run_tree(
@@ -70,47 +76,88 @@ def _with_run_keys(df: DataFrame, tail: str) -> DataFrame:
     )
 
 
-def run_outputs(
-    tree: DataFrame, file_name: str, schema: StructType, lines: bool = False
-) -> DataFrame:
-    """Parsed output files below an ``output/`` folder, with path-derived keys.
+def _documents(rows: DataFrame, schema: StructType) -> DataFrame:
+    """(path, doc, problem): one row per document of each file; ``problem`` is NULL where it was read.
 
-    Columns: path, run_date_text, run_id, then the schema's fields. Run keys
-    are ``''`` when the path does not follow the layout; see ``matched_runs``.
-    A file holds one (possibly pretty-printed) JSON document; with
-    ``lines=True`` every non-empty line is a document of its own (JSON Lines),
-    and all of them belong to the file's run.
+    A file is read as an array of documents; one that is no array is made one.
     """
-    # Both predicates read only file metadata, so the scan can skip other files.
-    rows = tree.where(
-        (F.col("file_name") == F.lit(file_name)) & F.col("path").endswith(f"/output/{file_name}")
+    text = F.trim(F.regexp_replace("text", r"^\ufeff|^\s+|\s+$", ""))
+    listed = F.concat(F.lit("["), F.regexp_replace(text, _NEXT_DOCUMENT, "},{"), F.lit("]"))
+    items = F.from_json(F.when(text.startswith("["), text).otherwise(listed), "array<string>", _JSON_OPTIONS)
+    one = rows.select("path", F.explode_outer(items).alias("item"))
+    checked = StructType([*schema.fields, StructField("_bad", StringType())])
+    parsed = one.withColumn("doc", F.from_json("item", checked, {**_JSON_OPTIONS, "columnNameOfCorruptRecord": "_bad"}))
+    problem = F.when(F.col("item").isNull(), F.lit("not JSON, or no document")).when(
+        F.col("doc").isNull() | F.col("doc._bad").isNotNull(), F.lit("a field does not fit its type")
     )
-    if lines:
-        rows = rows.select("path", F.explode(F.split("text", r"\r?\n")).alias("text")).where(
-            F.trim("text") != ""
-        )
-    parsed = rows.select("path", F.from_json("text", schema, _JSON_OPTIONS).alias("doc"))
+    return parsed.select("path", "doc", problem.alias("problem"))
+
+
+def _readable(docs: DataFrame, on_bad: str) -> DataFrame:
+    if on_bad == "reject":
+        return docs.where(F.col("problem").isNull())
+    if on_bad != "fail":
+        raise ValueError(f"on_bad is 'fail' or 'reject', not {on_bad!r}")
+    message = F.concat(F.lit("unreadable run file "), "path", F.lit(": "), "problem")
+    return docs.where(F.when(F.col("problem").isNull(), F.lit(True)).otherwise(F.raise_error(message).cast("boolean")))
+
+
+def _output_files(tree: DataFrame, file_name: str) -> DataFrame:
+    # Both predicates read only file metadata, so the scan can skip other files.
+    return tree.where((F.col("file_name") == F.lit(file_name)) & F.col("path").endswith(f"/output/{file_name}"))
+
+
+def _manifest_files(tree: DataFrame) -> DataFrame:
+    return tree.where(F.col("file_name") == F.lit(MANIFEST_FILE))
+
+
+def run_outputs(tree: DataFrame, file_name: str, schema: StructType, on_bad: str = "fail") -> DataFrame:
+    """Parsed output files below an ``output/`` folder, with path-derived keys.
+
+    Columns: path, run_date_text, run_id, then the schema's fields; one row per
+    document, and all documents of a file belong to its run. Run keys are
+    ``''`` when the path does not follow the layout; see ``matched_runs``.
+    """
+    parsed = _readable(_documents(_output_files(tree, file_name), schema), on_bad)
     keyed = _with_run_keys(parsed, f"output/{file_name}")
-    return keyed.select("path", "run_date_text", "run_id", "doc.*")
+    return keyed.select("path", "run_date_text", "run_id", *[F.col("doc").getField(f.name).alias(f.name) for f in schema.fields])
 
 
-def parse_manifests(tree: DataFrame) -> DataFrame:
+def parse_manifests(tree: DataFrame, on_bad: str = "fail") -> DataFrame:
     """Every manifest file, any layout version.
 
-    Columns: run_id (``''`` when the path does not follow the layout),
-    schema_version, instance_type, ami, mps_process_count.
+    Columns: path, run_date_text and run_id (``''`` when the path does not
+    follow the layout), schema_version, instance_type, ami, mps_process_count.
     """
-    rows = tree.where(F.col("file_name") == F.lit(MANIFEST_FILE))
-    parsed = rows.select("path", F.from_json("text", schemas.MANIFEST, _JSON_OPTIONS).alias("m"))
+    parsed = _readable(_documents(_manifest_files(tree), schemas.MANIFEST), on_bad)
     return _with_run_keys(parsed, MANIFEST_FILE).select(
+        "path",
+        "run_date_text",
         "run_id",
-        F.col("m.schema_version").alias("schema_version"),
-        F.col("m.instance_type").alias("instance_type"),
-        F.col("m.ami_id").alias("ami"),
-        F.col("m.mps_process_count").alias("mps_process_count"),
+        F.col("doc.schema_version").alias("schema_version"),
+        F.col("doc.instance_type").alias("instance_type"),
+        F.col("doc.ami_id").alias("ami"),
+        F.col("doc.mps_process_count").alias("mps_process_count"),
     )
 
 
+def rejected_files(tree: DataFrame, kinds: Mapping[str, StructType]) -> DataFrame:
+    """(path, reason) of every file that ``on_bad="reject"`` leaves out, and of every file outside the layout.
+
+    ``kinds`` gives the schema of each output file name; manifests are always
+    looked at.
+    """
+    found = []
+    for name, schema in (*kinds.items(), (MANIFEST_FILE, schemas.MANIFEST)):
+        files = _manifest_files(tree) if name == MANIFEST_FILE else _output_files(tree, name)
+        tail = name if name == MANIFEST_FILE else f"output/{name}"
+        keyed = _with_run_keys(files.select("path"), tail)
+        stray = (F.col("run_id") == "") | (F.col("run_date_text") == "")
+        found.append(_documents(files, schema).where("problem is not null").select("path", F.col("problem").alias("reason")))
+        found.append(keyed.where(stray).select("path", F.lit("no run date or run id in the path").alias("reason")))
+    return reduce(DataFrame.unionByName, found).distinct()
+
+
 def select_manifests(parsed: DataFrame, version: int = MANIFEST_SCHEMA_VERSION) -> DataFrame:
     """Manifests of one layout version with a usable run id."""
     return parsed.where(
@@ -118,13 +165,13 @@ def select_manifests(parsed: DataFrame, version: int = MANIFEST_SCHEMA_VERSION)
     ).select("run_id", "instance_type", "ami", "mps_process_count")
 
 
-def manifests(tree: DataFrame, version: int = MANIFEST_SCHEMA_VERSION) -> DataFrame:
+def manifests(tree: DataFrame, version: int = MANIFEST_SCHEMA_VERSION, on_bad: str = "fail") -> DataFrame:
     """Run manifests of one layout version: run_id, instance_type, ami, mps_process_count.
 
     A run_id that appears in several manifests (e.g. under two dates) stays
     duplicated; joins then multiply rows, as in the reference.
     """
-    return select_manifests(parse_manifests(tree), version)
+    return select_manifests(_in_layout(parse_manifests(tree, on_bad), on_bad), version)
 
 
 def unmatched_paths(df: DataFrame) -> DataFrame:
@@ -133,20 +180,19 @@ def unmatched_paths(df: DataFrame) -> DataFrame:
     return df.where(bad).select("path").distinct()
 
 
-def matched_runs(df: DataFrame, strict: bool = False) -> DataFrame:
+def _in_layout(df: DataFrame, on_bad: str) -> DataFrame:
+    good = (F.col("run_id") != "") & (F.col("run_date_text") != "")
+    if on_bad == "fail":
+        message = F.concat(F.lit("run file outside the layout: "), "path")
+        good = F.when(good, F.lit(True)).otherwise(F.raise_error(message).cast("boolean"))
+    return df.where(good)
+
+
+def matched_runs(df: DataFrame, on_bad: str = "fail") -> DataFrame:
     """Rows whose path gave both keys, with ``run_date`` cast to DATE.
 
-    Deliberate deviation: the reference would fail the whole job on an
-    empty date and join empty run ids to each other; here such rows are
-    dropped and reported by ``unmatched_paths``. ``strict=True`` raises
-    instead (this runs a small job to check).
+    A file outside the layout fails the job, as an empty date does in the
+    reference, or is left out (``on_bad="reject"``; see ``rejected_files``).
     """
-    if strict:
-        bad = unmatched_paths(df)
-        if not bad.isEmpty():
-            sample = [r.path for r in bad.limit(5).collect()]
-            raise UnmatchedPathsError(f"run files outside the layout, e.g. {sample}")
-    good = df.where((F.col("run_id") != "") & (F.col("run_date_text") != ""))
-    return good.withColumn("run_date", F.col("run_date_text").cast("date")).drop(
-        "run_date_text", "path"
-    )
+    good = _in_layout(df, on_bad)
+    return good.withColumn("run_date", F.col("run_date_text").cast("date")).drop("run_date_text", "path")

@@ -5,7 +5,6 @@ import pytest
 
 from costlens.plans.export import export_all, md_export, rbfe_export
 from costlens.sources.runs import (
-    UnmatchedPathsError,
     matched_runs,
     read_run_tree,
     run_outputs,
@@ -68,18 +67,18 @@ def tree_root(tmp_path_factory):
 
 def test_md_export_rows(spark, tree_root, tmp_path):
     out = str(tmp_path / "md")
-    md_export(spark, tree_root, out)
+    md_export(spark, tree_root, out, on_bad="reject")
     rows = read_fact(spark, out).collect()
     by_run = {}
     for r in rows:
         by_run.setdefault(r.run_id, []).append(r)
-    assert set(by_run) == {"r1", "r2", "r 8", "r+9"}
+    assert set(by_run) == {"r1", "r2", "r7", "r 8", "r+9"}
     r1 = {r.system: r.metric_value for r in by_run["r1"]}
     assert r1 == {"bace": 120.5, "p38": 131.0, "ptp1b": 150.25, "mcl1": 0.0, "thrombin": 160.0}
     assert len(by_run["r2"]) == 16  # duplicate manifest multiplies rows
     assert {r.ami for r in by_run["r2"]} == {"ami-a", "ami-c"}
     assert len(by_run["r 8"]) == 8 and len(by_run["r+9"]) == 8
-    assert len(rows) == 37
+    assert len(rows) == 45
     first = by_run["r1"][0]
     assert (first.benchmark_type, first.phase, first.metric_name, first.mps_process_count) == (
         "md", None, "ns_per_day", 1
@@ -89,7 +88,7 @@ def test_md_export_rows(spark, tree_root, tmp_path):
 
 def test_written_fact_is_zstd_parquet_with_fact_schema(spark, tree_root, tmp_path):
     out = tmp_path / "md"
-    md_export(spark, tree_root, str(out))
+    md_export(spark, tree_root, str(out), on_bad="reject")
     files = sorted(p for p in out.iterdir() if p.suffix == ".parquet")
     assert files
     meta = pq.ParquetFile(files[0]).metadata
@@ -99,7 +98,7 @@ def test_written_fact_is_zstd_parquet_with_fact_schema(spark, tree_root, tmp_pat
 
 
 def test_rbfe_export_rows(spark, tree_root):
-    rows = rbfe_export(spark, tree_root).collect()
+    rows = rbfe_export(spark, tree_root, on_bad="reject").collect()
     assert len(rows) == 14
     got = {(r.system, r.phase): r.metric_value for r in rows}
     assert got[("p38", "complex")] == 75.25  # quoted number kept
@@ -109,37 +108,37 @@ def test_rbfe_export_rows(spark, tree_root):
     assert {r.benchmark_type for r in rows} == {"rbfe"}
 
 
-def test_unmatched_paths_reported_and_strict_mode(spark, tree_root):
+def test_misplaced_files_are_reported_or_fail(spark, tree_root):
     tree = read_run_tree(spark, tree_root)
     outputs = run_outputs(tree, "md_benchmark.out", schemas.md_output())
     bad = [r.path for r in unmatched_paths(outputs).collect()]
     assert len(bad) == 1 and bad[0].endswith("runs/2026-04-01/group/r6/output/md_benchmark.out")
-    with pytest.raises(UnmatchedPathsError):
-        matched_runs(outputs, strict=True)
-    with pytest.raises(UnmatchedPathsError):
-        md_export(spark, tree_root, strict=True)
+    with pytest.raises(Exception, match="outside the layout"):
+        matched_runs(outputs).collect()
+    with pytest.raises(Exception, match="outside the layout"):
+        md_export(spark, tree_root).collect()
 
 
-def test_tree_listing_ignores_other_files_and_days(spark, tree_root):
-    names = {r.file_name for r in read_run_tree(spark, tree_root).collect()}
-    assert names == {"manifest.json", "md_benchmark.out", "rbfe_benchmark.out"}
-    paths = [r.path for r in read_run_tree(spark, tree_root).collect()]
-    assert not any("2025-12-31" in p for p in paths)
+def test_tree_listing_ignores_other_files_and_takes_every_year(spark, tree_root):
+    rows = read_run_tree(spark, tree_root).collect()
+    assert {r.file_name for r in rows} == {"manifest.json", "md_benchmark.out", "rbfe_benchmark.out"}
+    assert any("2025-12-31" in r.path for r in rows)
+    assert not any("2025" in r.path for r in read_run_tree(spark, tree_root, "2026-*-*").collect())
 
 
 def test_export_all_matches_single_exports(spark, tree_root, tmp_path):
     md_out, rbfe_out = str(tmp_path / "md"), str(tmp_path / "rbfe")
-    export_all(spark, tree_root, md_out, rbfe_out)
-    assert read_fact(spark, md_out).count() == 37
+    export_all(spark, tree_root, md_out, rbfe_out, rejects_out=str(tmp_path / "rejects"))
+    assert read_fact(spark, md_out).count() == 45
     assert read_fact(spark, rbfe_out).count() == 14
     part = str(tmp_path / "md_by_day")
-    export_all(spark, tree_root, part, str(tmp_path / "rbfe_by_day"), partition_by=["run_date"])
-    assert read_fact(spark, part).count() == 37
+    export_all(spark, tree_root, part, str(tmp_path / "rbfe_by_day"), partition_by=["run_date"], rejects_out=str(tmp_path / "r2"))
+    assert read_fact(spark, part).count() == 45
     # Partitioned for pruning: same rows, same column order.
     pruned = str(tmp_path / "md_by_type")
     export_all(
         spark, tree_root, pruned, str(tmp_path / "rbfe_by_type"),
-        partition_by=["benchmark_type", "mps_process_count"],
+        partition_by=["benchmark_type", "mps_process_count"], rejects_out=str(tmp_path / "r3"),
     )
     back = read_fact(spark, pruned)
     assert back.schema == schemas.FACT
@@ -148,12 +147,34 @@ def test_export_all_matches_single_exports(spark, tree_root, tmp_path):
     assert "PartitionFilters: [isnotnull(mps_process_count" in plan
 
 
-def test_json_lines_run_files(spark, tmp_path):
-    root = tmp_path / "jl"
-    put(root, "runs/2026-04-01/r1/manifest.json", manifest(4, "g4dn.xlarge", "ami-a", 1))
-    put(root, "runs/2026-04-01/r1/output/md_benchmark.out", '{"bace": 1.5}\n\n{"bace": 2.5, "p38": 3.0}\r\n')
-    tree = read_run_tree(spark, str(root))
-    one = run_outputs(tree, "md_benchmark.out", schemas.md_output())
-    many = run_outputs(tree, "md_benchmark.out", schemas.md_output(), lines=True)
-    assert sorted((r.run_id, r.bace, r.p38) for r in many.collect()) == [("r1", "1.5", None), ("r1", "2.5", "3.0")]
-    assert one.count() == 1
+@pytest.fixture(scope="module")
+def odd_root(tmp_path_factory):
+    root = tmp_path_factory.mktemp("odd")
+    for run in ("lines", "rows", "list", "empty", "cut", "text", "version", "quoted", "broken", "future"):
+        day = "2027-01-02" if run == "future" else "2026-04-01"
+        text = {"version": manifest(4.0, "g5", "a", 1), "quoted": manifest(4, "g5", "a", "1"), "broken": "{"}
+        put(root, f"runs/{day}/{run}/manifest.json", text.get(run, manifest(4, "g5", "a", 1)))
+        out = {"lines": '{"bace": 1.5}\n\n{"bace": 2.5, "p38": 3.0}\r\n', "rows": '{"bace": 1.5}  {"bace": 2.5}',
+               "list": '[{"bace": 1.5},\n {"p38": NaN}]', "empty": " ", "cut": '{"bace": 1.5, "p3', "text": "none"}
+        put(root, f"runs/{day}/{run}/output/md_benchmark.out", out.get(run, '{"bace": 7.5}'))
+    return str(root)
+
+
+def test_every_form_of_document_is_read(spark, odd_root):
+    got = md_export(spark, odd_root, on_bad="reject").collect()
+    assert sorted((r.run_id, r.system, r.metric_value) for r in got) == [
+        ("future", "bace", 7.5), ("lines", "bace", 1.5), ("lines", "bace", 2.5), ("lines", "p38", 3.0), ("list", "bace", 1.5),
+        ("rows", "bace", 1.5), ("rows", "bace", 2.5),
+    ]
+
+
+def test_unreadable_files_fail_or_are_listed(spark, odd_root, tmp_path):
+    with pytest.raises(Exception, match="unreadable run file"):
+        md_export(spark, odd_root).collect()
+    with pytest.raises(Exception, match="unreadable run file"):
+        export_all(spark, odd_root, str(tmp_path / "a"), str(tmp_path / "b"))
+    export_all(spark, odd_root, str(tmp_path / "md"), str(tmp_path / "rbfe"), rejects_out=str(tmp_path / "rejects"))
+    rejects = {r.path.split("/")[-2 - ("output" in r.path)]: r.reason for r in spark.read.parquet(str(tmp_path / "rejects")).collect()}
+    json, kind = "not JSON, or no document", "a field does not fit its type"
+    assert rejects == {"empty": json, "cut": json, "text": json, "broken": json, "version": kind, "quoted": kind}
+    assert read_fact(spark, str(tmp_path / "md")).count() == 7
