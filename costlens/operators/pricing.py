@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from costlens import schemas
 from costlens.constants import (
@@ -23,10 +24,19 @@ from costlens.constants import (
 )
 
 
+_CHECKED = StructType([*schemas.PRICE_DOC.fields, StructField("_bad", StringType())])
+
+
 class UnknownRegionError(KeyError):
     """The region code has no price-list location name."""
 
 
+def _parsed(docs: DataFrame) -> DataFrame:
+    doc = F.from_json("doc", _CHECKED, {"columnNameOfCorruptRecord": "_bad"})
+    readable = doc.isNotNull() & doc["_bad"].isNull() & (F.trim("doc") != "")
+    return docs.select("doc_pos", "doc", doc.alias("d"), F.coalesce(readable, F.lit(False)).alias("_readable"))
+
+
 def location_name(region_code: str) -> str:
     """Price-list location name of a region code; unknown codes raise."""
     try:
@@ -35,9 +45,20 @@ def location_name(region_code: str) -> str:
         raise UnknownRegionError(region_code) from None
 
 
-def parse_price_list(docs: DataFrame) -> DataFrame:
-    """``(doc_pos, doc)`` strings -> ``doc_pos, service_code, instance_type, attributes, on_demand``."""
-    parsed = docs.select("doc_pos", F.from_json("doc", schemas.PRICE_DOC).alias("d"))
+def parse_price_list(docs: DataFrame, on_bad: str = "fail") -> DataFrame:
+    """``(doc_pos, doc)`` strings -> ``doc_pos, service_code, instance_type, attributes, on_demand``.
+
+    A document that is not JSON, or has a part of another type, fails the job;
+    with ``on_bad="reject"`` it is left out (``rejected_documents`` lists it).
+    """
+    parsed = _parsed(docs)
+    if on_bad == "reject":
+        parsed = parsed.where("_readable")
+    elif on_bad == "fail":
+        message = F.concat(F.lit("unreadable price document at "), F.col("doc_pos").cast("string"))
+        parsed = parsed.where(F.when(F.col("_readable"), F.lit(True)).otherwise(F.raise_error(message).cast("boolean")))
+    else:
+        raise ValueError(f"on_bad is 'fail' or 'reject', not {on_bad!r}")
     attrs = F.col("d.product.attributes")
     return parsed.select(
         "doc_pos",
@@ -48,6 +69,11 @@ def parse_price_list(docs: DataFrame) -> DataFrame:
     )
 
 
+def rejected_documents(docs: DataFrame) -> DataFrame:
+    """``(doc_pos, doc)`` of the documents that cannot be read."""
+    return _parsed(docs).where("not _readable").select("doc_pos", "doc")
+
+
 def filter_products(parsed: DataFrame, region_code: str) -> DataFrame:
     """Keep shared-tenancy Linux instance products of the region's location.
 

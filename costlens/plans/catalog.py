@@ -10,13 +10,13 @@ import datetime as dt
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from costlens.constants import CONCURRENCY_LEVELS, INSTANCE_ORDER, MD, RBFE
 from costlens.functions.labels import phase_label, strip_suffix
 from costlens.functions.numeric import is_finite
-from costlens.functions.ordering import domain_position
+from costlens.functions.ordering import domain_order, domain_position
 from costlens.functions.paths import path_group, run_date_from_path, run_id_from_path
 from costlens.operators import options, reshape
 from costlens.operators.median import MARGIN, grouped_median
@@ -30,14 +30,14 @@ from costlens import schemas
 from costlens.constants import MD_OUTPUT_FILE, RBFE_OUTPUT_FILE
 from costlens.session import scratch_dir
 from costlens.sources.runs import manifests, parse_manifests, read_run_tree, run_outputs, unmatched_paths
-from costlens.sources.tables import read_fact
+from costlens.sources.pricelist import read_price_documents_text
+from costlens.sources.tables import read_fact, read_system_metadata
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 MPS = 1
 MD_SYSTEM = "Brand#2"  # a sized system
 RBFE_SYSTEM = "Brand#1"  # the unsized system: NULL size group
-PART_TYPES = ("STANDARD", "ECONOMY", "MEDIUM", "LARGE", "PROMO", "SMALL")
 
 _V = adapter.SQL_VIEW
 
@@ -168,6 +168,35 @@ def q_sql_md_by_concurrency(spark: SparkSession, d: str) -> DataFrame:
     return by_concurrency(spark.table(views.COST_VIEW), MD, MPS)
 
 
+def _positions(df: DataFrame, *order: Column) -> DataFrame:
+    """``df`` with the place of each row in ``order`` as a column."""
+    return df.withColumn("position", F.row_number().over(Window.orderBy(*order)))
+
+
+def q_instance_order(spark: SparkSession, d: str) -> DataFrame:
+    """Instance types in display order; every third supplier stands for a listed type."""
+    names = F.array(*[F.lit(n) for n in INSTANCE_ORDER])
+    supp = adapter.table(spark, d, "supplier")
+    key = F.col("s_suppkey")
+    named = F.when(key % 3 == 0, F.element_at(names, (F.floor(key / 3) % len(INSTANCE_ORDER) + 1).cast("int"))).otherwise(F.col("s_name"))
+    types = supp.select(named.alias("instance_type")).distinct()
+    ranked = types.withColumn("instance_rank", domain_position("instance_type", INSTANCE_ORDER))
+    return _positions(ranked, *domain_order("instance_type", INSTANCE_ORDER))
+
+
+def q_sorted_options(spark: SparkSession, d: str) -> DataFrame:
+    """The option lists in the order the library returns them."""
+    fact = adapter.fact(spark, d)
+    lists = {
+        "md concurrency": options.concurrency_options(fact, MD),
+        "rbfe concurrency": options.concurrency_options(fact, RBFE),
+        "md system": options.system_options(fact, MD),
+        "rbfe system": options.system_options(fact, RBFE, "complex"),
+    }
+    rows = [(name, k, str(v)) for name, df in lists.items() for k, v in enumerate(options.to_list(df), 1)]
+    return spark.createDataFrame(rows, "selector string, position int, option string")
+
+
 # --- reshapes, filters and scalar functions ---------------------------------
 
 
@@ -208,27 +237,20 @@ def q_rbfe_unpivot_phases(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_system_sizes(spark: SparkSession, d: str) -> DataFrame:
+    """A metadata document, one entry per part type, written to a file and read back."""
     part = adapter.table(spark, d, "part")
-    # One metadata document per table: one struct column per part type.
+    types = options.to_list(part.select("p_type").distinct().orderBy("p_type"))
     size = F.col("p_size").cast("bigint")
-    meta = part.agg(
-        *[
-            F.struct(
-                F.concat(F.lit(t.lower()), F.lit("_edge.json")).alias("edge"),
-                F.lit(None).cast("string").alias("protein"),
-                F.struct(
-                    F.sum(F.when(F.col("p_type") == t, size)).alias("complex"),
-                    F.count(F.when(F.col("p_type") == t, size)).alias("solvent"),
-                ).alias("atoms"),
-                F.struct(
-                    F.min(F.when(F.col("p_type") == t, size)).alias("complex"),
-                    F.max(F.when(F.col("p_type") == t, size)).alias("solvent"),
-                ).alias("waters"),
-            ).alias(t)
-            for t in PART_TYPES
-        ]
+    entries = part.groupBy("p_type").agg(
+        F.struct(F.sum(size).alias("complex"), F.count(size).alias("solvent")).alias("atoms"),
+        F.struct(F.min(size).alias("complex"), F.max(size).alias("solvent")).alias("waters"),
     )
-    return reshape.system_sizes(meta, PART_TYPES)
+    entry = F.struct(F.concat(F.lower("p_type"), F.lit("_edge.json")).alias("edge"), "atoms", "waters")
+    # One document of as many entries as there are systems.
+    document = entries.agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("p_type", entry)))).alias("value"))
+    path = scratch_dir(spark, "metadata")
+    document.write.text(path)
+    return reshape.system_sizes(read_system_metadata(spark, path, types), types)
 
 
 def q_finite_filter(spark: SparkSession, d: str) -> DataFrame:
@@ -370,10 +392,15 @@ def q_duplicate_manifests(spark: SparkSession, d: str) -> DataFrame:
     return duplicate_keys(manifests(tree, on_bad="reject"), ["run_id"])
 
 
+def _landed_documents(spark: SparkSession, d: str) -> DataFrame:
+    """The price documents, landed as text files (one per line, in order) and read back."""
+    path = scratch_dir(spark, "price-documents")
+    price_fixture.price_documents(spark, d).orderBy("doc_pos").select("doc").write.text(path)
+    return read_price_documents_text(spark, path)
+
+
 def q_price_snapshot(spark: SparkSession, d: str) -> DataFrame:
-    snap = price_snapshot(
-        price_fixture.price_documents(spark, d), price_fixture.wanted_types(spark, d), "us-east-1"
-    )
+    snap = price_snapshot(_landed_documents(spark, d), price_fixture.wanted_types(spark, d), "us-east-1")
     path = write_prices(snap, scratch_dir(spark, "prices"), dt.date(2026, 4, 1))
     return read_snapshot(spark, path)
 
@@ -405,6 +432,8 @@ QUERIES: dict[str, QueryFn] = {
     "md_system_options": q_md_system_options,
     "default_options": q_default_options,
     "sql_md_by_concurrency": q_sql_md_by_concurrency,
+    "instance_order": q_instance_order,
+    "sorted_options": q_sorted_options,
     "unpivot_metrics": q_unpivot_metrics,
     "rbfe_unpivot_phases": q_rbfe_unpivot_phases,
     "system_sizes": q_system_sizes,
@@ -446,6 +475,8 @@ COVERS: dict[str, tuple[str, ...]] = {
     "md_system_options": ("G7", "O1", "C11"),
     "default_options": ("G9", "C11"),
     "sql_md_by_concurrency": ("K5", "F5", "G1", "G2", "O2"),
+    "instance_order": ("O5",),
+    "sorted_options": ("O1", "K6"),
     "unpivot_metrics": ("R2", "P3"),
     "rbfe_unpivot_phases": ("R3", "X2", "X5", "X6", "P8", "P9"),
     "system_sizes": ("S4", "R1", "P6", "C4"),
@@ -528,6 +559,17 @@ ORACLE_SQL: dict[str, str] = {
     + "SELECT DISTINCT system FROM fact WHERE benchmark_type = 'md' ORDER BY system",
     "default_options": _V
     + "SELECT min(mps_process_count) AS mps_process_count FROM fact WHERE benchmark_type = 'md'",
+    "instance_order": "WITH t AS (SELECT DISTINCT CASE WHEN s_suppkey % 3 = 0 THEN "
+    f"{_INSTANCE_LIST}[CAST(s_suppkey // 3 AS BIGINT) % 3 + 1] ELSE s_name END AS instance_type FROM supplier), "
+    f"r AS (SELECT instance_type, CAST(list_position({_INSTANCE_LIST}, instance_type) AS BIGINT) AS instance_rank FROM t) "
+    "SELECT *, CAST(row_number() OVER (ORDER BY instance_rank NULLS LAST, instance_type) AS INTEGER) AS position FROM r",
+    "sorted_options": _V
+    + ", o AS (SELECT DISTINCT 'md concurrency' AS selector, mps_process_count AS n, CAST(mps_process_count AS VARCHAR) AS option "
+    "FROM fact WHERE benchmark_type = 'md' UNION SELECT DISTINCT 'rbfe concurrency', mps_process_count, "
+    "CAST(mps_process_count AS VARCHAR) FROM fact WHERE benchmark_type = 'rbfe' UNION SELECT DISTINCT 'md system', 0, system "
+    "FROM fact WHERE benchmark_type = 'md' UNION SELECT DISTINCT 'rbfe system', 0, system FROM fact "
+    "WHERE benchmark_type = 'rbfe' AND phase = 'complex') SELECT selector, option, "
+    "CAST(row_number() OVER (PARTITION BY selector ORDER BY n, option) AS INTEGER) AS position FROM o",
     "unpivot_metrics": "SELECT l_orderkey, l_linenumber, 'quantity' AS metric, l_quantity AS value FROM lineitem "
     "WHERE l_quantity IS NOT NULL UNION ALL "
     "SELECT l_orderkey, l_linenumber, 'discount', l_discount FROM lineitem WHERE l_discount <> 0 UNION ALL "

@@ -5,7 +5,8 @@ Each supplier is an instance type with up to three documents at positions
 
 * slot 0 (decoys, never matching us-east-1): 13 <= n < 16 dedicated tenancy
   at 999; 16 <= n < 19 location US West (Oregon) at a + 1; 19 <= n < 21 a
-  database-service product at 777;
+  database-service product at 777; n = 21 another operating system, n = 22
+  preinstalled software, n = 23 unused capacity, at 555 each;
 * slot 1, main document (absent when n = 24):
   a <= 0 -> no on-demand terms; n < 5 -> a 'Quantity' dimension, then hourly a;
   n < 10 -> first term priced only in CNY, second term hourly 2a;
@@ -28,13 +29,20 @@ def _q(s: str) -> str:
 
 
 def _doc(
-    name: Column, location: Column, tenancy: Column, on_demand: Column | None, service: str | None = None
+    name: Column,
+    location: Column,
+    tenancy: Column,
+    on_demand: Column | None,
+    service: str | None = None,
+    system: str = "Linux",
+    software: str = "NA",
+    capacity: str = "Used",
 ) -> Column:
     head = "{" if service is None else '{"serviceCode": ' + _q(service) + ", "
     attrs = F.concat(
         F.lit(head + '"product": {"attributes": {"instanceType": "'), name,
         F.lit('", "location": "'), location,
-        F.lit('", "operatingSystem": "Linux", "preInstalledSw": "NA", "capacitystatus": "Used", "tenancy": "'),
+        F.lit(f'", "operatingSystem": "{system}", "preInstalledSw": "{software}", "capacitystatus": "{capacity}", "tenancy": "'),
         tenancy, F.lit('"}}, "terms": {'),
     )
     terms = F.lit("") if on_demand is None else F.concat(F.lit('"OnDemand": {'), on_demand, F.lit("}"))
@@ -76,6 +84,9 @@ def price_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
             _doc(name, east, shared, _term("T0", _dim("D0", "Hrs", "USD", F.lit("777"))), "AmazonRDS"),
         )
     )
+    other = _term("T0", _dim("D0", "Hrs", "USD", F.lit("555")))
+    for nation, odd in ((21, {"system": "Windows"}), (22, {"software": "SQL Ent"}), (23, {"capacity": "UnusedCapacityReservation"})):
+        decoy = decoy.when(n == nation, _doc(name, east, shared, other, **odd))
     main_terms = (
         F.when(n < 5, _term("T1", _dim("D1", "Quantity", "USD", F.lit("1.0")), _dim("D2", "Hrs", "USD", txt(a))))
         .when(

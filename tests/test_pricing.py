@@ -135,3 +135,14 @@ def test_a_type_without_a_price_is_written_as_null(spark, tmp_path):
     assert [json.loads(line) for r in spark.read.text(path).collect() for line in [r.value]] == [
         {"instance_type": "x", "price_per_hour": None}
     ]
+
+
+def test_unreadable_documents_fail_or_are_listed(spark):
+    from costlens.operators.pricing import parse_price_list, rejected_documents
+
+    rows = [(1, DOCS[0]), (2, "{broken"), (3, "not json"), (4, '{"product": 5}'), (5, "")]
+    docs = spark.createDataFrame(rows, "doc_pos int, doc string")
+    with pytest.raises(Exception, match="unreadable price document"):
+        parse_price_list(docs).collect()
+    assert [r.doc_pos for r in parse_price_list(docs, "reject").collect()] == [1]
+    assert sorted(r.doc_pos for r in rejected_documents(docs).collect()) == [2, 3, 4, 5]
