@@ -64,10 +64,12 @@ def passages(texts: list[bytes], classes: np.ndarray) -> tuple[np.ndarray, np.nd
     bytes above 0x7f, and the passage's length over ``PASSAGE``.
     """
     rows = np.array([-(-(len(t) + GAP) // PASSAGE) for t in texts])
-    b = np.frombuffer(b"".join(t.ljust(n * PASSAGE, b"\0") for t, n in zip(texts, rows.tolist())), np.uint8)
+    # An empty row in front: every text, the first one too, follows zero bytes.
+    b = np.frombuffer(bytes(PASSAGE) + b"".join(t.ljust(n * PASSAGE, b"\0") for t, n in zip(texts, rows.tolist())), np.uint8)
     sizes = np.array([len(t) for t in texts])
-    first = np.cumsum(rows) - rows
-    size = np.clip(np.repeat(sizes, rows) - PASSAGE * (np.arange(rows.sum()) - np.repeat(first, rows)), 0, PASSAGE)
+    first = 1 + np.cumsum(rows) - rows
+    size = np.repeat(sizes, rows) - PASSAGE * (np.arange(1, rows.sum() + 1) - np.repeat(first, rows))
+    size = np.r_[0, np.clip(size, 0, PASSAGE)]
     inside = (np.arange(PASSAGE)[None] < size[:, None]).ravel()
     n, of = len(size), np.arange(len(b)) // PASSAGE
     kind = np.where(inside, classes[b], CLASSES)

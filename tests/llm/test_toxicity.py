@@ -20,7 +20,7 @@ def test_noisy_or_of_sentences():
 def test_training_finds_the_word():
     texts = [f"fine w{i}. all w{i + 1} well." for i in range(60)] + [f"fine w{i}. you oaf w{i}! well." for i in range(60)]
     model = train(texts, [0] * 60 + [1] * 60)
-    assert model.score("what an oaf")[0] > 0.5 > 0.3 > model.score("fine. all well.")[0]
+    assert model.score("you oaf")[0] > 0.5 > 0.3 > model.score("fine. all well.")[0]
     assert model.score("fine. you oaf.")[1][-1][:2] == (5, 8)
 
 
