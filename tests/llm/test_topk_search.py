@@ -1,5 +1,4 @@
 import numpy as np
-import pytest
 from pyspark.sql import functions as F
 
 from costlens.llm.topk_search import SegmentIndex, sign_codes, top_k
@@ -53,3 +52,16 @@ def test_blocks_and_chunks_give_the_whole_answer(spark):
 def test_empty_table(spark):
     codes = sign_codes(spark.createDataFrame([], SCHEMA), "vec_id", "embedding", 64)
     assert top_k(codes, F.lit(True)).count() == 0
+
+
+def test_query_equals_its_sql(spark):
+    import duckdb
+
+    from costlens.llm.queries import ORACLE_SQL, QUERIES
+
+    sf = "/root/testdata/sf0.001"
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{sf}/embeddings.parquet')")
+    want = con.sql(ORACLE_SQL["op1_topk_search"])
+    got = QUERIES["op1_topk_search"](spark, sf).select(*want.columns)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.fetchall()))
