@@ -35,7 +35,6 @@ from costlens.constants import DEFAULT_SYSTEMS
 from costlens.plans import adapter
 from costlens.session import scratch_dir
 
-DAY_GLOB = "2024-*-*"
 USERS_PER_RUN = 150
 
 
