@@ -243,7 +243,7 @@ def remove_repeats(docs: DataFrame, group_bytes: int = 4 << 20, shard_bytes: int
     spark = docs.sparkSession
     text = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")
     total = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
-    least = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
     n_groups = max(least, group_count(spark, total, group_bytes))
     shards = max(least, group_count(spark, total, shard_bytes))
     # Rows without an id are spread by their text.
