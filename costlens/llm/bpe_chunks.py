@@ -76,25 +76,39 @@ def sharing_key(text: str) -> int:
 class ChunkEncoder:
     """Encodes texts with the tokenizer file at ``path``; each different chunk is encoded once.
 
-    The memos are bounded (``most_words`` words, ``most_bytes`` of chunks) and
-    start anew when full.
+    The memos are bounded (``most_words`` words, about ``most_bytes`` of
+    chunks) and start anew when full.
     """
 
-    def __init__(self, path: str, most_words: int = 400_000, most_bytes: int = 16 << 20):
+    #: Words kept of a chunk at either side, for the repair of its joins.
+    EDGE = 8
+
+    def __init__(self, path: str, most_words: int = 400_000, most_bytes: int = 8 << 20):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        size = max(self.tokenizer.get_vocab().values()) + 1
+        self.tokens = [(self.tokenizer.id_to_token(i) or "").encode("utf-8") for i in range(size)]
         self.most_words, self.most_bytes = most_words, most_bytes
-        self.words: dict[str, tuple[bytes, bytes]] = {}
-        self.chunks: dict[str, tuple[list[str], bytes, bytes]] = {}
+        self.words: dict[str, bytes] = {}
+        self.chunks: dict[str, tuple[str, str | None, list[str], list[str], bytes]] = {}
         self.held = self.encoded = self.met = 0
 
-    def _encode(self, texts: list[str]) -> tuple[list[bytes], list[bytes]]:
-        ids = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        decoded = self.tokenizer.decode_batch(ids, skip_special_tokens=False)
-        return [np.array(i, "<u4").tobytes() for i in ids], [t.encode("utf-8") for t in decoded]
+    def _encode(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _encode_words(self, words: list[str], at_once: int = 10_000) -> None:
+        """Encode many words as one text; a token belongs to the word it starts in."""
+        for k in range(0, len(words), at_once):
+            part = words[k : k + at_once]
+            got = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
+            starts = np.fromiter((s for s, _ in got.offsets), np.int64, len(got.offsets))
+            ends = np.cumsum([len(w) + 1 for w in part])
+            cut = [0, *(4 * np.searchsorted(starts, ends)).tolist()]
+            raw = np.array(got.ids, "<u4").tobytes()
+            self.words.update(zip(part, map(raw.__getitem__, map(slice, cut, cut[1:]))))
 
     def _learn(self, chunks: list[str]) -> None:
         """Encode the chunks' inner words: those with a space at either side within the chunk."""
@@ -103,72 +117,71 @@ class ChunkEncoder:
         new = [w for w in inner if w not in self.words]
         if len(self.words) + len(new) > self.most_words:
             self.words, new = {}, list(inner)
-        self.words.update(zip(new, zip(*self._encode(new))) if new else ())
+        self._encode_words(new)
         for chunk, words in split.items():
-            got = [self.words[w] for w in words[1:-1]]
-            self.chunks[chunk] = (words, b"".join([i for i, _ in got]), b" ".join([t for _, t in got if t]))
-            self.held += 12 * len(chunk)
+            inside = words[1:-1]
+            ids = b"".join(map(self.words.__getitem__, inside))
+            self.chunks[chunk] = (words[0], words[-1] if len(words) > 1 else None, inside[: self.EDGE], inside[-self.EDGE :], ids)
+            self.held += 4 * len(chunk) + 1000
         self.encoded += len(chunks)
 
-    def _repair(self, joins: list[tuple[list[str], str, list[str]]]) -> list[tuple[bytes, bytes] | None]:
-        """(ids, decoded) of each join's word between the words before and after it; None without agreement."""
-        out: list[tuple[bytes, bytes] | None] = [None] * len(joins)
+    def _repair(self, joins: list[tuple[list[str], str, list[str]]]) -> list[bytes | None]:
+        """The ids of each join's word between the words before and after it; None without agreement."""
+        out: list[bytes | None] = [None] * len(joins)
         todo, width = list(range(len(joins))), 1
         while todo:
             sides = [(joins[k][0][-width:], joins[k][2][:width]) for k in todo]
-            ids, _ = self._encode([" ".join([*left, joins[k][1], *right]) for k, (left, right) in zip(todo, sides)])
-            found, middles, again = [], [], []
+            ids = self._encode([" ".join([*left, joins[k][1], *right]) for k, (left, right) in zip(todo, sides)])
+            again = []
             for k, (left, right), got in zip(todo, sides, ids):
-                before = b"".join([self.words[w][0] for w in left])
-                after = b"".join([self.words[w][0] for w in right])
+                before = b"".join([self.words[w] for w in left])
+                after = b"".join([self.words[w] for w in right])
                 if len(before) + len(after) <= len(got) and got.startswith(before) and got.endswith(after):
-                    found.append(k)
-                    middles.append(got[len(before) : len(got) - len(after)])
+                    out[k] = got[len(before) : len(got) - len(after)]
                 elif width < max(len(joins[k][0]), len(joins[k][2])):
                     again.append(k)
-            texts = self.tokenizer.decode_batch([np.frombuffer(m, "<u4").tolist() for m in middles], skip_special_tokens=False)
-            for k, m, t in zip(found, middles, texts):
-                out[k] = (m, t.encode("utf-8"))
             todo, width = again, 2 * width
         return out
 
-    def encode_many(self, texts: list[str]) -> Iterator[tuple[bytes, bytes]]:
-        """(packed little-endian ids, decoded text in UTF-8) of each text."""
-        if self.held > self.most_bytes:
+    def encode_many(self, texts: list[str]) -> Iterator[bytes]:
+        """The packed little-endian ids of each text."""
+        if self.held > self.most_bytes or len(self.words) > self.most_words:
             self.chunks, self.held = {}, 0
         cut = [chunk_text(t) for t in texts]
         self.met += sum(map(len, cut))
+        known = self.words
         self._learn(list({c for chunks in cut for c in chunks if c not in self.chunks}))
+        if self.words is not known:
+            # The word memo started anew: words at the edges of older chunks are needed again.
+            edges = {w for chunks in cut for c in chunks for side in self.chunks[c][2:4] for w in side}
+            self._encode_words([w for w in edges if w not in self.words])
         # A join's word starts after the last space of one chunk, runs through
         # chunks without spaces, and ends at the first space of another.
         joins, plan = [], []
         for chunks in cut:
-            parts: list[tuple[int, str | None]] = []
+            parts: list[tuple[int, bytes]] = []
             before: list[str] = []
             word = ""
             for c in chunks:
-                words = self.chunks[c][0]
-                word += words[0]
-                if len(words) > 1:
-                    parts.append((len(joins), c))
-                    joins.append((before, word, words[1:-1]))
-                    before, word = words[1:-1], words[-1]
-            parts.append((len(joins), None))
+                first, last, head, tail, ids = self.chunks[c]
+                word += first
+                if last is not None:
+                    parts.append((len(joins), ids))
+                    joins.append((before, word, head))
+                    before, word = tail, last
+            parts.append((len(joins), b""))
             joins.append((before, word, []))
             plan.append(parts)
         mended = self._repair(joins)
         for text, parts in zip(texts, plan):
             if any(mended[j] is None for j, _ in parts):
-                ids, decoded = self._encode([text])
-                yield ids[0], decoded[0]
-                continue
-            ids, decoded = [], []
-            for j, c in parts:
-                for i, t in (mended[j], self.chunks[c][1:] if c is not None else (b"", b"")):
-                    ids.append(i)
-                    if t:
-                        decoded.append(t)
-            yield b"".join(ids), b" ".join(decoded)
+                yield self._encode([text])[0]
+            else:
+                yield b"".join([x for j, ids in parts for x in (mended[j], ids)])
+
+    def decode(self, ids: bytes) -> str:
+        """The text of packed ids: the tokens with a space between, as the tokenizer decodes without a decoder."""
+        return b" ".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8")
 
 
 def deal_by_key(docs: DataFrame, split_factor: int = 4) -> DataFrame:
@@ -212,8 +225,8 @@ def encode_documents(docs: DataFrame, tokenizer: str, at_once: int = 256) -> Dat
             for i in range(0, len(whole), at_once):
                 batch = whole.slice(i, at_once)
                 got = list(encoder.encode_many([t or "" for t in batch.column(1).to_pylist()]))
-                ids, texts = pa.array([i for i, _ in got], pa.binary()), pa.array([t.decode("utf-8") for _, t in got], pa.string())
-                yield pa.RecordBatch.from_arrays([batch.column(0), ids, texts], ["doc_id", "ids", "decoded"])
+                texts = pa.array([encoder.decode(ids) for ids in got], pa.string())
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(got, pa.binary()), texts], ["doc_id", "ids", "decoded"])
 
     picked = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string").alias("text"))
     return deal_by_key(picked).mapInArrow(encode, "doc_id long, ids binary, decoded string")
