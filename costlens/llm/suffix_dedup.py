@@ -162,21 +162,35 @@ def keepers(stretches: list[bytes], docs: np.ndarray) -> tuple[np.ndarray, np.nd
     return of, inside, out
 
 
-def _unpack(pdf: pd.DataFrame) -> tuple[np.ndarray, ...]:
-    join = lambda name, kind: np.frombuffer(b"".join(pdf[name]), kind)
-    return join("docs", np.int64), join("groups", np.int64), join("rows", np.uint32).astype(np.int64), join("starts", np.int64), join("sizes", np.uint16).astype(np.int64), join("split", np.uint8)
+#: The packed columns and their types.
+_COLUMNS = {"docs": "<i8", "groups": "<i8", "rows": "<u4", "starts": "<u4", "sizes": "<u2", "split": "<u1"}
+
+
+def _planes(values: np.ndarray) -> bytes:
+    """All first bytes, all second bytes, ...: what the shuffle's compression takes well."""
+    return values.view(np.uint8).reshape(len(values), -1).T.tobytes()
+
+
+def _from_planes(raw: bytes, kind: str) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
+
+
+def _unpack(pdf: pd.DataFrame) -> list[np.ndarray]:
+    columns = [np.concatenate([_from_planes(raw, kind) for raw in pdf[name]]) for name, kind in _COLUMNS.items()]
+    return [c.astype(np.int64) for c in columns]
 
 
 def _packed(route: np.ndarray, docs, groups, rows, starts, sizes, split, pieces: list[bytes]) -> pd.DataFrame:
     """One row per route, in the order given within each."""
     order = np.argsort(route, kind="stable")
     cuts = np.flatnonzero(np.r_[True, route[order][1:] != route[order][:-1]]) if len(order) else np.empty(0, int)
-    arrays = [np.asarray(x)[order].astype(t) for x, t in ((docs, np.int64), (groups, np.int64), (rows, np.uint32), (starts, np.int64), (sizes, np.uint16), (split, np.uint8))]
+    given = (docs, groups, rows, starts, sizes, split)
+    arrays = [np.asarray(x)[order].astype(kind) for x, kind in zip(given, _COLUMNS.values())]
     out = []
     for s, e in zip(cuts.tolist(), [*cuts[1:].tolist(), len(order)]):
         text = b"".join([pieces[i] for i in order[s:e].tolist()])
-        out.append((int(route[order[s]]), *(x[s:e].tobytes() for x in arrays), text))
-    return pd.DataFrame(out, columns=["route", "docs", "groups", "rows", "starts", "sizes", "split", "text"])
+        out.append((int(route[order[s]]), *(_planes(x[s:e]) for x in arrays), text))
+    return pd.DataFrame(out, columns=["route", *_COLUMNS, "text"])
 
 
 def _spans(groups: np.ndarray, rows: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pd.DataFrame:
