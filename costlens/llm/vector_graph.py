@@ -7,14 +7,19 @@
    split by a hash into parts of about that size.
 3. Each part builds its graph: the nearest neighbours of a node, pruned so that
    a neighbour is dropped if a kept one is much nearer to it than the node
-   (robust pruning). A node's lists from its parts are united.
+   (robust pruning). A group of many near vectors may list only itself, so the
+   part is also cut into regions (a sub-cluster within one connected piece of
+   the graph), each with a hub: a node lists its region's hub, and a hub its
+   nearest hubs and those that connect all pieces. A node's lists from its parts
+   are united.
 4. Every node is a query against all parts of its two shards: a greedy search
-   starts at the part's medoid (and at the node itself, where it is a member),
-   follows the united lists with a beam, and then expands from every node found
-   within the range until no new one appears.
-5. What is found is verified by the cosine itself. A link found in two shards
-   counts in the first shard that both nodes share. Links leave a task only as
-   counts and as one pair per node of its part's linked groups.
+   starts at the best of all hubs of the part (and at the node itself, where it
+   is a member), follows the united lists with a beam, and then expands from
+   every node found within the range until no new one appears.
+5. What is found is verified by the cosine itself. The links between nodes that
+   share both shards are counted in each, and the shard that found more counts.
+   Links leave a task only as counts and as one pair per node of its part's
+   linked groups.
 
 ``audit_recall`` compares with brute force on a bounded sample of queries.
 """
@@ -36,6 +41,9 @@ DEGREE = 24
 POOL = 64
 ALPHA = 1.2
 BEAM = 12
+#: Members of a part per sub-cluster, and the nearest hubs that a hub lists.
+REGION = 48
+HUB_DEGREE = 8
 
 
 def unit_vectors(vectors: DataFrame, id_column: str, vector_column: str) -> DataFrame:
@@ -106,14 +114,67 @@ def pruned_graph(x: np.ndarray, degree: int = DEGREE, pool: int = POOL, alpha: f
     return out
 
 
-def greedy_search(x: np.ndarray, lists: list[np.ndarray], medoid: int, query: np.ndarray, own: int, least: float, beam: int = BEAM) -> np.ndarray:
+def pieces(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The smallest member of each item's connected piece, under the edges (a, b)."""
+    label = np.arange(n)
+    while True:
+        new, low = label.copy(), np.minimum(label[a], label[b])
+        np.minimum.at(new, label[a], low)
+        np.minimum.at(new, label[b], low)
+        while (new[new] != new).any():
+            new = new[new]
+        if (new == label).all():
+            return label
+        label = new
+
+
+def hubs_of(x: np.ndarray, graph: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hubs, a, b): a hub for every region of the part, and the edges that make the graph one piece.
+
+    A region is what a sub-cluster and a connected piece of ``graph`` share.
+    """
+    n = len(x)
+    a, _ = np.nonzero(graph >= 0)
+    piece = pieces(n, a, graph[graph >= 0])
+    centres = fit_centres(x, -(-n // REGION))
+    sims = x @ centres.T
+    at = sims.argmax(1)
+    _, region = np.unique(np.c_[piece, at], axis=0, return_inverse=True)
+    region = region.ravel()
+    order = np.lexsort((-sims[np.arange(n), at], region))
+    hubs = order[np.r_[True, region[order][1:] != region[order][:-1]]]
+    near = pruned_graph(x[hubs], HUB_DEGREE)
+    froms, _ = np.nonzero(near >= 0)
+    edges = [np.c_[np.arange(n), hubs[region]], np.c_[hubs[froms], hubs[near[near >= 0]]]]
+    between = x[hubs] @ x[hubs].T
+    while True:
+        every = np.concatenate([np.c_[a, graph[graph >= 0]], *edges])
+        whole = pieces(n, every[:, 0], every[:, 1])[hubs]
+        if (whole == whole[0]).all():
+            break
+        # Each piece gets an edge to the nearest hub outside.
+        out = np.where(whole[:, None] == whole, -np.inf, between)
+        to, best = out.argmax(1), out.max(1)
+        order = np.lexsort((-best, whole))
+        first = order[np.r_[True, whole[order][1:] != whole[order][:-1]]]
+        edges.append(np.c_[hubs[first], hubs[to[first]]])
+    a, b = np.concatenate(edges).T
+    return hubs, a[a != b], b[a != b]
+
+
+def greedy_search(x: np.ndarray, lists: list[np.ndarray], starts: int | np.ndarray, query: np.ndarray, own: int, least: float, beam: int = BEAM) -> np.ndarray:
     """Members of ``x`` with a cosine of at least ``least`` that the search reaches (``own`` excluded)."""
     seen = np.zeros(len(x), bool)
-    start = np.array([medoid] if own < 0 else sorted({medoid, own}))
-    seen[start] = True
-    best, sims = start, x[start] @ query
+    seen[starts] = True
+    if own >= 0:
+        seen[own] = True
+    best = np.flatnonzero(seen)
+    sims = x[best] @ query
     expanded = np.zeros(len(x), bool)
     while True:
+        kept = np.argsort(-sims, kind="stable")
+        kept = kept[: max(beam, int((sims >= least).sum()))]
+        best, sims = best[kept], sims[kept]
         todo = best[~expanded[best]]
         # The best of the beam, and everything in range, is expanded.
         if not len(todo):
@@ -123,17 +184,10 @@ def greedy_search(x: np.ndarray, lists: list[np.ndarray], medoid: int, query: np
         new = new[~seen[new]]
         seen[new] = True
         best, sims = np.r_[best, new], np.r_[sims, x[new] @ query]
-        kept = np.argsort(-sims, kind="stable")
-        kept = kept[: max(beam, int((sims >= least).sum()))]
-        best, sims = best[kept], sims[kept]
     found = best[sims >= least]
     return found[found != own]
 
 
-def _medoid(x: np.ndarray) -> int:
-    return int(np.argmax(x @ x.mean(0)))
-
-
 def _roots(n: int, pairs: list[tuple[int, np.ndarray]]) -> np.ndarray:
     """Union-find over ``n`` items: the root of each after joining every (i, js)."""
     parent = list(range(n))
@@ -211,14 +265,20 @@ def linked(
 
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("node", ignore_index=True)
-        lists = pruned_graph(matrix(pdf["unit"]))
-        ids = pdf["node"].to_numpy()
-        return pd.DataFrame({"node": ids, "near": [ids[row[row >= 0]].tolist() for row in lists]})
+        x, ids = matrix(pdf["unit"]), pdf["node"].to_numpy()
+        graph = pruned_graph(x)
+        hubs, a, b = hubs_of(x, graph)
+        hub = np.zeros(len(ids), bool)
+        hub[hubs] = True
+        near = [row[row >= 0].tolist() for row in graph]
+        for i, j in zip(a.tolist(), b.tolist()):
+            near[i].append(j)
+        return pd.DataFrame({"node": ids, "near": [ids[row].tolist() for row in near], "hub": hub})
 
     parts = member.select("dim", "shard", "part", "node", "unit")
-    near = parts.groupBy("dim", "shard", "part").applyInPandas(build, "node long, near array<long>")
-    # Two lists at most per node, so this groups no more than 2 * DEGREE ids.
-    near = near.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))
+    near = parts.groupBy("dim", "shard", "part").applyInPandas(build, "node long, near array<long>, hub boolean")
+    # Two lists at most per node, so this groups no more than two lists of ids.
+    near = near.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"), F.max("hub").alias("hub"))
 
     index = member.join(near, "node").withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     asked = member.select(*(F.col(c).alias("chunk" if c == "part" else c) for c in member.columns))
@@ -240,32 +300,33 @@ def linked(
                 back[j].append(i)
         lists = [np.r_[to, np.array(b, np.int64)] for to, b in zip(lists, back)]
         weight, s1, s2 = held["weight"].to_numpy(), held["s1"].to_numpy(), held["s2"].to_numpy()
-        medoid = _medoid(x)
+        hubs = np.flatnonzero(held["hub"].to_numpy())
         q_ids, q = asked["node"].to_numpy(), matrix(asked["unit"])
         own = np.searchsorted(ids, q_ids)
         own = np.where(ids[np.minimum(own, len(ids) - 1)] == q_ids, own, -1)
-        counts, pairs = np.zeros(len(q_ids), np.int64), []
+        alone, shared, pairs = np.zeros(len(q_ids), np.int64), np.zeros(len(q_ids), np.int64), []
         for i, (a, b) in enumerate(zip(asked["s1"].tolist(), asked["s2"].tolist())):
-            found = greedy_search(x, lists, medoid, q[i], int(own[i]), least)
+            found = greedy_search(x, lists, hubs, q[i], int(own[i]), least)
             if len(found):
                 pairs.append((i, found + len(q_ids)))
                 t1, t2 = s1[found], s2[found]
-                # The first shard that both belong to counts the link.
-                common = np.where((t1 == a) | (t2 == a), a, np.where((t1 == b) | (t2 == b), b, -1))
-                counts[i] = weight[found[common == shard]].sum()
+                both = (a != b) & (t1 == a) & (t2 == b)
+                alone[i], shared[i] = weight[found[~both]].sum(), weight[found[both]].sum()
         pairs += [(i, np.array([o + len(q_ids)])) for i, o in enumerate(own.tolist()) if o >= 0]
         names = np.r_[q_ids, ids]
         roots = _roots(len(names), pairs)
         low = pd.Series(names).groupby(roots).transform("min").to_numpy()
         tied = low != names
-        links = pd.DataFrame({"node": q_ids, "n": counts, "to": None})
-        edges = pd.DataFrame({"node": names[tied], "n": 0, "to": low[tied]}).drop_duplicates()
-        return pd.concat([links[links["n"] > 0], edges]).astype({"to": "Int64"})
+        links = pd.DataFrame({"node": q_ids, "shard": shard, "alone": alone, "shared": shared, "to": None})
+        edges = pd.DataFrame({"node": names[tied], "shard": shard, "alone": 0, "shared": 0, "to": low[tied]}).drop_duplicates()
+        return pd.concat([links[alone + shared > 0], edges]).astype({"to": "Int64"})
 
     by = ("dim", "shard", "part", "chunk")
-    found = index.groupBy(*by).cogroup(asked.groupBy(*by)).applyInPandas(search, "node long, n long, to long")
+    found = index.groupBy(*by).cogroup(asked.groupBy(*by)).applyInPandas(search, "node long, shard int, alone long, shared long, to long")
     found = shared_copy(found, "links")
-    links = found.groupBy("node").agg(F.sum("n").alias("n"))
+    # Links that both shards of a node hold are found in each, over all its parts: the fuller count stands.
+    links = found.groupBy("node", "shard").agg(F.sum("alone").alias("alone"), F.sum("shared").alias("shared"))
+    links = links.groupBy("node").agg((F.sum("alone") + F.max("shared")).alias("n"))
     roots = components(found.where("to is not null").select(F.col("node").alias("a"), F.col("to").alias("b")))
     nodes = (
         groups.join(links, "node", "left")

@@ -78,3 +78,19 @@ def test_components_of_a_long_path_and_a_star(spark):
     path = [(i, i + 1) for i in range(60)] + [(100, k) for k in range(101, 130)] + [(130, 129), (7, 7)]
     got = {r.id: r.component for r in components(spark.createDataFrame(path[::-1], "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(61)}, **{i: 100 for i in range(100, 131)}}
+
+
+def test_large_groups_over_several_parts(spark):
+    """Groups of a few hundred different near vectors, in shards of several parts of the default size."""
+    rng = np.random.default_rng(1)
+    centres = rng.normal(size=(8, 64))
+    x = np.repeat(centres / np.linalg.norm(centres, axis=1, keepdims=True), 400, 0) + 0.3 / 8 * rng.normal(size=(3200, 64))
+    x = np.r_[x, rng.normal(size=(1000, 64))]
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    docs = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>").repartition(4)
+    got = {r.id: (r.n_links, r.component_id) for r in linked(docs)[0].collect()}
+    link = x @ x.T >= 0.9
+    true = link.sum(1) - 1
+    assert all(got[i][0] <= true[i] for i in got)
+    assert sum(n for n, _ in got.values()) >= 0.99 * true.sum() > 0
+    assert all(got[i][1] == got[j][1] for i, j in np.argwhere(link).tolist())
