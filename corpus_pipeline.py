@@ -7,7 +7,10 @@ languages (stage 2) of the rows that the stage gets, without the held-out folds.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,17 +53,47 @@ def near_duplicate_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     return kept.unionByName(docs.where("doc_id is null")).select(*docs.columns)
 
 
+def _whole_characters(kept: bytes, spans: list[dict]) -> bytes:
+    """``kept`` without the rests of characters that an edge of a removed span goes through."""
+    cuts, gone = [0], 0
+    for span in spans:
+        cuts.append(span["start"] - gone)
+        gone += span["length"]
+    out = []
+    for k, (s, e) in enumerate(zip(cuts, [*cuts[1:], len(kept)])):
+        if k:  # behind a span
+            most = min(e, s + 3)
+            while s < most and 0x80 <= kept[s] <= 0xBF:
+                s += 1
+        if k < len(spans):  # before a span
+            lead = e - 1
+            while lead > s and lead > e - 3 and 0x80 <= kept[lead] <= 0xBF:
+                lead -= 1
+            if lead >= s and kept[lead] >= 0xC0 and e - lead < (2 if kept[lead] < 0xE0 else 3 if kept[lead] < 0xF0 else 4):
+                e = lead
+        out.append(kept[s:e])
+    return b"".join(out)
+
+
+def _cut_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        texts = [_whole_characters(k, s) if s else k for k, s in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.binary())], ["doc_id", "text"])
+
+
 def repeated_passage_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents stay, without the 50-byte strings that an earlier one has.
 
-    Where a cut goes through a character, what is left of it goes too.
+    Where a cut goes through a character, what is left of it goes too; nothing
+    else changes, and texts without a repeated passage stay as they are.
     ``n_chars`` is that of the new text. Ids are unique after the stage before.
     """
-    cut = remove_repeats(docs.where("doc_id is not null"))
-    text = F.replace(F.make_valid_utf8(F.col("kept").cast("string")), F.lit("�"), F.lit(""))
-    rest = docs.where("doc_id is not null").drop("text", "n_chars")
-    new = rest.join(cut.select("doc_id", text.alias("text")), "doc_id").withColumn("n_chars", F.length("text").cast("long"))
-    return new.select(*docs.columns).unionByName(docs.where("doc_id is null"))
+    with_text = F.col("doc_id").isNotNull() & F.col("text").isNotNull()
+    cut = remove_repeats(docs.where(with_text)).select("doc_id", "kept", "spans")
+    cut = cut.mapInArrow(_cut_texts, "doc_id long, text binary").withColumn("text", F.col("text").cast("string"))
+    rest = docs.where(with_text).drop("text", "n_chars")
+    new = rest.join(cut, "doc_id").withColumn("n_chars", F.length("text").cast("long"))
+    return new.select(*docs.columns).unionByName(docs.where(~with_text))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -70,3 +70,14 @@ def test_clashing_columns_nulls_and_empty_tables(spark):
         n = docs.count()
         assert n == (31 if data else 0)
         assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).count() == n
+
+
+def test_cuts_trim_their_own_characters_only(spark):
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    lost, passage = "\ufffd", "w\u00e9 say the same fifty bytes in both of these two texts here"
+    # The 1st byte of the snowman and of its like is common, and the last of the pair in front is.
+    texts = [f"clean {lost} text {lost}{lost}", f"one {lost} \u00c3{passage}\u2603 end {lost}", f"two {lost} \u0103{passage}\u2605 end {lost}", None]
+    docs = spark.createDataFrame([(i, t, "en", "s", None if t is None else len(t)) for i, t in enumerate(texts)], schema)
+    got = {r.doc_id: r for r in corpus_pipeline.repeated_passage_filter(spark, docs, SF).collect()}
+    assert [got[i].text for i in range(4)] == [*texts[:2], f"two {lost}  end {lost}", None]
+    assert [got[i].n_chars for i in range(4)] == [None if got[i].text is None else len(got[i].text) for i in range(4)]
