@@ -14,6 +14,7 @@ from costlens.llm.common import fold, read_table, shared_copy
 from costlens.llm.langid import identify
 from costlens.llm.minhash_dedup import near_duplicates
 from costlens.llm.packing import pack_documents
+from costlens.llm.source_mix import mix
 from costlens.llm.suffix_dedup import remove_repeats
 from costlens.llm.topk_search import sign_codes, top_k
 from costlens.llm.url_filter import url_verdicts
@@ -118,6 +119,49 @@ def op10_bpe_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Weight in the mix of documents whose label says good or poor; others weigh 1.
+GOOD_WEIGHT, POOR_WEIGHT = 2.0, 0.5
+
+
+def op13_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents mixed by source, those of labelled quality first or last."""
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    quality = labels.where("doc_id is not null").groupBy(F.col("doc_id").alias("of")).agg(F.max("quality").alias("quality"))
+    weighed = docs.select("doc_id", "source", "text").join(quality, F.col("doc_id") == F.col("of"), "left")
+    return mix(weighed, F.when(F.col("quality") == 1, GOOD_WEIGHT).when(F.col("quality") == 0, POOR_WEIGHT))
+
+
+OP13_SQL = r"""
+WITH q AS (SELECT doc_id, max(quality) AS quality FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+d AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+         CASE quality WHEN 1 THEN 2.0::DOUBLE WHEN 0 THEN 0.5::DOUBLE ELSE 1.0::DOUBLE END AS weight, md5(coalesce(text, '')) AS digest
+  FROM documents LEFT JOIN q USING (doc_id)
+), k AS (
+  SELECT *, -ln((CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || digest), 1, 13) AS BIGINT) + 0.5::DOUBLE)
+                / 4503599627370496::DOUBLE) / weight AS key FROM d
+), s AS (
+  SELECT source, CAST(sum(size) AS HUGEINT) AS n,
+         [5, 2, 1][CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS INTEGER)] AS w FROM d GROUP BY source
+), c AS (
+  SELECT *, w * sum(3 * n) OVER o + 3 * n * (sum(w) OVER () - sum(w) OVER o) <= w * sum(n) OVER () AS capped
+  FROM s WINDOW o AS (ORDER BY n::DOUBLE / w, source ROWS UNBOUNDED PRECEDING)
+), t AS (
+  SELECT source, CAST(n AS BIGINT) AS source_size,
+         CASE WHEN capped THEN CAST(3 * n AS DOUBLE)
+              ELSE CAST(w * (sum(n) OVER () - coalesce(sum(3 * n) FILTER (WHERE capped) OVER (), 0)) AS DOUBLE)
+                   / CAST(sum(w) FILTER (WHERE NOT capped) OVER () AS DOUBLE) END AS target FROM c
+), p AS (
+  SELECT k.*, t.source_size, t.target, CAST(round(t.target) AS BIGINT) AS budget,
+         CAST(coalesce(sum(size) OVER (PARTITION BY k.source ORDER BY key, doc_id NULLS LAST, digest ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS upto
+  FROM k JOIN t ON k.source IS NOT DISTINCT FROM t.source
+), e AS (SELECT *, CASE WHEN source_size = 0 THEN 0 ELSE budget // source_size END AS epochs FROM p),
+f AS (SELECT *, greatest(0, least(size, budget - epochs * source_size - upto)) AS part FROM e)
+SELECT doc_id, size, source_size, target, CAST(epochs * size + part AS BIGINT) AS taken, CAST(epochs AS BIGINT) AS epochs,
+       CAST(part AS BIGINT) AS part FROM f
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_topk_search": op1_topk_search,
     "op2_toxicity": op2_toxicity,
@@ -129,8 +173,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_packing": op9_packing,
     "op10_bpe_chunks": op10_bpe_chunks,
+    "op13_source_mix": op13_source_mix,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_topk_search": OP1_SQL,
+    "op13_source_mix": OP13_SQL,
 }
