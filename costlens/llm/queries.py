@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from costlens.llm import quality, toxicity
+from costlens.llm import conversation_repair, quality, toxicity
 from costlens.llm.bpe_chunks import encode_documents
 from costlens.llm.common import fold, read_table, shared_copy
 from costlens.llm.langid import identify
@@ -119,6 +119,11 @@ def op10_bpe_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, damaged by a hash of its rows, with its faults and cheapest repair."""
+    return conversation_repair.repair(conversation_repair.damage(read_table(spark, sf_dir, "conversations")))
+
+
 #: Weight in the mix of documents whose label says good or poor; others weigh 1.
 GOOD_WEIGHT, POOR_WEIGHT = 2.0, 0.5
 
@@ -173,6 +178,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_packing": op9_packing,
     "op10_bpe_chunks": op10_bpe_chunks,
+    "op11_conversation_repair": op11_conversation_repair,
     "op13_source_mix": op13_source_mix,
 }
 
