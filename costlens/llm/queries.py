@@ -130,10 +130,9 @@ GOOD_WEIGHT, POOR_WEIGHT = 2.0, 0.5
 
 def op13_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed by source, those of labelled quality first or last."""
-    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
-    quality = labels.where("doc_id is not null").groupBy(F.col("doc_id").alias("of")).agg(F.max("quality").alias("quality"))
-    weighed = docs.select("doc_id", "source", "text").join(quality, F.col("doc_id") == F.col("of"), "left")
-    return mix(weighed, F.when(F.col("quality") == 1, GOOD_WEIGHT).when(F.col("quality") == 0, POOR_WEIGHT))
+    labels = read_table(spark, sf_dir, "labels").where("doc_id is not null").groupBy("doc_id").agg(F.max("quality").alias("quality"))
+    weight = F.when(F.col("quality") == 1, GOOD_WEIGHT).when(F.col("quality") == 0, POOR_WEIGHT)
+    return mix(read_table(spark, sf_dir, "documents"), labels.select("doc_id", weight.alias("weight")))
 
 
 OP13_SQL = r"""

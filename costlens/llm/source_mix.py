@@ -37,12 +37,12 @@ def words(text: Column) -> Column:
     return F.coalesce(F.length(F.translate(one_each, BLANKS, "")), F.lit(0)).cast("long")
 
 
-def exponential_key(doc_id: Column, text: Column, weight: Column) -> Column:
-    """``-ln(u) / weight`` with u from an md5 of id and text: the same at every run.
+def exponential_key(doc_id: Column, digest: Column, weight: Column) -> Column:
+    """``-ln(u) / weight`` with u from an md5 of the id and the text's digest: the same at every run.
 
     A null weight counts as 1; weights that are not above 0 come last.
     """
-    named = F.concat(F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(":"), F.md5(F.coalesce(text, F.lit("")).cast("binary")))
+    named = F.concat(F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(":"), digest)
     drawn = F.conv(F.substring(F.md5(named.cast("binary")), 1, 13), 16, 10).cast("long")
     weight = F.coalesce(weight.cast("double"), F.lit(1.0))
     return F.when(weight > 0, -F.log((drawn + 0.5) / float(1 << 52)) / weight).otherwise(float("inf"))
@@ -73,7 +73,7 @@ def targets(sources: DataFrame, cycle: Sequence[int] = (5, 2, 1), most: int = 3)
     return placed.select("source", "source_size", "before", target.alias("target"), F.round(target).cast("long").alias("budget"))
 
 
-def mix(docs: DataFrame, weight: Column | None = None, cycle: Sequence[int] = (5, 2, 1), most: int = 3) -> DataFrame:
+def mix(docs: DataFrame, weights: DataFrame | None = None, cycle: Sequence[int] = (5, 2, 1), most: int = 3) -> DataFrame:
     """One row per document: doc_id, size, source_size, target, taken, epochs, part.
 
     ``taken`` words are ``epochs`` whole passes and ``part`` words of the last,
@@ -81,15 +81,19 @@ def mix(docs: DataFrame, weight: Column | None = None, cycle: Sequence[int] = (5
     or has none; rows with the same id and text tie, and any of them may be
     the one at the edge. Null text has size 0 and takes nothing, as does a source
     without words. Null sources form one source, empty names another. An empty table
-    gives no rows. ``weight`` is a column of ``docs``; other columns are ignored.
+    gives no rows; extra columns are ignored. ``weights`` (doc_id, weight) has one row per
+    id at most; documents without one weigh 1. Texts are read once and never shuffled.
     """
     text, source = F.col("text").cast("string"), F.col("source").cast("string")
-    key = exponential_key(F.col("doc_id"), text, F.lit(1.0) if weight is None else weight)
-    sized = docs.select(
-        F.col("doc_id"), source.alias("source"), words(text).alias("size"), key.alias("key"),
-        F.md5(F.coalesce(text, F.lit("")).cast("binary")).alias("digest"),
-    )
-    sized = shared_copy(sized, "sized")
+    digest = F.md5(F.coalesce(text, F.lit("")).cast("binary"))
+    sized = docs.select("doc_id", source.alias("source"), words(text).alias("size"), digest.alias("digest"))
+    if weights is None:
+        sized = sized.withColumn("weight", F.lit(1.0))
+    else:
+        of = weights.select(F.col("doc_id").alias("of"), "weight")
+        sized = sized.join(of, F.col("doc_id") == F.col("of"), "left").drop("of")
+    key = exponential_key(F.col("doc_id"), F.col("digest"), F.col("weight"))
+    sized = shared_copy(sized.withColumn("key", key).drop("weight"), "sized")
     per_source = targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), cycle, most)
     order = [F.asc_nulls_last("source"), F.col("key").asc(), F.asc_nulls_last("doc_id"), F.col("digest").asc()]
     ordered = running_totals(sized, order, {"upto": "size"})

@@ -57,7 +57,8 @@ def odd_documents():
 
 def test_every_source_takes_its_target_in_whole_epochs_first(spark):
     docs = spark.createDataFrame(odd_documents(), SCHEMA).repartition(3)
-    got = mix(docs, F.col("weight")).collect()
+    weights = spark.createDataFrame([(300 + i, (2.0, -1.0, 0.0, None)[i % 4]) for i in range(40)], "doc_id long, weight double")
+    got = mix(docs, weights).collect()
     assert len(got) == len(odd_documents())
     by_target = {}
     for r in got:
@@ -68,13 +69,14 @@ def test_every_source_takes_its_target_in_whole_epochs_first(spark):
         assert n % max(size, 1) == 0  # sources of one size and target are not told apart here
         assert abs(sum(r.taken for r in rows) - target * (n // size if size else 0)) <= 0.5 * max(1, n // size if size else 1)
         assert len({r.epochs for r in rows}) == 1
-    again = mix(docs.repartition(7), F.col("weight")).collect()
+    again = mix(docs.repartition(7), weights).collect()
     assert sorted(map(str, again)) == sorted(map(str, got))
 
 
 def test_better_documents_are_taken_more_often(spark):
-    rows = [(i, "w " * 10, s, "x", 4.0 if i % 2 else 1.0, "y") for i in range(4000) for s in ("a", "b", "c")]
-    got = mix(spark.createDataFrame(rows, SCHEMA), F.col("weight")).where("target = 17142.857142857141 or source_size * 0.9 > target").collect()
+    rows = [(i, "w " * 10, s, "x", None, "y") for i in range(4000) for s in ("a", "b", "c")]
+    weights = spark.range(4000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 2 == 1, 4.0).otherwise(1.0).alias("weight"))
+    got = mix(spark.createDataFrame(rows, SCHEMA), weights).collect()
     taken = [sum(r.part for r in got if r.doc_id % 2 == odd) for odd in (0, 1)]
     assert taken[1] > 1.5 * taken[0] > 0
 
