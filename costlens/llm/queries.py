@@ -19,6 +19,7 @@ from costlens.llm.suffix_dedup import remove_repeats
 from costlens.llm.topk_search import sign_codes, top_k
 from costlens.llm.url_filter import url_verdicts
 from costlens.llm.vector_graph import audit_recall, linked
+from costlens.llm.whitening import whitened
 
 
 #: The query's rules.
@@ -124,6 +125,11 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.repair(conversation_repair.damage(read_table(spark, sf_dir, "conversations")))
 
 
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding on the first 32 whitened principal components of all."""
+    return whitened(read_table(spark, sf_dir, "embeddings"), "vec_id", "embedding", most=32)
+
+
 #: Weight in the mix of documents whose label says good or poor; others weigh 1.
 GOOD_WEIGHT, POOR_WEIGHT = 2.0, 0.5
 
@@ -178,6 +184,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_packing": op9_packing,
     "op10_bpe_chunks": op10_bpe_chunks,
     "op11_conversation_repair": op11_conversation_repair,
+    "op12_embedding_whitening": op12_embedding_whitening,
     "op13_source_mix": op13_source_mix,
 }
 

@@ -1,0 +1,137 @@
+import math
+
+import numpy as np
+import pytest
+
+from costlens.llm import queries
+from costlens.llm.whitening import Spectrum, rank_one, secular_roots, whitened
+
+SCHEMA = "vec_id long, embedding array<float>, component string, n string"
+
+
+def poles_of(kind, n, rng):
+    return {
+        "spread": lambda: np.sort(rng.random(n) * 10), "zero": lambda: np.zeros(n), "equal": lambda: np.sort(rng.integers(0, 3, n).astype(float)),
+        "scales": lambda: np.sort(10 ** rng.uniform(-12, 12, n)), "close": lambda: np.sort(1 + rng.random(n) * 1e-13),
+    }[kind]()
+
+
+@pytest.mark.parametrize("kind", ["spread", "zero", "equal", "scales", "close"])
+@pytest.mark.parametrize("n", [1, 2, 3, 20, 64])
+def test_rank_one_update_equals_a_full_decomposition(kind, n):
+    rng = np.random.default_rng(n)
+    for trial in range(40):
+        values, basis = poles_of(kind, n, rng), np.linalg.qr(rng.normal(size=(n, n)))[0]
+        vector = basis[:, 0] * 2 + basis[:, -1] if trial % 4 == 0 else rng.normal(size=n) * 10.0 ** rng.integers(-6, 6)
+        weight = float(rng.random() * 3) if trial % 7 else 0.0
+        matrix = basis @ np.diag(values) @ basis.T + weight * np.outer(vector, vector)
+        new, turned = rank_one(values, basis, vector, weight)
+        size = max(np.abs(matrix).max(), 1e-300)
+        assert np.abs(new - np.linalg.eigvalsh(matrix)).max() <= 1e-13 * n * size
+        assert np.abs(turned.T @ turned - np.eye(n)).max() <= 1e-12
+        assert np.abs(turned @ np.diag(new) @ turned.T - matrix).max() <= 1e-13 * n * size
+        assert (np.diff(new) >= 0).all()
+
+
+def test_secular_roots_solve_the_equation_and_interlace():
+    rng = np.random.default_rng(1)
+    for n in (1, 2, 9, 40):
+        poles, squares = np.cumsum(rng.random(n) + 1e-6), rng.random(n) ** 4 + 1e-9
+        base, offset = secular_roots(poles, squares)
+        roots = poles[base] + offset
+        assert (roots > poles).all() and (roots[:-1] < poles[1:]).all() and roots[-1] <= poles[-1] + squares.sum() * (1 + 1e-12)
+        for b, o in zip(base, offset):
+            terms = squares / ((poles - poles[b]) - o)
+            assert abs(1 + terms.sum()) <= 1e-10 * (1 + np.abs(terms).sum())
+
+
+def test_merged_spectra_equal_one_decomposition():
+    rng = np.random.default_rng(2)
+    x = (rng.normal(size=(600, 12)) * np.arange(1, 13) * 40).astype(np.int64) + 1_000_000
+    states = []
+    for part in np.split(x, [5, 100, 130, 400]):
+        states.append(Spectrum.empty(12))
+        for vector in part:
+            states[-1].add(vector)
+    states[1].add(x[0], 3)
+    for other in [*states[1:], Spectrum.empty(12)]:
+        states[0].merge(other)
+    every = np.concatenate([x, x[:1], x[:1], x[:1]])
+    centred = every - every.mean(0)
+    assert states[0].count == 603 and (states[0].sums == every.sum(0)).all()
+    assert states[0].values == pytest.approx(np.linalg.eigvalsh(centred.T @ centred), rel=1e-11)
+
+
+def exact(vectors):
+    """(x, n, S, covariance) of integer forms, the covariance from exact integers."""
+    x = np.array([[math.floor(64 * float(c)) + 1_000_000 for c in v] for v in vectors], object)
+    n, sums = len(x), x.sum(0)
+    return x, n, sums, np.array((n * x.T.dot(x) - np.outer(sums, sums)) / (n * n), float)
+
+
+def check(got, rows, most=32):
+    x, n, sums, cov = exact([v for _, v in rows])
+    values, basis = np.linalg.eigh(cov)
+    values, basis = values[::-1], basis[:, ::-1]
+    most = min(most, len(values))
+    centred = ((n * x - sums) / n).astype(float)
+    want = {}
+    for (i, v), xi, c in zip(rows, x, centred):
+        want.setdefault(i, []).append((int(((n * xi - sums) ** 2).sum()), c @ basis))
+    assert len(got) == len(rows) * most
+    signs = {}
+    for r in sorted(got, key=lambda r: (-abs(r.whitened or 0))):
+        k = r.component - 1
+        assert r.n == n and r.identity_error <= 1e-9
+        same = [p for d, p in want[r.vec_id] if d == r.deviation]
+        assert same
+        if values[k] <= 1e-9 * values.sum():
+            assert r.whitened is None and r.explained == 0
+            continue
+        assert r.explained == pytest.approx(values[k] / values.sum(), rel=1e-9)
+        expected = same[0][k] / math.sqrt(values[k])
+        sign = signs.setdefault(k, 1 if expected * r.whitened >= 0 else -1)
+        assert min(abs(sign * r.whitened - p[k] / math.sqrt(values[k])) for p in same) <= 1e-7
+
+
+def test_odd_tables_equal_brute_force(spark):
+    rng = np.random.default_rng(3)
+    good = [(int(i), [float(c) for c in np.float32(rng.normal(size=6) * [9, 7, 5, 3, 2, 1])]) for i in range(300)]
+    good += [(7, good[7][1])] * 40 + [(None, [-1.5, 2.25, 0.0, -0.0, 1e-30, 3.0]), (999, [1e4, -1e4, 0.0, 0.0, 0.0, 0.5])]
+    bad = [(1, None), (2, []), (3, [1.0] * 5), (4, [1.0] * 5 + [None]), (5, [float("nan")] * 6), (6, [float("inf")] + [0.0] * 5), (6, [0.0] * 7)]
+    df = spark.createDataFrame([(i, v, "x", "y") for i, v in good + bad], SCHEMA).repartition(20)
+    got = whitened(df, "vec_id", "embedding").collect()
+    check(got, good)
+    assert sorted(got[0].asDict()) == ["component", "deviation", "explained", "identity_error", "n", "vec_id", "whitened"]
+
+
+def test_components_without_variance(spark):
+    rng = np.random.default_rng(4)
+    flat = [(i, [float(a), float(a), 2.0, float(b)]) for i, (a, b) in enumerate(rng.normal(size=(50, 2)) * 9)]
+    check(whitened(spark.createDataFrame([(i, v, "x", "y") for i, v in flat], SCHEMA), "vec_id", "embedding").collect(), flat)
+    same = [(i, [1.0, 2.0], "x", "y") for i in range(5)]
+    for rows in (same, same[:1]):
+        got = whitened(spark.createDataFrame(rows, SCHEMA), "vec_id", "embedding").collect()
+        assert len(got) == 2 * len(rows)
+        assert all((r.whitened, r.explained, r.deviation, r.identity_error) == (None, 0.0, 0, 0.0) for r in got)
+
+
+def test_tables_without_vectors(spark):
+    for rows in ([], [(1, None, "x", "y"), (2, [], "x", "y"), (3, [None], "x", "y")]):
+        got = whitened(spark.createDataFrame(rows, SCHEMA), "vec_id", "embedding")
+        assert got.collect() == [] and got.columns[:2] == ["vec_id", "component"]
+
+
+def test_exact_beyond_float_precision_or_failing(spark):
+    rows = [(i, [float(np.float32(1e7 * (i + 1))), 1.0], "x", "y") for i in range(3)]
+    got = whitened(spark.createDataFrame(rows, SCHEMA), "vec_id", "embedding", most=1).collect()
+    x, n, sums, _ = exact([v for _, v, _, _ in rows])
+    assert {r.vec_id: r.deviation for r in got} == {i: int(((n * xi - sums) ** 2).sum()) for i, xi in enumerate(x)}
+    with pytest.raises(Exception, match="Overflow"):
+        whitened(spark.createDataFrame([(1, [1e30], "x", "y"), (2, [1.0], "x", "y")], SCHEMA), "vec_id", "embedding").collect()
+
+
+def test_query_equals_brute_force_on_the_whole_table(spark):
+    sf = "/root/testdata/sf0.001"
+    rows = [(r.vec_id, list(r.embedding)) for r in spark.read.parquet(f"{sf}/embeddings.parquet").collect()]
+    check(queries.op12_embedding_whitening(spark, sf).collect(), rows)
