@@ -1,18 +1,19 @@
-"""Exact grouped medians, one lazy plan for groups of every size.
-
-1. Per group, a mergeable approximate percentile (bounded state, combined
-   before the exchange) gives two values around the middle, far enough apart
-   that both middle ranks lie between them whatever its error.
-2. Every row learns its group's bracket through a join that also hashes the
-   row's values into ``ways`` salts, so a large group is spread over many
-   tasks. Rows above the bracket drop out, rows below it only count, and equal
-   values inside it become one row with a count.
-3. A running count over a group's bracket rows - a small share of the group's
-   different values - locates the one or two middle values.
-
-Nothing is collected, checkpointed or broadcast by hint, and no count decides
-between algorithms. Should a bracket ever miss a middle rank, the query fails
-instead of returning a wrong value.
+"""Exact grouped medians by distributed selection, one lazy plan for groups of every size.
+
+1. The input becomes a histogram: rows (group, value) -> count, combined within
+   each task before the one exchange of the data, which is by group and value,
+   so a group is spread over all tasks. All later steps read this exchange.
+2. The middle ranks are located in the histogram by prefix counts over buckets
+   of values, narrowed twice: buckets of equal ratio (no look at the data needed),
+   then equal parts between the smallest and largest value of the bucket found.
+   Counts per bucket are combined before their exchange, and a window adds
+   them up; the number of buckets, not that of rows, bounds a window.
+3. Prefix counts over the values of the last bucket give the middle values.
+
+A bucket of the last step spans a ratio of ``1 / (RATIO_STEPS * PARTS)``; so it
+holds at most 2**53 times that, about 8 million, different doubles, and
+usually a few. Nothing is sampled, collected, checkpointed or
+broadcast by hint, and no count decides between algorithms.
 """
 
 from __future__ import annotations
@@ -23,22 +24,39 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Of the approximate percentile: its rank error is at most 1 / ACCURACY of a group.
-ACCURACY = 10_000
-#: The bracket reaches this many times that error to either side of the middle.
-MARGIN = 10
+#: Buckets of the first step per factor of e, and of the second step.
+RATIO_STEPS = 1024
+PARTS = 1 << 20
+#: Above -ln of the smallest double.
+_SHIFT = 746
+
+
+def _ratio_bucket(v: Column, steps: int) -> Column:
+    """Number of the bucket of ``v``: never falls as ``v`` rises (NaN is the largest)."""
+    size = F.floor(steps * F.least(F.log(F.abs(v)) + _SHIFT, F.lit(2.0 * _SHIFT))).cast("long") + 1
+    return F.when(F.isnan(v), F.lit(1 << 40)).when(v == 0, F.lit(0)).when(v > 0, size).otherwise(-size)
 
 
-def _same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys], F.lit(True))
+def _part_bucket(v: Column, low: Column, high: Column, parts: int) -> Column:
+    """Number of the part of [low, high] that holds ``v``; ends that are not finite make one part."""
+    share = F.try_divide(v - low, high - low)  # null in a bucket of one value
+    return F.coalesce(F.floor(F.nanvl(share, F.lit(0.0)) * parts), F.lit(0)).cast("long")
+
+
+def _hits(counted: DataFrame, by: Sequence[str], code: str) -> DataFrame:
+    """The buckets of ``counted`` that hold the wanted rank ``_rank``, which becomes the rank within."""
+    upto = F.sum("_c").over(Window.partitionBy(*by).orderBy(code).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    before = F.col("_upto") - F.col("_c")
+    found = counted.withColumn("_upto", upto).where((F.col("_rank") <= F.col("_upto")) & (F.col("_rank") > before))
+    return found.select(*by, (F.col("_rank") - before).alias("_rank"), "_low", "_high")
 
 
 def grouped_median(
     df: DataFrame,
     keys: Sequence[str],
     values: Mapping[str, Column | str],
-    accuracy: int = ACCURACY,
-    ways: int = 32,
+    ratio_steps: int = RATIO_STEPS,
+    parts: int = PARTS,
 ) -> DataFrame:
     """Exact median of each value column per group of ``keys``.
 
@@ -46,61 +64,47 @@ def grouped_median(
     columns followed by one column per entry of ``values``. NULL values do not
     count; a group whose values are all NULL gets a NULL median. For an even
     count the two middle values are averaged as Spark's ``percentile`` does.
+    NaN is larger than any other value.
     """
     keys, names = list(keys), list(values)
     vals = [f"_v{i}" for i in range(len(names))]
     cols = [F.col(c) if isinstance(c, str) else c for c in values.values()]
     rows = df.select(*keys, *[c.cast("double").alias(v) for c, v in zip(cols, vals)])
+    stacked = rows.select(*keys, F.inline(F.array(*[F.struct(F.lit(i).alias("_k"), F.col(v).alias("_v")) for i, v in enumerate(vals)])))
+    # NULLs as a column of their own: a join below then adds no filter, and all steps read the same exchange.
+    whole = stacked.select(*keys, "_k", F.col("_v").isNotNull().alias("_has"), F.coalesce("_v", F.lit(0.0)).alias("_v"))
+    histogram = whole.groupBy(*keys, "_k", "_has", "_v").agg(F.count(F.lit(1)).alias("_n"))
+
+    # First step: every group's count gives its middle ranks, one if it is odd.
+    of_group = Window.partitionBy(*keys, "_k")
+    v, n = F.col("_v"), F.col("_of")
+    spread = [F.sum("_n").alias("_c"), F.min("_v").alias("_low"), F.max("_v").alias("_high")]
+    buckets = histogram.groupBy(*keys, "_k", "_has", _ratio_bucket(v, ratio_steps).alias("_code")).agg(*spread)
+    valued = F.when(F.col("_has"), F.col("_c")).otherwise(F.lit(0))
+    counted = buckets.withColumn("_of", F.sum(valued).over(of_group))
+    middle = F.array_distinct(F.array(F.floor((n + 1) / 2), F.floor(n / 2) + 1))
+    upto = F.sum(valued).over(of_group.orderBy("_has", "_code").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    before = F.col("_upto") - valued
+    inside = lambda r: (r <= F.col("_upto")) & (r > before)
+    wanted = F.when(n == 0, F.array(F.lit(0).cast("long"))).otherwise(F.filter(middle, inside))
+    ranks = counted.withColumn("_upto", upto).withColumn("_t", F.explode(wanted))
+    state = ranks.select(*keys, "_k", "_has", "_t", (F.col("_t") - before).alias("_rank"), "_low", "_high", "_of")
+
+    # Second step and last: the histogram's rows between the ends of the bucket found.
+    by = [*keys, "_k", "_has", "_t"]
+    at = state.where("_of > 0").drop("_of")
+    for code in (_part_bucket(v, F.col("_low"), F.col("_high"), parts), v):
+        h, a = histogram.alias("h"), at.alias("a")
+        match = [F.col(f"h.`{c}`").eqNullSafe(F.col(f"a.`{c}`")) for c in keys]
+        match += [F.col(f"h.{c}") == F.col(f"a.{c}") for c in ("_k", "_has")]
+        match += [F.col("h._v") >= F.col("a._low"), F.col("h._v") <= F.col("a._high")]
+        joined = h.join(a, reduce(lambda x, y: x & y, match)).select(*[F.col(f"a.`{c}`") for c in by], "_rank", "_v", "_n", "_low", "_high")
+        counted = joined.withColumn("_code", code).groupBy(*by, "_rank", "_code").agg(*spread)
+        at = _hits(counted, by, "_code")
 
-    reach = min(0.5, MARGIN / accuracy)
-    ends = F.array(F.lit(0.5 - reach), F.lit(0.5 + reach))
-    brackets = rows.groupBy(*keys).agg(
-        *[
-            F.struct(F.percentile_approx(v, ends, accuracy).alias("ends"), F.count(v).alias("n")).alias(f"_b{i}")
-            for i, v in enumerate(vals)
-        ]
-    )
-    salted = brackets.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(ways - 1))))
-    dealt = rows.withColumn("_salt", F.pmod(F.xxhash64(*vals), F.lit(ways)).cast("int"))
-    joined = dealt.join(salted, _same_keys(dealt, salted, keys) & (dealt["_salt"] == salted["_salt"]))
-    stacked = joined.select(
-        *[dealt[k] for k in keys],
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(i).alias("_k"), F.col(v).alias("_v"), F.col(f"_b{i}.n").alias("_n"),
-                        F.col(f"_b{i}.ends")[0].alias("_low"), F.col(f"_b{i}.ends")[1].alias("_high"),
-                    )
-                    for i, v in enumerate(vals)
-                ]
-            )
-        ),
-    )
-    # Rows below the bracket are one NULL value with a count.
-    counted = (
-        stacked.where(F.col("_v") <= F.col("_high"))
-        .groupBy(*keys, "_k", "_n", F.when(F.col("_v") >= F.col("_low"), F.col("_v")).alias("_v"))
-        .agg(F.count(F.lit(1)).alias("_c"))
-    )
-    ascending = Window.partitionBy(*keys, "_k").orderBy(F.asc_nulls_first("_v"))
-    upto = F.sum("_c").over(ascending.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ranked = counted.withColumn("_upto", upto)
-
-    def at(rank: Column) -> Column:
-        hit = (F.col("_upto") >= rank) & (F.col("_upto") - F.col("_c") < rank)
-        return F.max(F.when(hit, F.col("_v")))
-
-    low, high = F.floor((F.col("_n") + 1) / 2), F.floor(F.col("_n") / 2) + 1
-    middle = ranked.groupBy(*keys, "_k", "_n").agg(at(low).alias("_lo"), at(high).alias("_hi"))
-    value = (
-        F.when(F.col("_lo").isNull() | F.col("_hi").isNull(), F.raise_error(F.lit("median outside its bracket")))
-        .when(F.col("_n") % 2 == 1, F.col("_lo"))
-        .otherwise(F.lit(0.5) * F.col("_lo") + F.lit(0.5) * F.col("_hi"))
-    )
-    found = middle.select(*keys, "_k", value.alias("_m")).groupBy(*keys).agg(
-        *[F.max(F.when(F.col("_k") == i, F.col("_m"))).alias(name) for i, name in enumerate(names)]
-    )
-    # Groups without any value have no row in ``found``.
-    groups = brackets.select(*keys)
-    return groups.join(found, _same_keys(groups, found, keys), "left").select(*[groups[k] for k in keys], *[found[n] for n in names])
+    # Groups without any value are in ``state`` alone.
+    blank = F.lit(None).cast("double").alias("_m")
+    both = at.select(*keys, "_k", F.col("_low").alias("_m")).unionByName(state.where("_of = 0").select(*keys, "_k", blank))
+    low_high = [[f(F.when(F.col("_k") == i, F.col("_m"))) for f in (F.min, F.max)] for i in range(len(names))]
+    mean = [F.when(a == b, a).otherwise(F.lit(0.5) * a + F.lit(0.5) * b).alias(name) for name, (a, b) in zip(names, low_high)]
+    return both.groupBy(*keys).agg(*mean)

@@ -1,15 +1,15 @@
 """Best option per group with a deterministic tie-break.
 
 The first row of a group is the one whose ordering struct equals the group's
-``min`` of that struct: a partial aggregate with one row per group, joined back.
-Where the position of every row is asked for, rows are numbered in the same
-order.
+``min`` of that struct, taken by a window over the group, so the input is read
+once for all flags. Input is a finished summary: a group has one row per
+option, not per measurement. Where the position of every row is asked for, rows are
+numbered in the same order and the same exchange.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -75,18 +75,16 @@ def winners(
             if f.name not in (metric, *partition, *tie) and isinstance(f.dataType, _SIMPLE)
         ]
         keys.append(order_key(metric, ascending, tie, rest))
-    first = df.groupBy(*[F.col(c).alias(f"_g{i}") for i, c in enumerate(partition)]).agg(
-        *[F.min(key).alias(f"_first{i}") for i, key in enumerate(keys)]
-    )
-    same_group = [F.col(c).eqNullSafe(F.col(f"_g{i}")) for i, c in enumerate(partition)]
-    out = df.join(first, reduce(lambda a, b: a & b, same_group, F.lit(True)))
+    # The first key of a group needs no order: one exchange and one window for all specs.
+    group = Window.partitionBy(*partition)
+    firsts = {f"_first{i}": F.min(key).over(group) for i, key in enumerate(keys)}
+    if rank:
+        firsts[rank] = F.row_number().over(group.orderBy(keys[0]))
     flags = {
         flag: key.eqNullSafe(F.col(f"_first{i}")) & F.col(metric).isNotNull()
         for i, ((metric, _, flag), key) in enumerate(zip(specs, keys))
     }
-    if rank:
-        flags[rank] = F.row_number().over(Window.partitionBy(*partition).orderBy(keys[0]))
-    return out.withColumns(flags).select(*df.columns, *flags)
+    return df.withColumns(firsts).withColumns(flags).select(*df.columns, *flags, *([rank] if rank else []))
 
 
 def winner(

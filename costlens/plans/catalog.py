@@ -19,7 +19,7 @@ from costlens.functions.numeric import is_finite
 from costlens.functions.ordering import domain_order, domain_position
 from costlens.functions.paths import path_group, run_date_from_path, run_id_from_path
 from costlens.operators import options, reshape
-from costlens.operators.median import MARGIN, grouped_median
+from costlens.operators.median import grouped_median
 from costlens.operators.quality import duplicate_keys, finite
 from costlens.operators.rank import winner
 from costlens.operators.summarize import SUMMARY_VALUES, by_concurrency, medians
@@ -99,7 +99,7 @@ def q_median_by_system_phase(spark: SparkSession, d: str) -> DataFrame:
 def q_median_by_system_phase_sorted(spark: SparkSession, d: str) -> DataFrame:
     """The same medians with a bracket that holds whole groups: all values are ranked."""
     return grouped_median(
-        adapter.cost_view(spark, d), ["system", "total_system_size", "phase"], SUMMARY_VALUES, accuracy=MARGIN
+        adapter.cost_view(spark, d), ["system", "total_system_size", "phase"], SUMMARY_VALUES
     )
 
 

@@ -60,7 +60,7 @@ def brute(vals):
 @given(st.lists(st.tuples(group, maybe_num), min_size=1, max_size=60), st.sampled_from([10, 50, 10_000]))
 def test_median_equals_brute_force(spark, rows, accuracy):
     df = spark.createDataFrame(rows, "g string, v double")
-    out = {r.g: r.m for r in grouped_median(df, ["g"], {"m": "v"}, accuracy=accuracy).collect()}
+    out = {r.g: r.m for r in grouped_median(df, ["g"], {"m": "v"}, ratio_steps=accuracy, parts=accuracy).collect()}
     groups = {g for g, _ in rows}
     assert set(out) == groups
     for g in groups:
