@@ -23,13 +23,14 @@ from pyspark.sql import functions as F
 
 from costlens.constants import MD, RBFE
 from costlens.operators.enrich import with_price
-from costlens.operators.reshape import system_sizes
+from costlens.operators.reshape import sizes_of
 from costlens.plans.dashboard import chart_set, resolve_selection
 from costlens.plans.export import export_all
 from costlens.plans.price_snapshot import price_snapshot, write_prices
 from costlens.sources.pricelist import read_price_documents, read_price_documents_text
+from costlens.sources.publish import publish
 from costlens.sources.runs import DEFAULT_DAY_GLOB
-from costlens.sources.tables import read_fact, read_prices, read_system_metadata
+from costlens.sources.tables import read_fact, read_metadata_documents, read_prices
 
 
 def _csv(value: str | None) -> list[str]:
@@ -85,12 +86,12 @@ def run(argv: Sequence[str], spark: SparkSession) -> None:
         write_prices(snap, args.out, month)
     else:
         prices = read_prices(spark, args.prices)
-        sizes = system_sizes(read_system_metadata(spark, args.metadata))
+        sizes = sizes_of(read_metadata_documents(spark, args.metadata))
         md = with_price(read_fact(spark, args.md_fact), prices).where(F.col("benchmark_type") == MD)
         rbfe = with_price(read_fact(spark, args.rbfe_fact), prices).where(F.col("benchmark_type") == RBFE)
         sel = resolve_selection(md, rbfe, args.md_mps, args.md_system, args.rbfe_mps, args.rbfe_system)
         for name, table in chart_set(md, rbfe, sel, sizes).items():
-            table.write.mode("overwrite").parquet(f"{args.out.rstrip('/')}/{name}")
+            publish(table, f"{args.out.rstrip('/')}/{name}")
 
 
 def main() -> None:

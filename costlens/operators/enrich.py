@@ -35,14 +35,30 @@ def with_sizes(df: DataFrame, sizes: DataFrame) -> DataFrame:
     return joined.select(*[F.col(f"b.{c}") for c in df.columns], F.col("s.total_system_size"))
 
 
-def with_prices(fact: DataFrame, prices: DataFrame, sizes: DataFrame) -> DataFrame:
+def with_sizes_spread(df: DataFrame, sizes: DataFrame, ways: int) -> DataFrame:
+    """``with_sizes`` by a join on system and one of ``ways`` salts.
+
+    Each row gets a salt from its own values and each size all salts, so an
+    exchange puts a system's rows into up to ``ways`` tasks. Rows and values are those of
+    ``with_sizes``, also for null, unknown and repeated systems.
+    """
+    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(ways)).cast("int")
+    b = df.withColumn("_salt", salt).alias("b")
+    s = sizes.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(ways - 1)))).alias("s")
+    joined = b.join(s, (F.col("b.system") == F.col("s.system")) & (F.col("b._salt") == F.col("s._salt")), "left")
+    return joined.select(*[F.col(f"b.`{c}`") for c in df.columns], F.col("s.total_system_size"))
+
+
+def with_prices(fact: DataFrame, prices: DataFrame, sizes: DataFrame, ways: int = 1) -> DataFrame:
     """Fact columns in their own order, then size, price and both ratios.
 
     The row-level view. Summaries do not need it: they join the sizes to their
     finished groups (``summarize.medians``), because a join of the fact on the
-    few systems would put it into as few tasks.
+    few systems would put it into as few tasks. Where sizes are too many to be
+    broadcast, ``ways`` above 1 spreads each system over as many tasks.
     """
-    out = with_sizes(with_price(fact, prices), sizes)
+    priced = with_price(fact, prices)
+    out = with_sizes(priced, sizes) if ways <= 1 else with_sizes_spread(priced, sizes, ways)
     return out.select(*fact.columns, "total_system_size", "price_per_hour", "dollars_per_ns", "ns_per_dollar")
 
 

@@ -51,6 +51,15 @@ def require_non_empty(options: DataFrame, message: str) -> DataFrame:
     return options
 
 
+def guard(options: DataFrame, message: str) -> DataFrame:
+    """One row (n_options, outcome): what ``require_non_empty`` would say, as a column.
+
+    ``outcome`` is NULL where there are options, else ``message``. No job runs here.
+    """
+    n = F.count(F.lit(1))
+    return options.agg(n.alias("n_options"), F.when(n == 0, F.lit(message)).alias("outcome"))
+
+
 def to_list(options: DataFrame) -> list:
     """The option values as a Python list, in the frame's order."""
     c = options.columns[0]

@@ -107,7 +107,11 @@ def system_sizes(metadata: DataFrame, systems: Sequence[str] = DEFAULT_SYSTEMS)
 
     The size is the atom count of the complex phase, used for every phase.
     """
-    long = unpivot(metadata, [], list(systems), "system", "metadata")
-    return long.select(
+    return sizes_of(unpivot(metadata, [], list(systems), "system", "metadata"))
+
+
+def sizes_of(entries: DataFrame) -> DataFrame:
+    """(system, metadata) entries -> (system, total_system_size)."""
+    return entries.select(
         "system", F.col("metadata.atoms.complex").cast("bigint").alias("total_system_size")
     )

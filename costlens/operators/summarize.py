@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from costlens.constants import CONCURRENCY_LEVELS
 from costlens.operators.enrich import with_sizes
 from costlens.operators.median import grouped_median
+from costlens.operators.ordered import number_rows
 
 SUMMARY_VALUES = {"ns_per_day": "metric_value", "ns_per_dollar": "ns_per_dollar"}
 
@@ -55,7 +56,7 @@ def by_concurrency(
     )
     if not sort:
         return out
-    return out.orderBy(F.asc_nulls_last("system"), F.desc_nulls_last("ns_per_day"))
+    return out.orderBy(*by_concurrency_order())
 
 
 def scaling(
@@ -82,4 +83,17 @@ def scaling(
     )
     if not sort:
         return out
-    return out.orderBy(*[F.asc_nulls_last(c) for c in order])
+    return out.orderBy(*scaling_order(order))
+
+
+def by_concurrency_order() -> list[Column]:
+    return [F.asc_nulls_last("system"), F.desc_nulls_last("ns_per_day")]
+
+
+def scaling_order(order: Sequence[str] = ("mps_process_count", "instance_type")) -> list[Column]:
+    return [F.asc_nulls_last(c) for c in order]
+
+
+def positions(summary: DataFrame, order: Sequence[Column]) -> DataFrame:
+    """``summary`` with ``position``, the place of each row in ``order``; ties follow the remaining columns."""
+    return number_rows(summary, [*order, *[F.asc_nulls_last(c) for c in summary.columns]])

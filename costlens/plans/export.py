@@ -24,8 +24,11 @@ from costlens.constants import (
 )
 from costlens.operators.quality import finite
 from costlens.operators.reshape import md_long, rbfe_long
+from costlens.sources.publish import publish
 from costlens.sources.runs import (
     DEFAULT_DAY_GLOB,
+    expected_keys,
+    key_counts,
     manifests,
     matched_runs,
     read_run_tree,
@@ -90,12 +93,36 @@ def export_rejects(
     return rejected_files(tree, kinds)
 
 
+def drift_report(
+    tree: DataFrame, systems: Sequence[str] = DEFAULT_SYSTEMS, phases: Sequence[str] = RBFE_PHASES
+) -> DataFrame:
+    """(file_name, key, documents, status) of every key that is expected or met in a run file.
+
+    ``status`` is ``present``, ``missing`` (expected, in no document; its values would just not be in the
+    facts) or ``unexpected`` (met, and not read by the exports).
+    """
+    kinds = {MD_OUTPUT_FILE: schemas.md_output(systems), RBFE_OUTPUT_FILE: schemas.rbfe_output(systems, phases)}
+    met = key_counts(tree, kinds)
+    expected = tree.sparkSession.createDataFrame(expected_keys(kinds), "file_name string, key string").withColumn("_expected", F.lit(True))
+    both = met.join(expected, ["file_name", "key"], "full")
+    status = F.when(F.col("documents").isNull(), "missing").when(F.col("_expected").isNull(), "unexpected").otherwise("present")
+    return both.select("file_name", "key", F.coalesce("documents", F.lit(0)).alias("documents"), status.alias("status"))
+
+
+class MissingKeysError(ValueError):
+    """Expected keys occur in no run file."""
+
+
+def require_keys(report: DataFrame) -> None:
+    """Raise ``MissingKeysError`` naming the keys of a drift report that no file holds."""
+    missing = report.where("status = 'missing'").orderBy("file_name", "key").collect()  # at most the expected keys
+    if missing:
+        raise MissingKeysError("in no run file: " + ", ".join(f"{r.file_name}: {r.key}" for r in missing))
+
+
 def write_fact(df: DataFrame, path: str, partition_by: Sequence[str] | None = None) -> None:
-    """Overwrite ``path`` with ZSTD-compressed Parquet (a directory of files)."""
-    writer = df.write.mode("overwrite").option("compression", "zstd")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    """Publish ``df`` at ``path`` as ZSTD-compressed Parquet; an older fact is readable until the new one is whole."""
+    publish(df, path, partition_by=partition_by, compression="zstd")
 
 
 def md_export(
@@ -154,6 +181,6 @@ def export_all(
     tree = read_run_tree(spark, root, day_glob)
     on_bad = "reject" if rejects_out else "fail"
     if rejects_out:
-        export_rejects(tree, systems).write.mode("overwrite").parquet(rejects_out)
+        publish(export_rejects(tree, systems), rejects_out)
     write_fact(md_fact(tree, systems, version, on_bad), md_out, partition_by)
     write_fact(rbfe_fact(tree, systems, RBFE_PHASES, version, on_bad), rbfe_out, partition_by)

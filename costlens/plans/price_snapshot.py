@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from costlens.operators.pricing import (
     filter_products,
@@ -13,6 +14,7 @@ from costlens.operators.pricing import (
     location_name,
     parse_price_list,
 )
+from costlens.sources.publish import publish
 from costlens.sources.tables import read_prices
 
 
@@ -32,18 +34,24 @@ def price_snapshot(
     return wanted.select("instance_type").join(first, "instance_type", "left")
 
 
-def snapshot_label(snapshot_month: dt.date) -> str:
+def snapshot_label(month: dt.date) -> str:
     """``YYYY-MM`` of the snapshot month (an argument; no hidden clock)."""
-    return snapshot_month.strftime("%Y-%m")
+    return month.strftime("%Y-%m")
 
 
-def write_prices(df: DataFrame, out_dir: str, snapshot_month: dt.date) -> str:
-    """Write JSON Lines to ``<out_dir>/<YYYY-MM>-pricing.json`` (a folder); returns it.
+def snapshot_month(day: Column) -> Column:
+    """``snapshot_label`` of a date column."""
+    return F.date_format(day, "yyyy-MM")
 
-    A type without a price is written with an explicit null.
+
+def write_prices(df: DataFrame, out_dir: str, month: dt.date) -> str:
+    """Publish JSON Lines at ``<out_dir>/<YYYY-MM>-pricing.json`` (a folder); returns it.
+
+    A type without a price is written with an explicit null. An older snapshot
+    of the month is readable until the new one is whole.
     """
-    path = f"{out_dir.rstrip('/')}/{snapshot_label(snapshot_month)}-pricing.json"
-    df.select("instance_type", "price_per_hour").write.mode("overwrite").json(path, ignoreNullFields=False)
+    path = f"{out_dir.rstrip('/')}/{snapshot_label(month)}-pricing.json"
+    publish(df.select("instance_type", "price_per_hour"), path, "json", ignoreNullFields="false")
     return path
 
 

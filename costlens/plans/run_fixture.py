@@ -290,6 +290,25 @@ UNION ALL
 SELECT folder || run_id || '-quoted/output/rbfe_benchmark.out', 'not JSON, or no document' FROM dirs WHERE et = 'signup' AND day = 20
 """
 
+#: Documents per kind of file and key. ``files`` has the kinds of run folder with how many documents each holds.
+KEYS_SQL = _SQL_BASE.format(systems="[" + ", ".join(f"'{s}'" for s in DEFAULT_SYSTEMS) + "]").replace(
+    """
+  WHERE NOT (et = 'error' AND day(d) = 15))""",
+    ")",
+) + """, md_copies AS (
+  SELECT s.system AS key, 1 + CASE WHEN et = 'view' AND day(d) = 12 THEN 3 ELSE 0 END AS n FROM slots s),
+manifests AS (
+  SELECT CASE WHEN et = 'purchase' AND day(d) <= 5 THEN 0 ELSE 1 END + CASE WHEN et = 'signup' AND day(d) = 1 THEN 1 ELSE 0 END
+         + CASE WHEN et = 'view' AND day(d) = 12 THEN 2 ELSE 0 END
+         + CASE WHEN day(d) = 20 AND et IN ('purchase', 'click', 'signup') THEN 1 ELSE 0 END AS n FROM runs),
+met AS (
+  SELECT 'md_benchmark.out' AS file_name, key, CAST(sum(n) AS BIGINT) AS documents FROM md_copies GROUP BY key
+  UNION ALL
+  SELECT 'rbfe_benchmark.out', system || p, count(*) FROM slots, (VALUES (''), ('.complex'), ('.solvent')) AS v(p) GROUP BY 2
+  UNION ALL
+  SELECT 'manifest.json', unnest(['schema_version', 'instance_type', 'ami_id', 'mps_process_count']), CAST(sum(n) AS BIGINT) FROM manifests)
+"""
+
 EXPECTED_DUPLICATE_MANIFESTS_SQL = """
 WITH runs AS (SELECT DISTINCT CAST(ts AS DATE) AS d, event_type AS et,
                               CAST(floor(user_id / 150) AS BIGINT) AS g FROM events)

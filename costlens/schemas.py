@@ -87,6 +87,10 @@ SYSTEM_ENTRY = T.StructType(
 )
 
 
+#: A metadata document of any systems.
+METADATA_DOCUMENT = T.MapType(T.StringType(), SYSTEM_ENTRY)
+
+
 def system_metadata(systems: Sequence[str] = DEFAULT_SYSTEMS) -> T.StructType:
     """The system metadata document: one struct column per system."""
     return T.StructType([T.StructField(s, SYSTEM_ENTRY) for s in systems])

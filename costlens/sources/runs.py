@@ -77,7 +77,9 @@ def _with_run_keys(df: DataFrame, tail: str) -> DataFrame:
 
 
 def _documents(rows: DataFrame, schema: StructType) -> DataFrame:
-    """(path, doc, problem): one row per document of each file; ``problem`` is NULL where it was read.
+    """(path, item, doc, problem): one row per document of each file; ``problem`` is NULL where it was read.
+
+    ``item`` is the document's text.
 
     A file is read as an array of documents; one that is no array is made one.
     """
@@ -90,7 +92,7 @@ def _documents(rows: DataFrame, schema: StructType) -> DataFrame:
     problem = F.when(F.col("item").isNull(), F.lit("not JSON, or no document")).when(
         F.col("doc").isNull() | F.col("doc._bad").isNotNull(), F.lit("a field does not fit its type")
     )
-    return parsed.select("path", "doc", problem.alias("problem"))
+    return parsed.select("path", "item", "doc", problem.alias("problem"))
 
 
 def _readable(docs: DataFrame, on_bad: str) -> DataFrame:
@@ -158,6 +160,37 @@ def rejected_files(tree: DataFrame, kinds: Mapping[str, StructType]) -> DataFram
     return reduce(DataFrame.unionByName, found).distinct()
 
 
+def key_counts(tree: DataFrame, kinds: Mapping[str, StructType]) -> DataFrame:
+    """(file_name, key, documents): in how many documents of its kind each key occurs.
+
+    Keys are those met in the documents, known or not, and those below them where
+    a schema of ``kinds`` expects an object (``system.phase``). Keys are counted where the
+    documents are read, before any exchange. Unreadable documents count for none.
+    """
+    found = []
+    for name, schema in (*kinds.items(), (MANIFEST_FILE, schemas.MANIFEST)):
+        files = _manifest_files(tree) if name == MANIFEST_FILE else _output_files(tree, name)
+        entries = F.map_entries(F.from_json("item", "map<string,string>", _JSON_OPTIONS))
+        item = _documents(files, StructType([])).where(F.col("item").isNotNull()).select(F.explode(entries).alias("e"))
+        key = F.col("e.key")
+        if any(isinstance(f.dataType, StructType) for f in schema.fields):
+            below = F.coalesce(F.json_object_keys("e.value"), F.array().cast("array<string>"))
+            key = F.explode(F.concat(F.array(key), F.transform(below, lambda k: F.concat(F.col("e.key"), F.lit("."), k))))
+        found.append(item.select(F.lit(name).alias("file_name"), key.alias("key")))
+    return reduce(DataFrame.unionByName, found).groupBy("file_name", "key").agg(F.count(F.lit(1)).alias("documents"))
+
+
+def expected_keys(kinds: Mapping[str, StructType]) -> list[tuple[str, str]]:
+    """(file_name, key) of the schemas, nested ones as ``key.key``."""
+    out = []
+    for name, schema in (*kinds.items(), (MANIFEST_FILE, schemas.MANIFEST)):
+        for f in schema.fields:
+            out.append((name, f.name))
+            if isinstance(f.dataType, StructType):
+                out += [(name, f"{f.name}.{g}") for g in f.dataType.fieldNames()]
+    return out
+
+
 def select_manifests(parsed: DataFrame, version: int = MANIFEST_SCHEMA_VERSION) -> DataFrame:
     """Manifests of one layout version with a usable run id."""
     return parsed.where(

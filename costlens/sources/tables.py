@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from costlens import schemas
 from costlens.constants import DEFAULT_SYSTEMS
+from costlens.sources.publish import published
 
 
 def read_table(spark: SparkSession, base_dir: str, name: str) -> DataFrame:
@@ -16,17 +18,17 @@ def read_table(spark: SparkSession, base_dir: str, name: str) -> DataFrame:
 
 
 def read_fact(spark: SparkSession, path: str) -> DataFrame:
-    """An exported fact (file or directory of Parquet files), in fact column order.
+    """An exported fact (published, or a file or directory of Parquet files), in fact column order.
 
     A fact written with ``partition_by`` (e.g. benchmark type and concurrency)
     is read the same way; filters on those columns then prune folders.
     """
-    return spark.read.schema(schemas.FACT).parquet(path).select(*schemas.FACT_COLUMNS)
+    return spark.read.schema(schemas.FACT).parquet(published(spark, path)).select(*schemas.FACT_COLUMNS)
 
 
 def read_prices(spark: SparkSession, path: str) -> DataFrame:
-    """Price table from JSON: a one-line top-level array or JSON Lines."""
-    return spark.read.schema(schemas.PRICES).json(path)
+    """Price table from JSON: published, or a one-line top-level array or JSON Lines."""
+    return spark.read.schema(schemas.PRICES).json(published(spark, path))
 
 
 def read_system_metadata(
@@ -38,3 +40,16 @@ def read_system_metadata(
         .schema(schemas.system_metadata(systems))
         .json(path)
     )
+
+
+def read_metadata_documents(spark: SparkSession, path: str, per_line: bool = False) -> DataFrame:
+    """(system, metadata): one row per entry of every metadata document, whatever the systems are called.
+
+    A file is one document (pretty-printed or not) or, with ``per_line``, one
+    document per line. Documents are parsed as maps where they are read, so the names
+    of the systems need not be known; a system in several documents has several
+    rows. A document that is no object of entries fails the query.
+    """
+    text = spark.read.text(path, wholetext=not per_line).where(F.trim("value") != "")
+    entries = F.from_json("value", schemas.METADATA_DOCUMENT, {"mode": "FAILFAST"})
+    return text.select(F.explode(entries).alias("system", "metadata")).where(F.col("metadata").isNotNull())

@@ -4,6 +4,7 @@ from test_export import FULL_MD, MD_1_1, RBFE_1_2, manifest, put
 from test_pricing import DOCS
 
 from costlens.__main__ import run
+from costlens.sources.publish import published
 from costlens.sources.tables import read_fact, read_prices
 
 
@@ -37,8 +38,8 @@ def test_export_prices_and_charts_jobs(spark, tmp_path):
     out = str(tmp_path / "charts")
     run(["charts", "--md-fact", md, "--rbfe-fact", rbfe, "--prices", str(prices),
          "--metadata", str(meta), "--out", out, "--md-mps", "2"], spark)
-    cmp_rows = spark.read.parquet(f"{out}/md_comparison").collect()
+    cmp_rows = spark.read.parquet(published(spark, f"{out}/md_comparison")).collect()
     assert {r.mps_process_count for r in cmp_rows} == {2}
-    assert {r.system for r in spark.read.parquet(f"{out}/rbfe_scaling").collect()} == {"bace"}
-    edge = spark.read.parquet(f"{out}/rbfe_edge_cost").collect()
+    assert {r.system for r in spark.read.parquet(published(spark, f"{out}/rbfe_scaling")).collect()} == {"bace"}
+    edge = spark.read.parquet(published(spark, f"{out}/rbfe_edge_cost")).collect()
     assert sum(r.is_winner for r in edge) == len({r.system for r in edge})

@@ -11,6 +11,7 @@ from costlens.sources.runs import (
     unmatched_paths,
 )
 from costlens import schemas
+from costlens.sources.publish import published
 from costlens.sources.tables import read_fact
 
 MD_1_1 = (
@@ -89,7 +90,7 @@ def test_md_export_rows(spark, tree_root, tmp_path):
 def test_written_fact_is_zstd_parquet_with_fact_schema(spark, tree_root, tmp_path):
     out = tmp_path / "md"
     md_export(spark, tree_root, str(out), on_bad="reject")
-    files = sorted(p for p in out.iterdir() if p.suffix == ".parquet")
+    files = sorted(out.glob("v-*/*.parquet"))
     assert files
     meta = pq.ParquetFile(files[0]).metadata
     if meta.num_row_groups:
@@ -174,7 +175,7 @@ def test_unreadable_files_fail_or_are_listed(spark, odd_root, tmp_path):
     with pytest.raises(Exception, match="unreadable run file"):
         export_all(spark, odd_root, str(tmp_path / "a"), str(tmp_path / "b"))
     export_all(spark, odd_root, str(tmp_path / "md"), str(tmp_path / "rbfe"), rejects_out=str(tmp_path / "rejects"))
-    rejects = {r.path.split("/")[-2 - ("output" in r.path)]: r.reason for r in spark.read.parquet(str(tmp_path / "rejects")).collect()}
+    rejects = {r.path.split("/")[-2 - ("output" in r.path)]: r.reason for r in spark.read.parquet(published(spark, str(tmp_path / "rejects"))).collect()}
     json, kind = "not JSON, or no document", "a field does not fit its type"
     assert rejects == {"empty": json, "cut": json, "text": json, "broken": json, "version": kind, "quoted": kind}
     assert read_fact(spark, str(tmp_path / "md")).count() == 7

@@ -5,6 +5,7 @@ import pytest
 
 from costlens import schemas
 from costlens.operators.pricing import UnknownRegionError
+from costlens.sources.publish import published
 from costlens.plans.price_snapshot import price_snapshot, read_snapshot, snapshot_label, write_prices
 from costlens.sources.pricelist import read_price_documents_text
 from costlens.sources.tables import read_prices
@@ -132,7 +133,7 @@ def test_only_the_chosen_price_is_cast(spark):
 def test_a_type_without_a_price_is_written_as_null(spark, tmp_path):
     snap = spark.createDataFrame([("x", None)], schemas.PRICES)
     path = write_prices(snap, str(tmp_path), dt.date(2026, 4, 1))
-    assert [json.loads(line) for r in spark.read.text(path).collect() for line in [r.value]] == [
+    assert [json.loads(line) for r in spark.read.text(published(spark, path)).collect() for line in [r.value]] == [
         {"instance_type": "x", "price_per_hour": None}
     ]
 
