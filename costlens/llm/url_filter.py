@@ -1,15 +1,17 @@
 """URL verdicts: rules first, then trust and distrust propagated over host edges.
 
-Hosts are nodes. Host edges are the absolute links of the pages, and a pair of
-edges between a host and the host one label up, if that occurs too. Trusted
-seeds are hosts with pages that a rule allows, blocked seeds hosts most of
-whose pages a rule blocks. Personalised PageRank carries trust from the trusted
-seeds along the edges, and distrust from the blocked seeds against them. A host
-whose distrust exceeds ``threshold`` times its trust is blocked.
+Hosts are nodes, and so are the names above them, whether pages stand there or
+not: the name one label up, and the domain (the last two labels). Host edges are
+the absolute links of the pages, and pairs of edges between a host and the name
+above it, and between that and the domain. The seeds are pages: a host has trust
+by its pages that a rule allows and distrust by its pages that a rule blocks. Personalised PageRank
+carries trust along the edges and distrust against them, until the scores are
+settled. A host whose distrust exceeds ``threshold`` times its trust is blocked.
 
 Everything here is DataFrame operations. One row per host and kind of score is
 joined with the edges and summed again at each step, partial sums before the
-exchange; the scores are written to the shared folder every few steps.
+exchange; the scores are written to the shared folder every few steps, and the
+driver gets one number then: how much they changed.
 """
 
 from __future__ import annotations
@@ -55,47 +57,60 @@ def rule_of(host: Column, path: Column, rules: Sequence[tuple[str, str]]) -> Col
 
 
 def host_edges(pages: DataFrame, hosts: DataFrame) -> DataFrame:
-    """Distinct host pairs (src, dst): links between hosts, and hosts with their parent host."""
+    """Distinct pairs (src, dst): links between hosts, and both ways between hosts, the names above, and their domains."""
     links = pages.select("host", F.explode(F.regexp_extract_all("html", F.lit(LINK), 1)).alias("to"))
     links = links.select(F.col("host").alias("src"), host_of(F.concat(F.lit(":"), "to")).alias("dst"))
-    up = hosts.select(F.col("host").alias("src"), F.regexp_extract("host", r"^[^.]+\.(.+\..+)$", 1).alias("dst"))
-    up = up.join(hosts.select(F.col("host").alias("dst")), "dst", "left_semi").select("src", "dst")
+    known = hosts.select("host").unionByName(links.select(F.col("dst").alias("host"))).distinct()
+    above = F.regexp_extract("host", r"^[^.]+\.(.+\..+)$", 1)
+    named = known.select("host", above.alias("above"), F.regexp_extract("host", r"([^.]+\.[^.]+)$", 1).alias("domain"))
+    up = named.select(F.inline(F.array(F.struct(F.col("host").alias("src"), F.col("above").alias("dst")), F.struct(F.col("above").alias("src"), F.col("domain").alias("dst")))))
     both = links.unionByName(up).unionByName(up.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
     return both.where((F.col("src") != "") & (F.col("dst") != "") & (F.col("src") != F.col("dst"))).distinct()
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, damping: float, steps: int, steps_a_copy: int = 4) -> DataFrame:
+class NotSettledError(RuntimeError):
+    """The scores still change after the most steps allowed."""
+
+
+def propagate(
+    edges: DataFrame, seeds: DataFrame, damping: float = 0.85, tolerance: float = 1e-4, most_steps: int = 400, steps_a_copy: int = 8
+) -> DataFrame:
     """Personalised PageRank of several kinds at once.
 
     ``edges`` (kind, src, dst) and ``seeds`` (kind, host, seed; each kind sums
     to 1) give (kind, host, score). The mass of hosts without out-edges goes
-    back to the seeds, so the scores of each kind sum to 1.
+    back to the seeds. That only scales all scores of a kind, so the steps leave it out and
+    the scores are scaled to a sum of 1 at the end. Steps go on until
+    ``steps_a_copy`` of them change all scores together by no more than
+    ``tolerance``; what further steps would change is then less than that.
+    ``NotSettledError`` after ``most_steps``.
     """
     degree = edges.groupBy("kind", "src").agg(F.count(F.lit(1)).alias("n"))
-    weighted = shared_copy(edges.join(degree, ["kind", "src"]).select("kind", "src", "dst", (1 / F.col("n")).alias("w")), "edges")
+    weighted = shared_copy(edges.join(degree, ["kind", "src"]).select("kind", "src", "dst", (damping / F.col("n")).alias("w")), "edges")
     seeds = shared_copy(seeds, "seeds")
-    score = seeds.select("kind", "host", F.col("seed").alias("score"))
-    for step in range(1, steps + 1):
-        moved = (
-            weighted.join(score.withColumnRenamed("host", "src"), ["kind", "src"])
-            .groupBy("kind", F.col("dst").alias("host"))
-            .agg((damping * F.sum(F.col("w") * F.col("score"))).alias("score"))
-        )
-        kept = moved.groupBy("kind").agg(F.sum("score").alias("kept"))
-        back = seeds.join(kept, "kind", "left").select(
-            "kind", "host", (F.col("seed") * (1 - F.coalesce("kept", F.lit(0.0)))).alias("score")
-        )
-        score = moved.unionByName(back).groupBy("kind", "host").agg(F.sum("score").alias("score"))
-        if step % steps_a_copy == 0 or step == steps:
+    restart = seeds.select("kind", "host", ((1 - damping) * F.col("seed")).alias("score"))
+    score = copied = restart
+    for step in range(1, most_steps + 1):
+        from_src = score.select(F.col("kind").alias("of"), F.col("host").alias("at"), "score")
+        moved = weighted.join(from_src, (F.col("kind") == F.col("of")) & (F.col("src") == F.col("at")))
+        moved = moved.select("kind", F.col("dst").alias("host"), (F.col("w") * F.col("score")).alias("score"))
+        score = moved.unionByName(restart).groupBy("kind", "host").agg(F.sum("score").alias("score"))
+        if step % steps_a_copy == 0 or step == most_steps:
             score = shared_copy(score, f"scores-{step}")
-    return score
+            apart = score.unionByName(copied.select("kind", "host", (-F.col("score")).alias("score")))
+            changed = apart.groupBy("kind", "host").agg(F.abs(F.sum("score")).alias("by")).agg(F.sum("by")).first()[0]
+            if not changed or changed <= tolerance:
+                total = score.groupBy(F.col("kind").alias("of")).agg(F.sum("score").alias("all"))
+                return score.join(total, F.col("kind") == F.col("of")).select("kind", "host", (F.col("score") / F.col("all")).alias("score"))
+            copied = score
+    raise NotSettledError(f"scores changed by {changed} in the last steps of {most_steps}")
 
 
 def url_verdicts(
     pages: DataFrame,
     rules: Sequence[tuple[str, str]],
     damping: float = 0.85,
-    steps: int = 12,
+    tolerance: float = 1e-4,
     threshold: float = 1.0,
 ) -> DataFrame:
     """One row per page: page_id, host, path, rule, verdict, trust, distrust.
@@ -113,7 +128,6 @@ def url_verdicts(
     ruled = F.col("by.verdict")
     hosts = shared_copy(
         base.where("host != ''").groupBy("host").agg(
-            F.count(F.lit(1)).alias("n"),
             F.count(F.when(ruled == "allow", 1)).alias("allowed"),
             F.count(F.when(ruled == "block", 1)).alias("blocked"),
         ),
@@ -123,15 +137,11 @@ def url_verdicts(
     kinds = edges.select(F.lit("trust").alias("kind"), "src", "dst").unionByName(
         edges.select(F.lit("distrust").alias("kind"), F.col("dst").alias("src"), F.col("src").alias("dst"))
     )
-    bad = 2 * F.col("blocked") > F.col("n")
-    mass = hosts.select(
-        "host",
-        F.when(bad, F.lit("distrust")).when(F.col("allowed") > 0, F.lit("trust")).alias("kind"),
-        F.when(bad, F.col("blocked")).otherwise(F.col("allowed")).alias("mass"),
-    ).where("kind is not null")
+    counts = F.array(*(F.struct(F.lit(kind).alias("kind"), F.col(n).alias("mass")) for kind, n in (("trust", "allowed"), ("distrust", "blocked"))))
+    mass = hosts.select("host", F.inline(counts)).where("mass > 0")
     total = mass.groupBy("kind").agg(F.sum("mass").alias("total"))
     seeds = mass.join(total, "kind").select("kind", "host", (F.col("mass") / F.col("total")).alias("seed"))
-    score = propagate(kinds, seeds, damping, steps)
+    score = propagate(kinds, seeds, damping, tolerance)
     by_host = score.groupBy("host").agg(
         *(F.coalesce(F.sum(F.when(F.col("kind") == k, F.col("score"))), F.lit(0.0)).alias(k) for k in ("trust", "distrust"))
     )
