@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import math
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from costlens.session import scratch_dir
 from costlens.sources.tables import read_table
 
-__all__ = ["bounded_sample", "fold", "group_count", "read_table", "shared_copy"]
+__all__ = ["bounded_sample", "fold", "group_count", "read_table", "release", "shared_copy", "slices"]
 
 
 def fold(doc_id: str | Column, folds: int) -> Column:
@@ -47,3 +53,30 @@ def bounded_sample(rows: DataFrame, label: str, per_class: int) -> DataFrame:
         share = F.when(F.col(label) == F.lit(value), F.lit(min(1.0, per_class / n))).otherwise(share)
     u = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit(17)), F.lit(1 << 40)) / float(1 << 40)
     return rows.where(u < share)
+
+
+def slices(batch: pa.RecordBatch, text_at: int, most_bytes: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """``batch`` in runs of rows whose texts behind the first have ``most_bytes`` together at most.
+
+    What a task makes of a batch (Python strings, its result) is then bounded by
+    bytes, not by the number of rows that Spark puts into a batch.
+    """
+    sizes = pc.fill_null(pc.binary_length(batch.column(text_at)), 0).to_numpy(zero_copy_only=False)
+    run = np.cumsum(sizes.astype(np.int64) + 64) // most_bytes
+    starts = np.flatnonzero(np.diff(run, prepend=-1))
+    for start, end in zip(starts, [*starts[1:], batch.num_rows]):
+        yield batch.slice(int(start), int(end - start))
+
+
+def release() -> None:
+    """Give memory that this worker no longer uses back to the system.
+
+    Python workers outlive their tasks; what their allocators keep for later
+    would count against the executor while other stages run.
+    """
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # another C library
+        pass

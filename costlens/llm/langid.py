@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from costlens.llm.common import bounded_sample
+from costlens.llm.common import bounded_sample, slices
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -156,7 +156,7 @@ def classify(docs: DataFrame, model: ByteCnn | None, batch_windows: int = 256) -
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = model.tables() if model else []
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, text_at)):
             texts = batch.column(text_at).to_pylist()
             known = [i for i, t in enumerate(texts) if model and t and any(map(str.isalpha, t))]
             total = np.zeros((len(texts), len(model.languages) if model else 1))

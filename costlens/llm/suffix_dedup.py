@@ -35,7 +35,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from costlens.llm.common import group_count
+from costlens.llm.common import group_count, release
 
 WINDOW = 50
 GRAM = 20
@@ -289,6 +289,7 @@ def remove_repeats(docs: DataFrame, group_bytes: int = 4 << 20, shard_bytes: int
         shard, value, count = shard[order], (value[order] & _LOW).astype(np.uint32), np.minimum(count[order], 65535).astype(np.uint16)
         cuts = np.flatnonzero(np.r_[True, shard[1:] != shard[:-1]][: len(shard)])
         out = [(int(shard[s]), int(key[0]), value[s:e].tobytes(), count[s:e].tobytes()) for s, e in zip(cuts, [*cuts[1:], len(shard)])]
+        release()
         return pd.DataFrame(out, columns=["shard", "g", "anchors", "counts"])
 
     def repeated(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
@@ -340,11 +341,16 @@ def remove_repeats(docs: DataFrame, group_bytes: int = 4 << 20, shard_bytes: int
         if done:
             r, s, e = np.array(done).T
             out = pd.concat([out, _spans(np.full(len(r), g), r, s, e)])
+        release()
         return out
 
     def settle(final: bool):
         def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-            return pdf if key[0] < 0 else _settle(pdf, shards, final)
+            if key[0] < 0:
+                return pdf
+            found = _settle(pdf, shards, final)
+            release()
+            return found
 
         return run
 

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from costlens.llm.common import bounded_sample
+from costlens.llm.common import bounded_sample, slices
 
 SENTENCE = re.compile(r"[^.!?\n]+")
 WORD = re.compile(r"\w+")
@@ -30,7 +30,7 @@ WORD = re.compile(r"\w+")
 
 #: Beginnings of a word that are features besides the word itself.
 PREFIXES = (4, 5, 6)
-MEMO_WORDS = 500_000
+MEMO_WORDS = 50_000
 
 
 def features(word: str) -> list[str]:
@@ -156,7 +156,7 @@ def score_documents(docs: DataFrame, model: SentenceModel | None, sentence_thres
     kind = pa.list_(pa.struct([("start", pa.int32()), ("length", pa.int32()), ("score", pa.float64())]))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, text_at)):
             values, spans = [], []
             for text in batch.column(text_at).to_pylist():
                 value, found = model.score(text) if model and text else (0.0, [])

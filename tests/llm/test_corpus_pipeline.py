@@ -81,3 +81,24 @@ def test_cuts_trim_their_own_characters_only(spark):
     got = {r.doc_id: r for r in corpus_pipeline.repeated_passage_filter(spark, docs, SF).collect()}
     assert [got[i].text for i in range(4)] == [*texts[:2], f"two {lost}  end {lost}", None]
     assert [got[i].n_chars for i in range(4)] == [None if got[i].text is None else len(got[i].text) for i in range(4)]
+
+
+def test_filters_take_columns_of_any_name(spark):
+    rows = [(i, "Dies ist ein Satz." if i % 2 else "This is a sentence.", "de" if i % 2 else "en", 0.9, "x", i) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, score double, lang_pred string, c0 int")
+    for stage in (corpus_pipeline.toxicity_filter, corpus_pipeline.language_filter):
+        kept = stage(spark, docs, SF)
+        assert kept.columns == docs.columns and set(map(tuple, kept.collect())) <= set(rows)
+
+
+def test_batches_are_cut_by_bytes():
+    import pyarrow as pa
+
+    from costlens.llm.common import slices
+
+    texts = ["x" * n for n in (10, 0, 3_000_000, 5, 500_000, 500_000, 500_000)] + [None] * 3 + ["y"] * 100_000
+    batch = pa.RecordBatch.from_pydict({"i": list(range(len(texts))), "t": texts})
+    parts = list(slices(batch, 1))
+    assert [i for p in parts for i in p.column(0).to_pylist()] == list(range(len(texts)))
+    assert all(sum(len(t or "") for t in p.column(1).to_pylist()[1:]) <= 1 << 20 for p in parts) and len(parts) >= 4
+    assert list(slices(batch.slice(0, 0), 1)) == []
