@@ -7,11 +7,12 @@ languages (stage 2) of the rows that the stage gets, without the held-out folds.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import wraps
 
 import public_tokenizers
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from costlens.llm import langid, toxicity
@@ -20,31 +21,55 @@ from costlens.llm.minhash_dedup import near_duplicates
 from costlens.llm.packing import pack_documents
 from costlens.llm.suffix_dedup import remove_repeats
 
+#: Bytes of a batch that goes to a Python worker.
+BATCH_BYTES = 4 << 20
 TOXIC_SCORE = 0.3
 LEAST_LANGUAGE_SCORE = 0.5
 
 
-def _with_text(docs: DataFrame) -> DataFrame:
-    """(row, text): the whole row as one value, so that no column name of ``docs`` is in the way."""
-    return docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col("text").cast("string").alias("text"))
+def _bounded(stage: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """The stage, with Spark's batches for Python workers cut at ``BATCH_BYTES``.
+
+    The setting stays for the session: what the stage returns is computed later. It
+    bounds memory only, not what is computed.
+    """
+
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
+def _kept(docs: DataFrame, judge: Callable[[DataFrame], DataFrame], keep: Column) -> DataFrame:
+    """The rows of ``docs`` that ``judge``'s columns pass; no column name of ``docs`` can be in their way.
+
+    Every column, text included, travels once.
+    """
+    plain = {c: "text" if c == "text" else f"c{k}" for k, c in enumerate(docs.columns)}
+    judged = judge(docs.select(*(F.col(f"`{c}`").cast("string").alias(n) if n == "text" else F.col(f"`{c}`").alias(n) for c, n in plain.items())))
+    return judged.where(keep).select(*(F.col(n).alias(c) for c, n in plain.items()))
 
 
+@_bounded
 def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a toxicity below 0.3 stay; null and empty texts do."""
     labels = read_table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("label"))
     labels = labels.where(fold("doc_id", 4) != 2)
     model = toxicity.learn(docs.select("doc_id", F.col("text").cast("string").alias("text")), labels)
-    scored = toxicity.score_documents(_with_text(docs), model)
-    return scored.where(F.col("score") < TOXIC_SCORE).select("row.*")
+    return _kept(docs, lambda d: toxicity.score_documents(d, model), F.col("score") < TOXIC_SCORE)
 
 
+@_bounded
 def language_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a learnt language stay; texts without letters, or too uncertain, go."""
     model = langid.learn(docs.where(fold("doc_id", 4) != 2).select("doc_id", F.col("text").cast("string").alias("text"), "lang"))
-    scored = langid.classify(_with_text(docs), model)
-    return scored.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_LANGUAGE_SCORE)).select("row.*")
+    known = (F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_LANGUAGE_SCORE)
+    return _kept(docs, lambda d: langid.classify(d, model), known)
 
 
+@_bounded
 def near_duplicate_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each near-duplicate class stays, once; rows without an id stay."""
     classes = near_duplicates(docs)
@@ -81,6 +106,7 @@ def _cut_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.binary())], ["doc_id", "text"])
 
 
+@_bounded
 def repeated_passage_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents stay, without the 50-byte strings that an earlier one has.
 
@@ -96,6 +122,7 @@ def repeated_passage_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -
     return new.select(*docs.columns).unionByName(docs.where(~with_text))
 
 
+@_bounded
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row per piece of a document with its place in a sequence of 1024 tokens."""
     return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), capacity=1024, end_id=2)
