@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from costlens.llm.common import bounded_sample
+from costlens.llm.common import bounded_sample, slices
 
 PASSAGE = 512
 HIDDEN = 24
@@ -54,6 +54,8 @@ FEATURES = CLASSES * CLASSES + 3
 #: Zero bytes after each text, more than the farthest look back.
 GAP = 32
 LAGS = range(2, 18)
+#: Bytes of a training text whose passages are computed at once.
+LONG = 1 << 18
 
 
 def passages(texts: list[bytes], classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -91,6 +93,21 @@ def passages(texts: list[bytes], classes: np.ndarray) -> tuple[np.ndarray, np.nd
     return x[kept], (np.cumsum(kept) - 1)[first]
 
 
+def passage_slices(text: bytes, classes: np.ndarray, most: int) -> Iterator[np.ndarray]:
+    """The rows of ``passages([text])``, for about ``most`` bytes of the text at a time.
+
+    A passage's features look a few bytes back and ahead, so each slice is
+    computed with a passage before and one behind it, whose rows are left out.
+    """
+    step = max(1, most // PASSAGE) * PASSAGE
+    for s in range(0, max(1, len(text)), step):
+        e = min(len(text), s + step)
+        lead = min(s, PASSAGE)
+        x, _ = passages([text[s - lead : e + PASSAGE]], classes)
+        rows = max(1, -(-(e - s) // PASSAGE))
+        yield x[lead // PASSAGE : lead // PASSAGE + rows]
+
+
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
@@ -101,14 +118,35 @@ class PassageModel:
     scale: np.ndarray
     params: dict[str, np.ndarray]
 
-    def forward(self, x: np.ndarray, start: np.ndarray) -> tuple:
-        """``x`` holds the passages of all documents in a row, ``start`` the first of each."""
+    def encode(self, x: np.ndarray) -> tuple:
+        """Scaled rows, their codes, both parts of the gate, and the attention before the softmax."""
         p = self.params
-        of = np.repeat(np.arange(len(start)), np.diff(np.r_[start, len(x)]))
         x = (x - self.mean) / self.scale
         h = np.tanh(x @ p["encode"] + p["encode_bias"])
         t, g = np.tanh(h @ p["V"]), _sigmoid(h @ p["U"])
-        raw = (t * g) @ p["w"]
+        return x, h, t, g, (t * g) @ p["w"]
+
+    def score_long(self, slices: Iterator[np.ndarray]) -> tuple[float, int]:
+        """(score, passage of most attention) of one document whose passages come in slices: a running softmax."""
+        p, top, best, seen = self.params, -np.inf, 0, 0
+        total, weighted = 0.0, np.zeros(len(p["out"]))
+        for x in slices:
+            _, h, _, _, raw = self.encode(x)
+            at = int(raw.argmax())
+            if raw[at] > top:
+                shrink = float(np.exp(top - raw[at])) if total else 0.0
+                total, weighted = total * shrink, weighted * shrink
+                top, best = float(raw[at]), seen + at
+            e = np.exp(raw - top)
+            total, weighted = total + float(e.sum()), weighted + e @ h
+            seen += len(x)
+        return float(_sigmoid(weighted / total @ p["out"] + p["out_bias"]).item()), best
+
+    def forward(self, x: np.ndarray, start: np.ndarray) -> tuple:
+        """``x`` holds the passages of all documents in a row, ``start`` the first of each."""
+        p = self.params
+        of = np.repeat(np.arange(len(start)), np.diff(np.r_[start, len(x)]))
+        x, h, t, g, raw = self.encode(x)
         e = np.exp(raw - np.maximum.reduceat(raw, start)[of])
         a = e / np.add.reduceat(e, start)[of]
         z = np.add.reduceat(h * a[:, None], start)
@@ -172,8 +210,12 @@ def learn(docs: DataFrame, labels: DataFrame, texts_per_label: int = 1500) -> Pa
         for batch in batches:
             bags = []
             for text in batch.column(2).to_pylist():
-                x, _ = passages([text.encode("utf-8")], classes)
-                bags.append(x[np.unique(np.linspace(0, len(x) - 1, 32).astype(int))].astype(np.float16).tobytes())
+                raw, bag, seen = text.encode("utf-8"), [], 0
+                wanted = np.unique(np.linspace(0, max(1, -(-len(raw) // PASSAGE)) - 1, 32).astype(int))
+                for x in passage_slices(raw, classes, LONG):
+                    bag.append(x[wanted[(wanted >= seen) & (wanted < seen + len(x))] - seen])
+                    seen += len(x)
+                bags.append(np.concatenate(bag).astype(np.float16).tobytes())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(bags, pa.binary())], ["doc_id", "label", "bag"])
 
     typed = rows.select(F.col("doc_id").cast("long"), F.col("label").cast("int"), "text")
@@ -209,7 +251,7 @@ def score_documents(docs: DataFrame, model: PassageModel | None, batch_bytes: in
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes = _byte_classes()
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, text_at)):
             texts = [(t or "").encode("utf-8") for t in batch.column(text_at).to_pylist()]
             values, offsets = [], []
             for part in batched(texts, batch_bytes):
@@ -217,6 +259,11 @@ def score_documents(docs: DataFrame, model: PassageModel | None, batch_bytes: in
                     values += [0.0] * len(part)
                     offsets += [0] * len(part)
                     continue
+                if len(part[0]) > batch_bytes:
+                    value, best = model.score_long(passage_slices(part[0], classes, batch_bytes))
+                    values.append(value)
+                    offsets.append(best * PASSAGE)
+                    continue
                 x, start = passages(part, classes)
                 _, of, _, _, _, a, _, prob = model.forward(x, start)
                 top = np.lexsort((-np.arange(len(a)), a, of))[np.r_[start[1:], len(a)] - 1]

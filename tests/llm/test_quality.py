@@ -1,8 +1,11 @@
+import math
+import tracemalloc
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from costlens.llm.quality import FEATURES, PASSAGE, PassageModel, _byte_classes, judge, passages, train
+from costlens.llm.quality import FEATURES, PASSAGE, PassageModel, _byte_classes, judge, passage_slices, passages, train
 from costlens.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.1"
@@ -67,3 +70,54 @@ def test_one_label_only_and_empty_tables(spark):
     assert [r.score for r in judge(docs, docs.select("doc_id", "label"), F.lit(False)).collect()] == [0.0]
     none = docs.limit(0)
     assert judge(none, none.select("doc_id", "label"), F.lit(False)).count() == 0
+
+
+def small_model(seed=4):
+    rng = np.random.default_rng(seed)
+    bags = [rng.random((rng.integers(1, 6), FEATURES)).astype(np.float32) for _ in range(40)]
+    return train(bags, np.array([k % 2 for k in range(40)], np.float32), steps=5)
+
+
+def test_slices_of_a_text_have_the_passages_of_the_whole():
+    rng = np.random.default_rng(6)
+    classes = _byte_classes()
+    for n in (0, 1, PASSAGE - 1, PASSAGE, PASSAGE + 1, 5 * PASSAGE - 20, 9 * PASSAGE + 3):
+        text = bytes(rng.choice(list(b"ab .\xc3\xa9X1"), n).tolist())
+        whole = passages([text], classes)[0]
+        for most in (1, 2 * PASSAGE, 100 * PASSAGE):
+            assert np.array_equal(np.concatenate(list(passage_slices(text, classes, most))), whole)
+
+
+def test_forward_pass_equals_plain_loops():
+    """Encoding, gated attention and the weighted passage, number by number."""
+    model, rng = small_model(), np.random.default_rng(7)
+    x = rng.random((5, FEATURES)).astype(np.float32)
+    start = np.array([0, 2])
+    prob = model.forward(x, start)[-1]
+    p = {k: v.tolist() for k, v in model.params.items()}
+    for d, (s, e) in enumerate(((0, 2), (2, 5))):
+        codes, raws = [], []
+        for row in x[s:e]:
+            scaled = [(v - m) / c for v, m, c in zip(row.tolist(), model.mean.tolist(), model.scale.tolist())]
+            h = [math.tanh(sum(v * p["encode"][i][j] for i, v in enumerate(scaled)) + p["encode_bias"][j]) for j in range(len(p["encode_bias"]))]
+            gate = [
+                math.tanh(sum(h[i] * p["V"][i][k] for i in range(len(h)))) / (1 + math.exp(-sum(h[i] * p["U"][i][k] for i in range(len(h)))))
+                for k in range(len(p["w"]))
+            ]
+            codes.append(h)
+            raws.append(sum(g * w for g, w in zip(gate, p["w"])))
+        weights = [math.exp(r) / sum(map(math.exp, raws)) for r in raws]
+        z = [sum(a * h[j] for a, h in zip(weights, codes)) for j in range(len(codes[0]))]
+        want = 1 / (1 + math.exp(-(sum(v * w for v, w in zip(z, p["out"])) + float(np.ravel(model.params["out_bias"])[0]))))
+        assert prob[d] == pytest.approx(want, abs=1e-4)
+        assert model.score_long(iter([x[s : s + 1], x[s + 1 : e]])) == (pytest.approx(want, abs=1e-4), int(np.argmax(raws)))
+
+
+def test_a_very_long_text_takes_bounded_memory():
+    model, classes = small_model(), _byte_classes()
+    text = b"Some words, and more. " * 900_000
+    tracemalloc.start()
+    value, _ = model.score_long(passage_slices(text, classes, 1 << 18))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert 0 <= value <= 1 and peak < 100e6
