@@ -26,6 +26,7 @@ so a group's size is bounded; small ones share a group.
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -48,6 +49,12 @@ _BASE = 0xD6E8FEB86659FD93
 _SEEDS = (np.arange(1, SAMPLES + 1, dtype=np.uint64) * _A)[:, None]
 
 
+#: Up to so many matches an item on average, an alignment goes match by match; above, row by row.
+MATCHES_AN_ITEM = 16
+#: Rows of positions that an alignment by rows keeps.
+KEPT_ROWS = 64
+
+
 def _mix(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> np.uint64(30))) * _B
     h = (h ^ (h >> np.uint64(27))) * _C
@@ -108,30 +115,69 @@ def sketch(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return keys, lows
 
 
+def _common_by_matches(a: np.ndarray, b: np.ndarray, spare: int) -> int:
+    """The longest rising run of matching positions, one match at a time (patience sorting)."""
+    order = np.argsort(b, kind="stable")
+    low, high = np.searchsorted(b[order], a, "left").tolist(), np.searchsorted(b[order], a, "right").tolist()
+    places, ends = order.tolist(), []
+    for i, (s, e) in enumerate(zip(low, high)):
+        for j in reversed(places[s:e]):  # falling, so that a position of ``a`` is used once
+            if abs(i - j) <= spare:
+                at = bisect_left(ends, j)
+                ends[at : at + 1] = [j]
+    return len(ends)
+
+
+def _common_by_bits(a: np.ndarray, b: np.ndarray, spare: int) -> int:
+    """The same where items repeat very often: bits of a whole number hold a row of the alignment.
+
+    An item's positions become a number when it is met; those of the most
+    frequent items are kept, so memory is a few dozen rows.
+    """
+    order = np.argsort(a, kind="stable")
+    values, first, times = np.unique(a[order], return_index=True, return_counts=True)
+    at = np.minimum(np.searchsorted(values, b), len(values) - 1)
+    kept: dict[int, int] = {}
+    often = set(np.argsort(-times, kind="stable")[:KEPT_ROWS].tolist())
+
+    def row_of(k: int) -> int:
+        found = kept.get(k)
+        if found is None:
+            bits = np.zeros(len(a), np.uint8)
+            bits[order[first[k] : first[k] + times[k]]] = 1
+            found = int.from_bytes(np.packbits(bits, bitorder="little").tobytes(), "little")
+            if k in often:
+                kept[k] = found
+        return found
+
+    full, band = (1 << len(a)) - 1, (1 << (2 * spare + 1)) - 1
+    row = full
+    for j, (k, known) in enumerate(zip(at.tolist(), (values[at] == b).tolist())):
+        if known:
+            hit = row_of(k) & (band << (j - spare) if j >= spare else band >> (spare - j))
+            step = row & hit
+            row = ((row + step) | (row & ~hit)) & full
+    return len(a) - row.bit_count()
+
+
 def common_in_band(a: np.ndarray, b: np.ndarray, spare: int) -> int:
     """Length of the longest common subsequence of two sequences, matching only
     positions at most ``spare`` apart (no alignment with at most ``spare``
-    unmatched items leaves that band). Bits of whole numbers hold a row of the
-    alignment."""
+    unmatched items leaves that band). Memory is in proportion to the length."""
     n = min(len(a), len(b))
     differ = np.flatnonzero(a[:n] != b[:n])
     head = int(differ[0]) if len(differ) else n
     a, b, n = a[head:], b[head:], n - head
     differ = np.flatnonzero(a[len(a) - n :][::-1] != b[len(b) - n :][::-1])
     tail = int(differ[0]) if len(differ) else n
-    a, b = a[: len(a) - tail].tolist(), b[: len(b) - tail].tolist()
-    where: dict[int, int] = {}
-    for i, x in enumerate(a):
-        where[x] = where.get(x, 0) | 1 << i
-    full = (1 << len(a)) - 1
-    row, band = full, (1 << (2 * spare + 1)) - 1
-    for j, x in enumerate(b):
-        hit = where.get(x)
-        if hit is not None:
-            hit &= band << (j - spare) if j >= spare else band >> (spare - j)
-            step = row & hit
-            row = ((row + step) | (row & ~hit)) & full
-    return head + tail + len(a) - row.bit_count()
+    a, b = a[: len(a) - tail], b[: len(b) - tail]
+    if not len(a) or not len(b):
+        return head + tail
+    values, times = np.unique(a, return_counts=True)
+    at = np.minimum(np.searchsorted(values, b), len(values) - 1)
+    matches = int(times[at][values[at] == b].sum())
+    by = _common_by_matches if matches <= MATCHES_AN_ITEM * (len(a) + len(b)) else _common_by_bits
+    return head + tail + by(a, b, spare)
 
 
 def similar(a: np.ndarray, b: np.ndarray, least: float = LEAST) -> bool:
@@ -274,7 +320,7 @@ def near_duplicates(docs: DataFrame, least: float = LEAST) -> DataFrame:
 
     members = reps.join(family, "id").select("id", F.col("component").alias("family"), "n")
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text")).where("text is not null")
-    held = shared_copy(texts.join(members, "id").dropDuplicates(["id"]), "texts")
+    held = shared_copy(texts.join(members, "id").dropDuplicates(["id", "text"]), "texts")  # all texts of an id
 
     def verify(pdf: pd.DataFrame) -> pd.DataFrame:
         found: list[tuple[int, int]] = []
@@ -285,7 +331,10 @@ def near_duplicates(docs: DataFrame, least: float = LEAST) -> DataFrame:
     total = held.agg(F.sum("n")).first()[0] or 0
     dealt = in_bounded_groups(held, "family", F.col("n"), 2_000_000, group_count(spark, total, 500_000))
     links = shared_copy(dealt.groupBy("lot").applyInPandas(verify, "a long, b long"), "links")
-    joined = classes.join(components(links).withColumnRenamed("id", "rep"), "rep", "left").select("digest", F.coalesce("component", "rep").alias("class"))
+    # Texts that share an id are one document.
+    own = drawn.where("id is not null").join(classes, "digest").select("id", "rep").distinct()
+    ties = own.join(own.groupBy("id").agg(F.min("rep").alias("b")), "id").where("rep <> b").select(F.col("rep").alias("a"), "b")
+    joined = classes.join(components(links.unionByName(ties)).withColumnRenamed("id", "rep"), "rep", "left").select("digest", F.coalesce("component", "rep").alias("class"))
     by_id = drawn.join(joined, "digest").groupBy("id").agg(F.min("class").alias("class_id"))
     ids = docs.select(F.col("doc_id").cast("long").alias("id"))
     return ids.join(by_id, "id", "left").select(F.col("id").alias("doc_id"), F.coalesce("class_id", "id").alias("class_id"))

@@ -1,8 +1,10 @@
+import tracemalloc
+
 import numpy as np
 import pytest
 
 from costlens.llm import minhash_dedup as m
-from costlens.llm.minhash_dedup import common_in_band, in_bounded_groups, labelled, near_duplicates, shingles, similar, sketch
+from costlens.llm.minhash_dedup import _common_by_bits, _common_by_matches, common_in_band, in_bounded_groups, labelled, near_duplicates, shingles, similar, sketch
 
 SCHEMA = "doc_id long, text string, id long, family string, key int"
 
@@ -86,3 +88,56 @@ def test_classes_equal_brute_force(spark, corpus, split, monkeypatch):
 
 def test_empty_table(spark):
     assert near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def aligned(a, b, spare):
+    """Longest common subsequence in the band, by the plain table."""
+    table = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+    for i, x in enumerate(a):
+        for j, y in enumerate(b):
+            best = max(table[i][j + 1], table[i + 1][j])
+            table[i + 1][j + 1] = max(best, table[i][j] + 1) if x == y and abs(i - j) <= spare else best
+    return table[-1][-1]
+
+
+def test_both_alignments_equal_the_plain_table():
+    rng = np.random.default_rng(8)
+    for _ in range(300):
+        kinds = int(rng.integers(1, 40))
+        a, b = (rng.integers(0, kinds, rng.integers(1, 45)).astype(np.uint64) for _ in range(2))
+        if rng.random() < 0.5:
+            b = np.delete(a, rng.integers(0, len(a), 2)) if len(a) > 3 else a
+        spare = int(rng.integers(0, 30))
+        want = aligned(a.tolist(), b.tolist(), spare)
+        assert abs(len(a) - len(b)) > spare or common_in_band(a, b, spare) == want
+        if len(b):
+            assert _common_by_matches(a, b, spare) == _common_by_bits(a, b, spare) == want
+
+
+def test_very_long_texts_are_aligned_in_bounded_memory():
+    rng = np.random.default_rng(9)
+    a = rng.integers(0, 1 << 62, 400_000).astype(np.uint64)  # shingles of a text of about 3 MB
+    b = np.delete(a, np.arange(10, len(a) - 10, 9))
+    half = np.where(np.arange(60_000) % 2 == 0, np.uint64(5), a[:60_000])
+    tracemalloc.start()
+    assert common_in_band(a, b, len(a) // 5) == len(b)
+    assert common_in_band(half, np.delete(half, np.arange(11, 50_000, 50)), 12_000) == 60_000 - len(np.arange(11, 50_000, 50))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 150e6
+
+
+def test_texts_of_one_id_are_one_document(spark):
+    a, b, c = (" ".join(f"{w}{i}" for i in range(40)) for w in "abc")
+    rows = [(5, a), (5, b), (3, b), (9, a), (4, c), (4, c), (None, a), (None, b)]
+    docs = spark.createDataFrame([(i, t, 1, "f", 2) for i, t in rows], SCHEMA)
+    got = sorted((str(r.doc_id), r.class_id) for r in near_duplicates(docs).collect())
+    assert got == [("3", 3), ("4", 4), ("4", 4), ("5", 3), ("5", 3), ("9", 3), ("None", None), ("None", None)]
+
+
+def test_each_text_of_an_id_links_it(spark):
+    d, e = ([f"{w}{i}" for i in range(300)] for w in "de")
+    near = lambda words, i: " ".join([*words[:i], "changed", *words[i + 1 :]])
+    rows = [(17, " ".join(d)), (17, " ".join(e)), (18, near(e, 100)), (16, near(d, 200)), (15, "something else altogether, of few words")]
+    docs = spark.createDataFrame([(i, t, 1, "f", 2) for i, t in rows], SCHEMA)
+    assert {(r.doc_id, r.class_id) for r in near_duplicates(docs).collect()} == {(17, 16), (18, 16), (16, 16), (15, 15)}
