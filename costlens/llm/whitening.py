@@ -1,12 +1,15 @@
 """Embedding whitening by incremental eigendecomposition.
 
 Each partition keeps the eigendecomposition of the scatter matrix of the vectors
-it has read and updates it, vector by vector, by the centred rank-one term of
-the next one: the secular equation gives the new eigenvalues, eigenvectors
-follow from its roots. Entries that the update does not touch, and all but one
-of equal eigenvalues, are deflated first. Spectra of partitions are combined, a few
-at a time in rounds of Spark groups, by one rank-one update per eigenpair of
-the other and one for the distance of the means.
+it has read and updates it by centred rank-one terms: the secular equation
+gives the new eigenvalues, eigenvectors follow from its roots. Entries that an
+update does not touch, and all but one of equal eigenvalues, are deflated first.
+The vectors of a batch, centred, are first turned (QR) into as many rows as they
+have dimensions with the same scatter matrix, so a batch takes one update per
+dimension and one for the distance of its mean, however many vectors it
+holds; batches of fewer vectors take one for each. Spectra of partitions are
+combined, a few at a time in rounds of Spark groups, by one rank-one update per
+eigenpair of the other and one for the distance of the means.
 
 Rounding adds up over many updates, so a last pass over all vectors forms the
 covariance in the basis found (a sum of small matrices, one per partition, added up in
@@ -33,8 +36,9 @@ from pyspark.sql import functions as F
 from costlens.llm.common import shared_copy
 
 EPS = np.finfo(float).eps
-#: States combined by one task of a round.
+#: States combined by one task of a round, and vectors turned into updates at once.
 FAN_IN = 16
+BATCH_ROWS = 4096
 
 
 # --- rank-one updates --------------------------------------------------------
@@ -145,6 +149,16 @@ def rank_one(values: np.ndarray, basis: np.ndarray, vector: np.ndarray, weight:
     return new[order], basis[:, order]
 
 
+def exactly_centred(vectors: np.ndarray, count: int, sums: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(count * x - sums exactly, x - sums / count) of integer vectors."""
+    most = count * int(np.abs(vectors).max(initial=0)) + max(map(abs, sums), default=0)
+    if most < 1 << 62:
+        exact = vectors * count - sums.astype(np.int64)
+    else:
+        exact = vectors.astype(object) * count - sums
+    return exact, (exact / count).astype(float)
+
+
 @dataclass
 class Spectrum:
     """Count, exact sums, and eigendecomposition of the scatter matrix of integer vectors."""
@@ -176,15 +190,28 @@ class Spectrum:
             self._apply(self._distance(sums, times), self.count * times / (self.count + times))
         self.count, self.sums = self.count + times, self.sums + sums
 
+    def absorb(self, count: int, sums: np.ndarray, rows: np.ndarray) -> None:
+        """``count`` vectors with these sums, whose scatter matrix is that of the centred ``rows``."""
+        for row in rows:
+            self._apply(row, 1.0)
+        if self.count:
+            self._apply(self._distance(sums, count), self.count * count / (self.count + count))
+        self.count, self.sums = self.count + count, self.sums + sums
+
+    def add_batch(self, vectors: np.ndarray) -> None:
+        """Many vectors by one update per dimension, few by one for each."""
+        if len(vectors) <= vectors.shape[1] + 1:
+            for vector in vectors:
+                self.add(vector)
+            return
+        sums = vectors.sum(0) if int(np.abs(vectors).max()) * len(vectors) < 1 << 62 else vectors.astype(object).sum(0)
+        centred = exactly_centred(vectors, len(vectors), sums.astype(object))[1]
+        self.absorb(len(vectors), sums.astype(object), np.linalg.qr(centred, mode="r"))
+
     def merge(self, other: "Spectrum") -> None:
         """Rank-one updates by the other's eigenpairs and by the distance of the means."""
         if self.count and other.count:
-            distance, weight = self._distance(other.sums, other.count), self.count * other.count / (self.count + other.count)
-            for value, vector in zip(other.values, other.basis.T):
-                if value > 0:
-                    self._apply(vector, value)
-            self._apply(distance, weight)
-            self.count, self.sums = self.count + other.count, self.sums + other.sums
+            self.absorb(other.count, other.sums, other.basis.T * np.sqrt(np.maximum(other.values, 0.0))[:, None])
         elif other.count:
             self.__dict__.update(other.__dict__)
 
@@ -248,13 +275,7 @@ class Whitening:
         return self.values > max(self.values.sum(), 0.0) * self.dim * 4 * EPS
 
     def centred(self, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(n * x - S exactly, x - S / n)."""
-        most = self.count * int(np.abs(vectors).max(initial=0)) + max(map(abs, self.sums), default=0)
-        if most < 1 << 62:
-            exact = vectors * self.count - self.sums.astype(np.int64)
-        else:
-            exact = vectors.astype(object) * self.count - self.sums
-        return exact, (exact / self.count).astype(float)
+        return exactly_centred(vectors, self.count, self.sums)
 
     def whiten(self, centred: np.ndarray, most: int) -> np.ndarray:
         """Projections over the root of the eigenvalue; nan for components without variance."""
@@ -303,9 +324,8 @@ def fit(vectors: DataFrame, scale: float = 64.0, offset: int = 1_000_000) -> Whi
     def decompose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state = Spectrum.empty(dim)
         for batch in batches:
-            x, times = np.unique(_vectors(batch, dim, scale, offset)[1], axis=0, return_counts=True)
-            for vector, n in zip(x, times.tolist()):  # equal vectors are one update
-                state.add(vector, n)
+            for start in range(0, batch.num_rows, BATCH_ROWS):
+                state.add_batch(_vectors(batch.slice(start, BATCH_ROWS), dim, scale, offset)[1])
         if state.count:
             row = state.to_row()
             yield pa.RecordBatch.from_pydict({"n": [row["n"]], "sums": pa.array([row["sums"]], pa.list_(pa.string())), "numbers": [row["numbers"]]})

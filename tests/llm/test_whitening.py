@@ -51,14 +51,15 @@ def test_merged_spectra_equal_one_decomposition():
     states = []
     for part in np.split(x, [5, 100, 130, 400]):
         states.append(Spectrum.empty(12))
-        for vector in part:
-            states[-1].add(vector)
+        states[-1].add_batch(part)
+    for vector in x[400:]:
+        states[0].add(vector)
     states[1].add(x[0], 3)
     for other in [*states[1:], Spectrum.empty(12)]:
         states[0].merge(other)
-    every = np.concatenate([x, x[:1], x[:1], x[:1]])
+    every = np.concatenate([x, x[:1], x[:1], x[:1], x[400:]])
     centred = every - every.mean(0)
-    assert states[0].count == 603 and (states[0].sums == every.sum(0)).all()
+    assert states[0].count == 803 and (states[0].sums == every.sum(0)).all()
     assert states[0].values == pytest.approx(np.linalg.eigvalsh(centred.T @ centred), rel=1e-11)
 
 
