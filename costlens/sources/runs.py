@@ -12,7 +12,9 @@ kinds (``recursiveFileLookup`` under the day folders that match ``day_glob``, a
 brace glob on the file names) and read as whole-file text; each kind is then
 parsed with ``from_json`` against an explicit schema. Listing is the expensive
 part of many small files on an object store, so the export jobs share one
-listing; Spark packs many small files into one split.
+listing; Spark packs many small files into one split. What the listing sends to
+the driver are the files' names and sizes, from a few tasks per core: Spark's
+default of one task per folder sends several times as much.
 
 Nothing is lost without a word: a file that is not JSON, or holds a field that
 does not fit its type, fails the job (``on_bad="fail"``), or is left out and
@@ -36,6 +38,7 @@ from costlens.constants import (
     RBFE_OUTPUT_FILE,
 )
 from costlens.functions.paths import decode_path, run_date_from_path, run_id_from_path
+from costlens.session import read_tasks, settings
 
 RUN_FILES = (MD_OUTPUT_FILE, RBFE_OUTPUT_FILE, MANIFEST_FILE)
 DEFAULT_DAY_GLOB = "*-*-*"  # all day folders, of any year
@@ -49,6 +52,19 @@ _JSON_OPTIONS = {"allowNonNumericNumbers": "true"}
 _NEXT_DOCUMENT = r"\}\s*\{"
 
 
+def _listing_settings(spark: SparkSession) -> dict[str, str]:
+    """Settings of a listing by few tasks: a day folder each, or parts of one where days are fewer than cores.
+
+    A split holds files of many hosts, so their places are not asked for.
+    """
+    discovery = "spark.sql.sources.parallelPartitionDiscovery"
+    most = {
+        f"{discovery}.threshold": max(8, spark.sparkContext.defaultParallelism),
+        f"{discovery}.parallelism": read_tasks(spark),
+    }
+    return {k: str(min(int(spark.conf.get(k)), n)) for k, n in most.items()} | {"spark.sql.sources.ignoreDataLocality": "true"}
+
+
 def read_run_tree(
     spark: SparkSession,
     root: str,
@@ -57,16 +73,18 @@ def read_run_tree(
 ) -> DataFrame:
     """One row per run file: decoded ``path``, ``file_name`` and ``text``."""
     name_glob = "{" + ",".join(file_names) + "}"
-    raw = (
-        spark.read.option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", name_glob)
-        .text(f"{root.rstrip('/')}/runs/{day_glob}", wholetext=True)
-    )
+    with settings(spark, _listing_settings(spark)):
+        raw = (
+            spark.read.option("recursiveFileLookup", "true")
+            .option("pathGlobFilter", name_glob)
+            .text(f"{root.rstrip('/')}/runs/{day_glob}", wholetext=True)
+        )
+    # A split holds about 32 small files; every task that reads some sends its metrics to the driver.
     return raw.select(
         decode_path(F.col("_metadata.file_path")).alias("path"),
         F.col("_metadata.file_name").alias("file_name"),
         F.col("value").alias("text"),
-    )
+    ).coalesce(read_tasks(spark))
 
 
 def _with_run_keys(df: DataFrame, tail: str) -> DataFrame:
