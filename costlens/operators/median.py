@@ -10,6 +10,10 @@
    them up; the number of buckets, not that of rows, bounds a window.
 3. Prefix counts over the values of the last bucket give the middle values.
 
+A rank whose first bucket holds one value is settled there and takes no part in
+the joins of the later steps: groups of few rows, or of few different values,
+mostly end so.
+
 A bucket of the last step spans a ratio of ``1 / (RATIO_STEPS * PARTS)``; so it
 holds at most 2**53 times that, about 8 million, different doubles, and
 usually a few. Nothing is sampled, collected, checkpointed or
@@ -90,9 +94,9 @@ def grouped_median(
     ranks = counted.withColumn("_upto", upto).withColumn("_t", F.explode(wanted))
     state = ranks.select(*keys, "_k", "_has", "_t", (F.col("_t") - before).alias("_rank"), "_low", "_high", "_of")
 
-    # Second step and last: the histogram's rows between the ends of the bucket found.
+    # Second step and last: the histogram's rows between the ends of the bucket found, where it holds several values.
     by = [*keys, "_k", "_has", "_t"]
-    at = state.where("_of > 0").drop("_of")
+    at = state.where("_of > 0 and _low < _high").drop("_of")
     for code in (_part_bucket(v, F.col("_low"), F.col("_high"), parts), v):
         h, a = histogram.alias("h"), at.alias("a")
         match = [F.col(f"h.`{c}`").eqNullSafe(F.col(f"a.`{c}`")) for c in keys]
@@ -102,9 +106,10 @@ def grouped_median(
         counted = joined.withColumn("_code", code).groupBy(*by, "_rank", "_code").agg(*spread)
         at = _hits(counted, by, "_code")
 
-    # Groups without any value are in ``state`` alone.
-    blank = F.lit(None).cast("double").alias("_m")
-    both = at.select(*keys, "_k", F.col("_low").alias("_m")).unionByName(state.where("_of = 0").select(*keys, "_k", blank))
+    # Groups without any value, and ranks whose first bucket holds one value, are in ``state`` alone.
+    known = F.when(F.col("_of") > 0, F.col("_low")).alias("_m")
+    settled = state.where("_of = 0 or _low = _high").select(*keys, "_k", known)
+    both = at.select(*keys, "_k", F.col("_low").alias("_m")).unionByName(settled)
     low_high = [[f(F.when(F.col("_k") == i, F.col("_m"))) for f in (F.min, F.max)] for i in range(len(names))]
     mean = [F.when(a == b, a).otherwise(F.lit(0.5) * a + F.lit(0.5) * b).alias(name) for name, (a, b) in zip(names, low_high)]
     return both.groupBy(*keys).agg(*mean)
