@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from costlens.llm.common import shared_copy
+from costlens.llm.common import release, shared_copy
 
 #: Bytes of the rolling hash; one in ``CHUNK`` positions is a cut on average.
 HASH_BYTES = 16
@@ -111,19 +111,22 @@ class ChunkEncoder:
             self.words.update(zip(part, map(raw.__getitem__, map(slice, cut, cut[1:]))))
 
     def _learn(self, chunks: list[str]) -> None:
-        """Encode the chunks' inner words: those with a space at either side within the chunk."""
-        split = {c: c.split(" ") for c in chunks}
+        """Encode the inner words of chunks that are new: words with a space at either side within the chunk."""
+        split = {c: c.split(" ") for c in chunks if c not in self.chunks}
         inner = {w for words in split.values() for w in words[1:-1]}
         new = [w for w in inner if w not in self.words]
         if len(self.words) + len(new) > self.most_words:
-            self.words, new = {}, list(inner)
+            # Chunks need the words at their edges: they go with the words, those met here are learnt anew.
+            self.words, self.chunks, self.held = {}, {}, 0
+            split = {c: c.split(" ") for c in chunks}
+            new = list({w for words in split.values() for w in words[1:-1]})
         self._encode_words(new)
         for chunk, words in split.items():
             inside = words[1:-1]
             ids = b"".join(map(self.words.__getitem__, inside))
             self.chunks[chunk] = (words[0], words[-1] if len(words) > 1 else None, inside[: self.EDGE], inside[-self.EDGE :], ids)
             self.held += 4 * len(chunk) + 1000
-        self.encoded += len(chunks)
+        self.encoded += len(split)
 
     def _repair(self, joins: list[tuple[list[str], str, list[str]]]) -> list[bytes | None]:
         """The ids of each join's word between the words before and after it; None without agreement."""
@@ -145,16 +148,11 @@ class ChunkEncoder:
 
     def encode_many(self, texts: list[str]) -> Iterator[bytes]:
         """The packed little-endian ids of each text."""
-        if self.held > self.most_bytes or len(self.words) > self.most_words:
+        if self.held > self.most_bytes:
             self.chunks, self.held = {}, 0
         cut = [chunk_text(t) for t in texts]
         self.met += sum(map(len, cut))
-        known = self.words
-        self._learn(list({c for chunks in cut for c in chunks if c not in self.chunks}))
-        if self.words is not known:
-            # The word memo started anew: words at the edges of older chunks are needed again.
-            edges = {w for chunks in cut for c in chunks for side in self.chunks[c][2:4] for w in side}
-            self._encode_words([w for w in edges if w not in self.words])
+        self._learn(list({c for chunks in cut for c in chunks}))
         # A join's word starts after the last space of one chunk, runs through
         # chunks without spaces, and ends at the first space of another.
         joins, plan = [], []
@@ -227,6 +225,8 @@ def encode_documents(docs: DataFrame, tokenizer: str, at_once: int = 256) -> Dat
                 got = list(encoder.encode_many([t or "" for t in batch.column(1).to_pylist()]))
                 texts = pa.array([encoder.decode(ids) for ids in got], pa.string())
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(got, pa.binary()), texts], ["doc_id", "ids", "decoded"])
+        del encoder
+        release()
 
     picked = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string").alias("text"))
     return deal_by_key(picked).mapInArrow(encode, "doc_id long, ids binary, decoded string")

@@ -49,6 +49,16 @@ def test_cuts_inside_words_are_repaired(reference, monkeypatch):
     assert [(i, encoder.decode(i)) for i in encoder.encode_many(texts)] == [reference(t) for t in texts]
 
 
+def test_a_chunk_returns_after_the_words_started_anew(reference):
+    rng = np.random.default_rng(4)
+    long = lambda k: " ".join(f"{k}x{n}" for n in rng.integers(0, 10**9, 300))
+    a, b, c = long("a"), long("b"), long("c")
+    encoder = ChunkEncoder(PATH, most_words=700)  # the third text starts the words anew, while the chunks of the first are held
+    for texts in ([a], [b], [c], [a, c], [b, a]):
+        assert list(encoder.encode_many(texts)) == [reference(t)[0] for t in texts]
+        assert len(encoder.words) <= 700
+
+
 def test_each_chunk_is_encoded_once():
     encoder = ChunkEncoder(PATH)
     text = " ".join(f"w{n}" for n in np.random.default_rng(3).integers(0, 999, 4000))
