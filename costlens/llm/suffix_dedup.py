@@ -8,16 +8,22 @@ bounded part of the corpus:
 2. The strings that start in a document are assigned to anchors: each string to
    the k-gram in it with the smallest hash (the last of equal ones). Equal
    strings have equal anchors at equal places, whatever stands around them.
-   Anchors that occur in one document only cannot match and drop out here.
-3. For each remaining anchor, the stretch of text that holds its strings goes
-   to the shard of the anchor's hash. Within a group a stretch that repeats goes
-   out once; its repetitions in later documents are settled at once.
-4. A shard builds a suffix array of its different stretches by Larsson-Sadakane
-   refinement (ranks by 8 bytes, doubled to 16 and 32, only unsettled suffixes
-   being sorted again; a last step to exactly ``WINDOW`` bytes), and the common
-   prefixes of neighbours in suffix order as Kasai's method gives them, with the
-   ranks as strides. Neighbours with ``WINDOW`` common bytes are one string; the
-   smallest id among its documents keeps it, the others' bytes go.
+   The more a corpus holds, the more k-grams repeat by chance, so what is
+   compared is longer: an anchor's strings either have at least ``BEFORE`` bytes
+   before it or over ``BEHIND`` bytes behind it. Each of these two halves has a
+   key, the hash of the k-gram with those bytes. Halves whose key occurs in one
+   document only cannot match and drop out here.
+3. For each remaining half, the stretch of text that holds its strings goes
+   to the shard of the anchor's hash (one stretch where both halves remain).
+   Within a group a stretch that repeats goes out once; its repetitions in later
+   documents are settled at once.
+4. A shard goes through its anchors in ``PARTS`` parts, and builds for each a
+   sparse suffix array of its different stretches: only the suffixes that start
+   a string are sorted, by 8 bytes, then by as many further bytes a time as fit
+   beside their rank, only unsettled suffixes being sorted again, up to exactly
+   ``WINDOW`` bytes. The common prefixes of neighbours in suffix order follow
+   with the ranks as strides. Neighbours with ``WINDOW`` common bytes are one
+   string; the smallest id among its documents keeps it, the others' bytes go.
 5. An anchor with very many stretches is split over several shards. What each
    of them keeps goes, as sorted runs, to a second set of shards by the string
    itself, where the runs are merged by binary search. A string reaches that
@@ -39,6 +45,13 @@ from costlens.llm.common import group_count, release
 
 WINDOW = 50
 GRAM = 20
+#: Bytes before an anchor in its left half's key, and behind it in its right half's: a string has one or the other.
+BEFORE = (WINDOW - GRAM) // 2
+BEHIND = WINDOW - GRAM - BEFORE + 1
+#: Parts of a shard's anchors: one suffix array each.
+PARTS = 8
+#: Shards whose keys are counted together.
+COUNTED = 2
 #: Stretches of one anchor that a shard may get; the anchors with more are split.
 MOST_STRETCHES = 4096
 
@@ -47,7 +60,7 @@ _LOW = np.uint64(0xFFFFFFFF)
 
 #: One row per group and target: packed arrays of stretches. A negative route
 #: means spans of group ``-1 - route`` instead: rows, starts and ends.
-PACKED = "route long, docs binary, groups binary, rows binary, starts binary, sizes binary, split binary, text binary"
+PACKED = "route long, docs binary, groups binary, rows binary, starts binary, sizes binary, split binary, parts binary, text binary"
 
 
 def _sliding(values: np.ndarray, width: int, pick) -> np.ndarray:
@@ -72,72 +85,104 @@ def gram_hashes(b: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def anchors(b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(first, last, hash): runs of string starts with one anchor, and the anchor's hash."""
+def _mixed(h: np.ndarray, other: np.ndarray, factor: int) -> np.ndarray:
+    h = h * np.uint64(factor) + other
+    h = (h ^ (h >> np.uint64(29))) * np.uint64(_MIX[2])
+    return h ^ (h >> np.uint64(32))
+
+
+def _runs(b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(first, last, place) of the runs of string starts with one anchor, and the hashes of all grams."""
     if len(b) < WINDOW:
-        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64)
+        return (*(np.empty(0, np.int64) for _ in range(3)), np.zeros(1, np.uint64))
     h = gram_hashes(b)
     place = np.arange(len(h), dtype=np.uint64)
     low = _sliding((h & ~_LOW) | (_LOW - place), WINDOW - GRAM + 1, np.minimum)
     at = (_LOW - (low & _LOW)).astype(np.int64)
     first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
     last = np.r_[first[1:], len(at)] - 1
-    value = h[at[first]] * np.uint64(_MIX[1])
-    return first, last, value ^ (value >> np.uint64(31))
-
-
-def suffix_ranks(text: np.ndarray) -> list[tuple[int, np.ndarray]]:
-    """(depth, ranks) for 8, 16, 32 and ``WINDOW`` bytes: equal ranks are equal prefixes,
-    and ranks are in the order of the prefixes. Bytes beyond the end count as 0."""
-    n = len(text)
-    padded = np.concatenate([text, np.zeros(8, np.uint8)])
-    key = np.zeros(n, np.uint64)
-    for j in range(8):
-        key = (key << np.uint64(8)) | padded[j : j + n]
-
-    def ranked(keys: np.ndarray) -> np.ndarray:
-        order = np.argsort(keys, kind="stable")
-        fresh = np.r_[True, keys[order][1:] != keys[order][:-1]]
-        out = np.empty(len(keys), np.int64)
-        out[order] = np.flatnonzero(fresh)[np.cumsum(fresh) - 1]
-        return out
+    return first, last, at[first], h
+
+
+def _anchor_hash(h: np.ndarray) -> np.ndarray:
+    value = h * np.uint64(_MIX[1])
+    return value ^ (value >> np.uint64(31))
 
-    rank, depth = ranked(key), 8
-    found = [(depth, rank)]
+
+def anchors(b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first, last, hash): runs of string starts with one anchor, and the anchor's hash."""
+    first, last, at, h = _runs(b)
+    return first, last, _anchor_hash(h[at])
+
+
+def halves(b: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(first, turn, last, hash, left, right) of the runs with one anchor.
+
+    The strings from ``first`` on have the bytes of the key ``left``, those from ``turn``
+    to ``last`` the bytes of ``right``. A half without strings has a key without meaning.
+    """
+    first, last, at, h = _runs(b)
+    turn = np.minimum(np.maximum(first, at - BEFORE + 1), last + 1)
+    left = _mixed(h[np.maximum(at - BEFORE, 0)], h[at], _MIX[1])
+    right = _mixed(h[at], h[np.minimum(at + BEHIND, len(h) - 1)], _MIX[3])
+    return first, turn, last, _anchor_hash(h[at]), left, right
+
+
+def suffix_ranks(text: np.ndarray, starts: np.ndarray | None = None) -> list[tuple[int, np.ndarray]]:
+    """(depth, ranks) of the suffixes at ``starts`` (all by default) for 8, more, and ``WINDOW`` bytes:
+    equal ranks are equal prefixes, and ranks are in the order of the prefixes. Bytes beyond the end count as 0."""
+    starts = np.arange(len(text)) if starts is None else starts
+    n = len(starts)
+    key = np.concatenate([text, np.zeros(WINDOW + 7, np.uint8)]).astype(np.uint64)
+    for step in (1, 2, 4):
+        key = (key[:-step] << np.uint64(8 * step)) | key[step:]
+    order = np.argsort(key[starts])
+    value = key[starts[order]]
+    fresh = np.r_[True, value[1:] != value[:-1]][:n]
+    begin = np.flatnonzero(fresh)
+    rank = np.empty(n, np.int32)
+    rank[order] = begin[np.cumsum(fresh) - 1]
+    depth, found = 8, [(8, rank)]
+    # The suffixes in groups of two and more, group by group; the others are settled.
+    many = np.diff(np.r_[begin, n]) > 1
+    open_at = order[many[np.cumsum(fresh) - 1]]
+    most = (64 - max(1, n).bit_length()) // 8
     while depth < WINDOW:
-        shift = min(depth, WINDOW - depth)
-        beyond = np.concatenate([rank[shift:] + 1, np.zeros(min(shift, n), np.int64)])
-        size = np.bincount(rank, minlength=n)
-        open_at = np.flatnonzero(size[rank] > 1)  # the others are settled
+        step = min(most, WINDOW - depth)
         rank = rank.copy()
         if len(open_at):
-            pair = (rank[open_at].astype(np.uint64) << np.uint64(32)) | beyond[open_at].astype(np.uint64)
-            sub = ranked(pair)
+            group = rank[open_at]
+            pair = (group.astype(np.uint64) << np.uint64(8 * step)) | (key[starts[open_at] + depth] >> np.uint64(64 - 8 * step))
+            order = np.argsort(pair)
+            open_at, group, pair = open_at[order], group[order], pair[order]
+            fresh = np.r_[True, pair[1:] != pair[:-1]]
+            begin, of = np.flatnonzero(fresh), np.cumsum(fresh) - 1
             # A group keeps its ranks' range: members move up by their place in it.
-            start = ranked(rank[open_at])
-            rank[open_at] += sub - start
-        depth += shift
+            top = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
+            rank[open_at] = group + begin[of] - np.repeat(top, np.diff(np.r_[top, len(group)]))
+            open_at = open_at[(np.diff(np.r_[begin, len(pair)]) > 1)[of]]
+        depth += step
         found.append((depth, rank))
     return found
 
 
-def common_prefixes(suffixes: np.ndarray, ranks: list[tuple[int, np.ndarray]], text: np.ndarray) -> np.ndarray:
-    """Common bytes, up to ``WINDOW``, of each suffix with the one before it in ``suffixes``."""
-    left, right = suffixes[:-1].copy(), suffixes[1:].copy()
+def common_prefixes(suffixes: np.ndarray, ranks: list[tuple[int, np.ndarray]], text: np.ndarray, starts: np.ndarray | None = None) -> np.ndarray:
+    """Common bytes, up to ``WINDOW``, of each suffix with the one before it in ``suffixes``.
+
+    ``suffixes`` are places in ``starts`` (in the text by default), where at least ``WINDOW`` bytes follow.
+    """
+    left, right = suffixes[:-1], suffixes[1:]
     common = np.zeros(len(left), np.int64)
-    last = len(text) - 1
-    for depth, rank in ranks[::-1]:
-        same = (common + depth <= WINDOW) & (right <= last) & (left <= last)
-        same &= rank[np.minimum(left, last)] == rank[np.minimum(right, last)]
-        for x in (left, right, common):
-            x[same] += depth
-    for _ in range(7):  # what is left is less than the smallest depth
-        same = (common < WINDOW) & (left <= last) & (right <= last)
-        same &= text[np.minimum(left, last)] == text[np.minimum(right, last)]
-        if not same.any():
-            break
-        for x in (left, right, common):
-            x[same] += 1
+    same = np.arange(len(left))
+    for depth, rank in ranks:
+        same = same[rank[left[same]] == rank[right[same]]]
+        common[same] = depth
+    if starts is not None:
+        left, right = starts[left], starts[right]
+    same = np.flatnonzero(common < WINDOW)
+    for _ in range(7):  # what is left is less than the largest stride
+        same = same[text[left[same] + common[same]] == text[right[same] + common[same]]]
+        common[same] += 1
     return np.r_[0, common]
 
 
@@ -152,9 +197,9 @@ def keepers(stretches: list[bytes], docs: np.ndarray) -> tuple[np.ndarray, np.nd
     of = np.repeat(np.arange(len(stretches)), strings)
     inside = np.arange(strings.sum()) - np.repeat(np.cumsum(strings) - strings, strings)
     start = (np.cumsum(sizes) - sizes)[of] + inside
-    ranks = suffix_ranks(text)
-    order = np.argsort(ranks[-1][1][start], kind="stable")
-    common = common_prefixes(start[order], ranks, text)
+    ranks = suffix_ranks(text, start)
+    order = np.argsort(ranks[-1][1])
+    common = common_prefixes(order, ranks, text, start)
     fresh = np.flatnonzero(common < WINDOW)
     lowest = np.minimum.reduceat(docs[of][order], fresh)
     out = np.empty(len(order), np.int64)
@@ -163,7 +208,7 @@ def keepers(stretches: list[bytes], docs: np.ndarray) -> tuple[np.ndarray, np.nd
 
 
 #: The packed columns and their types.
-_COLUMNS = {"docs": "<i8", "groups": "<i8", "rows": "<u4", "starts": "<u4", "sizes": "<u2", "split": "<u1"}
+_COLUMNS = {"docs": "<i8", "groups": "<i8", "rows": "<u4", "starts": "<u4", "sizes": "<u2", "split": "<u1", "parts": "<u1"}
 
 
 def _planes(values: np.ndarray) -> bytes:
@@ -175,16 +220,26 @@ def _from_planes(raw: bytes, kind: str) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
 
 
+def _steps(keys: np.ndarray) -> bytes:
+    """Ascending 32-bit keys as planes of their differences: the first bytes are mostly zero."""
+    return _planes(np.diff(keys.astype("<u4"), prepend=np.zeros(1, "<u4")))
+
+
+def _from_steps(raws) -> np.ndarray:
+    """The keys of all of ``raws`` in a row."""
+    return np.concatenate([np.cumsum(_from_planes(raw, "<u4"), dtype=np.uint32) for raw in raws])
+
+
 def _unpack(pdf: pd.DataFrame) -> list[np.ndarray]:
     columns = [np.concatenate([_from_planes(raw, kind) for raw in pdf[name]]) for name, kind in _COLUMNS.items()]
     return [c.astype(np.int64) for c in columns]
 
 
-def _packed(route: np.ndarray, docs, groups, rows, starts, sizes, split, pieces: list[bytes]) -> pd.DataFrame:
+def _packed(route: np.ndarray, docs, groups, rows, starts, sizes, split, parts, pieces: list[bytes]) -> pd.DataFrame:
     """One row per route, in the order given within each."""
     order = np.argsort(route, kind="stable")
     cuts = np.flatnonzero(np.r_[True, route[order][1:] != route[order][:-1]]) if len(order) else np.empty(0, int)
-    given = (docs, groups, rows, starts, sizes, split)
+    given = (docs, groups, rows, starts, sizes, split, parts)
     arrays = [np.asarray(x)[order].astype(kind) for x, kind in zip(given, _COLUMNS.values())]
     out = []
     for s, e in zip(cuts.tolist(), [*cuts[1:].tolist(), len(order)]):
@@ -196,29 +251,56 @@ def _packed(route: np.ndarray, docs, groups, rows, starts, sizes, split, pieces:
 def _spans(groups: np.ndarray, rows: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pd.DataFrame:
     """Spans packed by group: the span's end stands in ``docs``."""
     none = np.zeros(len(rows))
-    return _packed(-1 - groups, ends, groups, rows, starts, none, none, [b""] * len(rows))
+    return _packed(-1 - groups, ends, groups, rows, starts, none, none, none, [b""] * len(rows))
 
 
 def _settle(pdf: pd.DataFrame, shards: int, final: bool) -> pd.DataFrame:
     """A shard's spans, and (unless final) the strings that split anchors keep."""
-    docs, groups, rows, starts, sizes, split = _unpack(pdf)
+    docs, groups, rows, starts, sizes, split, parts = _unpack(pdf)
     text = b"".join(pdf["text"])
     ends = np.cumsum(sizes)
-    pieces = [text[e - n : e] for e, n in zip(ends.tolist(), sizes.tolist())]
+    if not final:
+        gone, kept, strings = [], [], []
+        for part in np.unique(parts):
+            at = np.flatnonzero(parts == part)
+            pieces = [text[e - n : e] for e, n in zip(ends[at].tolist(), sizes[at].tolist())]
+            covered, again = _settle_part(docs[at], split[at], pieces)
+            owner, opens, closes = covered
+            gone.append((at[owner], opens, closes))
+            owner, place = again
+            kept.append((at[owner], place))
+            strings += [pieces[i][s : s + WINDOW] for i, s in zip(owner.tolist(), place.tolist())]
+        o, opens, closes = map(np.concatenate, zip(*gone))
+        spans = _spans(groups[o], rows[o], starts[o] + opens, starts[o] + closes)
+        if not strings:
+            return spans
+        o, place = map(np.concatenate, zip(*kept))
+        same = np.ones(len(o))
+        more = _packed(_shards_of(strings, shards), docs[o], groups[o], rows[o], starts[o] + place, same * WINDOW, same, same * 0, strings)
+        return pd.concat([spans, more])
+    which, different, lowest = _different([text[e - n : e] for e, n in zip(ends.tolist(), sizes.tolist())], docs)
+    # Sorted runs of single strings, merged by binary search.
+    runs = np.array(different, dtype=object)
+    merged = np.sort(runs)
+    keeper = np.empty(len(merged), np.int64)
+    keeper[np.searchsorted(merged, runs)] = lowest
+    covered = keeper[np.searchsorted(merged, runs)][which] < docs
+    return _spans(groups[covered], rows[covered], starts[covered], starts[covered] + WINDOW)
+
+
+def _different(pieces: list[bytes], docs: np.ndarray) -> tuple[np.ndarray, list[bytes], np.ndarray]:
+    """(which, different, lowest): the different pieces, the one that each piece is, and the smallest doc of each."""
     number: dict[bytes, int] = {}
     which = np.array([number.setdefault(p, len(number)) for p in pieces])
     lowest = np.full(len(number), np.iinfo(np.int64).max)
     np.minimum.at(lowest, which, docs)
-    different = list(number)
-    if final:
-        # Sorted runs of single strings, merged by binary search.
-        runs = np.array(different, dtype=object)
-        merged = np.sort(runs)
-        keeper = np.empty(len(merged), np.int64)
-        keeper[np.searchsorted(merged, runs)] = lowest
-        covered = keeper[np.searchsorted(merged, runs)][which] < docs
-        return _spans(groups[covered], rows[covered], starts[covered], starts[covered] + WINDOW)
-    of, inside, keeper = keepers(different, lowest)
+    return which, list(number), lowest
+
+
+def _settle_part(docs: np.ndarray, split: np.ndarray, pieces: list[bytes]) -> tuple[tuple[np.ndarray, ...], tuple[np.ndarray, ...]]:
+    """(piece, start, end) of the runs of bytes that go, and (piece, start) of the strings that split anchors keep."""
+    which, different, lowest = _different(pieces, docs)
+    _, _, keeper = keepers(different, lowest)
     strings = np.array([len(s) for s in different]) - WINDOW + 1
     first = np.cumsum(strings) - strings
     # All strings of all stretches, those that repeat included.
@@ -229,24 +311,20 @@ def _settle(pdf: pd.DataFrame, shards: int, final: bool) -> pd.DataFrame:
     covered = keeps < docs[owner]
     opens = np.flatnonzero(covered & ~(np.r_[False, covered[:-1]] & np.r_[False, owner[1:] == owner[:-1]]))
     closes = np.flatnonzero(covered & ~(np.r_[covered[1:], False] & np.r_[owner[1:] == owner[:-1], False]))
-    o = owner[opens]
-    spans = _spans(groups[o], rows[o], starts[o] + place[opens], starts[o] + place[closes] + WINDOW)
     again = np.flatnonzero(~covered & (split[owner] > 0))
-    if not len(again):
-        return spans
-    o, p = owner[again], place[again]
-    kept = [pieces[i][s : s + WINDOW] for i, s in zip(o.tolist(), p.tolist())]
-    to = np.array([_shard_of(s, shards) for s in kept])
-    more = _packed(to, docs[o], groups[o], rows[o], starts[o] + p, np.full(len(o), WINDOW), np.ones(len(o)), kept)
-    return pd.concat([spans, more])
+    return (owner[opens], place[opens], place[closes] + WINDOW), (owner[again], place[again])
 
 
-def _shard_of(string: bytes, shards: int) -> int:
-    h = gram_hashes(np.frombuffer(string, np.uint8))
-    return int(h[0] ^ (h[-1] * np.uint64(_MIX[1]))) % shards
+def _shards_of(strings: list[bytes], shards: int, at_once: int = 10_000) -> np.ndarray:
+    """The shard of each string of ``WINDOW`` bytes, by the grams at its ends."""
+    out = []
+    for k in range(0, len(strings), at_once):
+        h = gram_hashes(np.frombuffer(b"".join(strings[k : k + at_once]), np.uint8))
+        out.append((h[::WINDOW] ^ (h[WINDOW - GRAM :: WINDOW] * np.uint64(_MIX[1]))) % np.uint64(shards))
+    return np.concatenate(out).astype(np.int64)
 
 
-def remove_repeats(docs: DataFrame, group_bytes: int = 4 << 20, shard_bytes: int = 2 << 20) -> DataFrame:
+def remove_repeats(docs: DataFrame, group_bytes: int = 4 << 20, shard_bytes: int = 8 << 20) -> DataFrame:
     """(doc_id, n_bytes, spans, kept) of every row: the byte spans removed, and the bytes that stay.
 
     Null text counts as empty. Rows without an id are left whole and remove
@@ -272,75 +350,96 @@ def remove_repeats(docs: DataFrame, group_bytes: int = 4 << 20, shard_bytes: int
             if not pd.isna(doc):
                 yield row, int(doc), raw
 
+    def keys_of(shard: np.ndarray, key: np.ndarray) -> np.ndarray:
+        """Where a half's key is counted, and its hash there."""
+        return ((shard // np.uint64(COUNTED)) << np.uint64(32)) | (key & _LOW)
+
+    def shard_of(value: np.ndarray) -> np.ndarray:
+        return (value >> np.uint64(32)) % np.uint64(shards)
+
     def fingerprints(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        """The group's anchors by shard, with the number of documents that hold each."""
+        """The group's keys by counting shard, with the number of documents that hold each."""
         values, owners = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
-        for _, doc, raw in with_id(pdf):
-            value = np.unique(anchors(np.frombuffer(raw, np.uint8))[2])
-            values.append(value)
-            owners.append(np.full(len(value), doc))
+        for _, doc, raw in with_id(ordered(pdf)):
+            first, turn, last, value, left, right = halves(np.frombuffer(raw, np.uint8))
+            shard = shard_of(value)
+            found = np.concatenate([keys_of(shard, left)[turn > first], keys_of(shard, right)[last >= turn]])
+            values.append(found)
+            owners.append(np.full(len(found), doc))
         value, owner = np.concatenate(values), np.concatenate(owners)
-        order = np.lexsort((owner, value))
+        order = np.argsort(value, kind="stable")  # documents come in the order of their ids
         value, owner = value[order], owner[order]
         once = np.r_[True, (value[1:] != value[:-1]) | (owner[1:] != owner[:-1])][: len(value)]
         value, count = np.unique(value[once], return_counts=True)
-        shard = ((value >> np.uint64(32)) % np.uint64(shards)).astype(np.int64)
-        order = np.argsort(shard, kind="stable")
-        shard, value, count = shard[order], (value[order] & _LOW).astype(np.uint32), np.minimum(count[order], 65535).astype(np.uint16)
+        shard = (value >> np.uint64(32)).astype(np.int64)
+        count = np.minimum(count, 65535).astype(np.uint16)
         cuts = np.flatnonzero(np.r_[True, shard[1:] != shard[:-1]][: len(shard)])
-        out = [(int(shard[s]), int(key[0]), value[s:e].tobytes(), count[s:e].tobytes()) for s, e in zip(cuts, [*cuts[1:], len(shard)])]
+        out = [(int(shard[s]), int(key[0]), _steps(value[s:e] & _LOW), _planes(count[s:e])) for s, e in zip(cuts, [*cuts[1:], len(shard)])]
         release()
         return pd.DataFrame(out, columns=["shard", "g", "anchors", "counts"])
 
     def repeated(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        """Back to each group: its anchors that several documents hold, and over how many shards to split them."""
-        value = np.frombuffer(b"".join(pdf["anchors"]), np.uint32)
-        count = np.frombuffer(b"".join(pdf["counts"]), np.uint16).astype(np.int64)
+        """Back to each group: its keys that several documents hold, and over how many shards to split them."""
+        value = _from_steps(pdf["anchors"])
+        count = np.concatenate([_from_planes(raw, "<u2") for raw in pdf["counts"]])
         group = np.repeat(pdf["g"].to_numpy(), [len(a) // 4 for a in pdf["anchors"]])
-        _, of = np.unique(value, return_inverse=True)
-        held = np.bincount(of, count).astype(np.int64)[of]
+        order = np.argsort(value)
+        value, count, group = value[order], count[order].astype(np.int64), group[order]
+        cuts = np.flatnonzero(np.r_[True, value[1:] != value[:-1]])
+        held = np.repeat(np.add.reduceat(count, cuts), np.diff(np.r_[cuts, len(value)]))
         order = np.flatnonzero(held > 1)
         order = order[np.argsort(group[order], kind="stable")]
         group, value, ways = group[order], value[order], -(-held[order] // MOST_STRETCHES)
         cuts = np.flatnonzero(np.r_[True, group[1:] != group[:-1]][: len(group)])
-        out = [(int(group[s]), int(key[0]), value[s:e].tobytes(), ways[s:e].astype(np.uint32).tobytes()) for s, e in zip(cuts, [*cuts[1:], len(group)])]
+        out = [(int(group[s]), int(key[0]), _steps(value[s:e]), _planes(ways[s:e].astype("<u4"))) for s, e in zip(cuts, [*cuts[1:], len(group)])]
+        release()
         return pd.DataFrame(out, columns=["g", "shard", "anchors", "ways"])
 
     def stretches(key: tuple, pdf: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
         if not len(known) or not len(pdf):
             return _spans(*(np.empty(0, np.int64) for _ in range(4)))
         shard = np.repeat(known["shard"].to_numpy(), [len(a) // 4 for a in known["anchors"]]).astype(np.uint64)
-        hot = (shard << np.uint64(32)) | np.frombuffer(b"".join(known["anchors"]), np.uint32)
-        ways = np.frombuffer(b"".join(known["ways"]), np.uint32)
+        hot = (shard << np.uint64(32)) | _from_steps(known["anchors"])
+        hot_ways = np.concatenate([_from_planes(raw, "<u4") for raw in known["ways"]])
         order = np.argsort(hot)
-        hot, ways = hot[order], ways[order]
+        hot, hot_ways = hot[order], hot_ways[order].astype(np.int64)
+
+        def ways_of(mine: np.ndarray, there: np.ndarray) -> np.ndarray:
+            at = np.minimum(np.searchsorted(hot, mine), len(hot) - 1)
+            return np.where(there & (hot[at] == mine), hot_ways[at], 0)
+
         g = int(key[0])
-        seen: dict[bytes, int] = {}
-        routes, owners, rows, starts, split, pieces = [], [], [], [], [], []
-        done: list[tuple[int, int, int]] = []
+        ids, raws, runs = {}, {}, []
         for row, doc, raw in with_id(ordered(pdf)):
-            first, last, value = anchors(np.frombuffer(raw, np.uint8))
-            shard = (value >> np.uint64(32)) % np.uint64(shards)
-            mine = (shard << np.uint64(32)) | (value & _LOW)
-            at = np.minimum(np.searchsorted(hot, mine), len(hot) - 1)
-            for i in np.flatnonzero(hot[at] == mine).tolist():
-                s, e = int(first[i]), int(last[i]) + WINDOW
-                piece = raw[s:e]
-                # Documents come in the order of their ids.
-                if seen.setdefault(piece, doc) < doc:
-                    done.append((row, s, e))
-                    continue
-                n_ways = int(ways[at[i]])
-                routes.append(int(shard[i]) + shards * (g % n_ways))
-                owners.append(doc)
-                rows.append(row)
-                starts.append(s)
-                split.append(n_ways > 1)
+            first, turn, last, value, left, right = halves(np.frombuffer(raw, np.uint8))
+            shard = shard_of(value)
+            l_ways, r_ways = ways_of(keys_of(shard, left), turn > first), ways_of(keys_of(shard, right), last >= turn)
+            # One stretch where both halves go the same ways, else one for each that is held elsewhere.
+            both = l_ways == r_ways
+            for there, s, e, n in (((l_ways > 0) & both, first, last, l_ways), ((l_ways > 0) & ~both, first, turn - 1, l_ways), ((r_ways > 0) & ~both, turn, last, r_ways)):
+                at = np.flatnonzero(there)
+                if len(at):
+                    part = (value[at] & _LOW) % np.uint64(PARTS)
+                    runs.append(np.stack([np.full(len(at), row), s[at], e[at] + WINDOW, n[at], shard[at].astype(np.int64), part.astype(np.int64)]))
+                    ids[row], raws[row] = doc, raw
+        rows, starts, ends, ways, shard, parts = np.concatenate(runs, 1) if runs else np.empty((6, 0), np.int64)
+        seen: dict[bytes, int] = {}
+        sent, done, pieces = [], [], []
+        for k, (row, s, e) in enumerate(zip(rows.tolist(), starts.tolist(), ends.tolist())):
+            piece, doc = raws[row][s:e], ids[row]
+            # Documents come in the order of their ids.
+            if seen.setdefault(piece, doc) < doc:
+                done.append(k)
+            else:
+                sent.append(k)
                 pieces.append(piece)
-        out = _packed(np.array(routes, np.int64), owners, np.full(len(rows), g), rows, starts, [len(p) for p in pieces], split, pieces)
+        at = np.array(sent, np.int64)
+        owners = np.array([ids[row] for row in rows[at].tolist()], np.int64)
+        route = shard[at] + shards * (g % np.maximum(ways[at], 1))
+        out = _packed(route, owners, np.full(len(at), g), rows[at], starts[at], ends[at] - starts[at], ways[at] > 1, parts[at], pieces)
         if done:
-            r, s, e = np.array(done).T
-            out = pd.concat([out, _spans(np.full(len(r), g), r, s, e)])
+            at = np.array(done)
+            out = pd.concat([out, _spans(np.full(len(at), g), rows[at], starts[at], ends[at])])
         release()
         return out
 
@@ -358,7 +457,7 @@ def remove_repeats(docs: DataFrame, group_bytes: int = 4 << 20, shard_bytes: int
         pdf = ordered(pdf)
         by_row: dict[int, list[tuple[int, int]]] = {}
         if len(spans):
-            ends, _, rows, starts, _, _ = _unpack(spans)
+            ends, _, rows, starts, *_ = _unpack(spans)
             for row, s, e in zip(rows.tolist(), starts.tolist(), ends.tolist()):
                 by_row.setdefault(row, []).append((s, e))
         out = []

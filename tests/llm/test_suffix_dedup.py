@@ -42,6 +42,61 @@ def test_equal_strings_have_equal_anchors():
     assert len(of(a)) == len(a) - WINDOW + 1 and len(of(a[:49])) == 0
 
 
+def test_chance_repeats_of_grams_are_no_repeats_of_halves():
+    rng = np.random.default_rng(5)
+    phrases = rng.integers(97, 123, (6, 24)).astype(np.uint8)  # longer than a gram, shorter than a key
+    held, known = [], []
+    for _ in range(200):
+        text = np.concatenate([np.r_[rng.integers(97, 123, 60), p] for p in phrases]).astype(np.uint8)
+        first, turn, last, value, left, right = s.halves(text)
+        assert (value == anchors(text)[2]).all()
+        held.append(np.unique(value))
+        known.append(np.unique(np.r_[left[turn > first], right[last >= turn]]))
+    most = [np.unique(np.concatenate(x), return_counts=True)[1].max() for x in (held, known)]
+    assert most[0] > 50 and most[1] == 1
+
+
+def test_equal_strings_have_equal_keys():
+    rng = np.random.default_rng(6)
+    shared = rng.integers(97, 123, 300).astype(np.uint8)
+
+    def keys(x):
+        first, turn, last, _, left, right = s.halves(x)
+        return np.concatenate([np.r_[np.full(t - f, a), np.full(e - t + 1, b)] for f, t, e, a, b in zip(first, turn, last, left, right)])
+
+    a = np.r_[rng.integers(97, 123, 91), shared, rng.integers(97, 123, 17)].astype(np.uint8)
+    b = np.r_[rng.integers(97, 123, 8), shared].astype(np.uint8)
+    assert len(keys(a)) == len(a) - WINDOW + 1 and all(len(x) == 0 for x in s.halves(a[:49]))
+    assert (keys(a)[91 : 91 + 251] == keys(b)[8 : 8 + 251]).all()
+
+
+def test_only_the_strings_starts_are_sorted():
+    rng = np.random.default_rng(7)
+    text = rng.integers(97, 99, 4000).astype(np.uint8)
+    text[2000:2300] = text[100:400]
+    starts = np.sort(rng.choice(len(text) - WINDOW + 1, 900, replace=False))
+    raw = text.tobytes()
+    ranks = suffix_ranks(text, starts)
+    assert all(len(rank) == len(starts) for _, rank in ranks)
+    order = np.argsort(ranks[-1][1])
+    strings = [raw[starts[i] : starts[i] + WINDOW] for i in order]
+    assert strings == sorted(strings)
+    common = common_prefixes(order, ranks, text, starts)[1:]
+    assert [next((k for k in range(WINDOW) if x[k] != y[k]), WINDOW) for x, y in zip(strings, strings[1:])] == common.tolist()
+
+
+def test_a_shard_sends_one_row_to_a_group():
+    shared, pieces = bytes(range(65, 65 + 60)), []
+    for k in range(40):
+        pieces += [(k, k % 4, k % s.PARTS, bytes([97 + k % s.PARTS]) + shared)]
+    docs, groups, parts, raws = map(list, zip(*pieces))
+    n = len(raws)
+    pdf = s._packed(np.zeros(n, np.int64), docs, groups, [0] * n, [0] * n, [61] * n, [0] * n, parts, raws)
+    out = s._settle(pdf, shards=3, final=False)
+    assert sorted(out["route"]) == [-4, -3, -2, -1]
+    assert sum(len(raw) for raw in out["docs"]) == 8 * (n - s.PARTS)
+
+
 def brute(rows):
     raws = [(t or "").encode() for _, t in rows]
     first = {}
