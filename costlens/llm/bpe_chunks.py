@@ -30,6 +30,8 @@ from costlens.llm.common import release, shared_copy
 #: Bytes of the rolling hash; one in ``CHUNK`` positions is a cut on average.
 HASH_BYTES = 16
 CHUNK = 1024
+#: Bytes of Spark's batches for Python workers; bounds memory only, not what is computed.
+BATCH_BYTES = 4 << 20
 
 _MIX = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xBF58476D1CE4E5B9)
 
@@ -215,7 +217,9 @@ def encode_documents(docs: DataFrame, tokenizer: str, at_once: int = 256) -> Dat
     empty table gives no rows; extra columns are ignored. ``tokenizer`` is the
     path of a tokenizer file whose vocabulary drops white space and has no
     decoder of its own (tokens are decoded with a space between).
+    ``BATCH_BYTES`` stays set for the session: the result is computed later.
     """
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = ChunkEncoder(tokenizer)

@@ -74,6 +74,14 @@ def test_round_trip_of_a_table(spark, reference):
     assert sorted(((r.doc_id, bytes(r.ids), r.decoded) for r in got), key=key) == sorted(((r[0], *reference(r[1])) for r in rows), key=key)
 
 
+def test_batches_are_cut_by_bytes(spark, monkeypatch):
+    met = []
+    monkeypatch.setattr(bpe_chunks, "deal_by_key", lambda docs: met.append(docs.sparkSession.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) or docs)
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    encode_documents(spark.createDataFrame([(1, "a", "x", 1, 2)], SCHEMA), PATH)
+    assert met == [str(4 << 20)]
+
+
 def test_empty_table_and_key_of_short_texts(spark):
     assert encode_documents(spark.createDataFrame([], SCHEMA), PATH).count() == 0
     assert sharing_key("abc") == sharing_key("abc") != sharing_key("abd")
