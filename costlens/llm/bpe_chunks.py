@@ -18,7 +18,9 @@ text in which a join finds no agreement is encoded as a whole.
 from __future__ import annotations
 
 import hashlib
+import os
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -75,6 +77,18 @@ def sharing_key(text: str) -> int:
     return low - (1 << 63)
 
 
+@lru_cache(maxsize=1)
+def _loaded(path: str) -> tuple:
+    """The tokenizer at ``path`` and its tokens: one for all tasks of a process, whose memory grows with each that is loaded."""
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.no_truncation()
+    tokenizer.no_padding()
+    size = max(tokenizer.get_vocab().values()) + 1
+    return tokenizer, [(tokenizer.id_to_token(i) or "").encode("utf-8") for i in range(size)]
+
+
 class ChunkEncoder:
     """Encodes texts with the tokenizer file at ``path``; each different chunk is encoded once.
 
@@ -86,13 +100,7 @@ class ChunkEncoder:
     EDGE = 8
 
     def __init__(self, path: str, most_words: int = 400_000, most_bytes: int = 8 << 20):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
-        size = max(self.tokenizer.get_vocab().values()) + 1
-        self.tokens = [(self.tokenizer.id_to_token(i) or "").encode("utf-8") for i in range(size)]
+        self.tokenizer, self.tokens = _loaded(path)
         self.most_words, self.most_bytes = most_words, most_bytes
         self.words: dict[str, bytes] = {}
         self.chunks: dict[str, tuple[str, str | None, list[str], list[str], bytes]] = {}
@@ -222,6 +230,8 @@ def encode_documents(docs: DataFrame, tokenizer: str, at_once: int = 256) -> Dat
     docs.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # A task has one core; the memory of more threads would stay with the worker.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         encoder = ChunkEncoder(tokenizer)
         for whole in batches:
             for i in range(0, len(whole), at_once):

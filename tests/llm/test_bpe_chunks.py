@@ -74,6 +74,10 @@ def test_round_trip_of_a_table(spark, reference):
     assert sorted(((r.doc_id, bytes(r.ids), r.decoded) for r in got), key=key) == sorted(((r[0], *reference(r[1])) for r in rows), key=key)
 
 
+def test_a_process_loads_one_tokenizer():
+    assert ChunkEncoder(PATH).tokenizer is ChunkEncoder(PATH).tokenizer
+
+
 def test_batches_are_cut_by_bytes(spark, monkeypatch):
     met = []
     monkeypatch.setattr(bpe_chunks, "deal_by_key", lambda docs: met.append(docs.sparkSession.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) or docs)
